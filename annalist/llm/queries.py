@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language_id, quality
+from .decontaminate import contaminated
+from .fingerprints import fingerprinted
 from .line_dedup import dedup_lines
+from .mixing import mix
+from .suffix_dedup import remove_repeats
+from .token_output import training_order
+from .url_filter import judge
 from .ngram_join import jaccard_components
 
 
@@ -13,6 +20,48 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _bucket(parts: int) -> Column:
+    """crc32 of the id as text, modulo parts; a null id counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(parts))
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(_read(spark, sf_dir, "documents"))
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "reason", "score")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held_out = _bucket(3) == 1
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held_out = _bucket(4) == 2
+    model = quality.fit(docs, _read(spark, sf_dir, "labels").where(~held_out))
+    found = quality.score(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_read(spark, sf_dir, "documents"), n=3, percent=90)
 
@@ -22,5 +71,43 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op8_ngram_jaccard_join": op8_ngram_jaccard_join, "op9_line_dedup": op9_line_dedup}
-ORACLES: dict[str, str] = {}
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprinted(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+QUERIES = {
+    "op1_token_output": op1_token_output,
+    "op2_source_mixing": op2_source_mixing,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_url_filter": op4_url_filter,
+    "op5_language_id": op5_language_id,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_document_fingerprints": op10_document_fingerprints,
+}
+ORACLES: dict[str, str] = {
+    "op2_source_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size,
+                   CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+            FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+        w AS (SELECT *, [5.0, 2.0, 1.0][1 + CAST((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 AS INT)]::DOUBLE AS w, 2.0::DOUBLE * source_size AS cap FROM s),
+        l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER r, 0.0)) / (sum(w) OVER () - coalesce(sum(w) OVER r, 0.0)) AS lv
+              FROM w WINDOW r AS (ORDER BY cap / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        t AS (SELECT source, source_size, least(cap, coalesce(max(CASE WHEN lv <= cap / w THEN lv END) OVER () * w, cap)) AS target FROM l),
+        p AS (SELECT *, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS certain,
+                     CASE WHEN source_size > 0 THEN target / source_size - floor(target / source_size) ELSE 0 END AS part FROM t),
+        x AS (SELECT d.*, p.source_size, p.target, p.certain, p.part, CASE WHEN part > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS q
+              FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+        y AS (SELECT *, sum(size) OVER (PARTITION BY source, part > 0 AND size > 0 ORDER BY q / (1 + q), coalesce(doc_id, 9223372036854775807), size ROWS UNBOUNDED PRECEDING) AS upto,
+                     target - certain * source_size AS wanted FROM x)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+               CAST(CASE WHEN size = 0 THEN 0
+                         WHEN part > 0 AND (upto < wanted OR (upto - size < wanted AND upto - wanted <= wanted - (upto - size))) THEN (certain + 1) * size
+                         ELSE certain * size END AS BIGINT) AS taken
+        FROM y""",
+}
