@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
+sys.path[:0] = [ROOT, f"{ROOT}/tests"]
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, f"{ROOT}/tests", os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
