@@ -200,7 +200,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     whole = kinds.where("times > 1").select("a", "r", F.array(F.lit(0), F.col("one.n").cast("int")).alias("spans"))
     partial = sorted_.join(kinds.where("times > 1").select("a", "r"), ["a", "r"], "left_anti")
     marks = materialise(whole.unionByName(partial), "marks")
-    covered = found.select("a", "r", "k", "th", "s").join(marks, ["a", "r"]).groupBy("k", "th").agg(F.collect_list(F.struct("s", "spans")).alias("marks")).select(F.col("k").alias("__k"), F.col("th").alias("__h"), "marks")
+    covered = found.select("a", "r", "k", "th", "s").join(marks, ["a", "r"]).groupBy("k", "th").agg(F.collect_list(F.struct("s", "spans")).alias("__m")).select(F.col("k").alias("__k"), F.col("th").alias("__h"), "__m")
 
     @F.arrow_udf("struct<spans: array<long>, removed: long, kept: binary>")
     def cut(text: pa.Array, marks: pa.Array) -> pa.Array:
@@ -227,5 +227,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     made = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
     rest = [c for c in docs.columns if c not in (*made, text_col)]
-    out = keyed.join(covered, ["__k", "__h"], "left").select(*rest, F.length("__t").cast("long").alias("n_bytes"), cut("__t", "marks").alias("__c"))
+    out = keyed.join(covered, ["__k", "__h"], "left").select(*rest, F.length("__t").cast("long").alias("n_bytes"), cut(F.col("__t"), F.col("__m")).alias("__c"))
     return out.select(*rest, "n_bytes", F.col("__c.removed").alias("n_removed"), (F.size("__c.spans") / 2).cast("long").alias("n_spans"), F.col("__c.spans").alias("spans"), F.col("__c.kept").alias("kept"))
