@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import urls
 
+#: A link line of an index, an HTML anchor.
 LINK = r"-\s*\[([^\]]+)\]\(([^)]+)\)(?::[^\S\n]*([^\n]*))?"
 ANCHOR = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 
+#: Codes of disagreement between a registry and Git, and of a release's own configuration.
+UNRESOLVED, NO_TAG, NO_RELEASE = "registry_version_unresolved", "registry_version_missing_git_tag", "registry_version_missing_github_release"
+GIT_AHEAD, REGISTRY_AHEAD, MALFORMED = "git_source_ahead_of_registry", "registry_ahead_of_git_source", "malformed_release_metadata"
+CONFIG_MISSING, CONFIG_MALFORMED, CONFIG_VERSION = "release_config_missing", "release_config_malformed", "release_config_version_mismatch"
+CONFIG_NO_NAME, CONFIG_NAME = "release_config_name_missing", "release_config_name_mismatch"
 
 def tag_bindings(tags: DataFrame) -> DataFrame:
     """(package, tag, commit, conflicted): what each tag points at; a tag seen at two commits resolves to neither."""
@@ -42,12 +47,12 @@ def reconciled(registry: DataFrame, tags: DataFrame, releases: DataFrame) -> Dat
     )
     known = F.col("v").isNotNull()
     codes = F.array(
-        F.when(~known, "registry_version_unresolved"),
-        F.when(known & F.col("commit").isNull(), "registry_version_missing_git_tag"),
-        F.when(known & F.col("released").isNull(), "registry_version_missing_github_release"),
-        F.when(known & (F.col("newest") > F.col("v")), "git_source_ahead_of_registry"),
-        F.when(known & (F.col("newest").isNull() | (F.col("newest") < F.col("v"))), "registry_ahead_of_git_source"),
-        F.when(F.col("malformed"), "malformed_release_metadata"),
+        F.when(~known, UNRESOLVED),
+        F.when(known & F.col("commit").isNull(), NO_TAG),
+        F.when(known & F.col("released").isNull(), NO_RELEASE),
+        F.when(known & (F.col("newest") > F.col("v")), GIT_AHEAD),
+        F.when(known & (F.col("newest").isNull() | (F.col("newest") < F.col("v"))), REGISTRY_AHEAD),
+        F.when(F.col("malformed"), MALFORMED),
     )
     return joined.select("package", "version", F.when(F.col("commit").isNotNull(), F.col("tag")).alias("source_tag"), F.col("commit").alias("source_commit"), F.array_sort(F.array_compact(codes)).alias("discrepancies"))
 
@@ -56,12 +61,12 @@ def config_codes(config: DataFrame) -> DataFrame:
     """(package, discrepancies) of what a release's own configuration says: rows (package, kind, version, present, parsed, name, found_version)."""
     expected = F.when(F.col("kind") == "python", text.package_key(F.col("package"), "python")).otherwise(F.col("package"))
     name = F.when(F.col("kind") == "python", text.package_key(F.col("name"), "python")).otherwise(F.col("name"))
-    codes = F.when(~F.col("present"), F.array(F.lit("release_config_missing"))).when(~F.col("parsed"), F.array(F.lit("release_config_malformed"))).otherwise(
+    codes = F.when(~F.col("present"), F.array(F.lit(CONFIG_MISSING))).when(~F.col("parsed"), F.array(F.lit(CONFIG_MALFORMED))).otherwise(
         F.array_compact(
             F.array(
-                F.when(~F.col("found_version").eqNullSafe(F.col("version")), "release_config_version_mismatch"),
-                F.when(F.col("name").isNull(), "release_config_name_missing"),
-                F.when(name != expected, "release_config_name_mismatch"),
+                F.when(~F.col("found_version").eqNullSafe(F.col("version")), CONFIG_VERSION),
+                F.when(F.col("name").isNull(), CONFIG_NO_NAME),
+                F.when(name != expected, CONFIG_NAME),
             )
         )
     )
