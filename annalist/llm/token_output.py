@@ -30,6 +30,8 @@ VOCABULARY = os.environ.get("ANNALIST_VOCABULARY", "/opt/tokenizers/byte_bpe_50k
 END = 50_256
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LENGTH, SHARD_ROWS, ROUNDS = 2048, 4096, 4
+#: Sequences that a Python worker hands over at once.
+SENT = 256
 #: Longest piece of a text that is encoded at once, in characters.
 PIECE = 1 << 16
 
@@ -105,19 +107,21 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
         def emit(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
+        rows = []
         for batch in batches:
-            rows = []
-            for i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.array([*encode(text or "", vocabulary), END], np.uint16)
-                held = np.concatenate([held, ids])
-                owners.append((len(held), i))
+            for i, text in zip(*batch.columns, strict=True):
+                held = np.concatenate([held, np.array([*encode(text.as_py() or "", vocabulary), END], np.uint16)])
+                owners.append((len(held), i.as_py()))
                 while len(held) >= length:
                     rows.append(sequence(held[:length], length))
                     number += 1
                     held = held[length:]
                     owners = [(end - length, d) for end, d in owners if end > length]
-            if rows:
-                yield emit(rows)
+                    if len(rows) == SENT:
+                        yield emit(rows)
+                        rows = []
+        if rows:
+            yield emit(rows)
         if len(held):
             yield emit([sequence(np.concatenate([held, np.full(length - len(held), END, np.uint16)]), len(held))])
 
@@ -144,15 +148,21 @@ def training_order(docs: DataFrame, key: str = "order", id_col: str = "doc_id",
         base = np.array([starts[p] for p in part.to_pylist()], np.int64)
         return pa.array(permute(base + np.asarray(number), total, key))
 
-    @F.arrow_udf("binary")
-    def expand(tokens: pa.Array) -> pa.Array:
+    names = ["slot", "shard", "byte_offset", "part", "number", "first_doc", "docs", "n_tokens", "tokens"]
+
+    def expand(batches):
         loose = zstandard.ZstdDecompressor()
-        return pa.array([loose.decompress(t) for t in tokens.to_pylist()], pa.binary())
+        for batch in batches:
+            for a in range(0, batch.num_rows, SENT):
+                part = batch.slice(a, SENT)
+                tokens = pa.array([loose.decompress(t) for t in part.column("tokens").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names[:-1]], tokens], names)
 
     shards = max(1, -(-total // shard_rows))
     placed = packed.withColumn("slot", slot("part", "number")).withColumn("shard", F.floor(F.col("slot") / shard_rows).cast("int"))
-    dealt = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
-    return dealt.select("slot", F.col("shard").cast("long").alias("shard"), (F.pmod("slot", F.lit(shard_rows)) * 2 * length).alias("byte_offset"), "part", "number", "first_doc", "docs", "n_tokens", expand("tokens").alias("tokens"))
+    placed = placed.withColumn("byte_offset", F.pmod("slot", F.lit(shard_rows)) * 2 * length)
+    dealt = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot").withColumn("shard", F.col("shard").cast("long"))
+    return dealt.select(*names).mapInArrow(expand, ", ".join(f"{c} {'binary' if c == 'tokens' else 'long'}" for c in names))
 
 
 def write_shards(ordered: DataFrame, path: str) -> DataFrame:
