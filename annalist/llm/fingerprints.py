@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from .kernels import U64, mix
 from .workspace import NULL_ID
@@ -121,8 +122,14 @@ def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     parts = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     cuts = base.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("c")).first().c or []
     cuts = sorted({int(c) for c in cuts})
-    bucket = F.lit(len(cuts)) - F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("k"))) if cuts else F.lit(0)
-    keyed = base.withColumn("bucket", bucket.cast("int"))
+    edges = np.array(cuts, np.int64)
+
+    @F.arrow_udf(IntegerType())
+    def bucket(k: pa.Array) -> pa.Array:
+        # bucket 0 has the largest ids
+        return pa.array((len(edges) - np.searchsorted(edges, np.asarray(k), "right")).astype(np.int32))
+
+    keyed = base.withColumn("bucket", bucket("k"))
     tops = sorted((r.bucket, r.k) for r in keyed.groupBy("bucket").agg(F.max("k").alias("k")).collect())
     if not tops:
         return keyed.select("doc_id", F.lit(0).cast("long").alias("n_chars"), F.col("text").alias("edited_text"), *[F.lit("").alias(c) for c in ("fingerprint", "edited_fingerprint")], *[F.lit(0.0).alias(c) for c in ("near_edited", "near_next")]).limit(0)
