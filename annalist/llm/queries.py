@@ -110,4 +110,12 @@ ORACLES: dict[str, str] = {
                          WHEN part > 0 AND (upto < wanted OR (upto - size < wanted AND upto - wanted <= wanted - (upto - size))) THEN (certain + 1) * size
                          ELSE certain * size END AS BIGINT) AS taken
         FROM y""",
+    "op9_line_dedup": r"""
+        WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+        l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS n FROM t),
+        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        h AS (SELECT key, min(doc_id) AS keeper FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (h.key IS NOT NULL AND keeper <> doc_id) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (h.key IS NULL OR keeper = doc_id), '')) AS kept_sha256
+        FROM k LEFT JOIN h USING (key) GROUP BY doc_id""",
 }

@@ -148,7 +148,11 @@ def test_pareto_draws_are_even(spark):
 # 3
 
 
-def test_induced_order_against_plain_sorting():
+@pytest.mark.parametrize("recursive", [False, True])
+def test_induced_order_against_plain_sorting(monkeypatch, recursive):
+    if recursive:
+        for name, value in (("DENSE", 1), ("LANES", 10**6), ("BASE", 1)):
+            monkeypatch.setattr(induced_sort, name, value)
     rng = random.Random(4)
     for _ in range(120):
         kinds, depth = rng.choice([1, 2, 3, 5]), rng.choice([5, 20, 255])
