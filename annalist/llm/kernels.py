@@ -17,6 +17,8 @@ U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 2**64)
 SLICE = 1 << 20
+#: Bytes of text whose words are held at once; a longer text is held alone.
+PORTION = 4 << 20
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -127,14 +129,25 @@ def shingle_sets(column: pa.Array, n: int):
     A text of fewer than n words is one shingle of all its words; one without
     words has none.
     """
-    raw, offs = buffers(column)
-    h, _, _, text = words(raw, offs)
-    runs = chain(h, n)
-    bounds = text_bounds(text, len(offs) - 1)
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        if b - a >= n:
-            yield np.unique(runs[a : b - n + 1])
-        elif b > a:
-            yield chain(h[a:b], int(b - a))
-        else:
-            yield h[:0]
+    for part in portions(column):
+        raw, offs = buffers(part)
+        h, _, _, text = words(raw, offs)
+        runs = chain(h, n)
+        bounds = text_bounds(text, len(offs) - 1)
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if b - a >= n:
+                yield np.unique(runs[a : b - n + 1])
+            elif b > a:
+                yield chain(h[a:b], int(b - a))
+            else:
+                yield h[:0]
+
+
+def portions(column: pa.Array):
+    """Consecutive slices of a column, of PORTION bytes or one value each."""
+    _, offs = buffers(column)
+    a = 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(offs, offs[a] + PORTION, "right")) - 1)
+        yield column.slice(a, b - a)
+        a = b

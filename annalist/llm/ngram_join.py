@@ -10,19 +10,22 @@
 4. Surviving pairs are verified on their whole texts.
 
 Classes that are already connected need no further pair between them, so each
-meeting emits a spanning forest, closest pairs first. A second pass over
-meetings whose classes still lie in different components emits every remaining
-candidate, which makes the components exact. A shingle shared by many groups
+meeting emits a spanning forest, closest pairs first. Where a pair of a forest
+turns out not to link, a second pass emits every remaining candidate between
+different components of its cluster, which makes the components exact. A shingle shared by many groups
 is split into blocks and each pair of blocks is a task's unit of work.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType
 
 from .components import components
 from .kernels import mix, shingle_sets
@@ -31,11 +34,30 @@ from .workspace import materialise
 #: Shingles that are put last in the global order: at most so many, each seen so often.
 COMMON_SHINGLES, COMMON_COUNT = 1 << 17, 8
 #: Shingle hashes held at once while a task looks for common ones.
-HELD = 4_000_000
+HELD = 2_000_000
+#: Least bits of a parity bitmap; a larger set has the least power of two that is not below its size.
 BITMAP_BITS = 512
 #: Most groups in one block of a shingle's list, and members in one group.
 BLOCK, GROUP = 1024, 256
-MEMBER = np.dtype([("id", "<i8"), ("comp", "<i8"), ("bits", "<u8", BITMAP_BITS // 64)])
+#: Most ids that are broadcast to pick texts (8 bytes each); more are joined by shuffle.
+SENT = 1_000_000
+
+
+def width(n: int) -> int:
+    """Bits of the bitmap of a set of n shingles."""
+    return max(BITMAP_BITS, 1 << max(0, int(n) - 1).bit_length())
+
+
+def bitmap(own: np.ndarray) -> bytes:
+    """Parity of the number of shingles that fall on each bit; halves of a bitmap XORed are the bitmap of half the width."""
+    bits = width(len(own))
+    parity = np.bincount((mix(own) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8)).tobytes()
+
+
+@lru_cache(maxsize=64)
+def member(bits: int) -> np.dtype:
+    return np.dtype([("id", "<i8"), ("comp", "<i8"), ("bits", "<u8", (bits // 64,))])
 
 
 def _text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -88,7 +110,7 @@ def _records(docs: DataFrame, n: int, percent: int, common: tuple[np.ndarray, np
                 keys.append(xxhash.xxh3_128_digest(own.tobytes()))
                 if not len(own):
                     prefixes.append(b"")
-                    bits.append(bytes(BITMAP_BITS // 8))
+                    bits.append(b"")
                     continue
                 weight = np.zeros(len(own), np.int64)
                 if len(values):
@@ -96,47 +118,46 @@ def _records(docs: DataFrame, n: int, percent: int, common: tuple[np.ndarray, np
                     weight = np.where(values[at] == own, counts[at], 0)
                 first = np.argsort(weight, kind="stable")[: len(own) + (-percent * len(own) // 100) + 1]
                 prefixes.append(own[first].tobytes())
-                parity = np.bincount((mix(own) % np.uint64(BITMAP_BITS)).astype(np.int64), minlength=BITMAP_BITS) & 1
-                bits.append(np.packbits(parity.astype(np.uint8)).tobytes())
+                bits.append(bitmap(own))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "n", "set_key", "prefix", "bits"])
 
     return _text(docs, id_col, text_col).mapInArrow(read, "doc_id long, n long, set_key binary, prefix binary, bits binary")
 
 
-def _entries(classes: DataFrame) -> DataFrame:
-    """classes (class_id, comp, n, prefix, bits) -> one row for each group and prefix shingle that another group has too."""
+@F.arrow_udf(ArrayType(LongType()))
+def _tokens(prefix: pa.Array) -> pa.Array:
+    return pa.array([np.frombuffer(p, np.int64) for p in prefix.to_pylist()], pa.list_(pa.int64()))
+
 
-    @F.arrow_udf("binary")
-    def member(i: pa.Array, comp: pa.Array, bits: pa.Array) -> pa.Array:
-        rows = np.zeros(len(i), MEMBER)
-        rows["id"], rows["comp"] = np.asarray(i), np.asarray(comp)
-        rows["bits"] = np.frombuffer(b"".join(bits.to_pylist()), "<u8").reshape(len(i), -1)
-        return pa.array([r.tobytes() for r in rows], pa.binary())
+@F.arrow_udf(BinaryType())
+def _member(i: pa.Array, comp: pa.Array, bits: pa.Array) -> pa.Array:
+    heads = np.stack([np.asarray(i), np.asarray(comp)], axis=1).astype("<i8")
+    return pa.array([h.tobytes() + b for h, b in zip(heads, bits.to_pylist(), strict=True)], pa.binary())
 
-    @F.arrow_udf("array<long>")
-    def tokens(prefix: pa.Array) -> pa.Array:
-        return pa.array([np.frombuffer(p, np.int64) for p in prefix.to_pylist()], pa.list_(pa.int64()))
 
+
+def _groups(classes: DataFrame) -> DataFrame:
+    """classes (class_id, comp, n, prefix, bits) -> groups (gid, n, prefix, size, members) of equal prefix and size."""
     key = F.xxhash64("n", "prefix")
     large = classes.groupBy(key.alias("g")).count().where(F.col("count") > GROUP)
     dealt = classes.withColumn("g", key).join(large, "g", "left").withColumn("part", F.pmod(F.xxhash64("class_id"), F.ceil(F.coalesce("count", F.lit(1)) / GROUP)))
-    groups = (
-        dealt.withColumn("m", member("class_id", "comp", "bits"))
-        .groupBy("n", "prefix", "part")
-        .agg(F.min("class_id").alias("gid"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.array_join(F.collect_list(F.hex("m")), "").alias("members"))
-    )
-    groups = materialise(groups, "groups")
-    spread = groups.select("gid", "n", "size", "lo", "hi", F.posexplode(tokens("prefix")).alias("pos", "token"))
-    lists = spread.groupBy("token").agg(F.count("*").alias("len"), F.sum("size").alias("members"), F.min("lo").alias("low"), F.max("hi").alias("high")).where("members > 1 and low < high").select("token", "len")
-    return spread.select("token", "gid", "n", "pos").join(lists, "token").join(groups.select("gid", "members"), "gid")
+    # members travel as hex, for only strings can be joined
+    return dealt.groupBy("n", "prefix", "part").agg(F.min("class_id").alias("gid"), F.count("*").alias("size"), F.array_join(F.collect_list(F.hex(_member("class_id", "comp", "bits"))), "").alias("members"))
+
+
+def _entries(groups: DataFrame) -> DataFrame:
+    """One row for each group and prefix shingle under which it meets another group, or has several members."""
+    spread = groups.select("gid", "size", F.posexplode(_tokens("prefix")).alias("pos", "token"))
+    lists = spread.groupBy("token").agg(F.count("*").alias("len"), F.max("size").alias("most")).where("len > 1 or most > 1").select("token", "len")
+    return spread.select("token", "gid", "pos").join(lists, "token").join(groups.select("gid", "n", "members"), "gid")
 
 
-def _meetings(classes: DataFrame, percent: int, forest: bool) -> DataFrame:
+def _meetings(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
     """(a, b): candidate pairs of classes in different components; of each meeting all of them, or a spanning forest."""
     blocks = F.ceil(F.col("len") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("gid"), blocks).cast("int")
     cells = (
-        _entries(classes)
+        _entries(groups)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "pos", F.unhex("members").alias("m"))
@@ -171,34 +192,40 @@ def _meetings(classes: DataFrame, percent: int, forest: bool) -> DataFrame:
 
 def _compare(data: list[bytes], n: np.ndarray, pos: np.ndarray, side: np.ndarray | None, percent: int, forest: bool) -> list[tuple[int, int]]:
     """Candidate pairs within one cell; with side, only pairs across its two blocks."""
-    members = np.frombuffer(b"".join(data), MEMBER)
-    if len(members) < 2:
+    widths = np.array([width(x) for x in n.tolist()])
+    counts = np.array([len(d) // (16 + w // 8) for d, w in zip(data, widths.tolist(), strict=True)])
+    if counts.sum() < 2:
         return []
-    counts = np.array([len(d) // MEMBER.itemsize for d in data])
-    n, pos = np.repeat(n, counts), np.repeat(pos, counts)
-    side = np.repeat(side, counts) if side is not None else None
     order = np.argsort(n, kind="stable")
-    members, n, pos = members[order], n[order], pos[order]
-    side = side[order] if side is not None else None
-    bits, comp = np.ascontiguousarray(members["bits"]), np.ascontiguousarray(members["comp"])
+    sets: dict[int, np.ndarray] = {w: np.frombuffer(b"".join(data[k] for k in order.tolist() if widths[k] == w), member(w)) for w in np.unique(widths).tolist()}
+    rows = np.repeat(order, counts[order])  # widths rise with n, so members of one width stand together
+    n, pos, widths = n[rows], pos[rows], widths[rows]
+    side = side[rows] if side is not None else None
+    ids, comp = (np.concatenate([sets[w][c] for w in sorted(sets)]) for c in ("id", "comp"))
     out = []
-    for i in range(len(n) - 1):
-        j = np.arange(i + 1, np.searchsorted(n, n[i] * 100 // percent, "right"))
-        ok = comp[j] != comp[i]
-        if side is not None:
-            ok &= side[j] != side[i]
-        need = -(-percent * (n[i] + n[j]) // (100 + percent))
-        ok &= np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
-        j, need = j[ok], need[ok]
-        if len(j):
-            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1).astype(np.int64)
-            ok = apart <= n[i] + n[j] - 2 * need
-            if ok.any():
-                out.append((np.full(ok.sum(), i), j[ok], apart[ok] / n[j[ok]]))
+    for w in sorted(sets):
+        # partners of a set have its width or twice as many bits
+        first, last = np.searchsorted(widths, [w, 2 * w + 1])
+        bits = np.ascontiguousarray(sets[w]["bits"])
+        if 2 * w in sets:
+            wide = sets[2 * w]["bits"]
+            bits = np.concatenate([bits, wide[:, : w // 64] ^ wide[:, w // 64 :]])
+        for i in range(first, first + len(sets[w])):
+            j = np.arange(i + 1, min(last, np.searchsorted(n, n[i] * 100 // percent, "right")))
+            ok = comp[j] != comp[i]
+            if side is not None:
+                ok &= side[j] != side[i]
+            need = -(-percent * (n[i] + n[j]) // (100 + percent))
+            ok &= np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
+            j, need = j[ok], need[ok]
+            if len(j):
+                apart = np.bitwise_count(bits[j - first] ^ bits[i - first]).sum(axis=1).astype(np.int64)
+                ok = apart <= n[i] + n[j] - 2 * need
+                if ok.any():
+                    out.append((np.full(ok.sum(), i), j[ok], apart[ok] / n[j[ok]]))
     if not out:
         return []
     a, b, far = (np.concatenate(x) for x in zip(*out, strict=True))
-    ids = members["id"]
     if not forest:
         return [(min(x, y), max(x, y)) for x, y in zip(ids[a].tolist(), ids[b].tolist(), strict=True)]
     low, high = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
@@ -217,21 +244,27 @@ def _compare(data: list[bytes], n: np.ndarray, pos: np.ndarray, side: np.ndarray
     return kept
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pairs (a, b) of document ids whose whole texts link, with their overlap and union sizes."""
+def judged(pairs: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The pairs (a, b) of document ids with overlap and united, the sizes for their whole texts, and whether they link."""
 
     def check(batches):
         for batch in batches:
             both = [(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y)) for x, y in zip(shingle_sets(batch.column("x"), n), shingle_sets(batch.column("y"), n), strict=True)]
-            keep = np.array([100 * i >= percent * (s - i) and s > 0 for i, s in both], bool)
-            inter = pa.array([i for i, _ in both], pa.int64()).filter(pa.array(keep))
-            union = pa.array([s - i for i, s in both], pa.int64()).filter(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep)), inter, union], ["a", "b", "overlap", "united"])
+            cols = [[i for i, _ in both], [s - i for i, s in both]]
+            links = [s > 0 and 100 * i >= percent * (s - i) for i, s in both]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(c, pa.int64()) for c in cols], pa.array(links, pa.bool_())], ["a", "b", "overlap", "united", "links"])
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    if wanted.count() <= SENT:
+        wanted = F.broadcast(wanted)
     texts = materialise(_text(docs, id_col, text_col).join(wanted, "doc_id"), "texts")
     x, y = texts.select(F.col("doc_id").alias("a"), F.col("t").alias("x")), texts.select(F.col("doc_id").alias("b"), F.col("t").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long, overlap long, united long")
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long, overlap long, united long, links boolean")
+
+
+def _reached(pairs: DataFrame) -> DataFrame:
+    """(class_id, component) of the classes on these pairs."""
+    return components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("id", "class_id")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,28 +278,31 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     share an id are one node; a row with a null id takes its class's component
     (null when no row of the class has an id). No rows give no rows.
     """
+    if not 50 <= percent <= 100:
+        raise ValueError("percent is from 50 to 100")
     records = materialise(_records(docs, n, percent, common_shingles(docs, n, text_col), id_col, text_col), "records")
-    classes = materialise(
-        records.where("n > 0 and doc_id is not null").groupBy("set_key", "n").agg(F.min("doc_id").alias("class_id"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")),
-        "classes",
-    )
-    node = classes.select("class_id", F.col("class_id").alias("comp"), "n", "prefix", "bits")
-    links = materialise(verified(materialise(_meetings(node, percent, True), "pairs"), docs, n, percent, id_col, text_col), "links")
-    first = materialise(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "first")
-    joined = node.drop("comp").join(first.withColumnRenamed("id", "class_id"), "class_id", "left").withColumn("comp", F.coalesce("component", "class_id")).drop("component")
-    rest = materialise(_meetings(joined, percent, False), "rest")
-    if not rest.isEmpty():
-        links = links.unionByName(materialise(verified(rest, docs, n, percent, id_col, text_col), "more"))
-        first = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    owned = classes.select("set_key", "class_id").join(first.withColumnRenamed("id", "class_id"), "class_id", "left").select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
+    full = records.where("n > 0 and doc_id is not null")
+    classes = full.groupBy("set_key", "n").agg(F.min("doc_id").alias("class_id"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    groups = materialise(_groups(classes.withColumn("comp", F.col("class_id"))), "groups")
+    tried = materialise(judged(materialise(_meetings(groups, percent, True), "pairs"), docs, n, percent, id_col, text_col), "tried")
+    links = tried.where("links")
+    reached = _reached(links)
+    failed = tried.where("not links")
+    if not failed.isEmpty():
+        # where a pair of a forest fails, other pairs of its cluster may link across the gap
+        clusters = _reached(tried)
+        open_ = failed.select(F.col("a").alias("class_id")).join(clusters, "class_id").select("component").distinct()
+        unsettled = clusters.join(open_, "component", "left_semi").select("class_id").join(reached, "class_id", "left").select("class_id", F.coalesce("component", "class_id").alias("comp"))
+        again = full.join(materialise(unsettled, "unsettled"), full["doc_id"] == F.col("class_id")).dropDuplicates(["class_id", "set_key"]).select("class_id", "comp", "n", "prefix", "bits")
+        rest = _meetings(materialise(_groups(again), "groups"), percent, False).join(failed.select("a", "b"), ["a", "b"], "left_anti")
+        more = materialise(judged(materialise(rest, "rest"), docs, n, percent, id_col, text_col), "more").where("links")
+        if not more.isEmpty():
+            reached = _reached(links.unionByName(more))
+    least = records.where("doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
+    owned = least.join(reached, "class_id", "left").select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     out = records.select("doc_id", "n", "set_key").join(owned, "set_key", "left")
-    empty = F.col("n") == 0
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    own = lambda c: F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col(c)).alias(c)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own("class_id"), own("component_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
