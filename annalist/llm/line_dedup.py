@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import LOWER_BYTES, SPACES
-from .workspace import NULL_ID
+from .workspace import NULL_ID, materialise
 
 
 def _keys(text: bytes, min_chars: int) -> list[bytes | None]:
@@ -55,9 +55,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     document that sorts last. All other columns pass through; n_lines and
     n_dropped replace columns of those names.
     """
+    # read back from a table, a line that very many documents hold can be split by the join
+    repeated = materialise(repeated_lines(docs, id_col, text_col, min_chars), "repeated-lines")
     gone = (
         _lines(docs, id_col, text_col, min_chars)
-        .join(repeated_lines(docs, id_col, text_col, min_chars), "h")
+        .join(repeated, "h")
         .where("k <> keeper")
         .groupBy("k")
         .agg(F.collect_list("h").alias("__gone"))
