@@ -42,7 +42,7 @@ class LaneQueue:
         self.file.seek(0, 2)
         for lane in self.lanes:
             for i, block in enumerate(lane):
-                if len(block) == 2:
+                if len(block) == 2:  # neither spilled nor taken
                     at = self.file.tell()
                     self.file.write(block[0].tobytes())
                     self.file.write(block[1].tobytes())
@@ -51,19 +51,23 @@ class LaneQueue:
         self.held = 0
 
     def pop(self, lane: int):
-        """The lane's blocks in order; blocks that are pushed meanwhile come too."""
+        """The lane's entries in order, as few blocks as its share of memory allows; entries pushed meanwhile come too."""
         queue, i = self.lanes[lane], 0
         while i < len(queue):
-            block = queue[i]
-            if len(block) == 3:
-                self.file.seek(block[0])
-                pos = np.frombuffer(self.file.read(block[1] * block[2].itemsize), block[2])
-                block = (pos, np.frombuffer(self.file.read(block[1]), np.uint8))
-            else:
-                self.held -= len(block[0])
-            queue[i] = ()
-            yield block
-            i += 1
+            taken, size = [], 0
+            while i < len(queue) and (not taken or size < self.limit // 8):
+                block = queue[i]
+                if len(block) == 3:
+                    self.file.seek(block[0])
+                    pos = np.frombuffer(self.file.read(block[1] * block[2].itemsize), block[2])
+                    block = (pos, np.frombuffer(self.file.read(block[1]), np.uint8))
+                else:
+                    self.held -= len(block[0])
+                taken.append(block)
+                size += len(block[0])
+                queue[i] = ()
+                i += 1
+            yield taken[0] if len(taken) == 1 else tuple(np.concatenate(x) for x in zip(*taken, strict=True))
         self.lanes[lane] = []
 
 
@@ -98,7 +102,8 @@ class _Scan:
         ok = (pos > 0) & (self.small[left] == self.want)
         at = np.flatnonzero(ok)
         symbol = self.text[left[at]]
-        order = np.argsort(symbol, kind="stable")
+        # a stable sort of 16-bit keys counts them
+        order = np.argsort(symbol.astype(np.uint16) if len(self.least) <= 65536 else symbol, kind="stable")
         at, symbol = at[order], symbol[order]
         low = lcp.min()
         before, self.least = self.least, np.minimum(self.least, low)
@@ -218,14 +223,15 @@ def seeds_in_order(text: np.ndarray, small: np.ndarray, sigma: int, depth: int,
         else:
             order = _doubled(names, reach)
     seeds = star[order]
-    return seeds, _prefixes(text, seeds, depth)
+    # seeds whose stretches differ part within the shorter's reach of the longer
+    most = np.where(names[order[1:]] == names[order[:-1]], depth, np.maximum((end - star)[order[1:]], (end - star)[order[:-1]]))
+    return seeds, _prefixes(text, seeds, most)
 
 
-def _prefixes(text: np.ndarray, seeds: np.ndarray, depth: int) -> np.ndarray:
-    """Common prefix of each seed with the one before it, at most min(depth, 255), by bisection on hashes."""
-    top = min(depth, 255)
+def _prefixes(text: np.ndarray, seeds: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Common prefix of each seed with the one before it, at most 255 and most of each pair, by bisection on hashes."""
     a, b = seeds[:-1], seeds[1:]
-    low, high = np.zeros(len(a), np.int64), np.minimum(top, len(text) - np.maximum(a, b))
+    low, high = np.zeros(len(a), np.int64), np.minimum(np.minimum(most, 255), len(text) - np.maximum(a, b))
     base, inverse = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64)
     up, down = np.full(len(text), base, np.uint64), np.full(len(text) + 1, inverse, np.uint64)
     up[:1] = down[0] = 1

@@ -19,96 +19,115 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .induced_sort import HELD, sorted_blocks
-from .kernels import U64, buffers, mix
+from .kernels import PORTION, U64, buffers, portions
 from .workspace import NULL_ID, materialise
 
 LENGTH, GRAM = 200, 32
 #: Bytes of regions that a shard aims at, and positions hashed at once.
-SHARD_BYTES, SLICE = 8 << 20, 1 << 18
+SHARD_BYTES, SLICE = 2 << 20, 1 << 18
 _BASE = 0x9E3779B97F4A7C15
-_RAW_WORDS = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)
+_ODD = np.random.default_rng(7).integers(1, 2**63, 32, dtype=np.uint64) | U64(1)
 
 
 def _gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the gram bytes (a multiple of eight) from each position on."""
+    raw = np.ascontiguousarray(raw)
+    eights = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))  # the eight bytes from each position on
     size = len(raw) - gram + 1
-    acc = _RAW_WORDS[raw]
-    # doubling: hash of 2^j bytes from two halves
-    span = 1
-    while span < gram:
-        step = min(span, gram - span)
-        acc = acc[: len(acc) - step] * U64(_BASE) + (acc[step:] ^ U64(span))
-        span += step
-    return mix(acc[:size])
-
-
-def _window_least(h: np.ndarray, width: int) -> np.ndarray:
-    """Index of the least value of each window of width values, the leftmost of equals."""
+    acc = eights[:size] * _ODD[0]
+    for j in range(1, gram // 8):
+        acc ^= acc >> U64(31)
+        acc += eights[8 * j : 8 * j + size] * _ODD[j]
+    acc ^= acc >> U64(29)
+    acc *= U64(_BASE)
+    acc ^= acc >> U64(32)
+    return acc
+
+
+def _window_least(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, first window, windows) of each least value of windows of width values, the leftmost of equals, in order.
+
+    Small values (one in 32) decide nearly every window; where a window has none,
+    all values around it count.
+    """
     n = len(h)
-    blocks = -(-n // width)
-    padded = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[:n] = h
-    table = padded.reshape(blocks, width)
-    fore = np.minimum.accumulate(table, axis=1)
-    back = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1]
-    # where a running least is reached: the first place from the left, the leftmost from the right
-    cols = np.arange(width)
-    at_fore = np.maximum.accumulate(np.where(table < np.concatenate([np.full((blocks, 1), np.iinfo(np.uint64).max, np.uint64), fore[:, :-1]], axis=1), cols, 0), axis=1)
-    at_back = width - 1 - np.maximum.accumulate(np.where(table[:, ::-1] <= np.concatenate([np.full((blocks, 1), np.iinfo(np.uint64).max, np.uint64), back[:, ::-1][:, :-1]], axis=1), cols, 0), axis=1)[:, ::-1]
-    start = np.arange(blocks)[:, None] * width
-    fore, back = fore.ravel(), back.ravel()
-    at_fore, at_back = (at_fore + start).ravel(), (at_back + start).ravel()
-    i = np.arange(n - width + 1)
-    j = i + width - 1
-    return np.where(back[i] <= fore[j], at_back[i], at_fore[j])
-
-
-def regions(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(anchor hash, first window, windows) of each region of one text; none when it is shorter than length."""
-    width, at, size = length - gram + 1, 0, len(raw)
+    c = np.flatnonzero(h < U64(1 << 59))
+    fence = np.concatenate([[-1], c, [n]])
+    for a in np.flatnonzero(np.diff(fence) > width).tolist():
+        c = np.concatenate([c, np.arange(fence[a] + 1, fence[a + 1])])
+    c.sort()
+    v = h[c]
+    bounds = []
+    for way in (-1, 1):
+        stop = np.full(len(c), -width if way < 0 else n + width)
+        active, k = np.arange(len(c)), 0
+        while len(active):
+            k += 1
+            j = active + way * k
+            near = (j >= 0) & (j < len(c))
+            active, j = active[near], j[near]
+            near = np.abs(c[j] - c[active]) < width
+            active, j = active[near], j[near]
+            less = v[j] <= v[active] if way < 0 else v[j] < v[active]
+            stop[active[less]] = c[j[less]]
+            active = active[~less]
+        bounds.append(stop)
+    low = np.maximum(np.maximum(c - width + 1, bounds[0] + 1), 0)
+    high = np.minimum(np.minimum(c, bounds[1] - width), n - width)
+    own = low <= high
+    return c[own], low[own], (high - low + 1)[own]
+
+
+def regions(raw: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hash, first window, windows) of every region of texts that stand one after another, in order.
+
+    A region lies within one text; a text shorter than length has none.
+    """
+    width, total = length - gram + 1, len(raw)
+    ends = np.unique(offs[1:])
     parts = []
-    while at + length <= size:
-        end = min(size, at + SLICE + length - 1)
+    for at in range(0, total - length + 1, SLICE):
+        end = min(total, at + SLICE + length - 1)
         h = _gram_hashes(raw[at:end], gram)
-        least = _window_least(h, width)
-        cut = np.flatnonzero(np.diff(least, prepend=-1))
-        parts.append((h[least[cut]], cut + at, np.diff(np.append(cut, len(least))), least[cut] + at))
-        at += len(least)
+        # a gram that runs over the end of a text is no anchor
+        over = (ends[(ends > at) & (ends < end + gram)][:, None] - np.arange(1, gram)).ravel() - at
+        h[over[(over >= 0) & (over < len(h))]] = np.iinfo(np.uint64).max
+        place, first, count = _window_least(h, width)
+        parts.append((h[place], first + at, count, place + at))
     if not parts:
         none = np.zeros(0, np.int64)
         return np.zeros(0, U64), none, none
     h, start, count, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-    new = np.diff(place, prepend=-1) != 0  # a region that a slice cut in two is one
-    first = np.flatnonzero(new)
-    return h[first], start[first], np.add.reduceat(count, first)
+    new = np.flatnonzero(np.diff(place, prepend=-1))  # a region that a slice cut in two is one
+    h, start, count, place = h[new], start[new], np.add.reduceat(count, new), place[new]
+    text = np.searchsorted(offs, place, "right") - 1
+    low, high = np.maximum(start, offs[text]), np.minimum(start + count - 1, offs[text + 1] - length)
+    own = low <= high
+    return h[own], low[own], (high - low + 1)[own]
 
 
 def _rows(docs: DataFrame, length: int, full: bool) -> DataFrame:
     """a: anchors of all regions; if full also r (hash of the region's bytes), k, th, s (first window), n (bytes)."""
 
     def run(batches):
+        names = ["a", "r", "k", "th", "s", "n"]
+        types = [pa.int64(), pa.binary(), *[pa.int64()] * 4]
         for batch in batches:
-            raw, offs = buffers(batch.column("t"))
-            out = [[] for _ in range(6)]
-            ids, ths = np.asarray(batch.column("k")), np.asarray(batch.column("th"))
-            for i, (a, b) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)):
-                h, start, count = regions(raw[a:b], length)
+            at = 0
+            for part in portions(batch.column("t")):
+                raw, offs = buffers(part)
+                ids, ths = (np.asarray(batch.column(c).slice(at, len(part))) for c in ("k", "th"))
+                at += len(part)
+                h, start, count = regions(raw, offs, length)
                 if not len(h):
                     continue
-                out[0].append(h.view(np.int64))
+                cols = [h.view(np.int64)]
                 if full:
-                    size = count + length - 1
-                    text = raw[a:b].tobytes()
-                    out[1] += [xxhash.xxh3_128_digest(text[s : s + n]) for s, n in zip(start.tolist(), size.tolist(), strict=True)]
-                    out[2].append(np.full(len(h), ids[i]))
-                    out[3].append(np.full(len(h), ths[i]))
-                    out[4].append(start)
-                    out[5].append(size)
-            if not out[0]:
-                continue
-            cols = [np.concatenate(x) if c != 1 else x for c, x in enumerate(out) if full or c == 0]
-            names = ["a", "r", "k", "th", "s", "n"]
-            types = [pa.int64(), pa.binary(), *[pa.int64()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=False)], names[: len(cols)])
+                    text = np.searchsorted(offs, start, "right") - 1
+                    size, whole = count + length - 1, memoryview(raw)
+                    digests = [xxhash.xxh3_128_digest(whole[s : s + n]) for s, n in zip(start.tolist(), size.tolist(), strict=True)]
+                    cols += [digests, ids[text], ths[text], start - offs[text], size]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=False)], names[: len(cols)])
 
     return docs.mapInArrow(run, "a long, r binary, k long, th long, s long, n long" if full else "a long")
 
@@ -184,17 +203,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     total = wanted.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
 
-    @F.arrow_udf("array<binary>")
-    def bodies(text: pa.Array, spots: pa.Array) -> pa.Array:
-        out = []
-        for t, own in zip(text, spots, strict=True):
-            t = t.as_py()
-            out.append([t[x["s"] : x["s"] + x["n"]] for x in own.as_py()])
-        return pa.array(out, pa.list_(pa.binary()))
+    def pull(batches):
+        names, types = ["a", "r", "body"], [pa.int64(), pa.binary(), pa.binary()]
+        for batch in batches:
+            out, held = [[], [], []], 0
+            for t, own in zip(batch.column("t"), batch.column("spots"), strict=True):
+                t = t.as_py()
+                for x in own.as_py():
+                    body = t[x["s"] : x["s"] + x["n"]]
+                    held += len(body)
+                    for column, value in zip(out, (x["a"], x["r"], body), strict=True):
+                        column.append(value)
+                if held > PORTION:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, types, strict=True)], names)
+                    out, held = [[], [], []], 0
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, types, strict=True)], names)
 
     lists = wanted.groupBy("k", "th").agg(F.collect_list(F.struct("a", "r", "s", "n")).alias("spots"))
-    texts = slim.join(lists, ["k", "th"])
-    pulled = texts.select(F.explode(F.arrays_zip(F.col("spots"), bodies("t", F.col("spots")).alias("body"))).alias("z")).select(F.col("z.spots.a").alias("a"), F.col("z.spots.r").alias("r"), F.col("z.body").alias("body"))
+    pulled = slim.join(lists, ["k", "th"]).select("t", "spots").mapInArrow(pull, "a long, r binary, body binary")
     dealt = pulled.withColumn("shard", F.pmod(F.xxhash64("a"), F.lit(shards)).cast("int")).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "a", "r")
     sorted_ = materialise(_sorted_shards(dealt, length, held), "sorted")
     whole = kinds.where("times > 1").select("a", "r", F.array(F.lit(0), F.col("one.n").cast("int")).alias("spans"))
