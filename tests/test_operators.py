@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,25 @@ def test_graph_violations(spark):
     assert rows(history.graph_violations(e, cycles=False), "rule", "id") == [("foreign-predecessor", "5"), ("missing-predecessor", "4"), ("repeated-id", "1"), ("several-successors", "1")]
 
 
+def test_registered_violations_hold_the_cycles(spark, tmp_path):
+    from annalist.plans import histories
+
+    rng = random.Random(3)
+    orders = [(i, rng.randrange(1, 12), "O", "1") for i in range(1, 100)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    up = {k: c * 11 for k, c, _, _ in orders if c != k}
+    want = set()
+    for start in up:
+        at, seen = start, set()
+        while at in up and at not in seen:
+            seen.add(at)
+            at = up[at]
+        if at in seen:
+            want.add(str(start))
+    got = [r.id for r in histories.graph_violations(spark, str(tmp_path)).where("rule = 'cycle'").collect()]
+    assert want and sorted(got) == sorted(want)
+
+
 def test_dedup_rollup_and_kept_history(spark):
     c = spark.createDataFrame([("b", "2"), ("a", "1"), ("b", "1"), ("c", "1")], "id string, v string")
     known = spark.createDataFrame([("c",)], "id string")
