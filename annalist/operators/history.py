@@ -12,19 +12,19 @@ from ..functions import hashing
 from .scratch import cut
 
 
-def walked(events: DataFrame, most: int = 1 << 20) -> DataFrame:
+def walked(events: DataFrame) -> DataFrame:
     """Rows (id, previous_event_id, ...) with root (the id its chain starts with) and depth (0 at the root).
 
     An event whose predecessor is null or absent is a root. Pointer doubling:
     each round every row looks twice as far back, so a chain of n events takes
-    about log2(n) joins. A chain longer than `most`, as a cycle is, is an error.
+    about log2(n) joins. A chain longer than the number of events is a cycle, an error.
     """
     ids = events.select(F.col("id").alias("p")).distinct()
     linked = events.select("id", F.col("previous_event_id").alias("p")).join(ids.withColumn("known", F.lit(True)), "p", "left")
     step = cut(linked.select("id", F.when(F.col("known"), F.col("p")).alias("up"), F.when(F.col("known"), 1).otherwise(0).cast("long").alias("depth")).withColumn("root", F.coalesce("up", "id")))
-    reach = 1
+    n, reach = step.count(), 1
     while not step.where("up is not null").isEmpty():
-        if reach > most:
+        if reach >= 2 * n:
             raise ValueError("event chains have a cycle")
         far = step.select(F.col("id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("root").alias("r2"))
         step = cut(step.join(far, "up", "left").select("id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.coalesce("r2", "root").alias("root")))

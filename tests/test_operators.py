@@ -122,6 +122,15 @@ def test_long_chain_and_cycle(spark):
     assert rows(history.unrooted(loop), "id") == [("1",), ("2",)]
 
 
+def test_bound_of_a_walk_follows_the_events(spark, monkeypatch):
+    rounds, own = [], history.cut
+    monkeypatch.setattr(history, "cut", lambda df: rounds.append(1) or own(df))
+    loop = spark.createDataFrame([("1", "2"), ("2", "3"), ("3", "1"), ("4", None)], "id string, previous_event_id string")
+    with pytest.raises(ValueError, match="cycle"):
+        history.walked(loop).count()
+    assert len(rounds) <= 5
+
+
 def test_graph_violations(spark):
     e = spark.createDataFrame([("1", None, "c", "e"), ("2", "1", "c", "e"), ("3", "1", "c", "e"), ("4", "0", "c", "e"), ("5", "2", "d", "e"), ("1", None, "c", "e")], "id string, previous_event_id string, category string, entity string")
     assert rows(history.graph_violations(e, cycles=False), "rule", "id") == [("foreign-predecessor", "5"), ("missing-predecessor", "4"), ("repeated-id", "1"), ("several-successors", "1")]
