@@ -8,10 +8,18 @@ regions of an anchor go to one shard, whose suffixes are put in order by
 external induced sorting with common prefixes (induced_sort). Neighbours that
 share `length` bytes are repeats, and every text collects the bytes its
 repeated windows cover.
+
+An anchor with more bytes of regions than a share of a shard is split without
+loss: windows that are equal have the anchor at the same offset, so a region is
+cut in the windows of the lower and of the upper half of the offsets, and each
+half is grouped by the bytes all its windows share, more than the anchor. Halves
+are cut again until a group is small; a single window shares all its bytes.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,6 +33,8 @@ from .workspace import NULL_ID, materialise
 LENGTH, GRAM = 200, 32
 #: Bytes of regions that a shard aims at, and positions hashed at once.
 SHARD_BYTES, SLICE = 2 << 20, 1 << 18
+#: Part of a shard that the regions of one group may fill before the group is split.
+GROUP_SHARE = 8
 _BASE = 0x9E3779B97F4A7C15
 _ODD = np.random.default_rng(7).integers(1, 2**63, 32, dtype=np.uint64) | U64(1)
 
@@ -78,8 +88,8 @@ def _window_least(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np
     return c[own], low[own], (high - low + 1)[own]
 
 
-def regions(raw: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first window, windows) of every region of texts that stand one after another, in order.
+def regions(raw: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hash, first window, windows, anchor's place) of every region of texts that stand one after another, in order.
 
     A region lies within one text; a text shorter than length has none.
     """
@@ -96,29 +106,29 @@ def regions(raw: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int =
         parts.append((h[place], first + at, count, place + at))
     if not parts:
         none = np.zeros(0, np.int64)
-        return np.zeros(0, U64), none, none
+        return np.zeros(0, U64), none, none, none
     h, start, count, place = (np.concatenate(x) for x in zip(*parts, strict=True))
     new = np.flatnonzero(np.diff(place, prepend=-1))  # a region that a slice cut in two is one
     h, start, count, place = h[new], start[new], np.add.reduceat(count, new), place[new]
     text = np.searchsorted(offs, place, "right") - 1
     low, high = np.maximum(start, offs[text]), np.minimum(start + count - 1, offs[text + 1] - length)
     own = low <= high
-    return h[own], low[own], (high - low + 1)[own]
+    return h[own], low[own], (high - low + 1)[own], place[own]
 
 
 def _rows(docs: DataFrame, length: int, full: bool) -> DataFrame:
-    """a: anchors of all regions; if full also r (hash of the region's bytes), k, th, s (first window), n (bytes)."""
+    """a: anchors of all regions; if full also r (hash of the region's bytes), k, th, s (first window), n (bytes), p (place of the anchor in the region)."""
 
     def run(batches):
-        names = ["a", "r", "k", "th", "s", "n"]
-        types = [pa.int64(), pa.binary(), *[pa.int64()] * 4]
+        names = ["a", "r", "k", "th", "s", "n", "p"]
+        types = [pa.int64(), pa.binary(), *[pa.int64()] * 5]
         for batch in batches:
             at = 0
             for part in portions(batch.column("t")):
                 raw, offs = buffers(part)
                 ids, ths = (np.asarray(batch.column(c).slice(at, len(part))) for c in ("k", "th"))
                 at += len(part)
-                h, start, count = regions(raw, offs, length)
+                h, start, count, place = regions(raw, offs, length)
                 if not len(h):
                     continue
                 cols = [h.view(np.int64)]
@@ -126,10 +136,53 @@ def _rows(docs: DataFrame, length: int, full: bool) -> DataFrame:
                     text = np.searchsorted(offs, start, "right") - 1
                     size, whole = count + length - 1, memoryview(raw)
                     digests = [xxhash.xxh3_128_digest(whole[s : s + n]) for s, n in zip(start.tolist(), size.tolist(), strict=True)]
-                    cols += [digests, ids[text], ths[text], start - offs[text], size]
+                    cols += [digests, ids[text], ths[text], start - offs[text], size, place - start]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=False)], names[: len(cols)])
+                pa.default_memory_pool().release_unused()
+
+    return docs.mapInArrow(run, "a long, r binary, k long, th long, s long, n long, p long" if full else "a long")
+
 
-    return docs.mapInArrow(run, "a long, r binary, k long, th long, s long, n long" if full else "a long")
+def _halves(level: DataFrame, length: int) -> DataFrame:
+    """level (c, body, p, lo, hi): regions and their offsets lo to hi -> (c, at, g, d, body, p, lo, hi) of the two halves.
+
+    at is where a half's body begins in its region's, d the hash of the body and
+    g that of the bytes all windows of these offsets share.
+    """
+
+    def run(batches):
+        names = ["c", "at", "g", "d", "body", "p", "lo", "hi"]
+        types = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 3]
+        for batch in batches:
+            out = []
+            for c, body, p, lo, hi in zip(*(batch.column(x).to_pylist() for x in ("c", "body", "p", "lo", "hi")), strict=True):
+                mid = (lo + hi) // 2
+                for x, y in ((lo, mid), (mid + 1, hi)):
+                    first, last = max(0, p - y), min(len(body) - length, p - x)
+                    if first <= last:
+                        own = body[first : last + length]
+                        g = xxhash.xxh3_64_intdigest(body[p - x : p - y + length], seed=x * length + y)
+                        out.append((c, first, g - (1 << 63), xxhash.xxh3_128_digest(own), own, p - first, x, y))
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(list(zip(*out, strict=True)) or [[]] * 8, types, strict=True)], names)
+
+    return level.mapInArrow(run, "c binary, at long, g long, d binary, body binary, p long, lo long, hi long")
+
+
+def _split(level: DataFrame, length: int, limit: int) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame]]:
+    """(links (c, at, d), whole (r, spans), groups (a, r, body) to be sorted) of each level, until no group is over limit bytes."""
+    links, whole, groups = [], [], []
+    while True:
+        halves = materialise(_halves(level, length), "halves")
+        kinds = materialise(halves.groupBy("g", "d").agg(F.count("*").alias("times"), F.first(F.struct("body", "p", "lo", "hi")).alias("one")).select("g", "d", "times", "one.*"), "half_kinds")
+        several = materialise(kinds.groupBy("g").agg(F.count("*").alias("kinds"), F.sum(F.length("body")).alias("bytes"), F.max(F.col("hi") - F.col("lo")).alias("wide")).where("kinds > 1"), "half_groups")
+        large = several.where((F.col("bytes") > limit) & (F.col("wide") > 0)).select("g")
+        small = kinds.join(F.broadcast(large), "g", "left_anti").join(several.select("g"), "g")
+        links.append(halves.select("c", "at", "d"))
+        whole.append(kinds.where("times > 1").select(F.col("d").alias("r"), F.array(F.lit(0), F.length("body")).alias("spans")))
+        groups.append(small.select(F.col("g").alias("a"), F.col("d").alias("r"), "body"))
+        if large.isEmpty():
+            return links, whole, groups
+        level = kinds.join(F.broadcast(large), "g").select(F.col("d").alias("c"), "body", "p", "lo", "hi")
 
 
 def _sorted_shards(contents: DataFrame, length: int, held: int) -> DataFrame:
@@ -142,6 +195,7 @@ def _sorted_shards(contents: DataFrame, length: int, held: int) -> DataFrame:
                 if s != shard and own:
                     yield _repeats(own, length, held)
                     own = []
+                    pa.default_memory_pool().release_unused()
                 shard = s
                 own.append((a, r, body))
         if own:
@@ -158,8 +212,6 @@ def _repeats(own: list[tuple[int, bytes, bytes]], length: int, held: int) -> pa.
     text[: ends[-1]] = np.frombuffer(b"".join(x[2] + b"\0" for x in own), np.uint8)
     text[: ends[-1]] += 2
     text[ends - 1], text[-1] = 1, 0
-    region = np.repeat(np.arange(len(own)), sizes)
-    room = ends[region] - 1 - np.arange(ends[-1])  # bytes from a position to its region's end
     hit = np.zeros(len(text), bool)
     previous = None
     for pos, lcp in sorted_blocks(text, 258, length, held):
@@ -169,14 +221,16 @@ def _repeats(own: list[tuple[int, bytes, bytes]], length: int, held: int) -> pa.
         hit[pos[again]] = True
         hit[pos[:-1][again[1:]]] = True
         previous = pos[-1]
-    at = np.flatnonzero(hit[:-1] & (room >= length))
+    at = np.flatnonzero(hit[:-1])
+    region = np.searchsorted(ends, at, "right")
+    inside = ends[region] - 1 - at >= length  # bytes from a position to its region's end
+    at, region = at[inside], region[inside]
     base = ends - sizes
     spans: list[list[int]] = [[] for _ in own]
     if len(at):
-        which = region[at]
-        new = np.flatnonzero(np.concatenate([[True], (which[1:] != which[:-1]) | (at[1:] - at[:-1] > length)]))
+        new = np.flatnonzero(np.concatenate([[True], (region[1:] != region[:-1]) | (at[1:] - at[:-1] > length)]))
         last = np.append(new[1:] - 1, len(at) - 1)
-        for w, a, b in zip(which[new].tolist(), at[new].tolist(), at[last].tolist(), strict=True):
+        for w, a, b in zip(region[new].tolist(), at[new].tolist(), at[last].tolist(), strict=True):
             spans[w] += [int(a - base[w]), int(b - base[w] + length)]
     keep = [i for i, s in enumerate(spans) if s]
     return pa.RecordBatch.from_arrays([pa.array([own[i][0] for i in keep], pa.int64()), pa.array([own[i][1] for i in keep], pa.binary()), pa.array([spans[i] for i in keep], pa.list_(pa.int32()))], ["a", "r", "spans"])
@@ -197,36 +251,51 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     repeated = _rows(slim, length, False).groupBy("a").count().where("count > 1").select("a")
     found = materialise(_rows(slim, length, True).join(repeated, "a"), "regions")
     # regions with equal bytes: all of each is repeated when there are two
-    kinds = materialise(found.groupBy("a", "r").agg(F.count("*").alias("times"), F.min(F.struct("k", "th", "s", "n")).alias("one")), "kinds")
-    several = kinds.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds > 1").select("a")
-    wanted = materialise(kinds.join(several, "a").select("a", "r", "one.*"), "wanted")
-    total = wanted.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    kinds = materialise(found.groupBy("a", "r").agg(F.count("*").alias("times"), F.min(F.struct("k", "th", "s", "n", "p")).alias("one")), "kinds")
+    limit = max(1, shard_bytes // GROUP_SHARE)
+    several = materialise(kinds.groupBy("a").agg(F.count("*").alias("kinds"), F.sum("one.n").alias("bytes")).where("kinds > 1"), "several")
+    large = several.where(F.col("bytes") > limit).select("a")
+    small = kinds.join(F.broadcast(large), "a", "left_anti").join(several.select("a"), "a")
+    wanted = materialise(small.select("a", "r", "one.*"), "wanted")
 
     def pull(batches):
-        names, types = ["a", "r", "body"], [pa.int64(), pa.binary(), pa.binary()]
+        names, types = ["a", "r", "body", "p"], [pa.int64(), pa.binary(), pa.binary(), pa.int64()]
         for batch in batches:
-            out, held = [[], [], []], 0
+            out, held = [[], [], [], []], 0
             for t, own in zip(batch.column("t"), batch.column("spots"), strict=True):
                 t = t.as_py()
                 for x in own.as_py():
                     body = t[x["s"] : x["s"] + x["n"]]
                     held += len(body)
-                    for column, value in zip(out, (x["a"], x["r"], body), strict=True):
+                    for column, value in zip(out, (x["a"], x["r"], body, x["p"]), strict=True):
                         column.append(value)
-                if held > PORTION:
+                if held > PORTION >> 2:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, types, strict=True)], names)
-                    out, held = [[], [], []], 0
+                    out, held = [[], [], [], []], 0
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, types, strict=True)], names)
 
-    lists = wanted.groupBy("k", "th").agg(F.collect_list(F.struct("a", "r", "s", "n")).alias("spots"))
-    pulled = slim.join(lists, ["k", "th"]).select("t", "spots").mapInArrow(pull, "a long, r binary, body binary")
+    def bodies(rows: DataFrame) -> DataFrame:
+        lists = rows.groupBy("k", "th").agg(F.collect_list(F.struct("a", "r", "s", "n", "p")).alias("spots"))
+        return slim.join(lists, ["k", "th"]).select("t", "spots").mapInArrow(pull, "a long, r binary, body binary, p long")
+
+    pulled, total = bodies(wanted).select("a", "r", "body"), wanted.agg(F.sum("n")).first()[0] or 0
+    links, halved = [], []
+    if not large.isEmpty():
+        hot = materialise(kinds.join(F.broadcast(large), "a").select("a", "r", "one.*"), "hot")
+        links, halved, groups = _split(bodies(hot).select(F.col("r").alias("c"), "body", "p", F.lit(0).cast("long").alias("lo"), F.lit(length - GRAM).cast("long").alias("hi")), length, limit)
+        rest = materialise(reduce(DataFrame.unionByName, groups), "groups")
+        pulled, total = pulled.unionByName(rest), total + (rest.agg(F.sum(F.length("body"))).first()[0] or 0)
+    shards = max(1, -(-total // shard_bytes))
     dealt = pulled.withColumn("shard", F.pmod(F.xxhash64("a"), F.lit(shards)).cast("int")).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "a", "r")
     sorted_ = materialise(_sorted_shards(dealt, length, held), "sorted")
-    whole = kinds.where("times > 1").select("a", "r", F.array(F.lit(0), F.col("one.n").cast("int")).alias("spans"))
-    partial = sorted_.join(kinds.where("times > 1").select("a", "r"), ["a", "r"], "left_anti")
-    marks = materialise(whole.unionByName(partial), "marks")
-    covered = found.select("a", "r", "k", "th", "s").join(marks, ["a", "r"]).groupBy("k", "th").agg(F.collect_list(F.struct("s", "spans")).alias("__m")).select(F.col("k").alias("__k"), F.col("th").alias("__h"), "__m")
+    # what is repeated in a half is repeated in the region it was cut from
+    partial = reduce(DataFrame.unionByName, [sorted_.select("r", "spans"), *halved])
+    for own in reversed(links):
+        moved = own.join(partial, own.d == partial.r).select(F.col("c").alias("r"), F.transform("spans", lambda x: (x + F.col("at")).cast("int")).alias("spans"))
+        partial = materialise(partial.unionByName(moved).groupBy("r").agg(F.flatten(F.collect_set("spans")).alias("spans")), "partial")
+    whole = kinds.where("times > 1").select("r", F.array(F.lit(0), F.col("one.n").cast("int")).alias("spans"))
+    marks = materialise(whole.unionByName(partial.join(whole.select("r"), "r", "left_anti")), "marks")
+    covered = found.select("r", "k", "th", "s").join(marks, "r").groupBy("k", "th").agg(F.collect_list(F.struct("s", "spans")).alias("__m")).select(F.col("k").alias("__k"), F.col("th").alias("__h"), "__m")
 
     @F.arrow_udf("struct<spans: array<long>, removed: long, kept: binary>")
     def cut(text: pa.Array, marks: pa.Array) -> pa.Array:

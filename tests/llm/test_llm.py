@@ -196,6 +196,28 @@ def test_repeats_are_removed_as_by_force(spark, monkeypatch):
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_a_hot_anchor_is_split_without_loss(spark, monkeypatch):
+    rng = random.Random(8)
+    line = prose(rng, 80)[:230]
+    # lines of 60 to 230 bytes that all documents share, with surroundings of their own; some share more than 200 bytes
+    texts = [prose(rng, 60, 5000) + line[: rng.choice([60, 130, 190, 199, 200, 201, 230])] + prose(rng, 60, 5000) for _ in range(120)]
+    sizes, own = Counter(), suffix_dedup._repeats
+
+    # Python workers get their own copy of the module, so shards are sorted here
+    def here(contents, length, held):
+        by = {}
+        for x in contents.collect():
+            by.setdefault(x.shard, []).append((x.a, bytes(x.r), bytes(x.body)))
+            sizes[x.a] += len(x.body)
+        out = [(x["a"], x["r"], x["spans"]) for shard in by.values() for x in own(sorted(shard), length, held).to_pylist()]
+        return spark.createDataFrame(out, "a long, r binary, spans array<int>")
+
+    monkeypatch.setattr(suffix_dedup, "_sorted_shards", here)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(table(spark, texts), shard_bytes=16000).collect()}
+    assert [got[i] for i in range(len(texts))] == removed_by_force(texts, 200)
+    assert max(sizes.values(), default=0) <= 16000 // 8
+
+
 # 4
 
 
