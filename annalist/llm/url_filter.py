@@ -17,7 +17,7 @@ from .workspace import materialise
 #: (verdict, host, path): a rule fits its host and all subdomains where the path starts with the rule's.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 SUPPORT, CONFIDENCE, DEFAULT = 0.005, 0.8, "allow"
-#: Most labelled transactions mined, and most tokens of one URL.
+#: Most labelled transactions mined, and most tokens of one of them; matching takes all tokens.
 SAMPLE_ROWS, TOKENS = 200_000, 24
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,19 +43,16 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def tokens_of(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens of a URL: host suffixes, first label, path words (digits as #), file type, query keys, scheme; TOKENS at most.
-
-    Of a URL with more, the tokens nearest the root of the host and path count.
-    """
+    """Distinct tokens of a URL: all host suffixes, first label, path words (digits as #), file type, query keys, scheme."""
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
     n = F.size(labels)
-    suffixes = F.transform(F.sequence(F.lit(1), F.least(F.greatest(n, F.lit(1)), F.lit(4))), lambda k: F.concat(F.lit("host:"), F.array_join(F.slice(labels, F.greatest(n - k + 1, F.lit(1)), k), ".")))
+    suffixes = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.concat(F.lit("host:"), F.array_join(F.slice(labels, F.greatest(n - k + 1, F.lit(1)), k), ".")))
     words = F.transform(F.filter(F.split(F.translate(path, UPPER, LOWER), r"[/._-]+"), lambda x: x != ""), lambda x: F.concat(F.lit("path:"), F.regexp_replace(x, r"[0-9]+", "#")))
     place = F.transform(F.slice(F.filter(F.split(F.translate(path, UPPER, LOWER), "/"), lambda x: x != ""), 1, 1), lambda x: F.concat(F.lit("top:"), F.regexp_replace(x, r"[0-9]+", "#")))
     keys = F.transform(F.regexp_extract_all(F.coalesce(url, F.lit("")), F.lit(r"[?&]([^=&#]+)="), 1), lambda x: F.concat(F.lit("query:"), x))
     first = F.when(n > 2, F.array(F.concat(F.lit("label:"), F.element_at(labels, 1)))).otherwise(F.array().cast("array<string>"))
     scheme = F.array(F.concat(F.lit("scheme:"), F.translate(F.regexp_extract(F.coalesce(url, F.lit("")), r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1), UPPER, LOWER)))
-    return F.slice(F.array_distinct(F.concat(suffixes, place, first, words, keys, scheme)), 1, TOKENS)
+    return F.array_distinct(F.concat(suffixes, place, first, words, keys, scheme))
 
 
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -63,12 +60,20 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
 
     A rule is a frequent token combination with one verdict, of at least this
     support and confidence, that no shorter combination within it already gives
-    with as much confidence. seed is its rarest token.
+    with as much confidence. seed is its rarest token. Tokens that are too rare
+    for a rule are left out of long transactions, which changes no rule; of one
+    that still has more than TOKENS, those nearest the root of host and path are mined.
     """
     n = labelled.count()
     rate = min(1.0, rows / max(1, n))
     sample = labelled.where(F.pmod(F.xxhash64("id", F.lit("url")), F.lit(1 << 20)) < int(rate * (1 << 20)))
-    baskets = materialise(sample.select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), F.col("verdict")))).alias("items")), "baskets")
+    drawn = materialise(sample.select("tokens", "verdict"), "drawn")
+    if not drawn.where(F.size("tokens") > TOKENS).isEmpty():
+        least = support * drawn.count()
+        common = drawn.select(F.explode("tokens").alias("token")).groupBy("token").count().where(F.col("count") >= least).agg(F.collect_list("token").alias("common"))
+        mined = F.when(F.size("tokens") > TOKENS, F.slice(F.array_intersect("tokens", "common"), 1, TOKENS)).otherwise(F.col("tokens"))
+        drawn = drawn.crossJoin(F.broadcast(common)).select(mined.alias("tokens"), "verdict")
+    baskets = materialise(drawn.select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), F.col("verdict")))).alias("items")), "baskets")
     partitions = max(1, int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     frequent = materialise(FPGrowth(itemsCol="items", minSupport=support, numPartitions=partitions).fit(baskets).freqItemsets, "itemsets")
     total = baskets.count()

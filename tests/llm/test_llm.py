@@ -261,6 +261,18 @@ def test_mined_rules_match_by_force(spark):
         assert verdicts[r.page_id].reason == "default" or verdicts[r.page_id].score >= min(best, 0.9) - 1e-9
 
 
+def test_late_tokens_of_long_urls_count(spark):
+    rng = random.Random(9)
+    slug = lambda: "-".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(40))
+    urls = [f"https://a{i % 7}.net/es/{slug()}?spam={i}" if i % 2 else f"https://b{i % 7}.com/{slug()}?page={i}" for i in range(80)]
+    urls += [f"https://x.org/{slug()}?spam=1", f"https://x.org/{slug()}?page=1", f"https://x.org/{slug()}"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.reason) for r in url_filter.judge(pages, support=0.2).collect()}
+    assert [got[i] for i in (80, 81, 82)] == [("block", "mined"), ("allow", "mined"), ("allow", "default")]
+    deep = spark.createDataFrame([("https://a.b.c.d.e.org/",)], "url string").select(url_filter.tokens_of(F.col("url"), F.lit("a.b.c.d.e.org"), F.lit("/"))).first()[0]
+    assert "host:a.b.c.d.e.org" in deep
+
+
 # 5
 
 
