@@ -339,6 +339,47 @@ def test_openapi_claims(spark):
     assert rows(openapi.api_facts(pages, ["endpoint", "gone"], old), "claim", "status", "value", "last_known") == [("endpoint", "verified", '"POST /v1/run"', None), ("gone", "unknown", None, '"x"')]
 
 
+PROSE = """# API
+## Evaluation endpoint
+```http
+POST https://api.example.com/v1/run
+```
+## Request body
+<ParamField body="model" type="string" default="m-1">Which.</ParamField>
+<ParamField body="steps" type="array" required>
+<Expandable title="step"><ParamField body="inner" type="string" required>In it.</ParamField></Expandable>
+</ParamField>
+## Question types
+<ParamField body="type" type='"choice"' />
+## Response body
+Answers by id.
+"""
+
+
+def test_prose_claims_come_first_and_need_their_passages(spark):
+    text = PROSE.replace("type='\"choice\"'", 'type="&quot;choice&quot;"')
+    digest = hashlib.sha256(b"Answers by id.").hexdigest()
+    names = ["endpoint", "request_fields", "required_fields", "model_required", "model_default", "question_types", "response_shape"]
+    shape = "source_id string, text string, sha256 string"
+    old = spark.createDataFrame([("endpoint", "verified", '"x"')], "claim string, status string, value string")
+
+    def facts(*pages, passages=("Answers by id.",)):
+        return {r.claim: r for r in openapi.api_facts(spark.createDataFrame(list(pages), shape), names, old, "prose", (digest, "by id", list(passages))).collect()}
+
+    got = facts(("prose", text, "h"), ("spec", OPENAPI, "g"))
+    assert {k: got[k].value and json.loads(got[k].value) for k in names} == {"endpoint": "POST https://api.example.com/v1/run", "request_fields": ["model", "steps"], "required_fields": ["steps"], "model_required": False, "model_default": "m-1", "question_types": ["choice"], "response_shape": "by id"}
+    assert {(r.status, r.source_id) for r in got.values()} == {("verified", "prose")}
+    assert facts(("prose", text, "h"), passages=("Not there.",))["response_shape"].status == "unknown"
+    assert facts(("prose", text.replace("by id.", "by name."), "h"))["response_shape"].status == "unknown"
+    twice = facts(("prose", text.replace("## Request body", "## Request body\n<ParamField body=\"model\" required>"), "h"))
+    assert [twice[k].status for k in ("request_fields", "required_fields", "model_required")] == ["verified", "unknown", "unknown"]
+    assert facts(("prose", "", "h"), ("spec", OPENAPI, "g"))["endpoint"].source_id == "spec"
+    lost = facts(("prose", "nothing", "h"), ("spec", OPENAPI, "g"))["endpoint"]
+    assert (lost.status, lost.last_known) == ("unknown", '"x"')
+    long = OPENAPI.replace("/v1/run", "/v1/" + "r" * 240)
+    assert facts(("spec", long, "g"))["endpoint"].status == "unknown"
+
+
 def test_http_retries_and_guards():
     calls, waits = [], []
 
