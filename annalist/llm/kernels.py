@@ -8,15 +8,14 @@ cut at whitespace, so memory does not grow with the length of a text.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
-BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 2**64)
 SLICE = 1 << 20
+#: Longest word that is hashed together with the others, in bytes; longer ones are hashed one by one.
+SHORT_WORD = 64
 #: Bytes of text whose words are held at once; a longer text is held alone.
 PORTION = 4 << 20
 
@@ -26,8 +25,8 @@ SPACES = bytes(np.flatnonzero(IS_SPACE).astype(np.uint8))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 LOWER_BYTES = LOWER.tobytes()
-#: One fixed pseudo-random word per byte value, after A-Z are lower-cased.
-BYTE_WORDS = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)[LOWER]
+#: Which bytes of an eight-byte load belong to a word that ends after 0 to 8 of them.
+TAILS = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,11 +56,22 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(size + 1, BASE, U64), np.full(size + 1, BASE_INVERSE, U64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+def word_hashes(lower: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each word: eight bytes at a time go through a mixing permutation, long words through xxh3."""
+    size = end - start
+    padded = np.frombuffer(lower + bytes(8), np.uint8)
+    eights = np.ndarray((len(lower) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each position on
+    acc = mix((size.astype(U64) + U64(1)) * U64(0x9E3779B97F4A7C15))
+    active = np.flatnonzero(size <= SHORT_WORD)
+    for at in range(0, SHORT_WORD, 8):
+        active = active[size[active] > at]
+        if not len(active):
+            break
+        own = eights[start[active] + at] & TAILS[np.minimum(size[active] - at, 8)]
+        acc[active] = mix(acc[active] * U64(0x2545F4914F6CDD1D) ^ own)
+    for i in np.flatnonzero(size > SHORT_WORD).tolist():
+        acc[i] = xxhash.xxh3_64_intdigest(memoryview(lower)[start[i] : end[i]])
+    return acc
 
 
 def _slices(raw: np.ndarray, offs: np.ndarray):
@@ -97,11 +107,7 @@ def words(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
         before[edges] = False
         after[edges - 1] = False
         start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-        up, down = _powers(max(SLICE, len(piece)))
-        sums = np.zeros(len(piece) + 1, U64)
-        np.cumsum(BYTE_WORDS[piece] * up[: len(piece)], out=sums[1:])
-        h = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64))
-        parts.append((h, start + a, end + a))
+        parts.append((word_hashes(piece.tobytes().translate(LOWER_BYTES), start, end), start + a, end + a))
     if not parts:
         none = np.zeros(0, np.int64)
         return np.zeros(0, U64), none, none, none

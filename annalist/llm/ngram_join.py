@@ -4,60 +4,68 @@
    are one class.
 2. Shingles are put in one global order, the common ones last, and a class is
    indexed by the prefix of its set that any partner must share.
-3. Classes with identical prefix and size form one group; groups that meet
-   under a prefix shingle are compared by size, position and, when expanded to
-   their members, by a parity bitmap that bounds the overlap from above.
-4. Surviving pairs are verified on their whole texts.
-
-Classes that are already connected need no further pair between them, so each
-meeting emits a spanning forest, closest pairs first. Where a pair of a forest
-turns out not to link, a second pass emits every remaining candidate between
-different components of its cluster, which makes the components exact. A shingle shared by many groups
-is split into blocks and each pair of blocks is a task's unit of work.
+3. Classes with identical prefix and size form one group (in parts of bounded
+   size). Groups that meet under a prefix shingle are compared by size and
+   position and, expanded to their members, by a parity signature of fixed
+   width that bounds the overlap from above.
+4. Surviving pairs are verified on the words of their whole texts.
+
+Classes that are already connected need no further pair between them. First
+the groups of each shingle meet within blocks of bounded size, and each block
+emits a spanning forest, closest pairs first. What may still be missing - where
+a pair of a forest did not link, or a shingle has several blocks - is gone
+through again in rounds: only classes of clusters that are not settled, only
+pairs across components, for each class its closest candidates and then more,
+until no candidate is left out. Rounds compare blocks cell by cell, leaving out
+cells within one component or with sizes too far apart.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+import math
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType
 
 from .components import components
-from .kernels import mix, shingle_sets
+from .kernels import LOWER_BYTES, mix, shingle_sets
 from .workspace import materialise
 
 #: Shingles that are put last in the global order: at most so many, each seen so often.
 COMMON_SHINGLES, COMMON_COUNT = 1 << 17, 8
 #: Shingle hashes held at once while a task looks for common ones.
 HELD = 2_000_000
-#: Least bits of a parity bitmap; a larger set has the least power of two that is not below its size.
-BITMAP_BITS = 512
-#: Most groups in one block of a shingle's list, and members in one group.
-BLOCK, GROUP = 1024, 256
+#: Bits of the signatures that groups meet with; pairs of later rounds are compared by bitmaps as wide as their sets too.
+BITS = 512
+#: Most groups in one block of a shingle's list, and members in one part of a group.
+BLOCK, GROUP = 256, 16
+#: Prefixes that one task sees of a common shingle, about; more are dealt to several.
+DEAL = 1 << 13
+#: Candidates of each class that the rounds take, last all.
+CLOSEST = (8, 256, None)
 #: Most ids that are broadcast to pick texts (8 bytes each); more are joined by shuffle.
 SENT = 1_000_000
-
-
-def width(n: int) -> int:
-    """Bits of the bitmap of a set of n shingles."""
-    return max(BITMAP_BITS, 1 << max(0, int(n) - 1).bit_length())
+#: Members whose signatures a task compares at once.
+ROWS = 1 << 13
 
 
 def bitmap(own: np.ndarray) -> bytes:
-    """Parity of the number of shingles that fall on each bit; halves of a bitmap XORed are the bitmap of half the width."""
-    bits = width(len(own))
+    """Parity of the number of shingles that fall on each bit: BITS, or the least power of two that is not below the set's size.
+
+    Halves of a bitmap XORed are the bitmap of half the width.
+    """
+    bits = max(BITS, 1 << max(0, len(own) - 1).bit_length())
     parity = np.bincount((mix(own) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(parity.astype(np.uint8)).tobytes()
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
 
 
-@lru_cache(maxsize=64)
-def member(bits: int) -> np.dtype:
-    return np.dtype([("id", "<i8"), ("comp", "<i8"), ("bits", "<u8", (bits // 64,))])
+def folded(bits: bytes, width: int = BITS) -> np.ndarray:
+    """A bitmap brought down to width bits."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, "<u8").reshape(-1, width // 64), axis=0)
 
 
 def _text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -98,150 +106,266 @@ def common_shingles(docs: DataFrame, n: int, text_col: str = "text") -> tuple[np
 
 
 def _records(docs: DataFrame, n: int, percent: int, common: tuple[np.ndarray, np.ndarray], id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n (set size), set_key, prefix (hashes in order, 8 bytes each), bits."""
+    """row (a number of its own), doc_id, n (set size), set_key, prefix_key, prefix (hashes in order), sig, wide (null: as sig)."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
+    names = ["row", "doc_id", "n", "set_key", "prefix_key", "prefix", "sig", "wide"]
 
     def read(batches):
         values, counts = shared.value
+        task = TaskContext.get()
+        row = (task.partitionId() if task else 0) << 36
         for batch in batches:
-            sizes, keys, prefixes, bits = [], [], [], []
-            for own in shingle_sets(batch.column(1), n):
-                sizes.append(len(own))
-                keys.append(xxhash.xxh3_128_digest(own.tobytes()))
-                if not len(own):
-                    prefixes.append(b"")
-                    bits.append(b"")
-                    continue
+            at = 0
+            out: list[list] = [[] for _ in names[2:]]
+            held = 0
+            for k, own in enumerate(shingle_sets(batch.column(1), n)):
+                bits = bitmap(own)
                 weight = np.zeros(len(own), np.int64)
-                if len(values):
-                    at = np.minimum(np.searchsorted(values, own), len(values) - 1)
-                    weight = np.where(values[at] == own, counts[at], 0)
-                first = np.argsort(weight, kind="stable")[: len(own) + (-percent * len(own) // 100) + 1]
-                prefixes.append(own[first].tobytes())
-                bits.append(bitmap(own))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "n", "set_key", "prefix", "bits"])
+                if len(values) and len(own):
+                    near = np.minimum(np.searchsorted(values, own), len(values) - 1)
+                    weight = np.where(values[near] == own, counts[near], 0)
+                first = own[np.argsort(weight, kind="stable")[: len(own) + (-percent * len(own) // 100) + 1]]
+                record = (len(own), xxhash.xxh3_128_digest(own.tobytes()), xxhash.xxh3_128_digest(first.tobytes()), first.view(np.int64), folded(bits).tobytes(), bits if 8 * len(bits) > BITS else None)
+                for column, value in zip(out, record, strict=True):
+                    column.append(value)
+                held += 8 * len(first) + len(bits)
+                if held > ROWS << 8 or k + 1 == batch.num_rows:
+                    ends = np.cumsum([0, *map(len, out[3])]).astype(np.int32)
+                    prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out[3])))
+                    rows = pa.array(np.arange(row + at, row + k + 1))
+                    cols = [rows, batch.column(0).slice(at, k + 1 - at), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()), prefix, pa.array(out[4], pa.binary()), pa.array(out[5], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(cols, names)
+                    at, held, out = k + 1, 0, [[] for _ in names[2:]]
+            row += batch.num_rows
+
+    return _text(docs, id_col, text_col).mapInArrow(read, "row long, doc_id long, n long, set_key binary, prefix_key binary, prefix array<long>, sig binary, wide binary")
 
-    return _text(docs, id_col, text_col).mapInArrow(read, "doc_id long, n long, set_key binary, prefix binary, bits binary")
 
+def _groups(classes: DataFrame) -> DataFrame:
+    """classes (class_id, comp, n, prefix_key, sig, row) -> parts of groups of equal size and prefix.
 
-@F.arrow_udf(ArrayType(LongType()))
-def _tokens(prefix: pa.Array) -> pa.Array:
-    return pa.array([np.frombuffer(p, np.int64) for p in prefix.to_pylist()], pa.list_(pa.int64()))
+    (gid, n, group, parts, low, high, members): gid is the row of a record that
+    has the prefix, low and high the least and greatest component, members
+    (id, comp, sig) at most about GROUP.
+    """
+    large = classes.groupBy("n", "prefix_key").count().where(F.col("count") > GROUP)
+    parts = F.coalesce(F.ceil(F.col("count") / GROUP), F.lit(1)).cast("int")
+    dealt = classes.join(large, ["n", "prefix_key"], "left").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("parts")))
+    own = F.struct(F.col("class_id").alias("id"), "comp", "sig")
+    found = dealt.groupBy("n", "prefix_key", "part").agg(F.min("row").alias("gid"), F.first("parts").alias("parts"), F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.collect_list(own).alias("members"))
+    return found.select("gid", "n", F.xxhash64("n", "prefix_key").alias("group"), "parts", "size", "low", "high", "members")
 
 
-@F.arrow_udf(BinaryType())
-def _member(i: pa.Array, comp: pa.Array, bits: pa.Array) -> pa.Array:
-    heads = np.stack([np.asarray(i), np.asarray(comp)], axis=1).astype("<i8")
-    return pa.array([h.tobytes() + b for h, b in zip(heads, bits.to_pylist(), strict=True)], pa.binary())
+def _spread(groups: DataFrame, records: DataFrame) -> DataFrame:
+    """(token, gid, n, pos, low, high, inner): every prefix shingle of every group; the members of a group of several meet under one token more (inner)."""
+    slim = groups.select("gid", "n", "low", "high")
+    shingles = records.select(F.col("row").alias("gid"), "prefix").join(slim, "gid").select(F.posexplode("prefix").alias("pos", "token"), "gid", "n", "low", "high")
+    own = groups.where("size > 1 or parts > 1").select(F.col("group").alias("token"), "gid", "n", F.lit(0).alias("pos"), "low", "high", F.lit(True).alias("inner"))
+    return shingles.select("token", "gid", "n", "pos", "low", "high", F.lit(False).alias("inner")).unionByName(own)
 
 
+def _meet(cells: DataFrame, groups: DataFrame, percent: int, closest: int | None, forest: bool) -> DataFrame:
+    """cells (token, cell, side, gid, n, pos) -> distinct candidate pairs (a, b) of classes in different components.
 
-def _groups(classes: DataFrame) -> DataFrame:
-    """classes (class_id, comp, n, prefix, bits) -> groups (gid, n, prefix, size, members) of equal prefix and size."""
-    key = F.xxhash64("n", "prefix")
-    large = classes.groupBy(key.alias("g")).count().where(F.col("count") > GROUP)
-    dealt = classes.withColumn("g", key).join(large, "g", "left").withColumn("part", F.pmod(F.xxhash64("class_id"), F.ceil(F.coalesce("count", F.lit(1)) / GROUP)))
-    # members travel as hex, for only strings can be joined
-    return dealt.groupBy("n", "prefix", "part").agg(F.min("class_id").alias("gid"), F.count("*").alias("size"), F.array_join(F.collect_list(F.hex(_member("class_id", "comp", "bits"))), "").alias("members"))
-
-
-def _entries(groups: DataFrame) -> DataFrame:
-    """One row for each group and prefix shingle under which it meets another group, or has several members."""
-    spread = groups.select("gid", "size", F.posexplode(_tokens("prefix")).alias("pos", "token"))
-    lists = spread.groupBy("token").agg(F.count("*").alias("len"), F.max("size").alias("most")).where("len > 1 or most > 1").select("token", "len")
-    return spread.select("token", "gid", "pos").join(lists, "token").join(groups.select("gid", "n", "members"), "gid")
-
-
-def _meetings(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """(a, b): candidate pairs of classes in different components; of each meeting all of them, or a spanning forest."""
-    blocks = F.ceil(F.col("len") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("gid"), blocks).cast("int")
-    cells = (
-        _entries(groups)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "pos", F.unhex("members").alias("m"))
-    )
-
-    def meet(batches):
+    Of a cell with sides (0 and 1; -1: none) only pairs across them. forest: of each
+    cell a spanning forest, closest pairs first. Otherwise each class's closest
+    candidates in the cell (None: all); where some are left out, there is a pair of nulls.
+    """
+
+    def run(batches):
         held = None
         for batch in batches:
             held = batch if held is None else pa.concat_batches([held, batch])
-            key = np.stack([np.asarray(held.column(c)).astype(np.int64) for c in ("token", "i", "j")])
+            key = np.stack([np.asarray(held.column(c)) for c in ("token", "cell")])
             cut = np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1
-            if not len(cut):
-                continue
-            yield from found(held.slice(0, cut[-1]), [0, *cut.tolist()])
-            held = held.slice(cut[-1])
-        if held is not None:
-            yield from found(held, [0, len(held)])
-
-    def found(rows, bounds):
-        n, pos, own = (np.asarray(rows.column(c)).astype(np.int64) for c in ("n", "pos", "own"))
-        seen, split = set(), np.asarray(rows.column("i")) != np.asarray(rows.column("j"))
-        data = rows.column("m").to_pylist()
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            seen.update(_compare(data[a:b], n[a:b], pos[a:b], own[a:b] if split[a] else None, percent, forest))
-        if seen:
-            x, y = zip(*sorted(seen), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
-
-    dealt = cells.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return dealt.mapInArrow(meet, "a long, b long").distinct()
-
-
-def _compare(data: list[bytes], n: np.ndarray, pos: np.ndarray, side: np.ndarray | None, percent: int, forest: bool) -> list[tuple[int, int]]:
-    """Candidate pairs within one cell; with side, only pairs across its two blocks."""
-    widths = np.array([width(x) for x in n.tolist()])
-    counts = np.array([len(d) // (16 + w // 8) for d, w in zip(data, widths.tolist(), strict=True)])
-    if counts.sum() < 2:
-        return []
-    order = np.argsort(n, kind="stable")
-    sets: dict[int, np.ndarray] = {w: np.frombuffer(b"".join(data[k] for k in order.tolist() if widths[k] == w), member(w)) for w in np.unique(widths).tolist()}
-    rows = np.repeat(order, counts[order])  # widths rise with n, so members of one width stand together
-    n, pos, widths = n[rows], pos[rows], widths[rows]
-    side = side[rows] if side is not None else None
-    ids, comp = (np.concatenate([sets[w][c] for w in sorted(sets)]) for c in ("id", "comp"))
-    out = []
-    for w in sorted(sets):
-        # partners of a set have its width or twice as many bits
-        first, last = np.searchsorted(widths, [w, 2 * w + 1])
-        bits = np.ascontiguousarray(sets[w]["bits"])
-        if 2 * w in sets:
-            wide = sets[2 * w]["bits"]
-            bits = np.concatenate([bits, wide[:, : w // 64] ^ wide[:, w // 64 :]])
-        for i in range(first, first + len(sets[w])):
-            j = np.arange(i + 1, min(last, np.searchsorted(n, n[i] * 100 // percent, "right")))
-            ok = comp[j] != comp[i]
-            if side is not None:
-                ok &= side[j] != side[i]
-            need = -(-percent * (n[i] + n[j]) // (100 + percent))
-            ok &= np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
-            j, need = j[ok], need[ok]
-            if len(j):
-                apart = np.bitwise_count(bits[j - first] ^ bits[i - first]).sum(axis=1).astype(np.int64)
-                ok = apart <= n[i] + n[j] - 2 * need
-                if ok.any():
-                    out.append((np.full(ok.sum(), i), j[ok], apart[ok] / n[j[ok]]))
+            if len(cut):
+                yield from _found(held.slice(0, cut[-1]), percent, closest, forest)
+                held = held.slice(cut[-1])
+        if held is not None and held.num_rows:
+            yield from _found(held, percent, closest, forest)
+
+    filled = cells.join(groups.select("gid", "members"), "gid").select("token", "cell", "side", "n", "pos", "members")
+    return filled.repartition("token", "cell").sortWithinPartitions("token", "cell").mapInArrow(run, "a long, b long").distinct()
+
+
+def _found(rows: pa.RecordBatch, percent: int, closest: int | None, forest: bool):
+    """Candidate pairs of whole cells, batch by batch of about ROWS members."""
+    key = np.stack([np.asarray(rows.column(c)) for c in ("token", "cell")])
+    start = np.concatenate([[0], np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1, [rows.num_rows]])
+    members = rows.column("members")
+    ends = members.offsets.to_numpy()
+    # several small cells at once, a large one alone
+    first = 0
+    while first < len(start) - 1:
+        last = max(first + 1, int(np.searchsorted(ends[start], ends[start[first]] + ROWS, "right")) - 1)
+        a, b = start[first], start[last]
+        cell = np.repeat(np.arange(last - first), np.diff(start[first : last + 1]))
+        count = np.diff(ends[a : b + 1])
+        n, pos, side = (np.repeat(np.asarray(rows.column(c)).astype(np.int64)[a:b], count) for c in ("n", "pos", "side"))
+        own = members.values.slice(ends[a], ends[b] - ends[a])
+        ids, comp = (np.asarray(own.field(c)) for c in ("id", "comp"))
+        sig = np.frombuffer(b"".join(own.field("sig").to_pylist()), "<u8").reshape(-1, BITS // 64)
+        x, y, cut = _pairs(np.repeat(cell, count), ids, comp, n, pos, side, sig, percent, closest, forest)
+        if len(x):
+            low, high = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
+            pairs = np.unique(np.stack([low, high], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        if cut:
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64())], ["a", "b"])
+        first = last
+
+
+def _pairs(cell, ids, comp, n, pos, side, sig, percent: int, closest: int | None, forest: bool) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Rows of the ends of candidate pairs within cells, and whether some are left out."""
+    order = np.lexsort((ids, n, cell))
+    cell, comp, n, pos, side, sig = cell[order], comp[order], n[order], pos[order], side[order], sig[order]
+    out, active, k = [], np.arange(len(cell)), 0
+    while len(active):
+        k += 1
+        active = active[active + k < len(cell)]
+        j = active + k
+        near = (cell[j] == cell[active]) & (n[j] * percent <= n[active] * 100)
+        i = active = active[near]
+        j = j[near]
+        ok = (comp[i] != comp[j]) & ((side[i] != side[j]) | (side[i] < 0))
+        need = -(-percent * (n[i] + n[j]) // (100 + percent))
+        ok &= np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
+        i, j, need = i[ok], j[ok], need[ok]
+        if len(i):
+            apart = np.bitwise_count(sig[i] ^ sig[j]).sum(axis=1).astype(np.int64)
+            ok = apart <= n[i] + n[j] - 2 * need
+            out.append((i[ok], j[ok], apart[ok] / n[j[ok]]))
     if not out:
-        return []
-    a, b, far = (np.concatenate(x) for x in zip(*out, strict=True))
-    if not forest:
-        return [(min(x, y), max(x, y)) for x, y in zip(ids[a].tolist(), ids[b].tolist(), strict=True)]
-    low, high = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
-    root, kept = {}, []
-
-    def find(x):
-        while root.setdefault(x, x) != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    for k in np.lexsort((high, low, far)).tolist():
-        x, y = find(int(comp[a[k]])), find(int(comp[b[k]]))
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            kept.append((int(low[k]), int(high[k])))
-    return kept
+        none = np.zeros(0, np.int64)
+        return none, none, False
+    i, j, far = (np.concatenate(x) for x in zip(*out, strict=True))
+    cut = False
+    if forest:
+        keep = _forest(cell[i], comp[i], comp[j], far, ids[order][i], ids[order][j])
+        i, j = i[keep], j[keep]
+    elif closest is not None and len(i):
+        # rank of each candidate among those of either end
+        ends, far = np.concatenate([i, j]), np.concatenate([far, far])
+        by = np.lexsort((far, ends))
+        new = np.flatnonzero(np.diff(ends[by], prepend=-1))
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by)) - np.repeat(new, np.diff(np.append(new, len(by))))
+        keep = np.minimum(rank[: len(i)], rank[len(i) :]) < closest
+        cut = not keep.all()
+        i, j = i[keep], j[keep]
+    return order[i], order[j], cut
+
+
+def _forest(cell, a, b, far, id_a, id_b) -> np.ndarray:
+    """Numbers of the edges between components a and b that make a spanning forest of each cell, closest first."""
+    by = np.lexsort((np.maximum(id_a, id_b), np.minimum(id_a, id_b), far, cell))
+    alone = np.diff(np.flatnonzero(np.diff(cell[by], prepend=-1, append=-1))) == 1 if len(by) else np.zeros(0, bool)
+    first = np.flatnonzero(np.diff(cell[by], prepend=-1))
+    keep = by[first[alone]].tolist()
+    for s, e in zip(first[~alone].tolist(), np.append(first[1:], len(by))[~alone].tolist(), strict=True):
+        root: dict[int, int] = {}
+
+        def find(x, root=root):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        own = by[s:e]
+        for k, x, y in zip(own.tolist(), a[own].tolist(), b[own].tolist(), strict=True):
+            x, y = find(x), find(y)
+            if x != y:
+                root[x] = y
+                keep.append(k)
+    return np.array(sorted(keep), np.int64)
+
+
+def _first_cells(spread: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Entries (token, cell, side, gid, n, pos, long) of shingles that several groups have; long: the shingle has more than one cell.
+
+    One deal puts the entries of a shingle together; those of a shingle that is
+    known to be common are dealt to several tasks. A cell has at most about BLOCK entries.
+    """
+    hot = common[1] > DEAL
+    salts = spread.sparkSession.createDataFrame([(int(h), int(-(-c // DEAL))) for h, c in zip(common[0][hot].view(np.int64), common[1][hot], strict=True)], "token long, salts long")
+    dealt = spread.join(F.broadcast(salts), "token", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    dealt = dealt.select("token", "gid", "n", "pos", "inner", "salts", F.pmod(F.xxhash64("gid", "token"), "salts").alias("salt"))
+    size = F.count("*").over(Window.partitionBy("token", "salt"))
+    counted = dealt.withColumn("len", size).where("len > 1 or salts > 1 or inner")
+    blocks = F.ceil(F.col("len") / BLOCK)
+    return counted.select("token", (F.col("salt") * (1 << 32) + F.pmod(F.xxhash64("token", "gid"), blocks)).alias("cell"), F.lit(-1).alias("side"), "gid", "n", "pos", (F.col("salts") * blocks > 1).alias("long"))
+
+
+def _band(n: Column, percent: int) -> Column:
+    """Sizes of partners are at most one band apart."""
+    return F.floor(F.log(n) / math.log(100 / percent) - 1e-9) if percent < 100 else n
+
+
+def _cells(entries: DataFrame, percent: int) -> DataFrame:
+    """entries (token, gid, n, pos, low, high, len) -> (token, cell, side, gid, n, pos): all cells that can hold pairs across components.
+
+    A shingle's list over BLOCK is put in blocks: entries of one component with
+    many of them by that component, the others by size band; cells are pairs of
+    blocks but for those within one component or with sizes too far apart.
+    """
+    short = entries.where(F.col("len") <= BLOCK).select("token", F.lit(0).cast("long").alias("cell"), F.lit(-1).alias("side"), "gid", "n", "pos")
+    long_ = entries.where(F.col("len") > BLOCK).withColumn("comp", F.when(F.col("low") == F.col("high"), F.col("low")))
+    big = long_.where("comp is not null").groupBy("token", "comp").agg(F.count("*").alias("big")).where(F.col("big") >= BLOCK)
+    slot = F.when(F.col("big").isNotNull(), F.xxhash64(F.lit("c"), "comp")).otherwise(F.xxhash64(F.lit("b"), _band(F.col("n"), percent)))
+    slotted = materialise(long_.join(big, ["token", "comp"], "left").select("token", "gid", "n", "pos", F.col("big").isNotNull().alias("pure"), slot.alias("slot")), "slots")
+    sizes = slotted.groupBy("token", "slot").agg(F.ceil(F.count("*") / BLOCK).alias("subs"))
+    blocked = materialise(slotted.join(sizes, ["token", "slot"]).withColumn("sub", F.pmod(F.xxhash64("gid", "token"), "subs")), "blocks")
+    blocks = materialise(blocked.groupBy("token", "slot", "sub", "pure").agg(F.min("n").alias("least"), F.max("n").alias("most")), "block-sizes")
+    x, y = (blocks.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("slot", "sub", "pure", "least", "most")]) for s in "xy")
+    before, same = F.struct("slot_x", "sub_x") < F.struct("slot_y", "sub_y"), (F.col("slot_x") == F.col("slot_y")) & (F.col("sub_x") == F.col("sub_y"))
+    within = F.col("pure_x") & F.col("pure_y") & (F.col("slot_x") == F.col("slot_y"))
+    fit = (F.col("least_x") * percent <= F.col("most_y") * 100) & (F.col("least_y") * percent <= F.col("most_x") * 100)
+    pairs = x.join(y, "token").where((before | same) & ~within & fit).withColumn("cell", F.xxhash64("slot_x", "sub_x", "slot_y", "sub_y"))
+    one = F.array(F.struct(F.col("slot_x").alias("slot"), F.col("sub_x").alias("sub"), F.lit(-1).alias("side")))
+    two = F.array(F.struct(F.col("slot_x").alias("slot"), F.col("sub_x").alias("sub"), F.lit(0).alias("side")), F.struct(F.col("slot_y").alias("slot"), F.col("sub_y").alias("sub"), F.lit(1).alias("side")))
+    sides = pairs.select("token", "cell", F.explode(F.when(same, one).otherwise(two)).alias("s")).select("token", "cell", "s.*")
+    crossed = blocked.join(materialise(sides, "sides"), ["token", "slot", "sub"]).select("token", "cell", "side", "gid", "n", "pos")
+    return short.unionByName(crossed)
+
+
+def _within_reach(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps, as wide as the smaller set, leave room for the overlap that a link needs."""
+
+    def check(batches):
+        for batch in batches:
+            keep = []
+            for m, n, x, y in zip(*(batch.column(c).to_pylist() for c in ("m", "n", "x", "y")), strict=True):
+                width = 8 * min(len(x), len(y))
+                apart = int(np.bitwise_count(folded(x, width) ^ folded(y, width)).sum())
+                keep.append(apart <= m + n - 2 * -(-percent * (m + n) // (100 + percent)))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    # sets that the signatures cover whole have no wider bitmap
+    wide = classes.select(F.col("class_id"), "n", F.coalesce("wide", "sig").alias("bits"))
+    x, y = wide.select(F.col("class_id").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x")), wide.select(F.col("class_id").alias("b"), "n", F.col("bits").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "x", "y").mapInArrow(check, "a long, b long").distinct()
+
+
+def _numbered(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    return np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+
+
+def overlap(x: bytes, y: bytes, n: int) -> tuple[int, int]:
+    """Sizes of the intersection and the union of two texts' sets of n-word shingles, by their words themselves."""
+    known: dict[bytes, int] = {}
+    both = [_numbered(t.translate(LOWER_BYTES).split(), known) for t in (x, y)]
+    if min(map(len, both)) < n:
+        # fewer words than n are one shingle of another length, or none
+        sets = [{tuple(w[i : i + n].tolist()) for i in range(max(1, len(w) - n + 1))} if len(w) else set() for w in both]
+        return len(sets[0] & sets[1]), len(sets[0] | sets[1])
+    runs = [w.copy() for w in both]
+    for j in range(1, n):
+        # runs of j + 1 words are numbered by their first j and their next
+        pairs = [r[:-1] * len(known) + w[j:] for r, w in zip(runs, both, strict=True)]
+        numbers = np.unique(np.concatenate(pairs), return_inverse=True)[1]
+        runs = [numbers[: len(pairs[0])], numbers[len(pairs[0]) :]]
+    a, b = np.unique(runs[0]), np.unique(runs[1])
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common, len(a) + len(b) - common
 
 
 def judged(pairs: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,15 +373,16 @@ def judged(pairs: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str
 
     def check(batches):
         for batch in batches:
-            both = [(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y)) for x, y in zip(shingle_sets(batch.column("x"), n), shingle_sets(batch.column("y"), n), strict=True)]
-            cols = [[i for i, _ in both], [s - i for i, s in both]]
-            links = [s > 0 and 100 * i >= percent * (s - i) for i, s in both]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(c, pa.int64()) for c in cols], pa.array(links, pa.bool_())], ["a", "b", "overlap", "united", "links"])
+            out = [overlap(x.as_py(), y.as_py(), n) for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
+            cols = [pa.array([v[i] for v in out], pa.int64()) for i in (0, 1)]
+            links = pa.array([u > 0 and 100 * i >= percent * u for i, u in out], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *cols, links], ["a", "b", "overlap", "united", "links"])
 
     wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
     if wanted.count() <= SENT:
         wanted = F.broadcast(wanted)
-    texts = materialise(_text(docs, id_col, text_col).join(wanted, "doc_id"), "texts")
+    # a text repeated under one id is one
+    texts = _text(docs, id_col, text_col).join(wanted, "doc_id").dropDuplicates(["doc_id", "t"])
     x, y = texts.select(F.col("doc_id").alias("a"), F.col("t").alias("x")), texts.select(F.col("doc_id").alias("b"), F.col("t").alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long, overlap long, united long, links boolean")
 
@@ -267,37 +392,65 @@ def _reached(pairs: DataFrame) -> DataFrame:
     return components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("id", "class_id")
 
 
+def _labelled(classes: DataFrame, reached: DataFrame) -> DataFrame:
+    """classes with comp: the component reached, or the class itself."""
+    return classes.drop("comp").join(reached, "class_id", "left").withColumn("comp", F.coalesce("component", "class_id")).drop("component")
+
+
+def _unsettled(tried: DataFrame, reached: DataFrame, entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """class_id of classes that may have links not found yet: clusters with a pair that failed, and shingles of several cells and components."""
+    failed = tried.where("not links")
+    clusters = materialise(_reached(tried), "clusters")
+    open_ = failed.select(F.col("a").alias("class_id")).join(clusters, "class_id").select("component").distinct()
+    first = clusters.join(open_, "component", "left_semi").select("class_id")
+    held = entries.where("long").select("token", "gid").join(groups.select("gid", F.explode("members.id").alias("class_id")), "gid").select("token", "class_id")
+    named = materialise(_labelled(held, reached), "long-lists")
+    mixed = named.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
+    return materialise(first.unionByName(named.join(mixed, "token", "left_semi").select("class_id")).distinct(), "unsettled")
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, class_id, component_id for every row of docs.
 
     Two texts link when 100 * |intersection| >= percent * |union| of their sets
     of n-word shingles (A-Z lower-cased, words split at ASCII whitespace; fewer
-    words than n are one shingle). class_id is the least id with an equal set,
-    component_id the least id reachable over links. A text that is null or has
-    no word is empty, links with nothing and is its own component. Rows that
-    share an id are one node; a row with a null id takes its class's component
-    (null when no row of the class has an id). No rows give no rows.
+    words than n are one shingle). Links are decided on the words themselves;
+    sets are equal when the 128-bit digests of their 64-bit shingle hashes are.
+    class_id is the least id with an equal set, component_id the least id
+    reachable over links. A text that is null or has no word is empty, links with
+    nothing and is its own component. Rows that share an id are one node; a row
+    with a null id takes its class's component (null when no row of the class has
+    an id). No rows give no rows. What is kept of a text is in proportion to its
+    length, whatever it is.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent is from 50 to 100")
-    records = materialise(_records(docs, n, percent, common_shingles(docs, n, text_col), id_col, text_col), "records")
+    common = common_shingles(docs, n, text_col)
+    records = materialise(_records(docs, n, percent, common, id_col, text_col), "records")
     full = records.where("n > 0 and doc_id is not null")
-    classes = full.groupBy("set_key", "n").agg(F.min("doc_id").alias("class_id"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
-    groups = materialise(_groups(classes.withColumn("comp", F.col("class_id"))), "groups")
-    tried = materialise(judged(materialise(_meetings(groups, percent, True), "pairs"), docs, n, percent, id_col, text_col), "tried")
-    links = tried.where("links")
-    reached = _reached(links)
-    failed = tried.where("not links")
-    if not failed.isEmpty():
-        # where a pair of a forest fails, other pairs of its cluster may link across the gap
-        clusters = _reached(tried)
-        open_ = failed.select(F.col("a").alias("class_id")).join(clusters, "class_id").select("component").distinct()
-        unsettled = clusters.join(open_, "component", "left_semi").select("class_id").join(reached, "class_id", "left").select("class_id", F.coalesce("component", "class_id").alias("comp"))
-        again = full.join(materialise(unsettled, "unsettled"), full["doc_id"] == F.col("class_id")).dropDuplicates(["class_id", "set_key"]).select("class_id", "comp", "n", "prefix", "bits")
-        rest = _meetings(materialise(_groups(again), "groups"), percent, False).join(failed.select("a", "b"), ["a", "b"], "left_anti")
-        more = materialise(judged(materialise(rest, "rest"), docs, n, percent, id_col, text_col), "more").where("links")
-        if not more.isEmpty():
-            reached = _reached(links.unionByName(more))
+    one = full.groupBy("set_key", "n").agg(F.min(F.struct("doc_id", "row", "prefix_key", "sig")).alias("one"))
+    classes = materialise(one.select(F.col("one.doc_id").alias("class_id"), F.col("one.doc_id").alias("comp"), "n", "one.row", "one.prefix_key", "one.sig"), "classes")
+    groups = materialise(_groups(classes), "groups")
+    entries = materialise(_first_cells(_spread(groups, records), common), "entries")
+    tried = materialise(judged(materialise(_meet(entries, groups, percent, None, True), "pairs"), docs, n, percent, id_col, text_col), "tried")
+    reached = materialise(_reached(tried.where("links")), "reached")
+    unsettled = _unsettled(tried, reached, entries, groups)
+    if not unsettled.isEmpty():
+        own = classes.join(unsettled, "class_id", "left_semi").join(records.select("row", "wide"), "row")
+        rest = materialise(own, "rest")
+        for closest in CLOSEST:
+            groups = materialise(_groups(_labelled(rest, reached)), "groups")
+            spread = materialise(_spread(groups, records), "spread")
+            lists = spread.groupBy("token").agg(F.count("*").alias("len"), F.min("low").alias("l"), F.max("high").alias("h"), F.max("inner").alias("inner")).where("(len > 1 or inner) and l < h").select("token", "len")
+            cells = _cells(materialise(spread.join(lists, "token"), "entries"), percent)
+            met = materialise(_meet(cells, groups, percent, closest, False), "met")
+            fresh = _within_reach(met.where("a is not null").join(tried.select("a", "b"), ["a", "b"], "left_anti"), rest, percent)
+            more = materialise(judged(materialise(fresh, "pairs"), docs, n, percent, id_col, text_col), "tried")
+            tried = tried.unionByName(more)
+            if not more.where("links").isEmpty():
+                reached = materialise(_reached(tried.where("links")), "reached")
+            if met.where("a is null").isEmpty():
+                break
     least = records.where("doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
     owned = least.join(reached, "class_id", "left").select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     out = records.select("doc_id", "n", "set_key").join(owned, "set_key", "left")
@@ -311,6 +464,7 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "d
     Rows repeated under one id are one row afterwards; rows with a null id stay.
     """
     found = jaccard_components(docs, n, percent, id_col, text_col)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("__k")).distinct()
-    ided = docs.where(F.col(id_col).isNotNull()).join(keep, F.col(id_col).cast("long") == F.col("__k"), "left_semi").dropDuplicates([id_col])
+    key = "__kept_id" + "_" * max([0, *map(len, docs.columns)])  # no column has this name
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    ided = docs.where(F.col(id_col).isNotNull()).join(keep, F.col(id_col).cast("long") == F.col(key), "left_semi").dropDuplicates([id_col])
     return ided.unionByName(docs.where(F.col(id_col).isNull()))
