@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 
 
+def _let(value: Column, use) -> Column:
+    """use(value) with value worked out once, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def scheme(url: Column) -> Column:
     return F.lower(F.nullif(F.regexp_extract(url, _SCHEME, 1), F.lit("")))
 
@@ -46,30 +53,42 @@ def same_origin(url: Column, base: str) -> Column:
     return F.coalesce(https_origin(url) == https_origin(F.lit(base)), F.lit(False))
 
 
+def without_dots(p: Column) -> Column:
+    """A path without . and .. segments; a .. above the root is dropped, a last one of either leaves a folder."""
+    step = lambda seen, x: F.when(x == "..", F.slice(seen, 1, F.greatest(F.size(seen) - 1, F.lit(1)))).when(x == ".", seen).otherwise(F.concat(seen, F.array(x)))
+    walked = F.aggregate(F.split(p, "/"), F.array().cast("array<string>"), step)
+    last = F.when(p.rlike(r"(?:^|/)\.{1,2}$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return _let(F.array_join(F.concat(walked, last), "/"), lambda out: F.when(p.startswith("/") & ~out.startswith("/"), F.concat(F.lit("/"), out)).otherwise(out))
+
+
 def resolve(url: Column, base: str) -> Column:
-    """Absolute URLs as they are; //host, /path, ?query and relative paths against base."""
-    root = F.regexp_extract(F.lit(base), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_replace(F.regexp_extract(F.lit(base), r"^([^?#]*)", 1), r"(?<![:/])/[^/]*$", "/")
-    folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
+    """Absolute URLs as they are; //host, /path, ?query and relative paths against base, these two without . and .. segments."""
+    page = re.match(r"[^?#]*", base)[0]
+    root = (re.match(r"[A-Za-z][A-Za-z0-9+.-]*://[^/]*", page) or [""])[0]
+    folder = page[len(root) :].rpartition("/")[0] + "/"
+    own, rest = F.regexp_extract(url, r"^([^?#]*)", 1), F.regexp_extract(url, r"(?s)^[^?#]*(.*)$", 1)
     return (
         F.when(url.rlike(_SCHEME), url)
-        .when(url.startswith("//"), F.concat(scheme(F.lit(base)), F.lit(":"), url))
-        .when(url.startswith("/"), F.concat(root, url))
-        .when(url.rlike(r"^[?#]"), F.concat(F.regexp_extract(F.lit(base), r"^([^?#]*)", 1), url))
-        .otherwise(F.concat(folder, F.regexp_replace(url, r"^(?:\./)+", "")))
+        .when(url.startswith("//"), F.concat(F.lit(root.partition("//")[0]), url))
+        .when(url.rlike(r"^[?#]") | (url == ""), F.concat(F.lit(page), url))
+        .otherwise(F.concat(F.lit(root), without_dots(F.when(url.startswith("/"), own).otherwise(F.concat(F.lit(folder), own))), rest))
     )
 
 
 def normalize(url: Column, base: str | None = None) -> Column:
-    """Resolved, scheme and authority in lower case, runs of / as one, no trailing /, no query or fragment."""
-    whole = resolve(url, base) if base else url
-    own = F.regexp_replace(F.regexp_replace(path(whole), "/{2,}", "/"), "/$", "")
-    return F.concat(scheme(whole), F.lit("://"), F.lower(_authority(whole)), own)
+    """Outer blanks off, resolved, scheme and authority in lower case, runs of / as one, no trailing / but that of the root, no query or fragment."""
+
+    def tidy(whole: Column) -> Column:
+        own = F.regexp_replace(F.regexp_replace(path(whole), "/{2,}", "/"), "(?<=.)/$", "")
+        return F.concat(scheme(whole), F.lit("://"), F.lower(_authority(whole)), F.when(own == "", "/").otherwise(own))
+
+    bare = F.regexp_replace(url, r"(?U)^\s+|\s+$", "")
+    return _let(_let(bare, lambda u: resolve(u, base)), tidy) if base else _let(bare, tidy)
 
 
 def canonical(url: Column, base: str | None = None) -> Column:
-    """The page a URL stands for: normalized, without a .md ending."""
-    return F.regexp_replace(normalize(url, base), r"\.md$", "")
+    """The page a URL stands for: normalized, without a .md ending of its path."""
+    return F.regexp_replace(normalize(url, base), r"^([^/]*//[^/]*/.*)\.md$", "$1")
 
 
 def source_id(url: Column, prefix: str = "docs") -> Column:

@@ -84,6 +84,85 @@ def binding_violations(bindings: DataFrame, catalog: DataFrame, keys: list[str])
     return bindings.join(c, keys, "left").where("not (commit <=> now)").select(F.lit("tag-binding").alias("rule"), F.concat_ws("|", *keys).alias("key"))
 
 
+def missing_outputs(present: DataFrame, required: list[str], pending: DataFrame) -> DataFrame:
+    """Required names that present (name) lacks, and every batch of pending (name) that was begun and not finished."""
+    spark = present.sparkSession
+    names = spark.createDataFrame([(x,) for x in required], "name string")
+    lost = _rows(names.join(present.select("name"), "name", "left_anti"), "missing-output", "name")
+    return lost.unionByName(_rows(pending, "pending-batch", "name"))
+
+
+def item_violations(items: DataFrame, sources: DataFrame) -> DataFrame:
+    """Structured items (layer, id, status, provenance) whose id repeats, whose provenance is missing or incomplete, or cites another state of a source.
+
+    Items that are unknown may cite sources that have moved on.
+    """
+    twice = repeated(items, ["layer", "id"], "repeated-item")
+    none = failing(items, "id", F.size("provenance") > 0, "item-without-provenance")
+    cited = items.select("id", "status", F.explode("provenance").alias("s")).select("id", "status", "s.*")
+    whole = text.nonblank(F.col("source_id")) & text.nonblank(F.col("url")) & text.nonblank(F.col("sha256"))
+    partial = failing(cited, "id", whole, "incomplete-provenance")
+    moved = cited.where("coalesce(status, '') <> 'unknown'").where(whole).join(sources.select("source_id", "sha256"), ["source_id", "sha256"], "left_anti")
+    return twice.unionByName(none).unionByName(partial).unionByName(_rows(moved, "stale-provenance", "id").distinct())
+
+
+def identity_violations(limitations: DataFrame, capabilities: DataFrame) -> DataFrame:
+    """Limitations whose id does not begin with their model; capabilities of which a source's URL is not that of their commit."""
+    named = failing(limitations, "id", F.col("id").startswith(F.concat("model", F.lit(":"))), "limitation-identity")
+    pinned = failing(capabilities, "id", F.forall("provenance", lambda s: s["url"].contains(F.col("source_commit"))), "capability-provenance")
+    return named.unionByName(pinned)
+
+
+def review_violations(practices: DataFrame, rules: DataFrame, reviews: DataFrame, registry: DataFrame, sources: DataFrame) -> DataFrame:
+    """Where the reviews of practices disagree with the rules, the registry of reviews or the sources.
+
+    practices: id, category, summary, status; rules: id, category, summary,
+    source; reviews: id, source, verdict, context_sha256, sha256, url; registry:
+    as in claims.reviewed; sources: source, sha256, url.
+    """
+    from .claims import reviewed
+
+    inventory = set_differences(practices, rules.select("id", "category", "summary").distinct(), ["id"], ["category", "summary"], "practice-inventory")
+    twice = repeated(reviews, ["id", "source"], "repeated-review")
+    pairs = set_differences(reviews.select("id", "source").distinct(), rules.select("id", "source").distinct(), ["id", "source"], ["source"], "configured-reviews")
+    now = reviews.join(sources.select("source", F.col("sha256").alias("now_sha"), F.col("url").alias("now_url")), "source", "left")
+    absent = failing(now.where("now_sha is null"), "id", (F.col("verdict") == "unavailable") & F.col("context_sha256").isNull() & F.col("sha256").isNull(), "review-of-absent-source")
+    here = now.where("now_sha is not null")
+    identity = failing(here, "id", F.col("context_sha256").rlike(r"^[0-9a-f]{64}\z"), "context-identity")
+    given = here.select("id", "source", F.col("verdict").alias("given"), F.col("context_sha256"), "sha256", "url", "now_sha", "now_url")
+    wanted = reviewed(given.select(F.col("id").alias("rule"), "source", "context_sha256", F.col("now_sha").alias("sha256"), F.col("now_url").alias("url"), "given", F.col("sha256").alias("own_sha"), F.col("url").alias("own_url")), registry)
+    agrees = (F.col("given") == F.col("verdict")) & F.col("own_sha").eqNullSafe(F.col("sha256")) & F.col("own_url").eqNullSafe(F.col("url"))
+    verdicts = failing(wanted, "rule", agrees, "review-verdict")
+    status = reviews.groupBy("id").agg((F.bool_or(F.col("verdict") == "supported") & ~F.bool_or(F.col("verdict").isin("unreviewed", "rejected"))).alias("good"))
+    wrong = failing(practices.join(status, "id", "left"), "id", (F.col("status") == "recommended") == F.coalesce("good", F.lit(False)), "practice-status")
+    return inventory.unionByName(twice).unionByName(pairs).unionByName(absent).unionByName(identity).unionByName(verdicts).unionByName(wrong)
+
+
+def historical_violations(citations: DataFrame, trusted: DataFrame, current: DataFrame, identity: list[str]) -> DataFrame:
+    """Historical citations (id, identity columns) that are not just those of the trusted tree which are no longer current."""
+    from .snapshot import historical
+
+    want = historical(trusted.select("id", *identity, F.lit(0).alias("__p")), current.select("id", *identity), ["id", *identity], "__p").select("id", *identity)
+    got = citations.select("id", *identity).distinct()
+    gone, more = (a.exceptAll(b) for a, b in ((want, got), (got, want)))  # nulls are equal here
+    return gone.unionByName(more).select(F.lit("historical-citation").alias("rule"), F.concat_ws("|", "id", *identity).alias("key"))
+
+
+def event_file_violations(events: DataFrame, reports: DataFrame, strict: bool = True) -> DataFrame:
+    """Event rows (file, date, id): ids that repeat in a file, and if strict those in two files, dates unlike their file's name, days without a report and reports (day) without a file."""
+    found = repeated(events, ["file", "id"], "repeated-event")
+    if not strict:
+        return found
+    across = events.groupBy("id").agg(F.min("file").alias("a"), F.max("file").alias("b")).where("a <> b").select(F.lit("event-in-two-files").alias("rule"), F.col("id").alias("key"))
+    stem = F.regexp_replace("file", r"\.json$", "")
+    days = events.select(stem.alias("day"), "date").distinct()
+    names = _rows(days.where("day <> 'baseline' and not (day <=> date)"), "event-file-date", "day")
+    dated = days.where("day <> 'baseline'").select("day").distinct()
+    unreported = _rows(dated.join(reports.select("day"), "day", "left_anti"), "day-without-report", "day")
+    orphans = _rows(reports.select("day").join(dated, "day", "left_anti"), "orphan-report", "day")
+    return found.unionByName(across).unionByName(names).unionByName(unreported).unionByName(orphans)
+
+
 def reports_differ(stored: DataFrame, rendered: DataFrame, key: str) -> DataFrame:
     """Days whose stored report is not the rendering of their events, or which have one of them only."""
     both = stored.select(key, F.col("report").alias("a")).join(rendered.select(key, F.col("report").alias("b")), key, "full_outer")

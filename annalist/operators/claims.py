@@ -79,3 +79,63 @@ def first_seen(current: DataFrame, previous: DataFrame, key: str, state: str, to
         F.when(ok, today).otherwise(F.col("p_last_verified")).alias("last_verified"),
         F.when(known & ~moved, F.col("p_last_changed")).when(known, today).alias("last_changed"),
     )
+
+
+def practices(rules: DataFrame, claims: DataFrame, sources: DataFrame, blocks: DataFrame, registry: DataFrame, previous: DataFrame, today: Column, limit: int = 420) -> DataFrame:
+    """The state of every practice: (id, category, summary, status, first_seen, first_seen_basis, last_verified, last_changed, evidence).
+
+    rules: id, category, summary, source (one row for each source a rule may
+    rest on); claims: id, digest, excerpt; sources: source, url, sha256,
+    context_sha256; blocks: source, digest, text; registry: as in reviewed();
+    previous: the state before, with its evidence. A rule is recommended when
+    a source that was reviewed as supporting has all its claims, none longer than
+    limit, and no source is unreviewed, rejected or without its claims; a source
+    that is missing, or reviewed as not conflicting, says nothing.
+    """
+    contexts = rules.select(F.col("id").alias("rule"), "source").join(sources.select("source", "url", "sha256", "context_sha256"), "source")
+    judged = reviewed(contexts, registry)
+    wanted = judged.where("verdict = 'supported'").select("rule", "source").join(claims.withColumnRenamed("id", "rule"), "rule")
+    fits = wanted.groupBy("rule", "source").agg(F.max(F.length("excerpt")).alias("longest"))
+    held = supported(wanted, blocks).join(fits, ["rule", "source"]).select("rule", "source", (F.col("supported") & (F.col("longest") <= limit)).alias("held"))
+    rows = judged.join(held, ["rule", "source"], "left")
+    good, bad = F.col("held") & (F.col("verdict") == "supported"), (F.col("verdict") != "non_conflicting") & ~F.coalesce("held", F.lit(False))
+    kept = verdict(rows, "rule", good, bad)
+    refs = rows.where("held").select("rule", "source", "url", "sha256", "context_sha256").join(claims.withColumnRenamed("id", "rule"), "rule")
+    listed = refs.groupBy("rule").agg(F.array_sort(F.collect_set(F.struct("source", "url", "sha256", "context_sha256", "excerpt"))).alias("evidence"))
+    own = rules.select("id", "category", "summary").distinct().join(kept.withColumnRenamed("rule", "id"), "id", "left").join(listed.withColumnRenamed("rule", "id"), "id", "left")
+    ok = F.coalesce("recommended", F.lit(False))
+    now = own.select("id", "category", "summary", F.when(ok, "recommended").otherwise("unknown").alias("status"), F.when(ok, F.col("evidence")).otherwise(F.array().cast(listed.schema["evidence"].dataType)).alias("evidence"))
+    p = previous.select("id", F.struct(*[c for c in previous.columns if c != "id"]).alias("p"))
+    both = now.join(p, "id", "left")
+    known, old = F.col("p").isNotNull(), lambda c: F.col(f"p.{c}")
+    basis = F.when(known, F.coalesce(old("first_seen_basis"), F.when(old("first_seen").isNotNull(), "observed").otherwise("unknown_legacy"))).otherwise("not_yet_supported")
+    begins = (F.col("status") == "recommended") & (basis == "not_yet_supported")
+    same = known & old("evidence").eqNullSafe(F.col("evidence")) & old("summary").eqNullSafe(F.col("summary"))
+    still = known & F.lit(True)
+    for c in ("category", "status", "summary"):
+        still &= old(c).eqNullSafe(F.col(c))
+    return both.select(
+        "id",
+        "category",
+        "summary",
+        "status",
+        F.when(begins, today).otherwise(old("first_seen")).alias("first_seen"),
+        F.when(begins, "observed").otherwise(basis).alias("first_seen_basis"),
+        F.when((F.col("status") == "recommended") & ~same, today).when(old("summary").eqNullSafe(F.col("summary")), old("last_verified")).alias("last_verified"),
+        F.when(still, old("last_changed")).otherwise(today).alias("last_changed"),
+        "evidence",
+    )
+
+
+def interpreted(sections: DataFrame, registry: DataFrame, model: str) -> DataFrame:
+    """sections (id, model, section, text_sha256, complete_sha256) with summary and summary_kind of a reviewed interpretation.
+
+    registry: section, text_sha256, complete_sha256, summary. The hash of the
+    whole section decides where the section has one, else that of its text; only
+    sections of one model are interpreted, all others are unknown.
+    """
+    r = registry.select("section", F.col("text_sha256").alias("__t"), F.col("complete_sha256").alias("__c"), F.col("summary").alias("__s"))
+    agrees = F.when(F.col("complete_sha256").isNotNull(), F.col("complete_sha256") == F.col("__c")).otherwise(F.col("text_sha256") == F.col("__t"))
+    ok = F.coalesce((F.col("model") == model) & agrees & F.col("__s").isNotNull(), F.lit(False))
+    out = sections.join(F.broadcast(r), "section", "left")
+    return out.withColumn("summary", F.when(ok, F.col("__s"))).withColumn("summary_kind", F.when(ok, "repository-interpretation").otherwise("unknown")).drop("__t", "__c", "__s")

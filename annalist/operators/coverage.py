@@ -38,3 +38,16 @@ def violations(pages: DataFrame, summary: DataFrame) -> DataFrame:
     wrong = F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"r_{c}")), F.lit(c)) for c in ("discovered", "fetched", "failed", "complete")], F.when(F.col("r_discovered") == 0, "empty"), F.when(~F.coalesce("removal_safe", F.lit(False)), "removal-unsafe")))
     totals = summary.crossJoin(real).select(F.explode(wrong).alias("key")).select(F.lit("summary-disagrees").alias("rule"), "key")  # one row on each side
     return twice("source_id", "repeated-id").unionByName(twice("canonical_url", "repeated-url")).unionByName(failed).unionByName(totals)
+
+
+def diagnostics(current: DataFrame, previous: DataFrame, events: DataFrame, fetches: DataFrame, key: str = "source_id") -> DataFrame:
+    """One row about an attempt: discovered pages, those new and those gone (in order), events in all and by category, and the last fetch that succeeded.
+
+    fetches: status, fetched_at. The lists are what a site's page list is, not what its pages hold.
+    """
+    moved = delta(current, previous, key)
+    lists = moved.agg(*[F.array_sort(F.collect_list(F.when(F.col("delta") == kind, F.col(key)))).alias(name) for kind, name in (("newly-discovered", "newly_discovered"), ("disappeared", "disappeared"))])
+    pages = current.agg(F.count("*").alias("discovered_page_count"))
+    by = events.groupBy("category").count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("candidate_event_count"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "count")))).alias("candidate_event_counts"))
+    last = fetches.agg(F.max(F.when(F.col("status") == 200, F.col("fetched_at"))).alias("last_successful_fetch"))
+    return pages.crossJoin(lists).crossJoin(by).crossJoin(last)  # one row each

@@ -70,7 +70,7 @@ def islands(rows: DataFrame, keys: list[str], order: str, inside: Column) -> Dat
 def tables(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     """keys, island (table), n, cells: rows of Markdown pipe tables without their separator rows."""
     found = islands(lines(df, keys, column), keys, "n", F.col("line").rlike(r"^\s*\|"))
-    inner = F.regexp_replace(F.btrim("line"), r"^\||\|$", "")
+    inner = F.regexp_replace(F.btrim("line"), r"^\|+|\|+$", "")
     cells = F.transform(F.split(inner, r"\|"), lambda c: F.btrim(c))
     return found.select(*keys, "island", "n", cells.alias("cells")).where(~F.forall("cells", lambda c: c.rlike(r"^:?-+:?\z")))
 
@@ -115,11 +115,35 @@ def release_notes(df: DataFrame, keys: list[str], column: str, most: int = 12) -
     return bodies.select(*keys, "version", "date", F.slice(bullets, 1, most).alias("changes"))
 
 
-def model_rows(df: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """keys, id, kind, label, target: model tables whose first cell is code: `name` | text (versioned) or `name` | `name` (alias)."""
-    rows = tables(df, keys, column).where(F.size("cells") >= 2)
-    first, second = code_cell(F.col("cells")[0]), code_cell(F.col("cells")[1])
-    return rows.where(first.isNotNull()).select(*keys, first.alias("id"), F.when(second.isNull(), "versioned").otherwise("alias").alias("kind"), F.when(second.isNull(), F.col("cells")[1]).alias("label"), second.alias("target"))
+def model_rows(df: DataFrame, keys: list[str], column: str, family: str = "") -> DataFrame:
+    """keys, id, kind, label, target, of the three layouts of model tables; the last row of an identity counts.
+
+    A row `label | code` whose label begins with the family's name and a row
+    "model id" with a code under every label of the table's first row are
+    versioned models, a row `code | code` is an alias. A "model id" row that
+    names fewer models than there are labels, or more, or has a cell that is no
+    code, gives a row of kind `unrecognized` without id: models must not get lost
+    because a table was not understood.
+    """
+    rows = tables(df, keys, column)
+    head = rows.groupBy(*keys, "island").agg(F.min_by("cells", "n").alias("head"))
+    rows = rows.join(head, [*keys, "island"]).where(F.size("cells") >= 2)
+    cells, labels = F.col("cells"), F.expr("slice(head, 2, size(head))")
+    ids = F.transform(F.expr("slice(cells, 2, size(cells))"), code_cell)
+    named = F.lower(cells[0]) == "model id"
+    whole = (F.size(labels) == F.size(ids)) & F.forall(labels, lambda x: x != "") & F.forall(ids, lambda x: x.isNotNull())
+    entry = lambda kind, i, label, target: F.struct(F.lit(kind).alias("kind"), i.alias("id"), label.alias("label"), target.alias("target"))
+    none = F.lit(None).cast("string")
+    across = F.zip_with(ids, labels, lambda i, label: entry("versioned", i, label, none))
+    first, second = code_cell(cells[0]), code_cell(cells[1])
+    found = (
+        F.when(named & whole, across)
+        .when(named, F.array(entry("unrecognized", none, none, none)))
+        .when(F.lower(cells[0]).startswith(family.lower()) & first.isNull() & second.isNotNull(), F.array(entry("versioned", second, cells[0], none)))
+        .when(first.isNotNull() & second.isNotNull(), F.array(entry("alias", first, none, second)))
+    )
+    every = rows.select(*keys, "n", F.posexplode(found).alias("k", "m")).select(*keys, "n", "k", "m.*")
+    return every.groupBy(*keys, "kind", "id").agg(F.max_by(F.struct("label", "target"), F.struct("n", "k")).alias("r")).select(*keys, "id", "kind", "r.label", "r.target")
 
 
 def limitation_sections(df: DataFrame, keys: list[str], column: str) -> DataFrame:

@@ -87,7 +87,7 @@ def resolved(snapshot: DataFrame, config: DataFrame) -> DataFrame:
 
 
 def discrepancy_since(current: DataFrame, previous: DataFrame, key: str, now: Column) -> DataFrame:
-    """current (key, discrepancies) with status and discrepancy_first_observed, kept while the status stays `discrepancy`.
+    """current (key, discrepancies) with status and discrepancy_first_observed, kept while the status stays `discrepancy` (else `up_to_date`).
 
     previous: key, status, discrepancy_first_observed, observed_at; a legacy row
     without the first time stands for its snapshot's time.
@@ -96,7 +96,7 @@ def discrepancy_since(current: DataFrame, previous: DataFrame, key: str, now: Co
     bad = F.size("discrepancies") > 0
     first = F.when(F.col("p_status") == "discrepancy", F.coalesce("p_first", "p_at", now)).otherwise(now)
     rest = [c for c in current.columns if c != key]
-    return current.join(p, key, "left").select(key, *rest, F.when(bad, "discrepancy").otherwise("consistent").alias("status"), F.when(bad, first).alias("discrepancy_first_observed"))
+    return current.join(p, key, "left").select(key, *rest, F.when(bad, "discrepancy").otherwise("up_to_date").alias("status"), F.when(bad, first).alias("discrepancy_first_observed"))
 
 
 def actionable(freshness: DataFrame, now: Column, days: int = 3) -> DataFrame:
@@ -136,3 +136,35 @@ def sdk_stream(source_id: Column, streams: dict[str, str]) -> Column:
     for prefix, name in reversed(list(streams.items())):
         found = F.when(source_id.startswith(prefix), name).otherwise(found)
     return found
+
+
+def published_order(releases: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and tags: tags of releases by publication, then by name; one without a time or tag as if these were empty."""
+    rows = F.array_sort(F.collect_list(F.struct(F.coalesce("published_at", F.lit("")).alias("p"), F.coalesce("tag", F.lit("")).alias("t"))))
+    return releases.groupBy(*keys).agg(F.transform(rows, lambda x: x["t"]).alias("tags"))
+
+
+def pinned(commits: DataFrame, base: str, path: str) -> DataFrame:
+    """commits (repository, commit, position; the newest first) -> (repository, commit, url): a file at its latest commit, by an address that cannot move."""
+    latest = commits.where(text.is_commit(F.col("commit"))).groupBy("repository").agg(F.min_by("commit", "position").alias("commit"))
+    return latest.select("repository", "commit", F.concat_ws("/", F.lit(base.rstrip("/")), "repository", "commit", F.lit(path)).alias("url"))
+
+
+def tool_snapshot(releases: DataFrame, tags: DataFrame, files: DataFrame, purpose: str, compatibility: str, providers: dict[str, str]) -> DataFrame:
+    """(package, version, source_tag, source_commit, purpose, compatibility, provider_families, missing) of packages known by their stable releases.
+
+    releases: package, tag, draft, prerelease, published_at; tags: package, tag,
+    commit; files: package, commit, readme (plain text), config_version. The
+    greatest stable version counts; purpose and compatibility are excerpts around
+    patterns, providers maps a word of the readme to a family. missing lists what
+    keeps a snapshot from being published: release, tag, config, purpose, compatibility.
+    """
+    stable = release_states(releases).where("stable").withColumn("v", text.version_of(F.col("tag"))).where("v is not null")
+    newest = stable.groupBy("package").agg(F.max_by("tag", F.struct("v", "tag")).alias("tag"))
+    every = releases.select("package").distinct().join(newest, "package", "left").join(tag_bindings(tags).select("package", "tag", "commit"), ["package", "tag"], "left")
+    found = every.join(files.select("package", "commit", "readme", "config_version"), ["package", "commit"], "left")
+    version = F.regexp_replace("tag", "^v", "")
+    families = F.array_compact(F.array(*[F.when(F.contains("readme", F.lit(word)), F.lit(name)) for word, name in providers.items()]))
+    rows = found.select("package", version.alias("version"), F.when(F.col("commit").isNotNull(), F.col("tag")).alias("source_tag"), F.col("commit").alias("source_commit"), text.excerpt(F.col("readme"), purpose).alias("purpose"), text.excerpt(F.col("readme"), compatibility).alias("compatibility"), F.coalesce(families, F.array().cast("array<string>")).alias("provider_families"), "config_version")
+    lacks = [(F.col("version").isNull(), "release"), (F.col("source_commit").isNull(), "tag"), (~F.col("config_version").eqNullSafe(F.col("version")), "config"), (F.col("purpose").isNull(), "purpose"), (F.col("compatibility").isNull(), "compatibility")]
+    return rows.withColumn("missing", F.array_compact(F.array(*[F.when(c, name) for c, name in lacks]))).drop("config_version")

@@ -4,12 +4,21 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of df; a folder is chosen only where the session has none."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder. One of this machine is chosen only where none is set and all executors are in this process."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="annalist-"))
+        own = spark.conf.get("spark.checkpoint.dir", None)
+        if not own and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(own or tempfile.mkdtemp(prefix="annalist-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint of df."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()

@@ -116,15 +116,6 @@ def layer_events(old: DataFrame, new: DataFrame, code_defined: Sequence[str] = C
     return events.withColumn("event_id", hashing.event_id(entity, F.col("change"), F.col("before"), F.col("after"), namespace))
 
 
-def claim_change(status_before: Column, status_after: Column, value_before: Column, value_after: Column) -> Column:
-    """verification_changed where only the verification of claims moved; modified where a verified value did.
-
-    Arrays are by claim; they have the same claims in the same order.
-    """
-    moved = F.exists(F.zip_with(F.arrays_zip(status_before.alias("s"), value_before.alias("v")), F.arrays_zip(status_after.alias("s"), value_after.alias("v")), lambda a, b: (a["s"] == "verified") & (b["s"] == "verified") & ~a["v"].eqNullSafe(b["v"])), lambda x: x)
-    return F.when(moved, "modified").when(~status_before.eqNullSafe(status_after), "verification_changed").otherwise("modified")
-
-
 def retained(new: DataFrame, old: DataFrame, key: str, status: str = "status", value: str = "unknown") -> DataFrame:
     """new, and the rows of old whose key is missing in it, their status unknown: absence removes nothing."""
     gone = old.join(new.select(key), key, "left_anti").withColumn(status, F.lit(value))
@@ -161,6 +152,33 @@ def held_streams(candidate: DataFrame, previous: DataFrame, key: str, discrepanc
     return c.join(p, key, "left").select(F.when(held, F.col("p")).otherwise(F.col("c")).alias("r"), held.alias("held")).select("r.*", "held")
 
 
+def readmitted(candidate: DataFrame, previous: DataFrame, stream: Column, held: DataFrame, key: str = "source_id") -> DataFrame:
+    """Records of a snapshot in which some streams are held: candidate's rows of these as candidate:<key>, with previous' rows of them back.
+
+    stream: the stream of a record's key (null: none); held: stream.
+    """
+    names = F.broadcast(held.select(F.col("stream").alias("__held")).distinct())
+    mark = lambda df: df.withColumn("__stream", stream).join(names, F.col("__stream") == F.col("__held"), "left")
+    rest = [c for c in candidate.columns if c != key]
+    moved = mark(candidate).select(F.when(F.col("__held").isNotNull(), F.concat(F.lit("candidate:"), key)).otherwise(F.col(key)).alias(key), *rest)
+    back = mark(previous).where("__held is not null").select(key, *rest)
+    return moved.join(back.select(key), key, "left_anti").unionByName(back)
+
+
+def provenance(items: DataFrame, sources: DataFrame, section: Column | None = None) -> DataFrame:
+    """items (id, position, source_id, ...) -> (id, provenance): their sources that exist, in order, as (source_id, url, sha256); the url with a section's anchor if one is given."""
+    url = F.col("url") if section is None else F.concat("url", F.coalesce(F.concat(F.lit("#"), section), F.lit("")))
+    found = items.join(sources.select("source_id", "url", "sha256"), "source_id")
+    rows = F.array_sort(F.collect_list(F.struct("position", F.struct("source_id", url.alias("url"), "sha256").alias("s"))))
+    return found.groupBy("id").agg(F.transform(rows, lambda x: x["s"]).alias("provenance"))
+
+
+def with_lastmod(pages: DataFrame, entries: DataFrame, url: str = "canonical_url") -> DataFrame:
+    """pages with upstream_last_modified, the lastmod of the sitemap entry (url, lastmod) of their page; an empty one is null."""
+    e = entries.select(F.col("url").alias("__url"), F.nullif(F.col("lastmod"), F.lit("")).alias("upstream_last_modified"))
+    return pages.join(e, F.col(url) == F.col("__url"), "left").drop("__url")
+
+
 def historical(previous: DataFrame, current: DataFrame, identity: Sequence[str], position: str) -> DataFrame:
     """Earlier citations that are no longer current: null-safe anti-join on identity, first of equals by position."""
     mark = current.select(*[F.col(c).alias(f"__{c}") for c in identity]).distinct()

@@ -26,4 +26,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import extraction, histories, reconciliation, snapshots, streams  # noqa: E402, F401
+from . import classification, evidence, extraction, histories, reconciliation, scans, snapshots, streams, validation  # noqa: E402, F401

@@ -11,7 +11,8 @@ from . import query, table
 _HOST = r"lower(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''))"
 _SCHEME = "lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1))"
 _PATH = r"regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
-_NORMAL = rf"{_SCHEME} || '://' || lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) || regexp_replace(regexp_replace({_PATH}, '/{{2,}}', '/', 'g'), '/$', '')"
+_TIDY = rf"regexp_replace({_PATH}, '/{{2,}}', '/', 'g')"
+_NORMAL = rf"{_SCHEME} || '://' || lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) || CASE WHEN {_TIDY} IN ('', '/') THEN '/' ELSE regexp_replace({_TIDY}, '/$', '') END"
 
 
 @query(f"SELECT page_id, {_NORMAL} AS normalized, regexp_replace({_NORMAL}, '\\.md$', '') AS canonical FROM pages")
@@ -97,23 +98,40 @@ def json_typed_projection(spark, d):
     return table(spark, d, "events").select("event_id", F.try_variant_get(v, "$.k", "bigint").alias("k"))
 
 
-@query()
+@query(r"""WITH j AS (SELECT event_id, repeat('[', CAST(event_id % 70 AS INT)) || '{"a":"]}\"{",' || substr(props, 2) || repeat(']', CAST(event_id % 70 AS INT)) AS j FROM events),
+               b AS (SELECT event_id, regexp_replace(regexp_replace(j, '"(?:[^"\\]|\\.)*"', '', 'g'), '[^\[\]{}]', '', 'g') AS m FROM j)
+          SELECT event_id, CAST(list_max([2 * length(regexp_replace(substr(m, 1, i), '[^\[{]', '', 'g')) - i FOR i IN range(1, length(m) + 1)]) AS INT) AS depth, event_id % 70 < 64 AS parsed FROM b""")
 def json_depth_guard(spark, d):
-    """Nesting of JSON made from the document lines, judged before parsing."""
-    c = F.to_json(F.struct(F.split("text", "\n").alias("lines")))
-    return table(spark, d, "documents").select("doc_id", text.bracket_depth(c).alias("depth"))
+    """Nesting of JSON, brackets within strings apart, judged before it is parsed."""
+    n = (F.col("event_id") % 70).cast("int")
+    c = F.concat(F.repeat(F.lit("["), n), F.lit('{"a":"]}\\"{",'), F.substring("props", 2, 10_000), F.repeat(F.lit("]"), n))
+    return table(spark, d, "events").select("event_id", text.bracket_depth(c).alias("depth"), text.bounded_json(c).isNotNull().alias("parsed"))
 
 
-@query()
+_PROSE = r"""replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+    '</?(?:p|div|details|summary|section)\b[^>]*>', chr(10) || chr(10), 'g'), '(?m)^(\s*)\* ', '\1- ', 'g'),
+    '</?(?:Note|Tip|Info|Warning|Accordion|AccordionGroup|Card|CardGroup|Steps|Step|Tabs|Tab|div|span|p|strong|em|a|br|code)\b[^>]*>', ' ', 'g'),
+    '\[([^\]]+)\]\([^)]+\)', '\1', 'g'), '\*\*([^*]+)\*\*', '\1', 'g'), '`', '')"""
+
+
+@query(rf"""SELECT page_id, sha256(replace(replace(replace(replace(replace(replace({_PROSE}, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&')) AS clean_sha256 FROM pages""")
 def clean_text(spark, d):
     """Pages as prose, character references resolved."""
     return table(spark, d, "pages").select("page_id", hashing.content_sha256(markup.clean(F.col("html"))).alias("clean_sha256"))
 
 
-@query()
+_BLOCKS = r"""
+    b AS (SELECT doc_id, unnest(b) AS b, unnest(range(len(b))) AS i FROM (SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '\n\s*\n', chr(1), 'g'), '\n(\s*[-*] )', chr(1) || '\1', 'g'), chr(1)) AS b FROM documents WHERE regexp_matches(text, '(?im)\bthe\b'))),
+    f AS (SELECT doc_id, i, trim(regexp_replace(regexp_replace(b, '^\s*(?:[-*>]|#+)\s+', ''), '\s+', ' ', 'g')) AS b FROM b),
+    s AS (SELECT *, list_filter(string_split(regexp_replace(b, '([.!?])\s+([A-Z`"''])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: regexp_matches(x, '(?i)\bthe\b'))[1] AS s FROM f WHERE regexp_matches(b, '(?i)\bthe\b')),
+    k AS (SELECT *, rtrim(regexp_replace(substr(s, 1, 118), ' [^ ]*$', '')) AS c FROM s WHERE length(b) <= 120 OR s IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY i) = 1)"""
+
+
+@query(rf"""WITH {_BLOCKS}, e AS (SELECT doc_id, CASE WHEN length(b) <= 120 THEN b WHEN length(s) <= 120 THEN s WHEN regexp_matches(c, '(?i)\bthe\b') THEN c || ' …' END AS excerpt FROM k)
+    SELECT doc_id, excerpt FROM documents LEFT JOIN e USING (doc_id)""")
 def excerpts(spark, d):
-    """A bounded excerpt around the first word of a page's title."""
-    return table(spark, d, "pages").select("page_id", text.excerpt(markup.clean(F.col("html")), r"\bthe\b", 420).alias("excerpt"))
+    """A bounded excerpt around a word of a document."""
+    return table(spark, d, "documents").select("doc_id", text.excerpt(F.col("text"), r"\bthe\b", 120).alias("excerpt"))
 
 
 @query()

@@ -74,7 +74,7 @@ def version_reconciliation(spark, d):
 
 _CLOCK = """
     f AS (SELECT user_id, max(CASE WHEN event_type = 'error' THEN ts END) AS bad, min(CASE WHEN event_type = 'error' THEN ts END) AS first_bad, max(ts) AS last FROM events GROUP BY 1),
-    c AS (SELECT user_id, CASE WHEN bad IS NOT NULL THEN 'discrepancy' ELSE 'consistent' END AS status,
+    c AS (SELECT user_id, CASE WHEN bad IS NOT NULL THEN 'discrepancy' ELSE 'up_to_date' END AS status,
                  strftime(first_bad, '%Y-%m-%dT%H:%M:%S') || 'Z' AS since FROM f)"""
 
 
@@ -82,7 +82,7 @@ def _clock(spark, d):
     e = table(spark, d, "events")
     iso = lambda c: F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
     f = e.groupBy("user_id").agg(F.min(F.when(F.col("event_type") == "error", F.col("ts"))).alias("first_bad"))
-    return f.select("user_id", F.when(F.col("first_bad").isNotNull(), "discrepancy").otherwise("consistent").alias("status"), iso("first_bad").alias("discrepancy_first_observed"))
+    return f.select("user_id", F.when(F.col("first_bad").isNotNull(), "discrepancy").otherwise("up_to_date").alias("status"), iso("first_bad").alias("discrepancy_first_observed"))
 
 
 @query(f"WITH {_CLOCK} SELECT user_id, since AS discrepancy_first_observed FROM c WHERE status = 'discrepancy' AND TIMESTAMP '2024-01-05' - CAST(replace(replace(since, 'T', ' '), 'Z', '') AS TIMESTAMP) >= INTERVAL 3 DAY")
@@ -92,7 +92,7 @@ def grace_period_expired(spark, d):
 
 
 @query(f"""WITH {_CLOCK}, cur AS (SELECT user_id, bool_or(event_type = 'error') AS bad FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY 1)
-    SELECT user_id, CASE WHEN bad THEN 'discrepancy' ELSE 'consistent' END AS status,
+    SELECT user_id, CASE WHEN bad THEN 'discrepancy' ELSE 'up_to_date' END AS status,
            CASE WHEN bad THEN CASE WHEN c.status = 'discrepancy' THEN since ELSE '2024-02-01T00:00:00Z' END END AS discrepancy_first_observed FROM cur LEFT JOIN c USING (user_id)""")
 def discrepancy_since(spark, d):
     """The first time of a discrepancy is kept while it lasts."""

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.scratch import checkpoint_dir
 from ..streaming import changes
 from . import query, table
 
 
 def _checkpoint(spark) -> str:
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="annalist-")
-    import uuid
-
-    return f"{base}/stream-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
 
 
 def _stream(spark, d):

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+import pyarrow as pa
+import pyarrow.fs
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, text
@@ -77,3 +82,60 @@ def stable_evidence(rows: DataFrame, keep: list[str], defaults: dict[str, object
     for name, value in (defaults or {}).items():
         rows = rows.withColumn(name, F.coalesce(name, F.lit(value)))
     return rows.select(*keep).distinct().orderBy(F.to_json(F.struct(*sorted(keep))))
+
+
+def pages_of_list(responses: DataFrame, schema: str, required: dict[str, str], keep: list[str], defaults: dict[str, object] | None = None) -> DataFrame:
+    """A paginated list (rows of the HTTP source with `list`): its pages joined, checked, reduced to evidence, repeated rows once, in canonical order."""
+    return stable_evidence(listed(responses, schema, required), keep, defaults)
+
+
+def laid_out(c: Column) -> Column:
+    """JSON text for people: keys sorted, two spaces a level, a line feed at the end; null where it is no JSON."""
+
+    def one(text: str | None) -> str | None:
+        try:
+            return None if text is None else json.dumps(json.loads(text), ensure_ascii=False, indent=2, sort_keys=True) + "\n"
+        except ValueError:
+            return None
+
+    return F.arrow_udf(lambda texts: pa.array([one(t) for t in texts.to_pylist()], pa.string()), "string")(c)
+
+
+def write_documents(rows: DataFrame, root: str) -> DataFrame:
+    """Write rows (name, json) as ROOT/name, laid out, each under a name of the task attempt first; (name, bytes, sha256) of what was written.
+
+    root is a URI that pyarrow opens and the executors share. A name that leaves
+    root or text that is no JSON is an error.
+    """
+    out = rows.select("name", laid_out(F.col("json")).alias("text"))
+
+    def run(batches):
+        import hashlib
+
+        fs, base = pyarrow.fs.FileSystem.from_uri(root)
+        task = TaskContext.get()
+        attempt = task.taskAttemptId() if task else 0
+        for batch in batches:
+            done = []
+            for name, body in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                parts = (name or "").split("/")
+                if body is None or any(p in ("", ".", "..") for p in parts):
+                    raise ValueError(f"not a document: {name}")
+                fs.create_dir("/".join([base, *parts[:-1]]), recursive=True)
+                data, at = body.encode(), "/".join([base, *parts[:-1], f".{parts[-1]}.{attempt}"])
+                with fs.open_output_stream(at) as f:
+                    f.write(data)
+                fs.move(at, f"{base}/{name}")
+                done.append((name, len(data), hashlib.sha256(data).hexdigest()))
+            cols = list(zip(*done, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string()), strict=True)], ["name", "bytes", "sha256"])
+
+    return out.mapInArrow(run, "name string, bytes long, sha256 string")
+
+
+def manifest_violations(records: DataFrame) -> DataFrame:
+    """Records of manifests() without an identity, a hash of 64 hex digits or a URL, and identities that a file has twice."""
+    from ..operators.checks import failing, repeated
+
+    whole = text.nonblank(F.col("source_id")) & F.col("sha256").rlike(r"^[0-9a-f]{64}\z") & text.nonblank(F.col("fetch_url"))
+    return failing(records, "source_id", whole, "incomplete-record").unionByName(repeated(records, ["file", "source_id"], "repeated-record"))

@@ -9,6 +9,7 @@ the network: (url, timeout) -> (status, headers, body, final URL).
 
 from __future__ import annotations
 
+import http.client
 import importlib
 import json
 import time
@@ -21,6 +22,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Seconds of one attempt, attempts, first wait, longest wait, bytes of a body, pages of a list.
 TIMEOUT, ATTEMPTS, WAIT, LONGEST, MOST_BYTES, MOST_PAGES = 20.0, 3, 0.25, 60.0, 16 << 20, 20
+#: Origins of APIs whose 403 may mean that too much was asked.
+LIMITED = (("https", "api.github.com", 443),)
+
+
+class ForeignRedirect(ValueError):
+    """An answer that leads to another origin; nothing is sent there."""
 
 
 def origin(url: str) -> tuple[str, str, int] | None:
@@ -37,7 +44,7 @@ def origin(url: str) -> tuple[str, str, int] | None:
 class _SameOrigin(urllib.request.HTTPRedirectHandler):
     def redirect_request(self, req, fp, code, msg, headers, newurl):
         if origin(newurl) is None or origin(newurl) != origin(req.full_url):
-            raise urllib.error.HTTPError(req.full_url, code, "redirect to another origin", headers, fp)
+            raise ForeignRedirect
         again = super().redirect_request(req, fp, code, msg, headers, newurl)
         if again is not None:
             again.remove_header("Authorization")
@@ -53,7 +60,7 @@ def network(url: str, timeout: float):
         return e.code, dict(e.headers or {}), e.read(MOST_BYTES + 1) if e.fp else b"", e.geturl() or url
 
 
-def wait_of(headers: dict[str, str], now: float, attempt: int) -> float:
+def wait_of(headers: dict[str, str], now: float, attempt: int, limited: bool = True) -> float:
     """Seconds before the next attempt: what the server asks for, within 0 and LONGEST, or a doubling wait."""
     h = {k.lower(): v for k, v in headers.items()}
     asked = h.get("retry-after", "").strip()
@@ -66,14 +73,15 @@ def wait_of(headers: dict[str, str], now: float, attempt: int) -> float:
                 wait = parsedate_to_datetime(asked).timestamp() - now
             except (TypeError, ValueError):
                 wait = None
-    elif h.get("x-ratelimit-remaining") == "0" and h.get("x-ratelimit-reset", "").isdigit():
+    elif limited and h.get("x-ratelimit-remaining") == "0" and h.get("x-ratelimit-reset", "").isdigit():
         wait = int(h["x-ratelimit-reset"]) - now
     return min(LONGEST, max(0.0, wait if wait is not None else WAIT * 2**attempt))
 
 
-def again(status: int, headers: dict[str, str]) -> bool:
+def again(status: int, headers: dict[str, str], limited: bool = True) -> bool:
+    """Whether to ask once more; a 403 counts only from an API that limits rates."""
     h = {k.lower(): v for k, v in headers.items()}
-    return status >= 500 or status == 429 or (status == 403 and ("retry-after" in h or h.get("x-ratelimit-remaining") == "0"))
+    return status >= 500 or status == 429 or (status == 403 and limited and ("retry-after" in h or h.get("x-ratelimit-remaining") == "0"))
 
 
 def get(url: str, transport=network, sleep=time.sleep, clock=time.time):
@@ -82,11 +90,14 @@ def get(url: str, transport=network, sleep=time.sleep, clock=time.time):
     shown = f"{shown.hostname or ''}{shown.path}"
     if origin(url) is None:
         raise ValueError(f"not an https URL: {shown}")
+    limited = origin(url) in LIMITED
     for attempt in range(ATTEMPTS):
         last = attempt + 1 == ATTEMPTS
         try:
             status, headers, body, final = transport(url, TIMEOUT)
-        except OSError as e:
+        except ForeignRedirect:
+            raise ValueError(f"redirected to another origin: {shown}") from None
+        except (OSError, http.client.HTTPException) as e:  # a body cut short counts as no answer
             if last:
                 raise ValueError(f"no answer: {shown}: {type(e).__name__}") from None
             sleep(WAIT * 2**attempt)
@@ -95,8 +106,8 @@ def get(url: str, transport=network, sleep=time.sleep, clock=time.time):
             raise ValueError(f"redirected to another origin: {shown}")
         if len(body) > MOST_BYTES:
             raise ValueError(f"body too large: {shown}")
-        if not last and again(status, headers):
-            sleep(wait_of(headers, clock(), attempt))
+        if not last and again(status, headers, limited):
+            sleep(wait_of(headers, clock(), attempt, limited))
             continue
         return status, headers, body
     raise AssertionError

@@ -20,7 +20,11 @@ def one(spark, column, **values):
         ("HTTPS://Docs.Example.com//a//b/?q=1#f", "https://docs.example.com/a/b"),
         ("/guide/", "https://docs.example.com/guide"),
         ("//other.example.org/x", "https://other.example.org/x"),
-        ("https://docs.example.com/", "https://docs.example.com"),
+        ("https://docs.example.com/", "https://docs.example.com/"),
+        ("https://docs.example.com", "https://docs.example.com/"),
+        ("  /a/./b/../c \n", "https://docs.example.com/a/c"),
+        ("../../x/..", "https://docs.example.com/"),
+        ("next", "https://docs.example.com/next"),
         ("#top", "https://docs.example.com/start"),
     ],
 )
@@ -96,6 +100,9 @@ def test_clean_and_excerpt(spark):
     assert one(spark, text.excerpt(F.lit(long), "key", 60)) == "The word key sits here."
     assert one(spark, text.excerpt(F.lit("a key " + "word " * 100), "key", 40)).endswith(" …")
     assert one(spark, text.excerpt(F.lit("nothing"), "key", 40)) is None
+    # a long block of which no sentence matches leaves it to the next block
+    split = "A " + "word " * 20 + "k. Ey " + "word " * 20 + "end\n\nThe key itself."
+    assert one(spark, text.excerpt(F.lit(split), r"k\.? ?ey", 40)) == "The key itself."
 
 
 @pytest.mark.parametrize("shape", ["[", "{"])
@@ -115,7 +122,8 @@ def test_retry_after(spark, header, want):
 def test_retried(spark):
     rows = [(500, None, None, True), (429, None, None, True), (403, "1", None, True), (403, None, "0", True), (403, None, "5", False), (404, None, None, False), (200, None, None, False)]
     df = spark.createDataFrame(rows, "s int, h string, r string, want boolean")
-    assert df.where(text.retried(F.col("s"), F.col("h"), F.col("r")) != F.col("want")).isEmpty()
+    assert df.where(text.retried(F.col("s"), F.col("h"), F.col("r"), F.lit(True)) != F.col("want")).isEmpty()
+    assert not spark.range(1).select(text.retried(F.lit(403), F.lit("1"), F.lit("0"), F.lit(False)).alias("x")).first().x
 
 
 def test_utc(spark):

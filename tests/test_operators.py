@@ -3,7 +3,12 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import os
 import random
+import shutil
+import time
+from http.client import HTTPException, IncompleteRead
+from urllib.request import Request
 
 import pytest
 from pyspark.sql import functions as F
@@ -194,7 +199,7 @@ def test_config_codes_unset_the_source(spark):
 
 
 def test_grace_period(spark):
-    df = spark.createDataFrame([("a", "discrepancy", "2024-01-01T00:00:00Z"), ("b", "discrepancy", "2024-01-03T00:00:01Z"), ("c", "discrepancy", None), ("d", "consistent", "2024-01-01T00:00:00Z")], "k string, status string, discrepancy_first_observed string")
+    df = spark.createDataFrame([("a", "discrepancy", "2024-01-01T00:00:00Z"), ("b", "discrepancy", "2024-01-03T00:00:01Z"), ("c", "discrepancy", None), ("d", "up_to_date", "2024-01-01T00:00:00Z")], "k string, status string, discrepancy_first_observed string")
     assert rows(reconcile.actionable(df, F.lit("2024-01-04T00:00:00Z").cast("timestamp")), "k") == [("a",)]
 
 
@@ -263,7 +268,10 @@ def test_tables_models_sections_notes(spark):
     page = "| Model | Name |\n|---|:--:|\n| `m-1` | Fast one |\n| `latest` | `m-1` |\ntext\n| a | b |\n"
     df = spark.createDataFrame([(1, page)], "i int, t string")
     assert rows(extract.tables(df, ["i"], "t"), "island", "cells") == [(1, ["Model", "Name"]), (1, ["`latest`", "`m-1`"]), (1, ["`m-1`", "Fast one"]), (2, ["a", "b"])]
-    assert rows(extract.model_rows(df, ["i"], "t"), "id", "kind", "label", "target") == [("latest", "alias", None, "m-1"), ("m-1", "versioned", "Fast one", None)]
+    page = "| M 1 | `m-1` |\n| `latest` | `m-1` |\n| Other | `o` |\n\n|  | M 2 | M 3 |\n|---|---|---|\n| Model ID | `m-2` | `m-3` |\n"
+    models = lambda t: rows(extract.model_rows(spark.createDataFrame([(1, t)], "i int, t string"), ["i"], "t", "m "), "id", "kind", "label", "target")
+    assert models(page) == [("latest", "alias", None, "m-1"), ("m-1", "versioned", "M 1", None), ("m-2", "versioned", "M 2", None), ("m-3", "versioned", "M 3", None)]
+    assert models("| a | M 2 | M 3 |\n| Model ID | `m-2` | none |\n") == models("| a | M 2 |\n| Model ID | `m-2` | `m-3` |\n") == [(None, "unrecognized", None, None)]
     notes = "# Log\n## v1.2.0 (2024-02-03)\n- one\n### More\n- two\n## 1.3.0-rc.1\n- no\n## 1.1.0\n* three\n## Other\n- no\n"
     assert rows(extract.release_notes(spark.createDataFrame([(1, notes)], "i int, t string"), ["i"], "t"), "version", "date", "changes") == [("1.1.0", None, ["three"]), ("1.2.0", "2024-02-03", ["one", "two"])]
     levels = extract.levelled_sections(spark.createDataFrame([(1, "# a\n## b\n### c\n## d\n# e")], "i int, t string"), ["i"], "t")
@@ -397,6 +405,30 @@ def test_http_retries_and_guards():
     with pytest.raises(ValueError, match="repeat"):
         list(http.pages("https://a.example/l", "https://a.example/l", lambda u, t: (200, {"Link": '<https://a.example/l>; rel="next"'}, b"[]", u)))
     assert not http.again(403, {}) and http.again(403, {"Retry-After": "1"}) and http.again(503, {})
+    assert not http.again(403, {"Retry-After": "1"}, False) and http.again(429, {}, False)
+
+
+def test_bodies_cut_short_are_asked_for_again():
+    tries = []
+
+    def short(url, timeout):
+        tries.append(url)
+        if len(tries) < 3:
+            raise HTTPException("IncompleteRead")
+        return 200, {}, b"ok", url
+
+    assert http.get("https://a.example/x", short, lambda s: None)[2] == b"ok" and len(tries) == 3
+    with pytest.raises(ValueError, match="no answer: a.example/x: IncompleteRead"):
+        http.get("https://a.example/x", lambda u, t: (_ for _ in ()).throw(IncompleteRead(b"")), lambda s: None)
+
+    def foreign(url, timeout):
+        raise http.ForeignRedirect
+
+    with pytest.raises(ValueError, match="another origin: a.example/x"):
+        http.get("https://a.example/x", foreign)
+    handler = http._SameOrigin()
+    with pytest.raises(http.ForeignRedirect):
+        handler.redirect_request(Request("https://a.example/x"), None, 302, "", {}, "https://b.example/")
 
 
 def test_http_source_reads_lists(spark):
@@ -450,6 +482,80 @@ def test_publication_is_atomic_and_recovers(spark, tmp_path):
         store.publish("../x", {})
 
 
+def test_the_lock_of_a_killed_writer_is_taken_over(spark, tmp_path):
+    root = str(tmp_path / "s")
+    Store(spark, root).publish("b1", {"t": spark.range(1)})
+    (tmp_path / "s/LOCK").write_text("a writer that is no more")
+    shutil.copytree(tmp_path / "s/batches/b1/t", tmp_path / "s/batches/b2/t")
+    with pytest.raises(RuntimeError, match="holds the lock"):
+        Store(spark, root).publish("b3", {"t": spark.range(3)})
+    os.utime(tmp_path / "s/LOCK", (time.time() - 500,) * 2)
+    (tmp_path / "s/.LOCK.crc").unlink(missing_ok=True)
+    store = Store(spark, root)
+    store.publish("b3", {"t": spark.range(3)})
+    assert store.read("t").count() == 3 and not (tmp_path / "s/LOCK").exists() and not (tmp_path / "s/batches/b2").exists()
+    assert list(Store._in_order(dict.fromkeys(["state_x", "baseline", "events", "report_a", "other"]))) == ["other", "report_a", "events", "state_x", "baseline"]
+    (tmp_path / "link").symlink_to(tmp_path / "s")
+    with pytest.raises(ValueError, match="link"):
+        Store(spark, str(tmp_path / "link")).publish("b4", {"t": spark.range(1)})
+
+
+def test_documents_are_laid_out_and_named(spark, tmp_path):
+    df = spark.createDataFrame([("state/a.json", '{"b": [1], "a": "\u00e9"}'), ("c.json", "[]")], "name string, json string")
+    out = {r.name: r for r in files.write_documents(df, f"file://{tmp_path}/out").collect()}
+    assert (tmp_path / "out/state/a.json").read_text() == '{\n  "a": "\u00e9",\n  "b": [\n    1\n  ]\n}\n' and out["c.json"].bytes == 3
+    for name, body in (("../x.json", "{}"), ("x.json", "{"), ("x.json", None)):
+        with pytest.raises(Exception, match="not a document"):
+            files.write_documents(spark.createDataFrame([(name, body)], "name string, json string"), f"file://{tmp_path}/out").collect()
+
+
+def test_command_line_gives_a_summary(spark, tmp_path, capsys):
+    from annalist.__main__ import main
+
+    spark.range(5).selectExpr("id as event_id", "'a' as event_type").write.parquet(str(tmp_path / "d/events.parquet"))
+    assert main(["category_counts", "--data", str(tmp_path / "d"), "--out", str(tmp_path / "out"), "--diagnostics", str(tmp_path / "run.json")], spark) == 0
+    assert json.loads(capsys.readouterr().out)["rows"] == 1 == json.loads((tmp_path / "run.json").read_text())["rows"]
+    assert main(["category_counts", "--data", str(tmp_path / "none")], spark) == 1
+    assert json.loads(capsys.readouterr().out)["phase"] == "plan"
+
+
+def test_every_rule_of_the_truth_table_is_met(spark):
+    from annalist.operators import classify
+
+    shape = "layer string, id string, state string, status string, summary string, policy string, identity string, kind string, complete string, evidence string, cited array<string>, reviews string, review_urls string, observed map<string, string>, prior map<string, string>, claims map<string, struct<status: string, value: string, last: string>>, sources array<struct<source_id: string, url: string, sha256: string>>"
+    names = [c.split()[0] for c in shape.split(", ") if " " in c][:15]
+    src = [("a", "u", "h")]
+
+    def rows_of(*items):
+        out = []
+        for item in items:
+            row = dict.fromkeys(["layer", "id", "state", "status", "summary", "policy", "identity", "kind", "complete", "evidence", "cited", "reviews", "review_urls", "observed", "prior", "claims", "sources"]) | {"sources": src} | item
+            out.append(tuple(row.values()))
+        return spark.createDataFrame(out, shape)
+
+    old = rows_of(
+        {"layer": "practices", "id": "gone", "state": "1"}, {"layer": "models", "id": "m", "state": "1"}, {"layer": "models", "id": "r", "state": "1"}, {"layer": "models", "id": "same", "state": "1"},
+        {"layer": "sdk-python", "id": "s", "state": "1", "identity": "x"}, {"layer": "model-limitations", "id": "l1", "state": "1", "evidence": "e", "cited": ["c"]}, {"layer": "model-limitations", "id": "l2", "state": "1", "evidence": "e", "cited": []},
+        {"layer": "practices", "id": "p1", "state": "1", "prior": {"a": "h"}}, {"layer": "practices", "id": "p2", "state": "1", "policy": "source-reviewed-v1", "reviews": "r", "review_urls": "u", "observed": {"a": "h"}}, {"layer": "practices", "id": "p3", "state": "1", "status": "unknown", "policy": "source-reviewed-v1"},
+        {"layer": "api", "id": "a1", "state": "1", "claims": {"x": ("verified", "1", None)}}, {"layer": "api", "id": "a2", "state": "1", "claims": {"x": ("unknown", None, "1")}}, {"layer": "api", "id": "a3", "state": "1"}, {"layer": "api", "id": "a4", "state": "1"},
+    )
+    new = rows_of(
+        {"layer": "primitives", "id": "came", "state": "1"}, {"layer": "models", "id": "m", "state": "2", "summary": "own"}, {"layer": "models", "id": "n", "state": "1"}, {"layer": "models", "id": "same", "state": "1"}, {"layer": "cookbooks", "id": "c1", "state": "1"}, {"layer": "cookbooks", "id": "c2", "state": "2"},
+        {"layer": "sdk-python", "id": "s", "state": "1", "identity": "x", "policy": "tag-verified-v1"}, {"layer": "model-limitations", "id": "l1", "state": "2", "evidence": "e", "cited": ["c"], "kind": "k", "complete": "h"}, {"layer": "model-limitations", "id": "l2", "state": "2", "evidence": "e", "cited": [], "complete": "h"},
+        {"layer": "practices", "id": "p1", "state": "2", "policy": "source-reviewed-v1", "observed": {"a": "h"}}, {"layer": "practices", "id": "p2", "state": "1", "policy": "source-reviewed-v1", "reviews": "s", "review_urls": "u", "observed": {"a": "h"}}, {"layer": "practices", "id": "p3", "state": "2", "status": "recommended", "policy": "source-reviewed-v1"},
+        {"layer": "api", "id": "a1", "state": "2", "claims": {"x": ("unknown", None, "1")}}, {"layer": "api", "id": "a2", "state": "2", "claims": {"x": ("verified", "2", None)}}, {"layer": "api", "id": "a3", "state": "2", "claims": {"x": ("verified", "1", None)}}, {"layer": "api", "id": "a4", "state": "2", "claims": {"x": ("unknown", None, None)}},
+    )
+    assert len(names) == 15
+    rules = spark.createDataFrame([("p1", ["a"]), ("p2", ["a"]), ("p3", ["a"])], "id string, sources array<string>")
+    got = {(r.layer, r.id): (r.change, r.note) for r in classify.change_events(old, new, rules).collect()}
+    assert got == {
+        ("cookbooks", None): ("baseline", "layer_began"), ("models", "m"): ("modified", None), ("models", "r"): ("removed", None), ("models", "n"): ("added", None), ("sdk-python", "s"): ("baseline", "release_policy_adopted"),
+        ("practices", "gone"): ("untracked", "rule_removed"), ("primitives", "came"): ("baseline", "rule_added"), ("model-limitations", "l1"): ("baseline", "limitation_reread"), ("model-limitations", "l2"): ("modified", "limitation_reread_and_changed"),
+        ("practices", "p1"): ("baseline", "practice_policy_adopted"), ("practices", "p2"): ("verification_changed", "context_reviewed"), ("practices", "p3"): ("modified", None), ("api", "a1"): ("verification_changed", "claims_reverified"),
+        ("api", "a2"): ("modified", "claims_differ"), ("api", "a3"): ("baseline", "claims_began"), ("api", "a4"): ("verification_changed", "claims_unverified"),
+    }
+
+
 def test_streams_agree_with_batch_and_ignore_replays(spark, tmp_path):
     shape = "entity string, ts timestamp, state string"
     base = str(tmp_path / "in")
