@@ -115,6 +115,30 @@ def words(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return h, start, end, np.searchsorted(offs, start, "right") - 1
 
 
+def word_numbers(lower: bytes, h: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, int]:
+    """A number for each word (equal words have equal ones) and how many there are; the words of equal hashes are compared."""
+    order = np.argsort(h)
+    again = h[order[1:]] == h[order[:-1]]
+    a, b = order[:-1][again], order[1:][again]
+    size = (end - start)[a]
+    same = size == (end - start)[b]
+    eights = np.ndarray((len(lower) + 1,), "<u8", np.frombuffer(lower + bytes(8), np.uint8), strides=(1,))
+    active, at = np.flatnonzero(same & (size <= SHORT_WORD)), 0
+    while len(active):
+        tail = TAILS[np.minimum(size[active] - at, 8)]
+        same[active] &= (eights[start[a[active]] + at] & tail) == (eights[start[b[active]] + at] & tail)
+        at += 8
+        active = active[size[active] > at]
+    for i in np.flatnonzero(same & (size > SHORT_WORD)).tolist():
+        same[i] = lower[start[a[i]] : end[a[i]]] == lower[start[b[i]] : end[b[i]]]
+    if not same.all():  # two words of one hash: numbered by a table
+        known: dict[bytes, int] = {}
+        return np.array([known.setdefault(lower[s:e], len(known)) for s, e in zip(start.tolist(), end.tolist(), strict=True)], np.int64), len(known)
+    numbers = np.zeros(len(h), np.int64)
+    numbers[order[1:]] = np.cumsum(~again)
+    return numbers, int(numbers.max(initial=-1)) + 1
+
+
 def chain(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n consecutive word hashes (length len(h) - n + 1)."""
     size = max(0, len(h) - n + 1)
@@ -129,6 +153,12 @@ def text_bounds(text: np.ndarray, count: int) -> np.ndarray:
     return np.searchsorted(text, np.arange(count + 1))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending (by sorting, for short arrays many times faster than a table)."""
+    own = np.sort(values)
+    return own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own
+
+
 def shingle_sets(column: pa.Array, n: int):
     """For each text its distinct n-word shingle hashes, ascending.
 
@@ -142,7 +172,7 @@ def shingle_sets(column: pa.Array, n: int):
         bounds = text_bounds(text, len(offs) - 1)
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             if b - a >= n:
-                yield np.unique(runs[a : b - n + 1])
+                yield distinct(runs[a : b - n + 1])
             elif b > a:
                 yield chain(h[a:b], int(b - a))
             else:

@@ -15,9 +15,9 @@ the groups of each shingle meet within blocks of bounded size, and each block
 emits a spanning forest, closest pairs first. What may still be missing - where
 a pair of a forest did not link, or a shingle has several blocks - is gone
 through again in rounds: only classes of clusters that are not settled, only
-pairs across components, for each class its closest candidates and then more,
-until no candidate is left out. Rounds compare blocks cell by cell, leaving out
-cells within one component or with sizes too far apart.
+pairs across components, first a forest of them, then for each class its closest
+candidates and then more, until no candidate is left out. Rounds compare blocks
+cell by cell, leaving out cells within one component or with sizes too far apart.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .kernels import LOWER_BYTES, mix, shingle_sets
+from .kernels import LOWER_BYTES, distinct, mix, shingle_sets, word_numbers, words
 from .workspace import materialise
 
 #: Shingles that are put last in the global order: at most so many, each seen so often.
@@ -45,8 +45,8 @@ BITS = 512
 BLOCK, GROUP = 256, 16
 #: Prefixes that one task sees of a common shingle, about; more are dealt to several.
 DEAL = 1 << 13
-#: Candidates of each class that the rounds take, last all.
-CLOSEST = (8, 256, None)
+#: Candidates of each class that the rounds take: first a forest, last all.
+CLOSEST = (0, 8, 256, None)
 #: Most ids that are broadcast to pick texts (8 bytes each); more are joined by shuffle.
 SENT = 1_000_000
 #: Members whose signatures a task compares at once.
@@ -164,12 +164,12 @@ def _spread(groups: DataFrame, records: DataFrame) -> DataFrame:
     return shingles.select("token", "gid", "n", "pos", "low", "high", F.lit(False).alias("inner")).unionByName(own)
 
 
-def _meet(cells: DataFrame, groups: DataFrame, percent: int, closest: int | None, forest: bool) -> DataFrame:
+def _meet(cells: DataFrame, groups: DataFrame, percent: int, closest: int | None = 0) -> DataFrame:
     """cells (token, cell, side, gid, n, pos) -> distinct candidate pairs (a, b) of classes in different components.
 
-    Of a cell with sides (0 and 1; -1: none) only pairs across them. forest: of each
-    cell a spanning forest, closest pairs first. Otherwise each class's closest
-    candidates in the cell (None: all); where some are left out, there is a pair of nulls.
+    Of a cell with sides (0 and 1; -1: none) only pairs across them: a spanning
+    forest of its components, closest pairs first (closest 0), or each class's
+    closest candidates (None: all); where some are left out, there is a pair of nulls.
     """
 
     def run(batches):
@@ -179,16 +179,16 @@ def _meet(cells: DataFrame, groups: DataFrame, percent: int, closest: int | None
             key = np.stack([np.asarray(held.column(c)) for c in ("token", "cell")])
             cut = np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1
             if len(cut):
-                yield from _found(held.slice(0, cut[-1]), percent, closest, forest)
+                yield from _found(held.slice(0, cut[-1]), percent, closest)
                 held = held.slice(cut[-1])
         if held is not None and held.num_rows:
-            yield from _found(held, percent, closest, forest)
+            yield from _found(held, percent, closest)
 
     filled = cells.join(groups.select("gid", "members"), "gid").select("token", "cell", "side", "n", "pos", "members")
     return filled.repartition("token", "cell").sortWithinPartitions("token", "cell").mapInArrow(run, "a long, b long").distinct()
 
 
-def _found(rows: pa.RecordBatch, percent: int, closest: int | None, forest: bool):
+def _found(rows: pa.RecordBatch, percent: int, closest: int | None):
     """Candidate pairs of whole cells, batch by batch of about ROWS members."""
     key = np.stack([np.asarray(rows.column(c)) for c in ("token", "cell")])
     start = np.concatenate([[0], np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1, [rows.num_rows]])
@@ -205,7 +205,7 @@ def _found(rows: pa.RecordBatch, percent: int, closest: int | None, forest: bool
         own = members.values.slice(ends[a], ends[b] - ends[a])
         ids, comp = (np.asarray(own.field(c)) for c in ("id", "comp"))
         sig = np.frombuffer(b"".join(own.field("sig").to_pylist()), "<u8").reshape(-1, BITS // 64)
-        x, y, cut = _pairs(np.repeat(cell, count), ids, comp, n, pos, side, sig, percent, closest, forest)
+        x, y, cut = _pairs(np.repeat(cell, count), ids, comp, n, pos, side, sig, percent, closest)
         if len(x):
             low, high = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
             pairs = np.unique(np.stack([low, high], axis=1), axis=0)
@@ -215,7 +215,7 @@ def _found(rows: pa.RecordBatch, percent: int, closest: int | None, forest: bool
         first = last
 
 
-def _pairs(cell, ids, comp, n, pos, side, sig, percent: int, closest: int | None, forest: bool) -> tuple[np.ndarray, np.ndarray, bool]:
+def _pairs(cell, ids, comp, n, pos, side, sig, percent: int, closest: int | None) -> tuple[np.ndarray, np.ndarray, bool]:
     """Rows of the ends of candidate pairs within cells, and whether some are left out."""
     order = np.lexsort((ids, n, cell))
     cell, comp, n, pos, side, sig = cell[order], comp[order], n[order], pos[order], side[order], sig[order]
@@ -240,7 +240,7 @@ def _pairs(cell, ids, comp, n, pos, side, sig, percent: int, closest: int | None
         return none, none, False
     i, j, far = (np.concatenate(x) for x in zip(*out, strict=True))
     cut = False
-    if forest:
+    if closest == 0:
         keep = _forest(cell[i], comp[i], comp[j], far, ids[order][i], ids[order][j])
         i, j = i[keep], j[keep]
     elif closest is not None and len(i):
@@ -291,8 +291,9 @@ def _first_cells(spread: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> Da
     dealt = dealt.select("token", "gid", "n", "pos", "inner", "salts", F.pmod(F.xxhash64("gid", "token"), "salts").alias("salt"))
     size = F.count("*").over(Window.partitionBy("token", "salt"))
     counted = dealt.withColumn("len", size).where("len > 1 or salts > 1 or inner")
-    blocks = F.ceil(F.col("len") / BLOCK)
-    return counted.select("token", (F.col("salt") * (1 << 32) + F.pmod(F.xxhash64("token", "gid"), blocks)).alias("cell"), F.lit(-1).alias("side"), "gid", "n", "pos", (F.col("salts") * blocks > 1).alias("long"))
+    # a group is in the same block of every list of about the same length, so their forests are much the same
+    blocks = F.greatest(F.lit(1), F.pow(F.lit(2), F.ceil(F.log2(F.col("len") / BLOCK)))).cast("long")
+    return counted.select("token", (F.col("salt") * (1 << 32) + F.pmod(F.xxhash64("gid"), blocks)).alias("cell"), F.lit(-1).alias("side"), "gid", "n", "pos", (F.col("salts") * blocks > 1).alias("long"))
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -345,25 +346,25 @@ def _within_reach(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
     return pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "x", "y").mapInArrow(check, "a long, b long").distinct()
 
 
-def _numbered(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    return np.array([known.setdefault(w, len(known)) for w in words], np.int64)
-
-
 def overlap(x: bytes, y: bytes, n: int) -> tuple[int, int]:
     """Sizes of the intersection and the union of two texts' sets of n-word shingles, by their words themselves."""
-    known: dict[bytes, int] = {}
-    both = [_numbered(t.translate(LOWER_BYTES).split(), known) for t in (x, y)]
-    if min(map(len, both)) < n:
+    lower = (x + b"\n" + y).translate(LOWER_BYTES)
+    h, start, end, text = words(np.frombuffer(lower, np.uint8), np.array([0, len(x) + 1, len(lower)]))
+    numbers, many = word_numbers(lower, h, start, end)
+    single = np.split(numbers, [np.searchsorted(text, 1)])
+    if min(map(len, single)) < n:
         # fewer words than n are one shingle of another length, or none
-        sets = [{tuple(w[i : i + n].tolist()) for i in range(max(1, len(w) - n + 1))} if len(w) else set() for w in both]
-        return len(sets[0] & sets[1]), len(sets[0] | sets[1])
-    runs = [w.copy() for w in both]
+        a, b = ({tuple(w[i : i + n].tolist()) for i in range(max(1, len(w) - n + 1))} if len(w) else set() for w in single)
+        return len(a & b), len(a | b)
+    runs, size = single, many
     for j in range(1, n):
-        # runs of j + 1 words are numbered by their first j and their next
-        pairs = [r[:-1] * len(known) + w[j:] for r, w in zip(runs, both, strict=True)]
-        numbers = np.unique(np.concatenate(pairs), return_inverse=True)[1]
-        runs = [numbers[: len(pairs[0])], numbers[len(pairs[0]) :]]
-    a, b = np.unique(runs[0]), np.unique(runs[1])
+        if size * many >= 1 << 63:
+            # runs of j words get numbers without gaps
+            numbered = np.unique(np.concatenate(runs), return_inverse=True)[1]
+            runs, size = np.split(numbered, [len(runs[0])]), len(numbered)
+        # a run of j + 1 words is its first j and its next
+        runs, size = [r[:-1] * many + w[j:] for r, w in zip(runs, single, strict=True)], size * many
+    a, b = map(distinct, runs)
     common = len(np.intersect1d(a, b, assume_unique=True))
     return common, len(a) + len(b) - common
 
@@ -432,7 +433,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     classes = materialise(one.select(F.col("one.doc_id").alias("class_id"), F.col("one.doc_id").alias("comp"), "n", "one.row", "one.prefix_key", "one.sig"), "classes")
     groups = materialise(_groups(classes), "groups")
     entries = materialise(_first_cells(_spread(groups, records), common), "entries")
-    tried = materialise(judged(materialise(_meet(entries, groups, percent, None, True), "pairs"), docs, n, percent, id_col, text_col), "tried")
+    tried = materialise(judged(materialise(_meet(entries, groups, percent), "pairs"), docs, n, percent, id_col, text_col), "tried")
     reached = materialise(_reached(tried.where("links")), "reached")
     unsettled = _unsettled(tried, reached, entries, groups)
     if not unsettled.isEmpty():
@@ -443,13 +444,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
             spread = materialise(_spread(groups, records), "spread")
             lists = spread.groupBy("token").agg(F.count("*").alias("len"), F.min("low").alias("l"), F.max("high").alias("h"), F.max("inner").alias("inner")).where("(len > 1 or inner) and l < h").select("token", "len")
             cells = _cells(materialise(spread.join(lists, "token"), "entries"), percent)
-            met = materialise(_meet(cells, groups, percent, closest, False), "met")
+            met = materialise(_meet(cells, groups, percent, closest), "met")
             fresh = _within_reach(met.where("a is not null").join(tried.select("a", "b"), ["a", "b"], "left_anti"), rest, percent)
             more = materialise(judged(materialise(fresh, "pairs"), docs, n, percent, id_col, text_col), "tried")
             tried = tried.unionByName(more)
-            if not more.where("links").isEmpty():
+            linked = more.where("links").count()
+            if linked:
                 reached = materialise(_reached(tried.where("links")), "reached")
-            if met.where("a is null").isEmpty():
+            # a forest says all if each of its pairs links, closest candidates if none is left out
+            if (met.count() == linked) if closest == 0 else met.where("a is null").isEmpty():
                 break
     least = records.where("doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
     owned = least.join(reached, "class_id", "left").select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
