@@ -7,29 +7,31 @@ after an executor is lost, can read them back.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.scratch import checkpoint_dir
+
 #: Id that stands for a null document id: it sorts after every other.
 NULL_ID = 2**63 - 1
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one is made only where none is set."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="annalist-"))
-    return sc.getCheckpointDir()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back (cuts lineage)."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that no plan still to run reads."""
+    for table in tables:
+        spark = table.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            own = spark._jvm.org.apache.hadoop.fs.Path(path)
+            own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)

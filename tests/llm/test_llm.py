@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from annalist.llm import decontaminate, fingerprints, induced_sort, kernels, language_id, line_dedup, mixing, ngram_join, quality, suffix_dedup, token_output, url_filter
@@ -65,36 +66,60 @@ def test_permutation_is_one_to_one_and_keyed(size):
     assert size < 64 or (a != b).any()
 
 
+def stream_by_force(rows, length):
+    """The sequences of the stream of (id, text) rows in one bucket: by id (null last), then by the text's hash."""
+    ids = []
+    for _, _, t in sorted((token_output.NULL_ID if i is None else i, xxhash.xxh3_64_intdigest(t or "") - (1 << 63), t or "") for i, t in rows):
+        ids += [*token_output.encoder(token_output.VOCABULARY).encode_ordinary(t), token_output.END]
+    ids += [token_output.END] * (-len(ids) % length)
+    return np.array(ids, np.uint16).reshape(-1, length)
+
+
 def test_token_round_trip(spark, tmp_path):
     rng = random.Random(2)
-    texts = [*HARD, *[prose(rng, rng.randrange(400)) for _ in range(60)]]
-    docs = table(spark, texts).repartition(3)
-    ordered = token_output.training_order(docs, length=128, shard_rows=16)
-    rows = ordered.orderBy("slot").collect()
-    assert [r.slot for r in rows] == list(range(len(rows)))
-    assert all(r.shard == r.slot // 16 and r.byte_offset == r.slot % 16 * 256 and len(r.tokens) == 256 for r in rows)
-    path = f"file://{tmp_path}/shards"
-    written = token_output.write_shards(ordered, path).orderBy("shard").collect()
-    assert sum(r.rows for r in written) == len(rows)
+    texts = [*HARD, *[prose(rng, rng.randrange(400)) for _ in range(60)], "same text", "same text"]
+    ids = [*range(len(texts) - 4), None, None, 7, 7]
+    docs = table(spark, texts, ids=ids).repartition(3)
+    rows = sorted(token_output.training_order(docs, length=128, shard_rows=16).collect())
+    want = stream_by_force(zip(ids, texts, strict=True), 128)
+    slots = token_output.permute(np.arange(len(want)), len(want), "order")
+    assert [r.slot for r in rows] == list(range(len(want)))
+    for q, slot in enumerate(slots.tolist()):
+        assert np.array_equal(np.frombuffer(rows[slot].tokens, "<u2"), want[q])
+    assert all(r.shard == r.slot // 16 and r.byte_offset == r.slot % 16 * 256 for r in rows)
+    assert sum(r.n_tokens for r in rows) == sum(len(list(token_output.encoder(token_output.VOCABULARY).encode_ordinary(t or ""))) + 1 for t in texts)
+    assert {r.n_tokens for r in rows if r.slot != slots[-1]} == {128} and all(r.docs > 0 for r in rows)
+    assert rows[slots[0]].first_doc == 0 and rows[slots[-1]].first_doc is None
+    # bytes do not depend on how the input is split, and can be read from any slot on
+    path, other = (f"file://{tmp_path}/{x}" for x in "ab")
+    a, b = (token_output.write_shards(d, p, length=128, shard_rows=16).orderBy("shard").collect() for d, p in ((docs, path), (docs.repartition(7, "text"), other)))
+    assert a == b and sum(r.rows for r in a) == len(want) and sum(r.bytes for r in a) == 256 * len(want)
     read = token_output.read_slots(path, 5, 40, 128, 16)
     assert np.array_equal(read, np.stack([np.frombuffer(r.tokens, "<u2") for r in rows[5:45]]))
-    # the stream of each partition gives every text back
-    coder, got = token_output.encoder(token_output.VOCABULARY), []
-    for part in {r.part for r in rows}:
-        own = sorted((r for r in rows if r.part == part), key=lambda r: r.number)
-        ids = np.concatenate([np.frombuffer(r.tokens, "<u2")[: r.n_tokens] for r in own])
-        ends = np.flatnonzero(ids == token_output.END)
-        got += [coder.decode(x[x != token_output.END].tolist()) for x in np.split(ids, ends + 1)[:-1]]
-    assert Counter(got) == Counter(t or "" for t in texts)
+    assert hashlib.sha256(token_output.read_slots(path, 16, 16, 128, 16).tobytes()).hexdigest() == a[1].sha256
     assert token_output.training_order(docs.limit(0)).count() == 0
 
 
+def test_stream_in_buckets_keeps_every_text(spark, monkeypatch):
+    monkeypatch.setattr(token_output, "BUCKET", 500)
+    rng = random.Random(21)
+    texts = [prose(rng, rng.randrange(60)) for _ in range(80)]
+    rows = sorted(token_output.training_order(table(spark, texts), length=64, shard_rows=8).collect())
+    order = token_output.permute(np.arange(len(rows)), len(rows), "order")
+    ids = np.concatenate([np.frombuffer(rows[s].tokens, "<u2")[: rows[s].n_tokens] for s in order.tolist()])
+    ends = np.flatnonzero(ids == token_output.END)
+    coder = token_output.encoder(token_output.VOCABULARY)
+    assert Counter(coder.decode(x[x != token_output.END].tolist()) for x in np.split(ids, ends + 1)[:-1]) == Counter(texts)
+
+
 def test_long_texts_are_encoded_whole(monkeypatch):
     text = "alpha beta\n" * 300 + "x" * 500
-    whole = token_output.encode(text)
-    monkeypatch.setattr(token_output, "PIECE", 100)
-    assert token_output.encoder(token_output.VOCABULARY).decode(token_output.encode(text)) == text
-    assert token_output.encoder(token_output.VOCABULARY).decode(whole) == text
+    coder = token_output.encoder(token_output.VOCABULARY)
+    for piece in (1 << 16, 100):
+        monkeypatch.setattr(token_output, "PIECE", piece)
+        parts = list(token_output.encoded(text))
+        ids = np.concatenate(parts)
+        assert (len(parts) > 1) == (piece == 100) and ids[-1] == token_output.END and coder.decode(ids[:-1].tolist()) == text
 
 
 # 2
