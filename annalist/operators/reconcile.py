@@ -168,3 +168,20 @@ def tool_snapshot(releases: DataFrame, tags: DataFrame, files: DataFrame, purpos
     rows = found.select("package", version.alias("version"), F.when(F.col("commit").isNotNull(), F.col("tag")).alias("source_tag"), F.col("commit").alias("source_commit"), text.excerpt(F.col("readme"), purpose).alias("purpose"), text.excerpt(F.col("readme"), compatibility).alias("compatibility"), F.coalesce(families, F.array().cast("array<string>")).alias("provider_families"), "config_version")
     lacks = [(F.col("version").isNull(), "release"), (F.col("source_commit").isNull(), "tag"), (~F.col("config_version").eqNullSafe(F.col("version")), "config"), (F.col("purpose").isNull(), "purpose"), (F.col("compatibility").isNull(), "compatibility")]
     return rows.withColumn("missing", F.array_compact(F.array(*[F.when(c, name) for c, name in lacks]))).drop("config_version")
+
+
+def package_snapshot(registry: DataFrame, tags: DataFrame, releases: DataFrame, config: DataFrame, notes: DataFrame) -> DataFrame:
+    """One row for each package: version, source_tag, source_commit and discrepancies from all that is known, and its release history.
+
+    registry: package, version; tags: package, tag, commit; releases: package,
+    tag, draft, prerelease, published_at; config: as in config_codes(), of the
+    release that the registry names; notes: package, version, position, changes.
+    release_history is in order of publication: struct(tag, version,
+    source_commit, published_at, documented_changes) of the stable releases.
+    """
+    found = resolved(reconciled(registry, tags, releases), config)
+    stable = release_states(releases).where("stable").join(tag_bindings(tags).select("package", "tag", "commit"), ["package", "tag"], "left")
+    rows = documented(stable.withColumn("version", F.regexp_replace("tag", "^v", "")), notes)
+    entry = F.struct(F.coalesce("published_at", F.lit("")).alias("p"), F.coalesce("tag", F.lit("")).alias("t"), F.struct("tag", "version", F.col("commit").alias("source_commit"), "published_at", "documented_changes").alias("r"))
+    history = rows.groupBy("package").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["r"]).alias("release_history"))
+    return found.join(history, "package", "left")

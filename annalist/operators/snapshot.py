@@ -187,3 +187,31 @@ def historical(previous: DataFrame, current: DataFrame, identity: Sequence[str],
         same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
     first = Window.partitionBy(*identity).orderBy(position)
     return previous.join(mark, same, "left_anti").withColumn("__r", F.row_number().over(first)).where("__r = 1").drop("__r")
+
+
+def observed(states: DataFrame, previous: DataFrame, now: Column, key: str = "layer") -> DataFrame:
+    """states (key, state: canonical JSON) with fingerprint and observed_at, the time of the previous state while the fingerprint stays.
+
+    previous: key, fingerprint, observed_at.
+    """
+    return carried(states.withColumn("fingerprint", hashing.content_sha256(F.col("state"))).withColumn("observed_at", now), previous, key, "fingerprint", "observed_at", now)
+
+
+def derived(layers: dict[str, DataFrame], previous: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+    """The layers of one snapshot: (layer, id, state) of all their items, and one row for each layer with fingerprint and observed_at.
+
+    layers: the items of each layer (id and what counts; a layer of one item has
+    one row). A layer's own state is the JSON of its items in order of id; one
+    without items is there too.
+    """
+    from .classify import projected
+
+    items = None
+    for name, rows in layers.items():
+        own = rows.select(F.lit(name).alias("layer"), F.col("id").cast("string").alias("id"), projected(rows).alias("state"))
+        items = own if items is None else items.unionByName(own)
+    spark = items.sparkSession
+    names = spark.createDataFrame([(name,) for name in layers], "layer string")
+    inner = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "state"))), lambda x: x["state"]), ",")
+    whole = names.join(items.groupBy("layer").agg(inner.alias("s")), "layer", "left").select("layer", F.concat(F.lit('{"items":['), F.coalesce("s", F.lit("")), F.lit("]}")).alias("state"))
+    return items, observed(whole, previous, now)

@@ -140,3 +140,21 @@ def item_provenance(spark, d):
     sources = table(spark, d, "supplier").where("s_acctbal > 0").select(F.concat(F.lit("s"), "s_suppkey").alias("source_id"), F.lit("https://x").alias("url"), F.sha2("s_name", 256).alias("sha256"))
     found = snapshot.provenance(items, sources, F.lit("top"))
     return found.select("id", F.transform("provenance", lambda x: x["source_id"]).alias("sources"))
+
+
+@query("""WITH i AS (SELECT 'nations' AS layer, CAST(n_nationkey AS VARCHAR) AS id, '{"id":' || n_nationkey || ',"name":"' || n_name || '"}' AS state FROM nation
+                     UNION ALL SELECT 'regions', CAST(r_regionkey AS VARCHAR), '{"id":' || r_regionkey || ',"name":"' || r_name || '"}' FROM region),
+               w AS (SELECT l.layer, '{"items":[' || coalesce(string_agg(state, ',' ORDER BY id), '') || ']}' AS state FROM (VALUES ('nations'), ('regions'), ('none')) l(layer) LEFT JOIN i USING (layer) GROUP BY 1)
+          SELECT layer, sha256(state) AS fingerprint, CASE WHEN layer = 'nations' THEN '2024-01-01' ELSE '2024-02-01' END AS observed_at, (SELECT count(*) FROM i WHERE i.layer = w.layer) AS items FROM w""")
+def derived_state(spark, d):
+    """All layers of a snapshot, each with a fingerprint and the time since when it is so."""
+    nations = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    regions = table(spark, d, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    none = spark.createDataFrame([], "layer string, fingerprint string, observed_at string")
+    layers = {"nations": nations, "regions": regions, "none": nations.where("id < 0")}
+    before = snapshot.derived(layers, none, F.lit("2024-01-01"))[1]
+    # the regions had another name
+    before = before.withColumn("fingerprint", F.when(F.col("layer") == "nations", F.col("fingerprint")).otherwise("?"))
+    items, states = snapshot.derived(layers, before, F.lit("2024-02-01"))
+    count = items.groupBy("layer").agg(F.count("*").alias("n"))
+    return states.join(count, "layer", "left").select("layer", "fingerprint", "observed_at", F.coalesce("n", F.lit(0)).alias("items"))

@@ -72,6 +72,32 @@ def version_reconciliation(spark, d):
     return found.select("package", "version", "source_tag", "source_commit", codes.alias("discrepancies"))
 
 
+@query(f"""WITH {_GIT},
+    cf AS (SELECT package, CASE WHEN n % 4 = 0 THEN ['release_config_missing'] WHEN n % 4 = 1 THEN ['release_config_malformed']
+                  ELSE list_filter([CASE WHEN n % 3 = 0 THEN 'release_config_version_mismatch' END, CASE WHEN n % 5 = 0 THEN 'release_config_name_missing' WHEN n % 7 = 0 THEN 'release_config_name_mismatch' END], lambda x: x IS NOT NULL) END AS extra
+           FROM (SELECT DISTINCT package, CAST(substr(package, 7) AS INT) AS n FROM p)),
+    d AS (SELECT j.*, extra, list_filter([CASE WHEN newest > v THEN 'git_source_ahead_of_registry' END, CASE WHEN mal THEN 'malformed_release_metadata' END, CASE WHEN newest IS NULL OR newest < v THEN 'registry_ahead_of_git_source' END,
+                         CASE WHEN commit IS NULL THEN 'registry_version_missing_git_tag' END, CASE WHEN NOT released THEN 'registry_version_missing_github_release' END], lambda x: x IS NOT NULL) AS codes FROM j JOIN cf USING (package)),
+    hi AS (SELECT st.package, string_agg(st.tag || '=' || coalesce(CAST(bound.commit AS VARCHAR), '') || '=' || coalesce(CAST(nt.note AS VARCHAR), ''), ';' ORDER BY st.tag) AS history
+           FROM st LEFT JOIN bound ON bound.package = st.package AND bound.tag = st.tag LEFT JOIN (SELECT package, version, min(p_partkey) AS note FROM p WHERE p_partkey % 2 = 0 GROUP BY ALL) nt ON nt.package = st.package AND 'v' || nt.version = st.tag
+           WHERE NOT off AND NOT bad GROUP BY 1)
+    SELECT d.package, version, CASE WHEN len(extra) = 0 AND commit IS NOT NULL THEN 'v' || version END AS source_tag, CASE WHEN len(extra) = 0 THEN commit END AS source_commit,
+           array_to_string(list_sort(list_concat(codes, extra)), ',') AS discrepancies, history FROM d LEFT JOIN hi USING (package)""")
+def package_snapshots(spark, d):
+    """D1 (J9, J10, A12, O2): everything known of a package's release, a broken configuration leaving its source unknown."""
+    p = _versions(spark, d)
+    items = table(spark, d, "lineitem").withColumnRenamed("l_partkey", "p_partkey").join(p, "p_partkey").withColumn("tag", F.concat(F.lit("v"), "version"))
+    registry = p.groupBy("package").agg(F.min("version").alias("version"))
+    tags = items.where("l_quantity > 45").select("package", "tag", F.col("l_suppkey").alias("commit")).distinct()
+    releases = items.where("l_discount > 0.08").select("package", "tag", (F.col("l_returnflag") == "R").alias("draft"), (F.col("l_linestatus") == "O").alias("prerelease"), F.lit(None).cast("string").alias("published_at")).distinct()
+    n = F.substring("package", 7, 9).cast("int")
+    config = registry.select("package", F.lit("npm").alias("kind"), "version", (n % 4 > 0).alias("present"), (n % 4 > 1).alias("parsed"), F.when(n % 5 == 0, None).when(n % 7 == 0, "other").otherwise(F.col("package")).alias("name"), F.when(n % 3 == 0, "0.0.0").otherwise(F.col("version")).alias("found_version"))
+    notes = p.where("p_partkey % 2 = 0").select("package", "version", F.col("p_partkey").alias("position"), F.col("p_partkey").cast("string").alias("changes"))
+    out = reconcile.package_snapshot(registry, tags, releases, config, notes)
+    line = lambda r: F.concat_ws("=", r["tag"], F.coalesce(r["source_commit"].cast("string"), F.lit("")), F.coalesce(r["documented_changes"], F.lit("")))
+    return out.select("package", "version", "source_tag", "source_commit", F.array_join("discrepancies", ",").alias("discrepancies"), F.array_join(F.transform("release_history", line), ";").alias("history"))
+
+
 _CLOCK = """
     f AS (SELECT user_id, max(CASE WHEN event_type = 'error' THEN ts END) AS bad, min(CASE WHEN event_type = 'error' THEN ts END) AS first_bad, max(ts) AS last FROM events GROUP BY 1),
     c AS (SELECT user_id, CASE WHEN bad IS NOT NULL THEN 'discrepancy' ELSE 'up_to_date' END AS status,
