@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
 Every step is a grouped minimum (combined before the shuffle) joined back to
-the edges; nothing is gathered per vertex and nothing goes to the driver but
-one checksum per round.
+the edges. Vertices of very high degree, of which there can be few only, get
+their minimum by broadcast, so no task holds the edges of one. Nothing is
+gathered per vertex and nothing goes to the driver but one row per round.
 """
 
 from __future__ import annotations
@@ -10,19 +11,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import materialise
+from .workspace import discard, materialise
 
+#: A vertex with more than this part of all edges counts as hot; there are at most 2 * PART of them, of 16 bytes each.
+PART = 100_000
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+
+def _hung(edges: DataFrame, m, hot: int) -> DataFrame:
+    """edges (u, v) with m of u: an aggregate of the edges, broadcast for vertices with more than `hot` of them."""
+    least = edges.groupBy("u").agg(m.alias("m"), F.count("*").alias("degree"))
+    marked = edges.join(F.broadcast(least.where(F.col("degree") > hot).select("u", F.col("m").alias("top"))), "u", "left")
+    cold = marked.where("top is null").select("u", "v").join(least.where(F.col("degree") <= hot).select("u", "m"), "u")
+    return marked.where("top is not null").select("u", "v", F.col("top").alias("m")).unionByName(cold)
+
+
+def _star(edges: DataFrame, large: bool, hot: int) -> DataFrame:
     """edges (u, v); large: hang every larger neighbour of u on the least one; else hang u and its smaller neighbours."""
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        out = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        out = _hung(both, F.least(F.min("v"), F.col("u")), hot).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        out = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        hung = _hung(down, F.min("v"), hot)
+        out = hung.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
     return out.where("u <> v").distinct()
 
 
@@ -33,13 +44,19 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     (the latter are ignored); no edges give no rows.
     """
     edges = materialise(edges.select("u", "v").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    seen = None
+    size = edges.count()
     for _ in range(max_rounds):
-        edges = materialise(_star(_star(edges, True), False), "stars")
-        row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if seen == (row.n, row.s):
+        hot = size // PART + 1
+        stars = materialise(_star(_star(edges, True, hot), False, hot), "stars") if size else edges
+        if size:
+            discard(edges)
+        edges = stars
+        # done when every edge hangs a vertex with no other on one that hangs on none
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("n")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("n")))
+        row = ends.groupBy("x").agg(F.sum("n").alias("n"), F.min("n").alias("least")).agg(F.count_if(F.expr("n > 1 or (n = 1 and least = 0)")).alias("open"), F.sum("n").alias("size")).first()
+        size = row.size or 0
+        if not row.open:
             break
-        seen = (row.n, row.s)
     else:
         raise RuntimeError("components: no fixed point")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

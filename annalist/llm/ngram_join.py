@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .kernels import LOWER_BYTES, distinct, mix, shingle_sets, word_numbers, words
-from .workspace import materialise
+from .workspace import discard, materialise
 
 #: Shingles that are put last in the global order: at most so many, each seen so often.
 COMMON_SHINGLES, COMMON_COUNT = 1 << 17, 8
@@ -42,11 +42,15 @@ HELD = 2_000_000
 #: Bits of the signatures that groups meet with; pairs of later rounds are compared by bitmaps as wide as their sets too.
 BITS = 512
 #: Most groups in one block of a shingle's list, and members in one part of a group.
-BLOCK, GROUP = 256, 16
+BLOCK, GROUP = 512, 16
 #: Prefixes that one task sees of a common shingle, about; more are dealt to several.
 DEAL = 1 << 13
+#: Shingles of a set for each task more that its cells are dealt to.
+SPREAD = 4096
+#: What rows meet under: cells of one deal are compared one after another.
+KEY = ["deal", "token", "cell"]
 #: Candidates of each class that the rounds take: first a forest, last all.
-CLOSEST = (0, 8, 256, None)
+CLOSEST = (0, 64, None)
 #: Most ids that are broadcast to pick texts (8 bytes each); more are joined by shuffle.
 SENT = 1_000_000
 #: Members whose signatures a task compares at once.
@@ -144,53 +148,75 @@ def _records(docs: DataFrame, n: int, percent: int, common: tuple[np.ndarray, np
 def _groups(classes: DataFrame) -> DataFrame:
     """classes (class_id, comp, n, prefix_key, sig, row) -> parts of groups of equal size and prefix.
 
-    (gid, n, group, parts, low, high, members): gid is the row of a record that
-    has the prefix, low and high the least and greatest component, members
-    (id, comp, sig) at most about GROUP.
+    (gid, n, group, parts, size, members): gid is the row of a record that has
+    the prefix, members (id, comp, sig) are at most about GROUP.
     """
     large = classes.groupBy("n", "prefix_key").count().where(F.col("count") > GROUP)
     parts = F.coalesce(F.ceil(F.col("count") / GROUP), F.lit(1)).cast("int")
     dealt = classes.join(large, ["n", "prefix_key"], "left").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("parts")))
     own = F.struct(F.col("class_id").alias("id"), "comp", "sig")
-    found = dealt.groupBy("n", "prefix_key", "part").agg(F.min("row").alias("gid"), F.first("parts").alias("parts"), F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.collect_list(own).alias("members"))
-    return found.select("gid", "n", F.xxhash64("n", "prefix_key").alias("group"), "parts", "size", "low", "high", "members")
+    found = dealt.groupBy("n", "prefix_key", "part").agg(F.min("row").alias("gid"), F.first("parts").alias("parts"), F.count("*").alias("size"), F.collect_list(own).alias("members"))
+    return found.select("gid", "n", F.xxhash64("n", "prefix_key").alias("group"), "parts", "size", "members")
 
 
 def _spread(groups: DataFrame, records: DataFrame) -> DataFrame:
-    """(token, gid, n, pos, low, high, inner): every prefix shingle of every group; the members of a group of several meet under one token more (inner)."""
-    slim = groups.select("gid", "n", "low", "high")
-    shingles = records.select(F.col("row").alias("gid"), "prefix").join(slim, "gid").select(F.posexplode("prefix").alias("pos", "token"), "gid", "n", "low", "high")
-    own = groups.where("size > 1 or parts > 1").select(F.col("group").alias("token"), "gid", "n", F.lit(0).alias("pos"), "low", "high", F.lit(True).alias("inner"))
-    return shingles.select("token", "gid", "n", "pos", "low", "high", F.lit(False).alias("inner")).unionByName(own)
+    """(token, gid, n, pos, inner): every prefix shingle of every group; the members of a group of several meet under one token more (inner)."""
+    shingles = records.select(F.col("row").alias("gid"), "prefix").join(groups.select("gid", "n"), "gid").select(F.posexplode("prefix").alias("pos", "token"), "gid", "n")
+    own = groups.where("size > 1 or parts > 1").select(F.col("group").alias("token"), "gid", "n", F.lit(0).alias("pos"), F.lit(True).alias("inner"))
+    return shingles.select("token", "gid", "n", "pos", F.lit(False).alias("inner")).unionByName(own)
 
 
 def _meet(cells: DataFrame, groups: DataFrame, percent: int, closest: int | None = 0) -> DataFrame:
-    """cells (token, cell, side, gid, n, pos) -> distinct candidate pairs (a, b) of classes in different components.
+    """cells (deal, token, cell, side, gid, n, pos) -> distinct candidate pairs (a, b) of classes in different components.
 
     Of a cell with sides (0 and 1; -1: none) only pairs across them: a spanning
-    forest of its components, closest pairs first (closest 0), or each class's
-    closest candidates (None: all); where some are left out, there is a pair of nulls.
+    forest of the components in cells of one deal, closest pairs of a cell first
+    (closest 0), or each class's closest candidates in each cell (None: all);
+    where some are left out, there is a pair of nulls.
     """
 
     def run(batches):
-        held = None
+        held, forest = None, _Forest()
         for batch in batches:
             held = batch if held is None else pa.concat_batches([held, batch])
-            key = np.stack([np.asarray(held.column(c)) for c in ("token", "cell")])
+            key = np.stack([np.asarray(held.column(c)) for c in KEY])
             cut = np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1
             if len(cut):
-                yield from _found(held.slice(0, cut[-1]), percent, closest)
+                yield from _found(held.slice(0, cut[-1]), percent, closest, forest)
                 held = held.slice(cut[-1])
         if held is not None and held.num_rows:
-            yield from _found(held, percent, closest)
+            yield from _found(held, percent, closest, forest)
 
-    filled = cells.join(groups.select("gid", "members"), "gid").select("token", "cell", "side", "n", "pos", "members")
-    return filled.repartition("token", "cell").sortWithinPartitions("token", "cell").mapInArrow(run, "a long, b long").distinct()
+    filled = cells.join(groups.select("gid", "members"), "gid").select(*KEY, "side", "n", "pos", "members")
+    return filled.repartition("deal").sortWithinPartitions(*KEY).mapInArrow(run, "a long, b long").distinct()
 
 
-def _found(rows: pa.RecordBatch, percent: int, closest: int | None):
+class _Forest:
+    """Which components the pairs given so far connect, within one deal."""
+
+    def __init__(self):
+        self.deal, self.root = None, {}
+
+    def begin(self, deal: int) -> None:
+        if deal != self.deal:
+            self.deal, self.root = deal, {}
+
+    def find(self, x: int) -> int:
+        root = self.root
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    def joins(self, x: int, y: int) -> bool:
+        """Connect x and y; False if they are already."""
+        x, y = self.find(x), self.find(y)
+        self.root[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _found(rows: pa.RecordBatch, percent: int, closest: int | None, forest: _Forest):
     """Candidate pairs of whole cells, batch by batch of about ROWS members."""
-    key = np.stack([np.asarray(rows.column(c)) for c in ("token", "cell")])
+    key = np.stack([np.asarray(rows.column(c)) for c in KEY])
     start = np.concatenate([[0], np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1, [rows.num_rows]])
     members = rows.column("members")
     ends = members.offsets.to_numpy()
@@ -205,18 +231,24 @@ def _found(rows: pa.RecordBatch, percent: int, closest: int | None):
         own = members.values.slice(ends[a], ends[b] - ends[a])
         ids, comp = (np.asarray(own.field(c)) for c in ("id", "comp"))
         sig = np.frombuffer(b"".join(own.field("sig").to_pylist()), "<u8").reshape(-1, BITS // 64)
-        x, y, cut = _pairs(np.repeat(cell, count), ids, comp, n, pos, side, sig, percent, closest)
-        if len(x):
-            low, high = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
+        cell = np.repeat(cell, count)
+        x, y, far = _pairs(cell, ids, comp, n, pos, side, sig, percent)
+        keep = np.ones(len(x), bool)
+        if closest == 0:
+            keep = _spanning(cell[x], x, y, comp, far, ids, key[0][start[first:last]], forest)
+        elif closest is not None and len(x):
+            keep = _nearest(x, y, far, closest)
+        if keep.any():
+            low, high = np.minimum(ids[x], ids[y])[keep], np.maximum(ids[x], ids[y])[keep]
             pairs = np.unique(np.stack([low, high], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-        if cut:
+        if closest and not keep.all():
             yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64())], ["a", "b"])
         first = last
 
 
-def _pairs(cell, ids, comp, n, pos, side, sig, percent: int, closest: int | None) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Rows of the ends of candidate pairs within cells, and whether some are left out."""
+def _pairs(cell, ids, comp, n, pos, side, sig, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the ends of candidate pairs within cells, and how far these are apart."""
     order = np.lexsort((ids, n, cell))
     cell, comp, n, pos, side, sig = cell[order], comp[order], n[order], pos[order], side[order], sig[order]
     out, active, k = [], np.arange(len(cell)), 0
@@ -237,63 +269,58 @@ def _pairs(cell, ids, comp, n, pos, side, sig, percent: int, closest: int | None
             out.append((i[ok], j[ok], apart[ok] / n[j[ok]]))
     if not out:
         none = np.zeros(0, np.int64)
-        return none, none, False
+        return none, none, np.zeros(0)
     i, j, far = (np.concatenate(x) for x in zip(*out, strict=True))
-    cut = False
-    if closest == 0:
-        keep = _forest(cell[i], comp[i], comp[j], far, ids[order][i], ids[order][j])
-        i, j = i[keep], j[keep]
-    elif closest is not None and len(i):
-        # rank of each candidate among those of either end
-        ends, far = np.concatenate([i, j]), np.concatenate([far, far])
-        by = np.lexsort((far, ends))
-        new = np.flatnonzero(np.diff(ends[by], prepend=-1))
-        rank = np.empty(len(by), np.int64)
-        rank[by] = np.arange(len(by)) - np.repeat(new, np.diff(np.append(new, len(by))))
-        keep = np.minimum(rank[: len(i)], rank[len(i) :]) < closest
-        cut = not keep.all()
-        i, j = i[keep], j[keep]
-    return order[i], order[j], cut
-
-
-def _forest(cell, a, b, far, id_a, id_b) -> np.ndarray:
-    """Numbers of the edges between components a and b that make a spanning forest of each cell, closest first."""
-    by = np.lexsort((np.maximum(id_a, id_b), np.minimum(id_a, id_b), far, cell))
-    alone = np.diff(np.flatnonzero(np.diff(cell[by], prepend=-1, append=-1))) == 1 if len(by) else np.zeros(0, bool)
-    first = np.flatnonzero(np.diff(cell[by], prepend=-1))
-    keep = by[first[alone]].tolist()
-    for s, e in zip(first[~alone].tolist(), np.append(first[1:], len(by))[~alone].tolist(), strict=True):
-        root: dict[int, int] = {}
-
-        def find(x, root=root):
-            while root.setdefault(x, x) != x:
-                root[x] = x = root[root[x]]
-            return x
+    return order[i], order[j], far
+
 
+def _spanning(cell, x, y, comp, far, ids, deals, forest: _Forest) -> np.ndarray:
+    """Which pairs (rows x and y) make a spanning forest of the components, cell after cell, closest first."""
+    by = np.lexsort((np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y]), far, cell))
+    keep = np.zeros(len(x), bool)
+    cut = np.flatnonzero(np.diff(cell[by], prepend=-1, append=-1)) if len(by) else np.zeros(0, np.int64)
+    for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
         own = by[s:e]
-        for k, x, y in zip(own.tolist(), a[own].tolist(), b[own].tolist(), strict=True):
-            x, y = find(x), find(y)
-            if x != y:
-                root[x] = y
-                keep.append(k)
-    return np.array(sorted(keep), np.int64)
+        forest.begin(int(deals[cell[own[0]]]))
+        # what earlier cells of the deal connect is left out at once
+        rows = distinct(np.concatenate([x[own], y[own]]))
+        roots = np.fromiter(map(forest.find, comp[rows].tolist()), np.int64, len(rows))
+        own = own[roots[np.searchsorted(rows, x[own])] != roots[np.searchsorted(rows, y[own])]]
+        for k, a, b in zip(own.tolist(), comp[x[own]].tolist(), comp[y[own]].tolist(), strict=True):
+            keep[k] = forest.joins(a, b)
+    return keep
+
+
+def _nearest(x, y, far, closest: int) -> np.ndarray:
+    """Which pairs are among the closest of one of their ends."""
+    ends, far = np.concatenate([x, y]), np.concatenate([far, far])
+    by = np.lexsort((far, ends))
+    new = np.flatnonzero(np.diff(ends[by], prepend=-1))
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by)) - np.repeat(new, np.diff(np.append(new, len(by))))
+    return np.minimum(rank[: len(x)], rank[len(x) :]) < closest
 
 
 def _first_cells(spread: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Entries (token, cell, side, gid, n, pos, long) of shingles that several groups have; long: the shingle has more than one cell.
+    """Entries (deal, token, cell, side, gid, n, pos, long) of shingles that several groups have; long: the shingle has more than one cell.
 
-    One deal puts the entries of a shingle together; those of a shingle that is
-    known to be common are dealt to several tasks. A cell has at most about BLOCK entries.
+    One shuffle puts the entries of a shingle together; those of a shingle that
+    is known to be common go to several tasks. A cell has at most about BLOCK
+    entries, and the cells of shingles whose lists begin with the same group, as
+    those of near copies do, are one deal (two of each list's cells).
     """
     hot = common[1] > DEAL
     salts = spread.sparkSession.createDataFrame([(int(h), int(-(-c // DEAL))) for h, c in zip(common[0][hot].view(np.int64), common[1][hot], strict=True)], "token long, salts long")
     dealt = spread.join(F.broadcast(salts), "token", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
     dealt = dealt.select("token", "gid", "n", "pos", "inner", "salts", F.pmod(F.xxhash64("gid", "token"), "salts").alias("salt"))
-    size = F.count("*").over(Window.partitionBy("token", "salt"))
-    counted = dealt.withColumn("len", size).where("len > 1 or salts > 1 or inner")
+    whole = Window.partitionBy("token", "salt")
+    counted = dealt.withColumn("len", F.count("*").over(whole)).withColumn("least", F.min("gid").over(whole)).withColumn("size", F.min("n").over(whole)).where("len > 1 or salts > 1 or inner")
     # a group is in the same block of every list of about the same length, so their forests are much the same
     blocks = F.greatest(F.lit(1), F.pow(F.lit(2), F.ceil(F.log2(F.col("len") / BLOCK)))).cast("long")
-    return counted.select("token", (F.col("salt") * (1 << 32) + F.pmod(F.xxhash64("gid"), blocks)).alias("cell"), F.lit(-1).alias("side"), "gid", "n", "pos", (F.col("salts") * blocks > 1).alias("long"))
+    block = F.pmod(F.xxhash64("gid"), blocks)
+    # long texts have many shingles, so their cells are dealt to more tasks
+    share = F.pmod(F.xxhash64("token"), 2 + F.floor(F.col("size") / SPREAD))
+    return counted.select(F.xxhash64("least", block, share).alias("deal"), "token", (F.col("salt") * (1 << 32) + block).alias("cell"), F.lit(-1).alias("side"), "gid", "n", "pos", (F.col("salts") * blocks > 1).alias("long"))
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -301,15 +328,20 @@ def _band(n: Column, percent: int) -> Column:
     return F.floor(F.log(n) / math.log(100 / percent) - 1e-9) if percent < 100 else n
 
 
-def _cells(entries: DataFrame, percent: int) -> DataFrame:
-    """entries (token, gid, n, pos, low, high, len) -> (token, cell, side, gid, n, pos): all cells that can hold pairs across components.
+def _cells(entries: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """entries of _first_cells() and groups with components -> (deal, token, cell, side, gid, n, pos): all cells that can hold pairs across components.
 
-    A shingle's list over BLOCK is put in blocks: entries of one component with
-    many of them by that component, the others by size band; cells are pairs of
-    blocks but for those within one component or with sizes too far apart.
+    A shingle with one cell keeps it. The list of any other is put in blocks:
+    entries of one component with many of them by that component, the others by
+    size band; cells are pairs of blocks but for those within one component or
+    with sizes too far apart.
     """
-    short = entries.where(F.col("len") <= BLOCK).select("token", F.lit(0).cast("long").alias("cell"), F.lit(-1).alias("side"), "gid", "n", "pos")
-    long_ = entries.where(F.col("len") > BLOCK).withColumn("comp", F.when(F.col("low") == F.col("high"), F.col("low")))
+    short = entries.where("not long").drop("long")
+    open_ = entries.where("long").select("token", "gid", "n", "pos").join(groups.select("gid", "low", "high"), "gid")
+    lists = open_.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l < h").select("token")
+    long_ = materialise(open_.join(lists, "token"), "long-lists").withColumn("comp", F.when(F.col("low") == F.col("high"), F.col("low")))
+    if long_.isEmpty():
+        return short
     big = long_.where("comp is not null").groupBy("token", "comp").agg(F.count("*").alias("big")).where(F.col("big") >= BLOCK)
     slot = F.when(F.col("big").isNotNull(), F.xxhash64(F.lit("c"), "comp")).otherwise(F.xxhash64(F.lit("b"), _band(F.col("n"), percent)))
     slotted = materialise(long_.join(big, ["token", "comp"], "left").select("token", "gid", "n", "pos", F.col("big").isNotNull().alias("pure"), slot.alias("slot")), "slots")
@@ -324,7 +356,7 @@ def _cells(entries: DataFrame, percent: int) -> DataFrame:
     one = F.array(F.struct(F.col("slot_x").alias("slot"), F.col("sub_x").alias("sub"), F.lit(-1).alias("side")))
     two = F.array(F.struct(F.col("slot_x").alias("slot"), F.col("sub_x").alias("sub"), F.lit(0).alias("side")), F.struct(F.col("slot_y").alias("slot"), F.col("sub_y").alias("sub"), F.lit(1).alias("side")))
     sides = pairs.select("token", "cell", F.explode(F.when(same, one).otherwise(two)).alias("s")).select("token", "cell", "s.*")
-    crossed = blocked.join(materialise(sides, "sides"), ["token", "slot", "sub"]).select("token", "cell", "side", "gid", "n", "pos")
+    crossed = blocked.join(materialise(sides, "sides"), ["token", "slot", "sub"]).select(F.xxhash64("token", "cell").alias("deal"), "token", "cell", "side", "gid", "n", "pos")
     return short.unionByName(crossed)
 
 
@@ -393,21 +425,28 @@ def _reached(pairs: DataFrame) -> DataFrame:
     return components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("id", "class_id")
 
 
+def _regrouped(groups: DataFrame, open_: DataFrame) -> DataFrame:
+    """The parts of groups with their members in open_ (class_id, comp) only, under these components."""
+    members = groups.select("gid", "n", F.explode("members").alias("m")).select("gid", "n", F.col("m.id").alias("class_id"), F.col("m.sig").alias("sig"))
+    own = members.join(open_, "class_id").select("gid", "n", "comp", F.struct(F.col("class_id").alias("id"), "comp", "sig").alias("m"))
+    return own.groupBy("gid", "n").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.collect_list("m").alias("members"))
+
+
 def _labelled(classes: DataFrame, reached: DataFrame) -> DataFrame:
     """classes with comp: the component reached, or the class itself."""
     return classes.drop("comp").join(reached, "class_id", "left").withColumn("comp", F.coalesce("component", "class_id")).drop("component")
 
 
 def _unsettled(tried: DataFrame, reached: DataFrame, entries: DataFrame, groups: DataFrame) -> DataFrame:
-    """class_id of classes that may have links not found yet: clusters with a pair that failed, and shingles of several cells and components."""
-    failed = tried.where("not links")
-    clusters = materialise(_reached(tried), "clusters")
-    open_ = failed.select(F.col("a").alias("class_id")).join(clusters, "class_id").select("component").distinct()
-    first = clusters.join(open_, "component", "left_semi").select("class_id")
+    """class_id of classes that may have links not found yet: of components between which a pair failed, and of shingles with several cells and components."""
+    failed = tried.where("not links").select("a", "b")
+    ends = _labelled(_labelled(failed.withColumnRenamed("a", "class_id"), reached).withColumnsRenamed({"class_id": "a", "comp": "x", "b": "class_id"}), reached)
+    apart = ends.where("x <> comp").select(F.explode(F.array("x", "comp")).alias("comp")).distinct()
+    first = apart.select(F.col("comp").alias("class_id")).unionByName(reached.join(apart.withColumnRenamed("comp", "component"), "component", "left_semi").select("class_id"))
     held = entries.where("long").select("token", "gid").join(groups.select("gid", F.explode("members.id").alias("class_id")), "gid").select("token", "class_id")
-    named = materialise(_labelled(held, reached), "long-lists")
+    named = _labelled(held, reached)
     mixed = named.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    return materialise(first.unionByName(named.join(mixed, "token", "left_semi").select("class_id")).distinct(), "unsettled")
+    return first.unionByName(named.join(mixed, "token", "left_semi").select("class_id")).distinct()
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -426,39 +465,50 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent is from 50 to 100")
+    tables: list[DataFrame] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        tables.append(materialise(df, name))
+        return tables[-1]
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return kept(judged(kept(pairs, "pairs"), docs, n, percent, id_col, text_col), "tried")
+
     common = common_shingles(docs, n, text_col)
-    records = materialise(_records(docs, n, percent, common, id_col, text_col), "records")
+    records = kept(_records(docs, n, percent, common, id_col, text_col), "records")
     full = records.where("n > 0 and doc_id is not null")
     one = full.groupBy("set_key", "n").agg(F.min(F.struct("doc_id", "row", "prefix_key", "sig")).alias("one"))
-    classes = materialise(one.select(F.col("one.doc_id").alias("class_id"), F.col("one.doc_id").alias("comp"), "n", "one.row", "one.prefix_key", "one.sig"), "classes")
-    groups = materialise(_groups(classes), "groups")
-    entries = materialise(_first_cells(_spread(groups, records), common), "entries")
-    tried = materialise(judged(materialise(_meet(entries, groups, percent), "pairs"), docs, n, percent, id_col, text_col), "tried")
-    reached = materialise(_reached(tried.where("links")), "reached")
-    unsettled = _unsettled(tried, reached, entries, groups)
+    classes = kept(one.select(F.col("one.doc_id").alias("class_id"), F.col("one.doc_id").alias("comp"), "n", "one.row", "one.prefix_key", "one.sig"), "classes")
+    groups = kept(_groups(classes), "groups")
+    entries = kept(_first_cells(_spread(groups, records), common), "entries")
+    tried = verified(_meet(entries, groups, percent))
+    reached = kept(_reached(tried.where("links")), "reached")
+    unsettled = kept(_unsettled(tried, reached, entries, groups), "unsettled")
     if not unsettled.isEmpty():
-        own = classes.join(unsettled, "class_id", "left_semi").join(records.select("row", "wide"), "row")
-        rest = materialise(own, "rest")
+        own, cells = kept(classes.join(unsettled, "class_id", "left_semi").join(records.select("row", "wide"), "row"), "own"), None
         for closest in CLOSEST:
-            groups = materialise(_groups(_labelled(rest, reached)), "groups")
-            spread = materialise(_spread(groups, records), "spread")
-            lists = spread.groupBy("token").agg(F.count("*").alias("len"), F.min("low").alias("l"), F.max("high").alias("h"), F.max("inner").alias("inner")).where("(len > 1 or inner) and l < h").select("token", "len")
-            cells = _cells(materialise(spread.join(lists, "token"), "entries"), percent)
-            met = materialise(_meet(cells, groups, percent, closest), "met")
-            fresh = _within_reach(met.where("a is not null").join(tried.select("a", "b"), ["a", "b"], "left_anti"), rest, percent)
-            more = materialise(judged(materialise(fresh, "pairs"), docs, n, percent, id_col, text_col), "tried")
+            if cells is None:  # else nothing has linked since, and the same cells are compared again
+                parts = kept(_regrouped(groups, _labelled(unsettled, reached)), "parts")
+                cells = _cells(entries, parts, percent)
+            met = kept(_meet(cells, parts, percent, closest), "met")
+            fresh = met.where("a is not null").join(tried.select("a", "b"), ["a", "b"], "left_anti")
+            more = verified(fresh if closest == 0 else _within_reach(fresh, own, percent))
             tried = tried.unionByName(more)
             linked = more.where("links").count()
-            if linked:
-                reached = materialise(_reached(tried.where("links")), "reached")
             # a forest says all if each of its pairs links, closest candidates if none is left out
-            if (met.count() == linked) if closest == 0 else met.where("a is null").isEmpty():
+            done = (met.count() == linked) if closest == 0 else met.where("a is null").isEmpty()
+            if linked:
+                reached = kept(_reached(tried.where("links")), "reached")
+                cells = None
+            if done:
                 break
     least = records.where("doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
     owned = least.join(reached, "class_id", "left").select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     out = records.select("doc_id", "n", "set_key").join(owned, "set_key", "left")
     own = lambda c: F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col(c)).alias(c)
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own("class_id"), own("component_id"))
+    found = materialise(out.select("doc_id", F.col("n").alias("n_shingles"), own("class_id"), own("component_id")), "components")
+    discard(*tables)
+    return found
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -92,7 +92,7 @@ ORACLES: dict[str, str] = {
     "op2_source_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size,
-                   CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+                   CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, '')))), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
             FROM documents),
         s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
         w AS (SELECT *, [5.0, 2.0, 1.0][1 + CAST((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 AS INT)]::DOUBLE AS w, 2.0::DOUBLE * source_size AS cap FROM s),
@@ -110,6 +110,59 @@ ORACLES: dict[str, str] = {
                          WHEN part > 0 AND (upto < wanted OR (upto - size < wanted AND upto - wanted <= wanted - (upto - size))) THEN (certain + 1) * size
                          ELSE certain * size END AS BIGINT) AS taken
         FROM y""",
+    "op3_suffix_array_dedup": r"""
+        WITH b AS (SELECT doc_id, unnest(x) AS v, unnest(range(len(x))) AS i, len(x) AS n FROM (SELECT doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS x FROM documents)),
+        h1 AS (SELECT doc_id, i, n, v, hash(v) AS h FROM b),
+        h2 AS (SELECT *, hash(h, lead(h, 1) OVER w) AS g FROM h1 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        h4 AS (SELECT doc_id, i, n, v, hash(g, lead(g, 2) OVER w) AS h FROM h2 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        h8 AS (SELECT doc_id, i, n, v, hash(h, lead(h, 4) OVER w) AS h8 FROM h4 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        h16 AS (SELECT *, hash(h8, lead(h8, 8) OVER w) AS h FROM h8 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        h32 AS (SELECT doc_id, i, n, v, h8, hash(h, lead(h, 16) OVER w) AS h FROM h16 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        h64 AS (SELECT doc_id, i, n, v, h8, hash(h, lead(h, 32) OVER w) AS h64 FROM h32 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        h200 AS (SELECT doc_id, i, n, v, hash(h64, lead(h64, 64) OVER w, lead(h64, 128) OVER w, lead(h8, 192) OVER w) AS h FROM h64 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        r AS (SELECT h FROM h200 WHERE i + 200 <= n GROUP BY h HAVING count(*) > 1),
+        m AS (SELECT h200.*, r.h IS NOT NULL AND i + 200 <= n AS hit FROM h200 LEFT JOIN r USING (h)),
+        c AS (SELECT *, coalesce(max(CASE WHEN hit THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) > i - 200, false) AS gone FROM m),
+        e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM c),
+        o AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans, sha256(unhex(coalesce(string_agg(v, '' ORDER BY i) FILTER (NOT gone), ''))) AS kept_sha256 FROM e GROUP BY doc_id)
+        SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256
+        FROM documents LEFT JOIN o USING (doc_id)""",
+    "op4_url_filter": r"""
+        WITH u AS (SELECT page_id, coalesce(url, '') AS url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                          regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+        k AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) t(verdict, h, p)),
+        f AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict FROM u JOIN k ON (host = h OR suffix(host, '.' || h)) AND prefix(path, p) GROUP BY 1),
+        l AS (SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS ls, translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM u),
+        t AS (SELECT page_id, host, path, list_sort(list_distinct(list_concat(
+                  CASE WHEN len(ls) = 0 THEN ['host:'] ELSE ['host:' || array_to_string(ls[i:], '.') FOR i IN range(1, len(ls) + 1)] END,
+                  ['top:' || regexp_replace(x, '[0-9]+', '#', 'g') FOR x IN list_filter(string_split(low, '/'), lambda x: x <> '')[1:1]],
+                  CASE WHEN len(ls) > 2 THEN ['label:' || ls[1]] ELSE [] END,
+                  ['path:' || regexp_replace(x, '[0-9]+', '#', 'g') FOR x IN list_filter(regexp_split_to_array(low, '[/._-]+'), lambda x: x <> '')],
+                  ['query:' || x FOR x IN regexp_extract_all(url, '[?&]([^=&#]+)=', 1)],
+                  ['scheme:' || translate(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')]))) AS tokens FROM l),
+        total AS (SELECT count(*) AS n FROM f),
+        common AS (SELECT token, count(*) AS c FROM (SELECT unnest(tokens) AS token FROM t JOIN f USING (page_id)) GROUP BY 1 HAVING c >= 0.005 * (SELECT n FROM total)),
+        own AS (SELECT page_id, list(token ORDER BY token) AS tokens FROM (SELECT page_id, unnest(tokens) AS token FROM t) JOIN common USING (token) GROUP BY 1),
+        subsets AS (SELECT page_id, unnest([list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) FOR mask IN range(1, 1 << len(tokens))]) AS ante FROM own),
+        known AS (SELECT ante, verdict FROM subsets JOIN f USING (page_id)),
+        base AS (SELECT ante, count(*) AS b FROM known GROUP BY 1),
+        rules AS (SELECT ante, verdict, count(*) / any_value(b) AS confidence, count(*) / (SELECT n FROM total) AS support FROM known JOIN base USING (ante) GROUP BY ante, verdict HAVING count(*) >= 0.005 * (SELECT n FROM total) AND count(*) / any_value(b) >= 0.8),
+        inner_ AS (SELECT ante, verdict, confidence, unnest([list_filter(ante, lambda x, j: j <> i) FOR i IN range(1, len(ante) + 1)]) AS less FROM rules),
+        kept AS (SELECT * FROM rules WHERE (ante, verdict) NOT IN (SELECT (x.ante, x.verdict) FROM inner_ x JOIN rules r ON r.ante = x.less AND r.verdict = x.verdict WHERE r.confidence >= x.confidence)),
+        best AS (SELECT page_id, max((confidence, len(ante), support, verdict = 'block')) AS m FROM subsets JOIN kept USING (ante) GROUP BY 1)
+        SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN verdict WHEN m IS NULL THEN 'allow' WHEN m[4] THEN 'block' ELSE 'allow' END AS verdict,
+               CASE WHEN rule IS NOT NULL THEN 'rule' WHEN m IS NOT NULL THEN 'mined' ELSE 'default' END AS reason, CASE WHEN rule IS NOT NULL THEN 1.0 ELSE m[1] END AS score
+        FROM t LEFT JOIN f USING (page_id) LEFT JOIN best USING (page_id)""",
+    "op8_ngram_jaccard_join": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+        x AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.t = b.t AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+        r(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
+        SELECT doc_id, len(s) AS n_shingles, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY list_sort(s)) END AS class_id, c AS component_id
+        FROM s JOIN (SELECT doc_id, min(other) AS c FROM r GROUP BY 1) USING (doc_id)""",
     "op9_line_dedup": r"""
         WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
         l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS n FROM t),

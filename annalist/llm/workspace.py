@@ -21,15 +21,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back (cuts lineage)."""
+def materialise(df: DataFrame, name: str, level: int = 0) -> DataFrame:
+    """Write df as a Parquet table in the shared folder and read it back (cuts lineage); with a level, compressed by zstandard."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    writer = df.write
+    if level:
+        writer = writer.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level))
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete materialised tables that no plan still to run reads."""
+    """Delete materialised tables that no plan still to run reads, so that the disk holds what is in use only."""
     for table in tables:
         spark = table.sparkSession
         for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
