@@ -27,15 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .workspace import NULL_ID, materialise, scratch_path
+from .workspace import NULL_ID, discard, materialise, scratch_path
 
 #: Vocabulary file (tiktoken ranks), its end-of-text id, and the split pattern it was made for.
 VOCABULARY = os.environ.get("ANNALIST_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 END = 50_256
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LENGTH, SHARD_ROWS, ROUNDS = 2048, 4096, 4
-#: Bytes of ids that a Python worker hands over at once, and the compression of what it does.
-SENT, LEVEL = 1 << 20, 3
+#: Bytes of ids that a Python worker hands over at once; how hard ids are compressed on the way, and in the table of pieces.
+SENT, LEVEL, TABLE_LEVEL = 1 << 20, 6, 9
 #: Longest piece of a text that is encoded at once, in characters.
 PIECE = 1 << 16
 #: Ids in a bucket of the stream, about; shards that one task writes.
@@ -197,7 +197,7 @@ def write_shards(docs: DataFrame, path: str, key: str = "order", id_col: str = "
     pieces, other columns do not matter. No documents give no rows and no shards.
     """
     spark = docs.sparkSession
-    pieces = materialise(tokenised(docs, id_col, text_col, vocabulary), "pieces", "zstd")
+    pieces = materialise(tokenised(docs, id_col, text_col, vocabulary), "pieces", TABLE_LEVEL)
     total = pieces.agg(F.sum("n")).first()[0] or 0
     size = -(-total // length)
     shards = max(1, -(-size // shard_rows))
@@ -287,7 +287,9 @@ def write_shards(docs: DataFrame, path: str, key: str = "order", id_col: str = "
     fragments = pieces.select("part", "row", "doc_id", "first", "ids").mapInArrow(cut, "slot long, offset long, doc_id long, begins boolean, ids binary")
     tasks = -(-shards // TASK_SHARDS)
     dealt = fragments.repartitionById(tasks, F.floor(F.col("slot") / (shard_rows * TASK_SHARDS)).cast("int")).sortWithinPartitions("slot", "offset")
-    return materialise(dealt.mapInArrow(write, "shard long, first_slot long, rows long, bytes long, sha256 string"), "shards")
+    written = materialise(dealt.mapInArrow(write, "shard long, first_slot long, rows long, bytes long, sha256 string"), "shards")
+    discard(pieces)
+    return written
 
 
 def read_shards(written: DataFrame, path: str, length: int = LENGTH, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -313,7 +315,8 @@ def read_shards(written: DataFrame, path: str, length: int = LENGTH, shard_rows:
                         yield pa.RecordBatch.from_arrays([pa.array(shard * shard_rows + row), pa.array(np.full(n, shard)), pa.array(row * stride), first, pa.array(about[:, 1]), pa.array(about[:, 2]), tokens], names)
 
     columns = ", ".join(f"{c} {'binary' if c == 'tokens' else 'long'}" for c in names)
-    return written.select("shard", "rows").repartition(F.col("shard")).mapInArrow(run, columns)
+    tasks = max(1, -(-written.count() // TASK_SHARDS))
+    return written.select("shard", "rows").repartitionById(tasks, F.floor(F.col("shard") / TASK_SHARDS).cast("int")).sortWithinPartitions("shard").mapInArrow(run, columns)
 
 
 def training_order(docs: DataFrame, key: str = "order", id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard_rows: int = SHARD_ROWS, vocabulary: str = VOCABULARY) -> DataFrame:
