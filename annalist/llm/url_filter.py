@@ -17,7 +17,7 @@ from .workspace import materialise
 #: (verdict, host, path): a rule fits its host and all subdomains where the path starts with the rule's.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 SUPPORT, CONFIDENCE, DEFAULT = 0.005, 0.8, "allow"
-#: Most labelled transactions mined, and most tokens of one of them; matching takes all tokens.
+#: Most labelled transactions mined, and most classes of tokens of one of them; matching takes all tokens.
 SAMPLE_ROWS, TOKENS = 200_000, 24
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -55,25 +55,31 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(suffixes, place, first, words, keys, scheme))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(ante array<string>, verdict, confidence, support, seed): pruned rules from rows (id, tokens, verdict).
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, rows: int = SAMPLE_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rules (ante array<string>, verdict, confidence, support, seed) from rows (id, tokens, verdict), and classes (token, class).
 
     A rule is a frequent token combination with one verdict, of at least this
     support and confidence, that no shorter combination within it already gives
-    with as much confidence. seed is its rarest token. Tokens that are too rare
-    for a rule are left out of long transactions, which changes no rule; of one
-    that still has more than TOKENS, those nearest the root of host and path are mined.
+    with as much confidence. Tokens of just the same transactions are one class
+    and mined as one: a combination with two of them is no better than with one,
+    so a rule names classes, and a URL has a class by any token of it. seed is a
+    rule's rarest class. Tokens that are too rare for a rule are left out, which
+    changes no rule; of a transaction that still has more than TOKENS classes,
+    those nearest the root of host and path are mined.
     """
     n = labelled.count()
     rate = min(1.0, rows / max(1, n))
     sample = labelled.where(F.pmod(F.xxhash64("id", F.lit("url")), F.lit(1 << 20)) < int(rate * (1 << 20)))
-    drawn = materialise(sample.select("tokens", "verdict"), "drawn")
-    if not drawn.where(F.size("tokens") > TOKENS).isEmpty():
-        least = support * drawn.count()
-        common = drawn.select(F.explode("tokens").alias("token")).groupBy("token").count().where(F.col("count") >= least).agg(F.collect_list("token").alias("common"))
-        mined = F.when(F.size("tokens") > TOKENS, F.slice(F.array_intersect("tokens", "common"), 1, TOKENS)).otherwise(F.col("tokens"))
-        drawn = drawn.crossJoin(F.broadcast(common)).select(mined.alias("tokens"), "verdict")
-    baskets = materialise(drawn.select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), F.col("verdict")))).alias("items")), "baskets")
+    drawn = materialise(sample.select("tokens", "verdict", F.monotonically_increasing_id().alias("row")), "drawn")
+    said = drawn.select("row", "verdict", F.posexplode("tokens").alias("pos", "token"))
+    mark = F.xxhash64("row")
+    held = said.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(mark.bitwiseAND(F.lit((1 << 31) - 1))).alias("s")).where(F.col("n") >= support * drawn.count())
+    held = materialise(held, "held")
+    classes = materialise(held.join(held.groupBy("n", "x", "s").agg(F.min("token").alias("class")), ["n", "x", "s"]).select("token", "class"), "classes")
+    own = said.join(classes, "token").groupBy("row", "verdict", "class").agg(F.min("pos").alias("pos")).groupBy("row", "verdict").agg(F.array_sort(F.collect_list(F.struct("pos", "class"))).alias("c"))
+    own = drawn.select("row", "verdict").join(own, ["row", "verdict"], "left")
+    items = F.slice(F.transform(F.coalesce("c", F.array().cast("array<struct<pos: int, class: string>>")), lambda x: x["class"]), 1, TOKENS)
+    baskets = materialise(own.select(F.concat(items, F.array(F.concat(F.lit("verdict:"), F.col("verdict")))).alias("items")), "baskets")
     partitions = max(1, int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     frequent = materialise(FPGrowth(itemsCol="items", minSupport=support, numPartitions=partitions).fit(baskets).freqItemsets, "itemsets")
     total = baskets.count()
@@ -89,7 +95,7 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     kept = rules.join(covered, ["ante", "verdict"], "left_anti")
     single = whole.where(F.size("ante") == 1).select(F.element_at("ante", 1).alias("token"), "base")
     rarest = kept.select("ante", "verdict", F.explode("ante").alias("token")).join(single, "token").groupBy("ante", "verdict").agg(F.min(F.struct("base", "token")).alias("r"))
-    return materialise(kept.join(rarest, ["ante", "verdict"]).select("ante", "verdict", "confidence", "support", F.col("r.token").alias("seed")), "mined")
+    return materialise(kept.join(rarest, ["ante", "verdict"]).select("ante", "verdict", "confidence", "support", F.col("r.token").alias("seed")), "mined"), classes
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, support: float = SUPPORT, confidence: float = CONFIDENCE, default: str = DEFAULT) -> DataFrame:
@@ -99,24 +105,28 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     (1 for a rule, null by default). Of several mined rules that fit, the most
     confident decides, then the longer, then the better supported, then block. A
     null URL or one without :// has empty host and path. Repeated ids and rows
-    are judged each. Without a URL that a rule decides, the default decides the rest.
+    are judged each, equal URLs alike; all tokens of a very long URL count.
+    Without a URL that a rule decides, the default decides the rest.
     """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     parsed = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
     parsed = parsed.withColumn("r", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("tokens", tokens_of(F.col("url"), F.col("host"), F.col("path")))
     labelled = parsed.where("r is not null").select(F.col("page_id").alias("id"), "tokens", F.col("r.verdict").alias("verdict"))
-    mined = mine(labelled, support, confidence)
-    # URLs with the same tokens are judged once
+    mined, classes = mine(labelled, support, confidence)
+    # URLs with the same tokens are judged once, by the classes of their tokens
     patterns = parsed.where("r is null").select("tokens").distinct()
+    known = patterns.select("tokens", F.explode("tokens").alias("token")).join(classes, "token").groupBy("tokens").agg(F.collect_set("class").alias("have"))
     hits = (
-        patterns.withColumn("seed", F.explode("tokens"))
+        known.withColumn("seed", F.explode("have"))
         .join(mined, "seed")
-        .where(F.size(F.array_except("ante", "tokens")) == 0)
+        .where(F.size(F.array_except("ante", "have")) == 0)
         .groupBy("tokens")
         .agg(F.max(F.struct("confidence", F.size("ante").alias("n"), "support", (F.col("verdict") == "block").alias("blocks"))).alias("m"))
     )
     # read back from a table, a token set that many URLs share can be split by the join, or the table broadcast where it is small
-    decided = parsed.join(materialise(hits, "hits"), "tokens", "left")
+    hits = materialise(hits, "hits")
+    ruled = parsed.where("r is not null").withColumn("m", F.lit(None).cast(hits.schema["m"].dataType))
+    decided = parsed.where("r is null").join(hits, "tokens", "left").unionByName(ruled)
     by_mined = F.when(F.col("m.blocks"), "block").when(F.col("m").isNotNull(), "allow")
     return decided.select(
         "page_id",
