@@ -28,21 +28,29 @@ def _keys(text: bytes, min_chars: int) -> list[bytes | None]:
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
-    """(h, keeper): the hash of every line key that at least two documents hold, and the least id of them."""
-    return _lines(docs, id_col, text_col, min_chars).groupBy("h").agg(F.min("k").alias("keeper"), F.max("k").alias("last")).where("keeper <> last").drop("last")
+    """(h, keeper): the hash of every line key that at least two documents hold, and the least of them."""
+    doc = F.struct("k", "th")
+    return _lines(docs, id_col, text_col, min_chars).groupBy("h").agg(F.min(doc).alias("keeper"), F.max(doc).alias("last")).where("keeper <> last").drop("last")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> list:
+    """Columns k and th that name a document: its id, or without one the hash of its text (so such rows are spread)."""
+    k = F.col(id_col).cast("long")
+    return [F.coalesce(k, F.lit(NULL_ID)).alias("k"), F.when(k.isNull(), F.xxhash64(F.col(text_col))).otherwise(F.lit(0)).cast("long").alias("th")]
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     def explode(batches):
         for batch in batches:
             ids, keys = [], []
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for row, text in enumerate(batch.column("t")):
                 own = {h for h in _keys(text.as_py() or b"", min_chars) if h}
-                ids += [k] * len(own)
+                ids += [row] * len(own)
                 keys += own
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["k", "h"])
+            at = pa.array(ids, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("k").take(at), batch.column("th").take(at), pa.array(keys, pa.binary())], ["k", "th", "h"])
 
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("k"), F.col(text_col).cast("binary").alias("t")).mapInArrow(explode, "k long, h binary")
+    return docs.select(*_keyed(docs, id_col, text_col), F.col(text_col).cast("binary").alias("t")).mapInArrow(explode, "k long, th long, h binary")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
@@ -51,19 +59,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A line key is the line stripped of ASCII whitespace with A-Z lower-cased.
     Keys of at least min_chars code points held by two or more documents stay
     only in the document of least id, there every time. A null or empty text is
-    one empty line. Rows that share an id are one document; a null id is one
-    document that sorts last. All other columns pass through; n_lines and
-    n_dropped replace columns of those names.
+    one empty line. Rows that share an id are one document; rows without an id
+    are documents by their text, equal texts one, and sort after all others. All
+    other columns pass through, whatever their names; n_lines and n_dropped
+    replace columns of those names. Texts are taken whole, one at a time.
     """
     # read back from a table, a line that very many documents hold can be split by the join
     repeated = materialise(repeated_lines(docs, id_col, text_col, min_chars), "repeated-lines")
     gone = (
         _lines(docs, id_col, text_col, min_chars)
         .join(repeated, "h")
-        .where("k <> keeper")
-        .groupBy("k")
-        .agg(F.collect_list("h").alias("__gone"))
-        .withColumnRenamed("k", "__k")
+        .where(F.struct("k", "th") != F.col("keeper"))
+        .groupBy("k", "th")
+        .agg(F.collect_list("h").alias("gone"))
     )
 
     @F.arrow_udf("struct<kept: string, lines: long, dropped: long>")
@@ -82,6 +90,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], ["kept", "lines", "dropped"])
 
     rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    keyed = docs.withColumn("__k", F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)))
-    out = keyed.join(gone, "__k", "left").select(*rest, rebuild(F.col(text_col).cast("binary"), F.col("__gone")).alias("__r"))
-    return out.select(*rest, F.col("__r.kept").alias(text_col), F.col("__r.lines").alias("n_lines"), F.col("__r.dropped").alias("n_dropped"))
+    keyed = docs.select(F.struct(*rest).alias("row"), F.col(text_col).cast("binary").alias("t"), *_keyed(docs, id_col, text_col))
+    out = keyed.join(gone, ["k", "th"], "left").select("row", rebuild(F.col("t"), F.col("gone")).alias("new"))
+    return out.select("row.*", F.col("new.kept").alias(text_col), F.col("new.lines").alias("n_lines"), F.col("new.dropped").alias("n_dropped"))
