@@ -8,34 +8,37 @@ sets the texts share, as a shared dictionary would help to compress them.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from .kernels import U64, mix
-from .workspace import NULL_ID
+from .kernels import U64, distinct, mix
 
 #: Bins of a signature and hex digits of each.
 BINS, DIGITS = 128, 4
+#: Phrases of a dictionary (a full one is begun anew, as compressors do), and bytes of text in a bucket, about.
+PHRASES, BUCKET_BYTES = 1 << 17, 32 << 20
 _BITS = U64(16 * (DIGITS // 4))
 _BASE = U64(0x9E3779B97F4A7C15)
 
 
 class Parse:
-    """An LZ78 parse that can be continued: dictionary of (phrase, byte), phrase ends so far."""
+    """An LZ78 parse that can be continued: dictionary of (phrase, byte) of at most PHRASES, phrase ends so far (8 bytes each)."""
 
     __slots__ = ("known", "state", "ends", "size")
 
     def __init__(self):
         self.known: dict[int, int] = {}
         self.state, self.size = 0, 0
-        self.ends: list[int] = []
+        self.ends = array("q")
 
     def fork(self) -> Parse:
         other = Parse()
-        other.known, other.state, other.size, other.ends = self.known.copy(), self.state, self.size, self.ends.copy()
+        other.known, other.state, other.size, other.ends = self.known.copy(), self.state, self.size, self.ends[:]
         return other
 
     def feed(self, data: bytes) -> Parse:
@@ -50,13 +53,16 @@ class Parse:
                 new += 1
                 ends.append(at)
                 state = 0
+                if new > PHRASES:
+                    known.clear()
+                    new = 1
         self.state, self.size = state, at
         return self
 
 
 def phrase_hashes(data: bytes, parse: Parse) -> np.ndarray:
     """Distinct hashes of the phrases of data; the unfinished last phrase counts."""
-    ends = np.array(parse.ends if parse.state == 0 else [*parse.ends, len(data)], np.int64)
+    ends = np.array(parse.ends, np.int64) if parse.state == 0 else np.append(np.array(parse.ends, np.int64), len(data))
     if not len(ends):
         return np.zeros(0, U64)
     starts = np.concatenate([[0], ends[:-1]])
@@ -70,7 +76,7 @@ def phrase_hashes(data: bytes, parse: Parse) -> np.ndarray:
             h[live] = h[live] * _BASE + raw[starts[live] + k].astype(U64) + U64(1)
         else:
             h = np.where(open_, h * _BASE + raw[np.minimum(starts + k, len(raw) - 1)].astype(U64) + U64(1), h)
-    return np.unique(mix(h))
+    return distinct(mix(h))
 
 
 def signature(h: np.ndarray) -> np.ndarray | None:
@@ -113,32 +119,40 @@ def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     The next document of a document is the one after it by descending id (after
     the last, the first); rows that share an id follow each other by text, and
-    rows with a null id come last. The edited text keeps all but the last
+    rows without an id come last, by a hash of their text. The edited text keeps all but the last
     floor(n_chars / 2) code points and goes on with the first as many (or all) of
     the next document's text. A null text is empty. A single row is its own next.
+    Rows that are equal are alike. A task holds two texts and their parses at a
+    time; a parse keeps at most PHRASES phrases to match, whatever the text's length.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("k", F.coalesce("doc_id", F.lit(-NULL_ID)))
-    parts = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    cuts = base.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("c")).first().c or []
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # rows without an id are spread by their hash, over buckets of their own
+    base = base.withColumn("k", F.coalesce("doc_id", F.xxhash64("text")))
+    sizes = base.agg(*[F.sum(F.when(c, F.octet_length("text"))).alias(n) for n, c in (("own", F.col("doc_id").isNotNull()), ("none", F.col("doc_id").isNull()))]).first()
+    parts, more = (buckets or max(1, -(-(s or 0) // BUCKET_BYTES)) for s in (sizes.own, sizes.none))
+    ided = base.where("doc_id is not null")
+    cuts = ided.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)] or [0.5], max(10_000, 4 * parts)).alias("c")).first().c or []
     cuts = sorted({int(c) for c in cuts})
     edges = np.array(cuts, np.int64)
 
     @F.arrow_udf(IntegerType())
-    def bucket(k: pa.Array) -> pa.Array:
+    def bucket(doc_id: pa.Array, k: pa.Array) -> pa.Array:
         # bucket 0 has the largest ids
-        return pa.array((len(edges) - np.searchsorted(edges, np.asarray(k), "right")).astype(np.int32))
+        k, none = np.asarray(k), np.asarray(doc_id.is_null())
+        hashed = (((np.iinfo(np.int64).max - k).view(np.uint64) >> U64(32)) * U64(more) >> U64(32)).astype(np.int64)
+        return pa.array(np.where(none, len(edges) + 1 + hashed, len(edges) - np.searchsorted(edges, k, "right")).astype(np.int32))
 
-    keyed = base.withColumn("bucket", bucket("k"))
+    keyed = base.withColumn("bucket", bucket("doc_id", "k"))
     tops = sorted((r.bucket, r.k) for r in keyed.groupBy("bucket").agg(F.max("k").alias("k")).collect())
     if not tops:
         return keyed.select("doc_id", F.lit(0).cast("long").alias("n_chars"), F.col("text").alias("edited_text"), *[F.lit("").alias(c) for c in ("fingerprint", "edited_fingerprint")], *[F.lit(0.0).alias(c) for c in ("near_edited", "near_next")]).limit(0)
     # the first document of each bucket also closes the bucket before it
-    closes = {k: tops[i - 1][0] for i, (_, k) in enumerate(tops)}
-    heads = spark.createDataFrame(sorted(closes.items()), "k long, before int")
-    firsts = keyed.join(F.broadcast(heads), "k").groupBy("k", "before").agg(F.min("text").alias("text")).select(F.lit(None).cast("long").alias("doc_id"), "text", "k", F.col("before").alias("bucket"), F.lit(True).alias("closing"))
+    closes = [(b, k, tops[i - 1][0]) for i, (b, k) in enumerate(tops)]
+    heads = spark.createDataFrame(closes, "bucket int, k long, before int")
+    firsts = keyed.join(F.broadcast(heads), ["bucket", "k"]).groupBy("k", "before").agg(F.min("text").alias("text")).select(F.lit(None).cast("long").alias("doc_id"), "text", "k", F.col("before").alias("bucket"), F.lit(True).alias("closing"))
     rows = keyed.withColumn("closing", F.lit(False)).unionByName(firsts)
-    dealt = rows.repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("bucket", "closing", F.desc("k"), "text")
+    dealt = rows.repartitionById(len(cuts) + 1 + more, F.col("bucket")).sortWithinPartitions("bucket", "closing", F.desc("k"), "text")
 
     def run(batches):
         held = None
