@@ -26,9 +26,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _draw(id_col: str, seed: str) -> Column:
-    """A number in [0, 1) from 52 bits of a hash of seed and id: the same on every run."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+def _draw(id_col: str, text_col: str, seed: str) -> Column:
+    """A number in [0, 1) from 52 bits of a hash of seed and id, without an id of seed and text: the same on every run."""
+    own = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), own)), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, total: float = TOTAL, most: float = MOST) -> DataFrame:
@@ -89,7 +90,7 @@ def source_plan(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, total: f
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), _draw(id_col, seed).alias("u"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), _draw(id_col, text_col, seed).alias("u"))
 
 
 def _taken(sizes: DataFrame, plan: DataFrame) -> DataFrame:
@@ -108,7 +109,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     to the target, so they differ from it by half that document at most. A null
     text has size 0, as has one without words, and is never taken; a null source
     is a source of its own. Rows with equal id, source and size share one draw
-    and are alike. No documents give no rows.
+    and are alike; rows without an id draw by their text. No documents give no rows.
     """
     sizes = materialise(_sized(docs, id_col, text_col, source_col, seed), "sizes")
     out = _taken(sizes, source_plan(sizes, weights, total, most))
@@ -119,5 +120,5 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """docs with every row as often as the mix takes it; columns as in docs."""
     sizes = materialise(_sized(docs, id_col, text_col, source_col, seed), "sizes")
     plan = source_plan(sizes, weights, total, most)
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), _draw(id_col, seed).alias("u"))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), _draw(id_col, text_col, seed).alias("u"))
     return _taken(whole, plan).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest("copies", F.lit(1))))).where("copies > 0").select("row.*")
