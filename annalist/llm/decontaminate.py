@@ -235,7 +235,11 @@ def _search(source: DataFrame, items: Items, least: float) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents that hold a copy of a test item; rows with a null id are judged by their text too."""
-    keyed = docs.withColumn("__row", F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))))
-    bad = materialise(contaminated(keyed, benchmark, "__row", text_col).select(F.col("doc_id").alias("__row")).distinct(), "contaminated")
-    return keyed.join(bad, "__row", "left_anti").drop("__row")
+    """docs without the documents that hold a copy of a test item, all columns as they are.
+
+    Rows that share an id are one document: a copy in one of them removes all.
+    Rows with a null id are judged by their text, equal texts alike.
+    """
+    keyed = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))).alias("key"), F.col(text_col).alias("t"))
+    bad = materialise(contaminated(keyed.select("key", "t"), benchmark, "key", "t").select(F.col("doc_id").alias("key")).distinct(), "contaminated")
+    return keyed.join(bad, "key", "left_anti").select("row.*")

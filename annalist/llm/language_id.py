@@ -103,6 +103,12 @@ def classifier(model: list[tuple[str, bytes]], margin: float = MARGIN):
     return classify
 
 
+def accepted(docs: DataFrame, model: list[tuple[str, bytes]], text_col: str = "text", margin: float = MARGIN) -> DataFrame:
+    """The rows of docs whose language is told by a sufficient margin, all columns as they are, whatever their names."""
+    letters = F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col))
+    return docs.select(F.struct("*").alias("row"), classifier(model, margin)(letters).alias("found")).where("found.accepted").select("row.*")
+
+
 def identify(docs: DataFrame, model: list[tuple[str, bytes]], text_col: str = "text", margin: float = MARGIN) -> DataFrame:
     """docs with lang_pred, score and accepted (replacing columns of those names).
 
@@ -110,8 +116,10 @@ def identify(docs: DataFrame, model: list[tuple[str, bytes]], text_col: str = "t
     one without a letter is `und` with score 0 and not accepted; so is every text
     when the model is empty. With a single language every other text is accepted.
     Equal sizes go to the first language in code point order, not accepted.
+    Repeated rows are judged each, alike; a very long text is compressed whole,
+    in pieces, so memory does not grow with their number.
     """
     letters: Column = F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col))
     rest = [c for c in docs.columns if c not in ("lang_pred", "score", "accepted")]
-    out = docs.select(*rest, classifier(model, margin)(letters).alias("__l"))
-    return out.select(*rest, F.col("__l.lang").alias("lang_pred"), F.col("__l.score").alias("score"), F.col("__l.accepted").alias("accepted"))
+    out = docs.select(F.struct(*rest).alias("row"), classifier(model, margin)(letters).alias("found"))
+    return out.select("row.*", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"), F.col("found.accepted").alias("accepted"))

@@ -156,12 +156,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     """Trees for label_col (0 or 1), from at most `rows` labelled documents.
 
     Labelled rows are taken by a hash of their id at the rate that gives about
-    `rows`; null labels and labels without a document are left out. A document
-    with two labels counts with both.
+    `rows`, so which are taken does not depend on their order; null labels and
+    labels without a document are left out. A document with two different labels
+    counts with both, one repeated label counts once.
     """
-    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.col(label_col).cast("double").alias("__y"))
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.col(label_col).cast("double").alias("__y")).distinct()
     rate = min(1.0, 0.97 * rows / max(1, known.count()))
-    taken = known.where(F.pmod(F.xxhash64(id_col, F.lit("quality")), F.lit(1 << 20)) < int(rate * (1 << 20)) + (rate == 1)).limit(2 * rows)
+    taken = known.where(F.pmod(F.xxhash64(id_col, F.lit("quality")), F.lit(1 << 20)) < int(rate * (1 << 20)) + (rate == 1))
     found = docs.select(id_col, text_col).join(F.broadcast(taken), id_col).select(measure(F.col(text_col).cast("binary")).alias("x"), "__y").toArrow()
     if not found.num_rows:
         return grow(np.zeros((0, len(STATISTICS))), np.zeros(0))
@@ -172,7 +173,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
 
 def score(docs: DataFrame, model: Trees, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs with score (0 to 1, higher: label 1 likelier) and predicted, replacing columns of those names."""
+    """docs with score (0 to 1, higher: label 1 likelier) and predicted, replacing columns of those names.
+
+    A null or empty text has the score of all-zero statistics, equal texts have
+    equal scores, repeated rows are scored each. Statistics are of whole texts; a
+    very long one is measured alone. No rows give no rows.
+    """
 
     @F.arrow_udf("double")
     def run(text: pa.Array) -> pa.Array:

@@ -244,10 +244,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     the input. Texts are UTF-8 bytes, a null text is empty. Rows that share an id
     are different texts, and rows that are repeated whole are repeats of each
     other. The text column is replaced by kept (binary, for a cut may split a
-    character). No documents give no rows.
+    character), all others pass through whatever their names. A very long text
+    is one of many regions to the sorter, but is cut as a whole. No documents give
+    no rows.
     """
-    keyed = docs.withColumn("__t", F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))).withColumn("__k", F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))).withColumn("__h", F.xxhash64("__t"))
-    slim = keyed.select(F.col("__k").alias("k"), F.col("__h").alias("th"), F.col("__t").alias("t"))
+    made = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
+    rest = [c for c in docs.columns if c not in (*made, text_col)]
+    keyed = docs.select(F.struct(*rest).alias("row"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("k")).withColumn("th", F.xxhash64("t"))
+    slim = keyed.select("k", "th", "t")
     repeated = _rows(slim, length, False).groupBy("a").count().where("count > 1").select("a")
     found = materialise(_rows(slim, length, True).join(repeated, "a"), "regions")
     # regions with equal bytes: all of each is repeated when there are two
@@ -295,7 +299,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         partial = materialise(partial.unionByName(moved).groupBy("r").agg(F.flatten(F.collect_set("spans")).alias("spans")), "partial")
     whole = kinds.where("times > 1").select("r", F.array(F.lit(0), F.col("one.n").cast("int")).alias("spans"))
     marks = materialise(whole.unionByName(partial.join(whole.select("r"), "r", "left_anti")), "marks")
-    covered = found.select("r", "k", "th", "s").join(marks, "r").groupBy("k", "th").agg(F.collect_list(F.struct("s", "spans")).alias("__m")).select(F.col("k").alias("__k"), F.col("th").alias("__h"), "__m")
+    covered = found.select("r", "k", "th", "s").join(marks, "r").groupBy("k", "th").agg(F.collect_list(F.struct("s", "spans")).alias("marks"))
 
     @F.arrow_udf("struct<spans: array<long>, removed: long, kept: binary>")
     def cut(text: pa.Array, marks: pa.Array) -> pa.Array:
@@ -320,7 +324,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             removed.append(len(t) - len(kept[-1]))
         return pa.StructArray.from_arrays([pa.array(all_spans, pa.list_(pa.int64())), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], ["spans", "removed", "kept"])
 
-    made = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
-    rest = [c for c in docs.columns if c not in (*made, text_col)]
-    out = keyed.join(covered, ["__k", "__h"], "left").select(*rest, F.length("__t").cast("long").alias("n_bytes"), cut(F.col("__t"), F.col("__m")).alias("__c"))
-    return out.select(*rest, "n_bytes", F.col("__c.removed").alias("n_removed"), (F.size("__c.spans") / 2).cast("long").alias("n_spans"), F.col("__c.spans").alias("spans"), F.col("__c.kept").alias("kept"))
+    out = keyed.join(covered, ["k", "th"], "left").select("row", F.length("t").cast("long").alias("n_bytes"), cut(F.col("t"), F.col("marks")).alias("c"))
+    return out.select("row.*", "n_bytes", F.col("c.removed").alias("n_removed"), (F.size("c.spans") / 2).cast("long").alias("n_spans"), F.col("c.spans").alias("spans"), F.col("c.kept").alias("kept"))
