@@ -14,8 +14,7 @@ from annalist.llm.workspace import materialise
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a sufficient margin, the labels given being what is learned from."""
-    found = language_id.identify(docs, language_id.fit(docs))
-    return found.where("accepted").select(*docs.columns)
+    return language_id.accepted(docs, language_id.fit(docs))
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
