@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType
 
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"})
 #: Deepest nesting of block quotes and elements before a text counts as unreadable.
 DEEPEST = 64
 _TAG = re.compile(r"<(/?)([A-Za-z][\w:.-]*)((?:\s+[\w:.@{}-]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|\{[^}]*\}|[^\s\"'=<>`]+))?)*)\s*(/?)>")

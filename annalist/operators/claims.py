@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +32,18 @@ def contained(items: DataFrame, texts: DataFrame, words: int = 3) -> DataFrame:
     norm = lambda c: F.lower(F.btrim(F.regexp_replace(c, r"\s+", " ")))
     i = items.select("item", norm(F.col("item_text")).alias("t")).where("t <> ''").withColumn("w", F.split("t", " "))
     i = i.withColumn("n", F.least(F.size("w"), F.lit(words))).withColumn("key", F.array_join(F.slice("w", 1, F.col("n")), " "))
-    keys = i.select("key", "n").distinct()
-    d = texts.select("source", norm(F.col("text")).alias("text")).withColumn("w", F.split("text", " "))
-    runs = d.select("source", F.explode(F.sequence(F.lit(1), F.lit(words))).alias("n"), "w").where(F.size("w") >= F.col("n"))
-    grams = runs.select("source", "n", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1), lambda p: F.array_join(F.slice("w", p, F.col("n")), " ")))).alias("key"))
-    met = grams.join(keys, ["key", "n"], "left_semi").join(i.select("item", "t", "n", "key"), ["key", "n"])
+    sizes = [r.n for r in i.select("n").distinct().orderBy("n").collect()]  # `words` numbers at most
+    d = texts.select("source", norm(F.col("text")).alias("text"))
+    split = d.select("source", F.split("text", " ").alias("w"))
+
+    def runs(n: int) -> Column:
+        """The distinct runs of n words of w."""
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda p: F.array_join(F.slice("w", p, n), " ")))
+
+    grams = [split.where(F.size("w") >= n).select("source", F.lit(n).alias("n"), F.explode(runs(n)).alias("key")) for n in sizes]
+    if not grams:
+        return i.select("item").join(d.select("source").limit(0), F.lit(True)).select("item", "source")
+    met = reduce(DataFrame.unionByName, grams).join(i.select("item", "t", "n", "key"), ["key", "n"])
     return met.join(d.select("source", "text"), "source").where(F.concat(F.lit(" "), "text", F.lit(" ")).contains(F.concat(F.lit(" "), F.col("t"), F.lit(" ")))).select("item", "source").distinct()
 
 

@@ -134,7 +134,16 @@ def excerpts(spark, d):
     return table(spark, d, "documents").select("doc_id", text.excerpt(F.col("text"), r"\bthe\b", 120).alias("excerpt"))
 
 
-@query()
+_TAGS = r"""<(/?)([A-Za-z][\w:.-]*)((?:\s+[\w:.@{}-]+(?:\s*=\s*(?:"[^"]*"|''[^'']*''|\{[^}]*\}|[^\s"''=<>`]+))?)*)\s*(/?)>"""
+_MARKS = rf"""
+    h AS (SELECT page_id, html, regexp_replace(html, '(?s)<!--.*?-->', '', 'g') AS bare FROM pages),
+    t AS (SELECT page_id, unnest(ts) AS tag, unnest(range(len(ts))) AS pos FROM (SELECT page_id, regexp_extract_all(bare, '{_TAGS}') AS ts FROM h))"""
+
+
+@query(rf"""WITH {_MARKS}, n AS (SELECT page_id, tag, regexp_extract(tag, '^</?([A-Za-z][\w:.-]*)', 1) AS name FROM t),
+    k AS (SELECT page_id, CASE WHEN tag LIKE '</%' THEN 'close' WHEN tag LIKE '%/>' OR lower(name) IN ('area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'source', 'track', 'wbr') THEN 'empty' ELSE 'open' END AS kind, name FROM n
+          UNION ALL SELECT page_id, 'comment', '' FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<!--.*?-->')) AS c FROM h))
+    SELECT page_id, kind, name, count(*) AS n FROM k GROUP BY ALL""")
 def markup_tokens(spark, d):
     """Tags and comments of every page by kind and name."""
     rows = table(spark, d, "pages").select("page_id", F.explode(markup.tokens_of(F.col("html"))).alias("t"))
@@ -148,7 +157,8 @@ def without_code_examples(spark, d):
     return table(spark, d, "pages").select("page_id", hashing.content_sha256(c).alias("prose_sha256"), F.length(c).alias("chars"))
 
 
-@query()
+@query(rf"""WITH {_MARKS}, a AS (SELECT page_id, tag, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS pos FROM t WHERE regexp_matches(tag, '^<a[\s>]'))
+    SELECT page_id, CAST(pos AS INT) AS pos, replace(nullif(regexp_extract(tag, '\shref="([^"]*)"', 1), ''), '&amp;', '&') AS href FROM a""")
 def element_attributes(spark, d):
     """Attributes of the active anchors of every page."""
     rows = table(spark, d, "pages").select("page_id", F.posexplode(markup.tags_of(F.col("html"), "a")).alias("pos", "tag"))
