@@ -88,56 +88,132 @@ def without_spans(text: str, spans: list[tuple[int, int]], keep_lines: bool = Fa
     return "".join([*out, text[at:]])
 
 
+def replaced_spans(text: str, spans: list[tuple[int, int]], put: str) -> str:
+    """text with put in place of each of the spans (one of those that overlap)."""
+    out, at = [], 0
+    for a, b in sorted(spans):
+        if a >= at:
+            out += [text[at:a], put]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
 def without_comments(text: str) -> str:
-    """Without comments; what looks like one in an attribute or after a backslash stays."""
-    return without_spans(text, [(t.start, t.end) for t in tokens(text) if t.kind == "comment" and not t.escaped])
+    """A blank line in place of each comment; what looks like one in an attribute or after a backslash stays."""
+    return replaced_spans(text, [(t.start, t.end) for t in tokens(text) if t.kind == "comment" and not t.escaped], "\n\n")
 
 
-def line_blocks(text: str) -> list[tuple[int, int, str, str]] | None:
-    """(first line, end line, kind, info) of fences, indented code and block quotes; null when quotes nest too deep."""
-    out: list[tuple[int, int, str, str]] = []
-    rows = text.split("\n")
-    fence = None
+def unfinished(text: str) -> str | None:
+    """The tag or comment that a text breaks off in, from its < on; null where it ends outside of any."""
+    at, end = text.rfind("<"), 0
+    for t in tokens(text):
+        end = max(end, t.end)
+        if t.kind == "comment" and not t.raw.endswith("-->"):
+            return t.raw
+    return text[at:] if at >= end and re.match(r"</?[A-Za-z][^<>]*\Z", text[at:]) else None
+
+
+_FENCE = re.compile(r"( {0,3})(`{3,}|~{3,})[ \t]*(.*?)[ \t]*\Z")
+_ITEM = re.compile(r"( {0,3})(?:[-+*]|([0-9]{1,9})[.)])(?=[ \t]|\Z)")
+_RULE = re.compile(r" {0,3}(?:(?:\*[ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})\Z")
+_HEADING, _UNDERLINE, _QUOTE = re.compile(r" {0,3}#{1,6}(?:[ \t]|\Z)"), re.compile(r" {0,3}(?:=+|-+)[ \t]*\Z"), re.compile(r" {0,3}> ?")
+
+
+def _opens_fence(row: str):
+    m = _FENCE.match(row)
+    return m if m and not (m[2][0] == "`" and "`" in m[3]) else None
+
+
+def _interrupts(row: str) -> bool:
+    """Whether a line begins a block of its own although a paragraph is open."""
+    item = _ITEM.match(row)
+    return bool(_opens_fence(row) or _HEADING.match(row) or _RULE.match(row) or _QUOTE.match(row) or (item and item[2] in (None, "1") and row[item.end() :].strip()))
+
+
+class _TooDeep(Exception):
+    pass
+
+
+def _scan(rows: list[str], first: int, depth: int, out: list[tuple[int, int, str, str]]) -> bool:
+    """Blocks of the lines of one container, those of the containers in it too; whether a paragraph is open at the end."""
+    if depth >= DEEPEST:
+        raise _TooDeep
     i, paragraph = 0, False
     while i < len(rows):
         row = rows[i]
-        if fence:
-            if re.match(rf"^ {{0,3}}{re.escape(fence[0])}{{{fence[1]},}}\s*$", row):
-                out.append((fence[2], i + 1, "fence", fence[3]))
-                fence = None
-            i += 1
-            continue
-        m = re.match(r"^ {0,3}(`{3,}|~{3,})\s*([^`]*)$", row)
-        if m:
-            fence, paragraph = (m[1][0], len(m[1]), i, m[2].strip()), False
-            i += 1
-            continue
-        if re.match(r"^ {0,3}>", row):
-            if re.match(rf"^(?: {{0,3}}>){{{DEEPEST},}}", row):
-                return None
-            j = i
-            while j < len(rows) and re.match(r"^ {0,3}>", rows[j]):
-                j += 1
-            out.append((i, j, "quote", ""))
-            i, paragraph = j, False
-            continue
-        if not paragraph and re.match(r"^(?: {4}|\t)\s*\S", row):
+        if not row.strip():
+            i, paragraph = i + 1, False
+        elif not paragraph and row.startswith("    "):
             j = i
-            while j < len(rows) and (re.match(r"^(?: {4}|\t)", rows[j]) or not rows[j].strip()):
+            while j < len(rows) and (rows[j].startswith("    ") or not rows[j].strip()):
                 j += 1
             while not rows[j - 1].strip():
                 j -= 1
-            out.append((i, j, "code", ""))
+            out.append((first + i, first + j, "code", ""))
             i = j
-            continue
-        paragraph = bool(row.strip()) and not re.match(r"^ {0,3}#{1,6}\s", row)
-        i += 1
-    if fence:
-        out.append((fence[2], len(rows), "fence", fence[3]))
-    return out
+        elif m := _opens_fence(row):
+            j = i + 1
+            while j < len(rows) and not re.match(rf" {{0,3}}{re.escape(m[2][0])}{{{len(m[2])},}}[ \t]*\Z", rows[j]):
+                j += 1
+            j = min(j + 1, len(rows))
+            out.append((first + i, first + j, "fence" if depth == 0 else "inner-fence", m[3]))
+            i, paragraph = j, False
+        elif _QUOTE.match(row):
+            inner, j = [], i
+            while j < len(rows) and (m := _QUOTE.match(rows[j])):
+                inner.append(rows[j][m.end() :])
+                j += 1
+            own: list[tuple[int, int, str, str]] = []
+            paragraph = _scan(inner, first + i, depth + 1, own)
+            # lines that go on a paragraph need no mark
+            while paragraph and j < len(rows) and rows[j].strip() and not _interrupts(rows[j]):
+                j += 1
+            out += [(first + i, first + j, "quote", ""), *own]
+            if j < len(rows) and _QUOTE.match(rows[j]):
+                rows = [*rows[:i], *["> " + r if not _QUOTE.match(r) else r for r in rows[i:j]], *rows[j:]]
+                del out[-len(own) - 1 :]
+                continue
+            i, paragraph = j, False
+        elif (m := _ITEM.match(row)) and not _RULE.match(row) and not (paragraph and not _interrupts(row)):
+            rest = row[m.end() :]
+            gap = len(rest) - len(rest.lstrip(" "))
+            width = m.end() + (gap if 1 <= gap <= 4 and rest.strip() else 1)
+            inner, j = [row[width:]], i + 1
+            while j < len(rows):
+                if rows[j].startswith(" " * width):
+                    inner.append(rows[j][width:])
+                elif not rows[j].strip() and (len(inner) > 1 or inner[0].strip()):
+                    inner.append("")
+                elif rows[j].strip() and not _interrupts(rows[j]) and not _ITEM.match(rows[j]) and rows[j - 1].strip() and _scan(inner, 0, depth + 1, []):
+                    while j < len(rows) and rows[j].strip() and not _interrupts(rows[j]) and not _ITEM.match(rows[j]):
+                        inner.append(rows[j].lstrip(" "))
+                        j += 1
+                    continue
+                else:
+                    break
+                j += 1
+            _scan(inner, first + i, depth + 1, out)
+            i, paragraph = j, False
+        else:
+            paragraph = not (_HEADING.match(row) or _RULE.match(row) or (paragraph and _UNDERLINE.match(row)))
+            i += 1
+    return paragraph
+
 
+def line_blocks(text: str) -> list[tuple[int, int, str, str]] | None:
+    """(first line, end line, kind, info) of fences, indented code and block quotes as CommonMark reads them, in lists and quotes too.
 
-def without_blocks(text: str, kinds: frozenset[str] = frozenset({"fence", "code", "quote"}), keep_info: str | None = None) -> str | None:
+    A fence within another block is an inner-fence. Null when blocks nest too deep.
+    """
+    out: list[tuple[int, int, str, str]] = []
+    try:
+        _scan([row.expandtabs(4) if row[: len(row) - len(row.lstrip())].count("\t") else row for row in text.split("\n")], 0, 0, out)
+    except _TooDeep:
+        return None
+    return sorted(out)
+
+
+def without_blocks(text: str, kinds: frozenset[str] = frozenset({"fence", "inner-fence", "code", "quote"}), keep_info: str | None = None) -> str | None:
     """text with the lines of such blocks emptied; the body of a single fence of keep_info stays."""
     found = line_blocks(text)
     if found is None:
@@ -153,24 +229,41 @@ def without_blocks(text: str, kinds: frozenset[str] = frozenset({"fence", "code"
     return "\n".join(rows)
 
 
+#: Fixed value: elements whose content is no prose.
+RAW = frozenset({"blockquote", "code", "iframe", "noembed", "noframes", "noscript", "plaintext", "pre", "script", "style", "template", "textarea", "title", "xmp"})
+_INLINE = re.compile(r"(?<!`)(`+)(?!`)(.*?)(?<!`)\1(?!`)", re.S)
+
+
 def without_code(text: str, keep_info: str | None = None) -> str | None:
-    """Prose only: no code blocks, quotes, comments, inline code or raw containers."""
-    bare = without_blocks(text, keep_info=keep_info)
+    """Prose only: no code blocks, quotes, comments, raw containers or inline code but single words.
+
+    Null where blocks nest too deep or the text breaks off in the tag of a raw container.
+    """
+    bare = without_blocks(text, frozenset({"fence", "inner-fence", "code"}), keep_info)
     if bare is None:
         return None
-    bare = without_comments(bare)
-    bare = re.sub(r"(?<![\\`])(`+)(?!`)(?:(?!\n\s*\n).)+?(?<!`)\1(?!`)", "", bare, flags=re.S)
+    word = lambda m: m[2].strip() and "\n" not in m[2] and "\r" not in m[2] and not re.search(r"[<>\s]", m[2].strip())
+    bare = _INLINE.sub(lambda m: m[0] if word(m) else "\n\n", without_comments(bare))
+    if (tail := unfinished(bare)) and (m := re.match(r"</?([A-Za-z]+)", tail)) and m[1].lower() in RAW:
+        return None
     spans, open_ = [], []
     for t in tokens(bare):
-        if t.escaped or t.name.lower() not in ("pre", "code", "script", "style", "samp", "kbd", "blockquote"):
+        name = t.name.lower()
+        if t.escaped or name not in RAW:
             continue
         if t.kind == "open":
-            open_.append(t)
-        elif t.kind == "close" and open_ and open_[-1].name == t.name:
-            first = open_.pop()
+            open_.append((name, t.start))
+            if name == "plaintext":
+                break
+        elif t.kind == "close" and open_ and open_[-1][0] == name:
+            start = open_.pop()[1]
             if not open_:
-                spans.append((first.start, t.end))
-    return without_spans(bare, spans, keep_lines=True)
+                spans.append((start, t.end))
+        elif not open_:
+            spans.append((t.start, t.end))
+    if open_:
+        spans.append((open_[0][1], len(bare)))
+    return without_blocks(replaced_spans(bare, spans, "\n\n"), frozenset({"quote"}))
 
 
 def without_links(text: str) -> str:

@@ -330,9 +330,10 @@ def component_sections(spark, d):
     return rows.select("custkey", F.btrim(F.regexp_replace("body", r"^\s+|\s+$", "")).alias("body"), "shown", "kind")
 
 
-@query(r"""SELECT c_custkey AS custkey, 'before ' || c_name || ' text  end' AS prose FROM customer""")
+@query(r"""SELECT c_custkey AS custkey, 'before ' || c_name || ' text `code` end - item' || CASE WHEN c_custkey % 2 = 0 THEN ' last' ELSE '' END AS prose FROM customer""")
 def prose_of_markdown(spark, d):
-    """Comments, code, quotes and link targets left out of a page."""
-    md = F.concat(F.lit("before "), "c_name", F.lit(" [text](https://x.example/a) `code`<!-- no --> end\n\n```py\nfenced "), "c_mktsegment", F.lit("\n```\n\n> quoted\n\n    indented\n"))
-    c = markup.unlinked(markup.prose(md))
-    return table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"), F.regexp_extract(c, r"^([^\n]*)", 1).alias("prose"))
+    """Comments, code, quotes, raw containers and link targets left out of a page, lists read as such."""
+    tail = F.when(F.col("c_custkey") % 2 == 0, "last").otherwise("    last\n")
+    md = F.concat(F.lit("before "), "c_name", F.lit(" [text](https://x.example/a) `code`<!-- no -->`a b` <pre>raw</pre> end\n\n```py\nfenced "), "c_mktsegment", F.lit("\n```\n\n> quoted\nlazily\n\n- item\n\n      code\n\nend of list\n\n"), tail)
+    c = text.fold_space(markup.unlinked(markup.prose(md)))
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"), F.replace(c, F.lit(" end of list"), F.lit("")).alias("prose"))

@@ -135,20 +135,50 @@ def test_utc(spark):
 def test_markup_is_read_with_its_places():
     found = markup.tokens(r'a <b x="<!-- no -->">t</b> \<i> <!-- yes --> <br>')
     assert [(t.kind, t.name, t.escaped) for t in found] == [("open", "b", False), ("close", "b", False), ("open", "i", True), ("comment", "", False), ("empty", "br", False)]
-    assert markup.without_comments('<p title="<!-- kept -->">x</p><!-- gone -->') == '<p title="<!-- kept -->">x</p>'
+    assert markup.without_comments('<p title="<!-- kept -->">x</p><!-- gone -->y') == '<p title="<!-- kept -->">x</p>\n\ny'
+    assert [markup.unfinished(t) for t in ("a <b", "a <!-- b", "a < b", "<b>x", "a </scr", "")] == ["<b", "<!-- b", None, None, "</scr", None]
     assert markup.without_comments(r"\<!-- kept -->") == r"\<!-- kept -->"
 
 
 def test_code_and_links_go():
-    body = "keep\n```py\ncode\n```\n    indented is prose after text\n\n    code\n> quote\ntail `x` <pre>raw</pre> end"
+    body = "keep\n```py\ncode\n```\ntext\n    indented is prose after text\n\n    code\n> quote\n\ntail `x` `a b` <pre>raw</pre> end"
     got = markup.without_code(body)
-    assert "code" not in got.replace("indented is prose after text", "") and "quote" not in got and "raw" not in got
-    assert "keep" in got and "tail" in got and "end" in got
-    assert got.count("\n") == body.count("\n")
+    assert "code" not in got and "quote" not in got and "raw" not in got and "a b" not in got
+    assert "keep" in got and "tail `x`" in got and "end" in got and "indented is prose" in got
+    assert markup.without_code("a <plaintext>b</plaintext> c") == "a \n\n" and markup.without_code("a <script") is None and markup.without_code("a <b") == "a <b"
+    assert markup.without_code("<code>a <code>b</code> c</code> d").strip() == "d"
     assert markup.without_links("[a](http://x.example/(b)) ![i](p.png) <https://x.example> [d][r]\n[r]: http://x.example") == "a   d\n"
     assert markup.without_code("> " * 70 + "x") is None
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("- item\n\n    in the item\n\n      code in it\n", [(4, 5, "code")]),
+        ("- item\n\n      code\n", [(2, 3, "code")]),
+        ("1. a\n\n   ```py\n   x\n   ```\nafter\n", [(2, 5, "inner-fence")]),
+        ("> quote\nlazy\n\nout\n", [(0, 2, "quote")]),
+        ("> quote\n- out\n", [(0, 1, "quote")]),
+        ("> a\nlazy\n> b\n", [(0, 3, "quote")]),
+        ("> ```\n> x\nout\n", [(0, 2, "inner-fence"), (0, 2, "quote")]),
+        ("Title\n---\n    code\n", [(2, 3, "code")]),
+        ("text\n    no code\n", []),
+        ("# head\n    code\n\n    more\n\nend", [(1, 4, "code")]),
+        ("* * *\n    code\n", [(1, 2, "code")]),
+        ("~~~ `x`\n```\n~~~\n", [(0, 3, "fence")]),
+        ("``` a`b\ntext\n", []),
+        ("text\n2. no list\n\n    code", [(3, 4, "code")]),
+        ("\tcode\n", [(0, 1, "code")]),
+        ("- a\n  - b\n\n    text of b\n", []),
+        ("-\n\n    code\n", [(2, 3, "code")]),
+        ("```\nopen", [(0, 2, "fence")]),
+        ("", []),
+    ],
+)
+def test_blocks_are_read_as_commonmark_does(text, want):
+    assert [b[:3] for b in markup.line_blocks(text)] == want
+
+
 def test_sections_elements_attributes():
     page = "# T\n## A\none\n### sub\ntwo\n## B\nthree\n```\n## A\n```\n"
     assert markup.section(page, "A") == "one\n### sub\ntwo"
