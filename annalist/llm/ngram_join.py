@@ -8,7 +8,8 @@
    size). Groups that meet under a prefix shingle are compared by size and
    position and, expanded to their members, by a parity signature of fixed
    width that bounds the overlap from above.
-4. Surviving pairs are verified on the words of their whole texts.
+4. Surviving pairs are compared by bitmaps as wide as their sets, and those that
+   are left verified on the words of their whole texts.
 
 Classes that are already connected need no further pair between them. First
 the groups of each shingle meet within blocks of bounded size, and each block
@@ -39,7 +40,7 @@ from .workspace import discard, materialise
 COMMON_SHINGLES, COMMON_COUNT = 1 << 17, 8
 #: Shingle hashes held at once while a task looks for common ones.
 HELD = 2_000_000
-#: Bits of the signatures that groups meet with; pairs of later rounds are compared by bitmaps as wide as their sets too.
+#: Bits of the signatures that groups meet with; pairs are compared by bitmaps as wide as their sets too.
 BITS = 512
 #: Most groups in one block of a shingle's list, and members in one part of a group.
 BLOCK, GROUP = 512, 16
@@ -361,21 +362,22 @@ def _cells(entries: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 
 def _within_reach(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose bitmaps, as wide as the smaller set, leave room for the overlap that a link needs."""
+    """The pairs (a, b) with near: whether their bitmaps, as wide as the smaller set, leave room for the overlap that a link needs."""
 
     def check(batches):
         for batch in batches:
-            keep = []
+            near = []
             for m, n, x, y in zip(*(batch.column(c).to_pylist() for c in ("m", "n", "x", "y")), strict=True):
                 width = 8 * min(len(x), len(y))
                 apart = int(np.bitwise_count(folded(x, width) ^ folded(y, width)).sum())
-                keep.append(apart <= m + n - 2 * -(-percent * (m + n) // (100 + percent)))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                near.append(apart <= m + n - 2 * -(-percent * (m + n) // (100 + percent)))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(near, pa.bool_())], ["a", "b", "near"])
 
     # sets that the signatures cover whole have no wider bitmap
     wide = classes.select(F.col("class_id"), "n", F.coalesce("wide", "sig").alias("bits"))
     x, y = wide.select(F.col("class_id").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x")), wide.select(F.col("class_id").alias("b"), "n", F.col("bits").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "x", "y").mapInArrow(check, "a long, b long").distinct()
+    found = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "x", "y").mapInArrow(check, "a long, b long, near boolean")
+    return found.groupBy("a", "b").agg(F.bool_or("near").alias("near"))  # an id may have several sets
 
 
 def overlap(x: bytes, y: bytes, n: int) -> tuple[int, int]:
@@ -472,27 +474,29 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
         return tables[-1]
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return kept(judged(kept(pairs, "pairs"), docs, n, percent, id_col, text_col), "tried")
+        """(a, b, links) of pairs: by their words where their bitmaps leave it open."""
+        near = kept(_within_reach(kept(pairs, "pairs"), classes, percent), "near")
+        tried = kept(judged(near.where("near").select("a", "b"), docs, n, percent, id_col, text_col).select("a", "b", "links"), "tried")
+        return tried.unionByName(near.where("not near").select("a", "b", F.lit(False).alias("links")))
 
     common = common_shingles(docs, n, text_col)
     records = kept(_records(docs, n, percent, common, id_col, text_col), "records")
     full = records.where("n > 0 and doc_id is not null")
-    one = full.groupBy("set_key", "n").agg(F.min(F.struct("doc_id", "row", "prefix_key", "sig")).alias("one"))
-    classes = kept(one.select(F.col("one.doc_id").alias("class_id"), F.col("one.doc_id").alias("comp"), "n", "one.row", "one.prefix_key", "one.sig"), "classes")
+    one = full.groupBy("set_key", "n").agg(F.min(F.struct("doc_id", "row", "prefix_key", "sig", "wide")).alias("one"))
+    classes = kept(one.select(F.col("one.doc_id").alias("class_id"), F.col("one.doc_id").alias("comp"), "n", "one.row", "one.prefix_key", "one.sig", "one.wide"), "classes")
     groups = kept(_groups(classes), "groups")
     entries = kept(_first_cells(_spread(groups, records), common), "entries")
     tried = verified(_meet(entries, groups, percent))
     reached = kept(_reached(tried.where("links")), "reached")
     unsettled = kept(_unsettled(tried, reached, entries, groups), "unsettled")
     if not unsettled.isEmpty():
-        own, cells = kept(classes.join(unsettled, "class_id", "left_semi").join(records.select("row", "wide"), "row"), "own"), None
+        cells = None
         for closest in CLOSEST:
             if cells is None:  # else nothing has linked since, and the same cells are compared again
                 parts = kept(_regrouped(groups, _labelled(unsettled, reached)), "parts")
                 cells = _cells(entries, parts, percent)
             met = kept(_meet(cells, parts, percent, closest), "met")
-            fresh = met.where("a is not null").join(tried.select("a", "b"), ["a", "b"], "left_anti")
-            more = verified(fresh if closest == 0 else _within_reach(fresh, own, percent))
+            more = verified(met.where("a is not null").join(tried.select("a", "b"), ["a", "b"], "left_anti"))
             tried = tried.unionByName(more)
             linked = more.where("links").count()
             # a forest says all if each of its pairs links, closest candidates if none is left out
