@@ -88,20 +88,24 @@ def chained_candidates(spark, d):
     return history.chained(new, old).select("entity", "id", "previous_event_id")
 
 
-#: A graph with faults: the predecessor of a line item's order is its part, so many are missing, foreign or shared.
+#: A graph with faults: an order's predecessor is made from its customer, so many are missing, foreign or shared; some pairs of orders follow each other.
 _FAULTY = """
-    g AS (SELECT o_orderkey AS id, CASE WHEN o_custkey <> o_orderkey THEN o_custkey * 11 END AS p, o_orderstatus AS c, o_orderpriority AS n FROM orders)"""
+    g AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey + 1 WHEN o_orderkey % 50 = 1 THEN o_orderkey - 1 WHEN o_custkey <> o_orderkey THEN o_custkey * 11 END AS p,
+                 o_orderstatus AS c, o_orderpriority AS n FROM orders)"""
 
 
-@query(f"""WITH {_FAULTY}
+@query(f"""WITH RECURSIVE {_FAULTY},
+    r(id) AS (SELECT id FROM g WHERE p IS NULL OR p NOT IN (SELECT id FROM g) UNION SELECT g.id FROM g JOIN r ON g.p = r.id)
     SELECT 'several-successors' AS rule, CAST(p AS VARCHAR) AS id FROM g WHERE p IS NOT NULL GROUP BY p HAVING count(*) > 1
     UNION ALL SELECT 'missing-predecessor', CAST(g.id AS VARCHAR) FROM g LEFT JOIN g q ON q.id = g.p WHERE g.p IS NOT NULL AND q.id IS NULL
-    UNION ALL SELECT 'foreign-predecessor', CAST(g.id AS VARCHAR) FROM g JOIN g q ON q.id = g.p WHERE q.c <> g.c OR q.n <> g.n""")
+    UNION ALL SELECT 'foreign-predecessor', CAST(g.id AS VARCHAR) FROM g JOIN g q ON q.id = g.p WHERE q.c <> g.c OR q.n <> g.n
+    UNION ALL SELECT 'cycle', CAST(id AS VARCHAR) FROM g WHERE id NOT IN (SELECT id FROM r)""")
 def graph_violations(spark, d):
-    """Faults of an event graph. The SQL has no cycle rows: they are tested against a plain pointer walk."""
+    """Faults of an event graph, events that no root reaches among them."""
+    k = F.col("o_orderkey")
     e = table(spark, d, "orders").select(
-        F.col("o_orderkey").cast("string").alias("id"),
-        F.when(F.col("o_custkey") != F.col("o_orderkey"), (F.col("o_custkey") * 11).cast("string")).alias("previous_event_id"),
+        k.cast("string").alias("id"),
+        F.when(k % 50 == 0, k + 1).when(k % 50 == 1, k - 1).when(F.col("o_custkey") != k, F.col("o_custkey") * 11).cast("string").alias("previous_event_id"),
         F.col("o_orderstatus").alias("category"),
         F.col("o_orderpriority").alias("entity"),
     )
