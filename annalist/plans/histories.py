@@ -63,10 +63,16 @@ def chain_walk(spark, d):
     return history.walked(_linked(spark, d)).select("id", "root", "depth")
 
 
-@query(f"""WITH {_LINKED} SELECT CAST(o_custkey AS VARCHAR) AS entity, id FROM e QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC) = 1""")
+@query(f"""WITH {_LINKED},
+    c AS (SELECT *, sum(CASE WHEN n = 1 OR CAST(id AS BIGINT) % 5 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY n) AS chain FROM e),
+    r AS (SELECT *, first_value(CASE WHEN CAST(id AS BIGINT) % 3 > 0 THEN o_orderstatus ELSE '' END) OVER w AS clock, first_value(lpad(id, 12, '0')) OVER w AS place FROM c WINDOW w AS (PARTITION BY o_custkey, chain ORDER BY n))
+    SELECT CAST(o_custkey AS VARCHAR) AS entity, arg_max(id, (clock, place, n)) AS id FROM r GROUP BY 1""")
 def chain_tails(spark, d):
-    """The latest event of each entity; links decide, not clocks (here every clock is null)."""
-    return history.tails(_linked(spark, d)).select("entity", "id")
+    """The latest event of each entity: of several chains that of the latest root by clock, unknown ones first, then by place; within it links decide."""
+    k = F.col("id").cast("long")
+    status = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), "o_orderstatus")
+    e = _linked(spark, d).join(status, "id").withColumn("previous_event_id", F.when(k % 5 > 0, F.col("previous_event_id"))).withColumn("observed_at", F.when(k % 3 > 0, F.col("o_orderstatus")))
+    return history.tails(e.drop("o_orderstatus")).select("entity", "id")
 
 
 @query(f"""WITH {_LINKED},
