@@ -52,9 +52,11 @@ def test_words_do_not_depend_on_slices(monkeypatch):
 
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (3, 2), (9, 3), (5, 6), (7, 7), (6, 5), (None, 4)] + [(i, i + 1) for i in range(100, 140)], "u long, v long")
-    got = {r.id: r.component for r in components(edges).collect()}
-    assert {i: got[i] for i in (1, 2, 3, 9, 5, 6)} == {1: 1, 2: 1, 3: 1, 9: 1, 5: 5, 6: 5}
-    assert all(got[i] == 100 for i in range(100, 141)) and 7 not in got
+    for chunk in (10**6, 7):
+        rows = components(edges, chunk=chunk).collect()
+        got = {r.id: r.component for r in rows}
+        assert len(got) == len(rows) and {i: got[i] for i in (1, 2, 3, 9, 5, 6)} == {1: 1, 2: 1, 3: 1, 9: 1, 5: 5, 6: 5}
+        assert all(got[i] == 100 for i in range(100, 141)) and 7 not in got
     assert components(edges.limit(0)).count() == 0
 
 
