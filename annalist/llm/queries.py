@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from . import language_id, quality
 from .decontaminate import contaminated
 from .fingerprints import fingerprinted
+from .lexical_search import search
 from .line_dedup import dedup_lines
 from .mixing import mix
+from .piece_codec import decoded, encoded
 from .suffix_dedup import remove_repeats
 from .token_output import training_order
 from .url_filter import judge
@@ -76,6 +78,20 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:  # on the driver; tasks get its content
+        model = f.read()
+    out = decoded(encoded(_read(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_source_mixing": op2_source_mixing,
@@ -87,6 +103,8 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLES: dict[str, str] = {
     "op2_source_mixing": r"""
@@ -171,4 +189,13 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (h.key IS NOT NULL AND keeper <> doc_id) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (h.key IS NULL OR keeper = doc_id), '')) AS kept_sha256
         FROM k LEFT JOIN h USING (key) GROUP BY doc_id""",
+    "op13_lexical_search": r"""
+        WITH i AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark),
+        d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+        it AS (SELECT DISTINCT item, item_id, unnest(ts) AS t FROM i),
+        c AS (SELECT CAST(count(*) FILTER (len(ts) > 0) AS BIGINT) AS nn, CAST(sum(len(ts)) AS BIGINT) AS ll FROM d),
+        p AS (SELECT r, doc_id, CAST(len(ts) AS BIGINT) AS n, t, count(*) AS tf FROM (SELECT r, doc_id, ts, unnest(ts) AS t FROM d) GROUP BY ALL),
+        w AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY t, nn),
+        s AS (SELECT item, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nn) // ll)))) AS BIGINT) AS score FROM p JOIN it USING (t) JOIN w USING (t), c GROUP BY ALL)
+        SELECT item_id, CAST(k AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, r) AS k FROM s WHERE score > 0) WHERE k <= 10""",
 }

@@ -38,3 +38,9 @@ def discard(*tables: DataFrame) -> None:
         for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
             own = spark._jvm.org.apache.hadoop.fs.Path(path)
             own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores of the cluster, where a small scan has fewer partitions than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
