@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language_id, quality
+from .conversation_repair import Repair, joined_hash
 from .decontaminate import contaminated
 from .fingerprints import fingerprinted
 from .lexical_search import search
@@ -16,6 +17,7 @@ from .suffix_dedup import remove_repeats
 from .token_output import training_order
 from .url_filter import judge
 from .ngram_join import jaccard_components
+from .workspace import materialise
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +90,29 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with a known share of faults, told by a checksum of conversation and turn; nulls become one space."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat_ws(":", text("conv_id"), text("turn")).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), fault.alias("f")).where("f <> 0")
+    broken = F.when(F.col("f") == 1, "").when(F.col("f") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("f") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", F.when(F.col("f") == 4, "user").otherwise(F.col("role")).alias("role"), broken.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations")
+    repair = Repair(damaged(rows))
+    found = repair.conversations().withColumn("known", F.lit(True))
+    hashes = joined_hash(repair.turns().select("c", "e", F.concat_ws(":", "role", "text").alias("line")))
+    out = rows.select("conv_id").distinct().join(found.join(hashes, "c", "left").withColumnRenamed("conv_id", "own"), F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    numbers = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    out = materialise(out.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", empty).alias("repaired_sha256")), "repaired")
+    repair.discard()
+    return out
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -104,6 +129,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_document_fingerprints": op10_document_fingerprints,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_lexical_search": op13_lexical_search,
 }
 ORACLES: dict[str, str] = {
@@ -189,6 +215,35 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (h.key IS NOT NULL AND keeper <> doc_id) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (h.key IS NULL OR keeper = doc_id), '')) AS kept_sha256
         FROM k LEFT JOIN h USING (key) GROUP BY doc_id""",
+    "op12_conversation_repair": r"""
+        WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(regexp_extract_all(hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+                       lambda a, b: list_reduce([xor(a, b)] || [CAST(1 AS BIGINT), 2, 3, 4, 5, 6, 7, 8], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS f FROM conversations),
+        d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM o WHERE f <> 0),
+        n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS n FROM d),
+        g AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again, left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS p,
+                     right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS e FROM n),
+        t AS (SELECT *, CASE WHEN e = '' THEN 1 WHEN again THEN 2 WHEN e NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM g),
+        stat AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                        count(*) FILTER (p IS NOT NULL AND p || i NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS rows_ FROM t GROUP BY 1),
+        -- what may be inserted before a turn or at the end: state, state after, letters, lines
+        ins(a, b, c, w, x) AS (VALUES ('-', '-', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''), ('-', 'u', 2, 'I', chr(10) || 'user:'), ('s', 'u', 2, 'I', chr(10) || 'user:'),
+                               ('u', 'a', 2, 'I', chr(10) || 'assistant:'), ('a', 'u', 2, 'I', chr(10) || 'user:'), ('-', 'a', 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), ('s', 'a', 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+        act(a, b, role) AS (VALUES ('-', 's', 's'), ('-', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')),
+        walk AS (SELECT conv_id, 0 AS n, '-' AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, '' AS lines FROM stat
+            UNION ALL
+            SELECT conv_id, n, state, best[1], best[2], best[3] FROM (
+                SELECT w.conv_id, t.n, coalesce(m.b, ins.b) AS state,
+                       min((w.cost + ins.c + CASE m.kind WHEN 'K' THEN 0 WHEN 'R' THEN 2 ELSE 3 END + CASE WHEN m.kind <> 'D' AND t.fault = 3 THEN 1 ELSE 0 END, w.audit || ins.w || m.kind,
+                            w.lines || ins.x || CASE m.kind WHEN 'K' THEN chr(10) || t.role || ':' || t.text WHEN 'R' THEN chr(10) || m.role || ':' || t.text ELSE '' END)) AS best
+                FROM walk w JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.n + 1 JOIN ins ON ins.a = w.state
+                JOIN (SELECT 'K' AS kind, a, b, role, left(role, 1) AS i FROM act UNION ALL SELECT 'R', a, b, role, NULL FROM act WHERE role <> 's' UNION ALL SELECT 'D', NULL, NULL, NULL, NULL) m
+                  ON m.kind = 'D' OR (t.fault NOT IN (1, 2) AND m.a = ins.b AND (m.kind = 'R' OR m.i = t.i))
+                GROUP BY ALL)),
+        best AS (SELECT w.conv_id, min((w.cost + ins.c, w.audit || ins.w, w.lines || ins.x)) AS b FROM walk w JOIN stat ON stat.conv_id IS NOT DISTINCT FROM w.conv_id AND w.n = stat.rows_ JOIN ins ON ins.a = w.state WHERE ins.b IN ('-', 'a') GROUP BY 1)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               CAST(coalesce(b[1], 0) AS BIGINT) AS cost, coalesce(b[2], '') AS audit, sha256(substr(coalesce(b[3], ''), 2)) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stat ON stat.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id""",
     "op13_lexical_search": r"""
         WITH i AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark),
         d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
