@@ -27,6 +27,8 @@ from .workspace import discard, materialise, spread
 LENGTH_SHARE, SATURATION, SCALE = 90, 8, 1_000_000_000
 #: Documents that the rarest terms of an item are looked up in at first; no influence on results.
 SEED_MATCHES = 1000
+#: Layers in which the weaker terms are looked up; no influence on results.
+LAYERS = 4
 #: Rows of a side that may be broadcast; a larger side is joined by shuffle.
 BROADCAST_ROWS = 1 << 18
 #: A-Z become a-z; all other ASCII characters that are no letter or digit become a space.
@@ -86,31 +88,34 @@ def postings(docs: DataFrame, terms: DataFrame | None = None, id_col: str = "doc
     return materialise(found.hint("rebalance", "term").sortWithinPartitions("term", "row"), "postings", 3)
 
 
-def _weights(posts: DataFrame, asked: DataFrame) -> DataFrame:
-    """asked (item, term) with each term's weight w, df and greatest score; terms without a score above 0 go."""
+def _weighted(posts: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(postings (term, row, doc_id, s) with s the share of the weight that the occurrences earn; asked (item, term) with weight w, df and greatest score).
+
+    Terms that cannot score above 0 are in neither.
+    """
     sizes = posts.where("term = ''").agg(F.count_if(F.col("n") > 0).alias("n_docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_terms"))
-    with_sizes = posts.where("term <> ''").crossJoin(F.broadcast(sizes))  # one row
+    m = f"(100 - {LENGTH_SHARE} + (({LENGTH_SHARE} * n * n_docs) div n_terms))"
+    share = F.expr(f"({SCALE} * tf) div (1000 * tf + {SATURATION} * {m})")
+    scored = posts.where("term <> ''").crossJoin(F.broadcast(sizes)).select("term", "row", "doc_id", "n_docs", share.alias("s"))  # one row
     by_term = (
-        with_sizes.groupBy("term", "n_docs", "n_terms")
-        .agg(F.count("*").alias("df"), F.max(_saturated()).alias("most"))
+        scored.groupBy("term", "n_docs")
+        .agg(F.count("*").alias("df"), F.max("s").alias("most"))
         .withColumn("w", F.floor(F.lit(1000) * F.log((2 * F.col("n_docs") + 2) / (2 * F.col("df") + 1))).cast("long"))
     )
-    return asked.join(by_term, "term").where("w > 0 AND most > 0").select("item", "term", "w", "df", "n_docs", "n_terms", (F.col("w") * F.col("most")).alias("bound"))
+    terms = asked.join(by_term, "term").where("w > 0 AND most > 0").select("item", "term", "w", "df", (F.col("w") * F.col("most")).alias("bound"))
+    return scored.where("s > 0").select("term", "row", "doc_id", "s"), terms
 
 
-def _saturated() -> Column:
-    m = f"(100 - {LENGTH_SHARE} + (({LENGTH_SHARE} * n * n_docs) div n_terms))"
-    return F.expr(f"({SCALE} * tf) div (1000 * tf + {SATURATION} * {m})")
+def _matches(scored: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    return scored.join(wanted, on).withColumn("s", F.col("w") * F.col("s"))
 
 
-def _matches(posts: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
-    return posts.where("term <> ''").join(wanted, on).withColumn("s", F.col("w") * _saturated())
-
-
-def _full(posts: DataFrame, found: DataFrame, asked: DataFrame, at_most: int) -> DataFrame:
+def _added(scored: DataFrame, found: DataFrame, asked: DataFrame, at_most: int, n_terms: int) -> DataFrame:
     """found (item, row, doc_id, part) with the scores of asked's terms of the item added to part; at most so many look-ups."""
-    rest = _matches(posts, _sent(found.select("item", "row").join(_sent(asked, at_most), "item"), at_most), ["term", "row"]).groupBy("item", "row").agg(F.sum("s").alias("rest"))
-    return found.join(rest, ["item", "row"], "left").select("item", "row", "doc_id", (F.col("part") + F.coalesce("rest", F.lit(0))).alias("score"))
+    own = scored.drop("doc_id").join(_sent(asked.select("term").distinct(), n_terms), "term", "left_semi")
+    wanted = found.select("item", "row").join(_sent(asked.select("item", "term", "w"), n_terms), "item")
+    more = _matches(own, _sent(wanted, at_most), ["term", "row"]).groupBy("item", "row").agg(F.sum("s").alias("more"))
+    return found.join(more, ["item", "row"], "left").select("item", "row", "doc_id", (F.col("part") + F.coalesce("more", F.lit(0))).alias("part"))
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -128,33 +133,49 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id
     named = asked.where("term = ''").select("item", "item_id")
     # a line with an empty term keeps the documents' lengths
     posts = postings(docs, asked.select("term"), id_col, text_col)
-    terms = materialise(_weights(posts, asked.where("term <> ''").select("item", "term")), "item-weights")
+    scored, terms = _weighted(posts, asked.where("term <> ''").select("item", "term"))
+    terms = materialise(terms, "item-weights")
     n_terms = terms.count()
 
     rarest = Window.partitionBy("item").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
     seeds = terms.withColumn("before", F.coalesce(F.sum("df").over(rarest), F.lit(0))).where(F.col("before") < SEED_MATCHES).drop("before")
     best = Window.partitionBy("item")
-    partial = _matches(posts, _sent(seeds, n_terms), ["term"]).groupBy("item", "row", "doc_id").agg(F.sum("s").alias("part"))
+    partial = _matches(scored, _sent(seeds.select("item", "term", "w"), n_terms), ["term"]).groupBy("item", "row", "doc_id").agg(F.sum("s").alias("part"))
     leading = partial.withColumn("r", F.row_number().over(best.orderBy(F.desc("part"), "row"))).where(F.col("r") <= k).drop("r")
     others = terms.join(seeds.select("item", "term"), ["item", "term"], "left_anti")
     leading = materialise(leading, "leading")
     bounds = (
-        _full(posts, leading, others, k * n_terms)
+        _added(scored, leading, others, k * n_terms, n_terms)
         .groupBy("item")
-        .agg(F.when(F.count("*") == k, F.min("score")).otherwise(0).alias("least"))
-    )
-    weakest = Window.partitionBy("item").orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
-    split = materialise(
-        terms.withColumn("upto", F.sum("bound").over(weakest)).join(bounds, "item", "left").withColumn("least", F.coalesce("least", F.lit(0))).withColumn("needed", F.col("upto") >= F.col("least")),
-        "split-terms",
+        .agg(F.when(F.count("*") == k, F.min("part")).otherwise(0).alias("least"))
     )
-    slack = split.groupBy("item").agg(F.coalesce(F.max(F.when(~F.col("needed"), F.col("upto"))), F.lit(0)).alias("slack"), F.max("least").alias("least"))
-    needed, rest = (split.where(c).select(*terms.columns) for c in ("needed", "NOT needed"))
-    found = _matches(posts, _sent(needed, n_terms), ["term"]).groupBy("item", "row", "doc_id").agg(F.sum("s").alias("part"))
-    found = materialise(found.join(_sent(slack, n_terms), "item").where("part + slack >= least").drop("slack", "least"), "candidates")
-    lookups = found.join(_sent(rest.groupBy("item").count(), n_terms), "item").agg(F.sum("count")).first()[0] or 0
-    top = best.orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "row")
-    ranked = _full(posts, found, rest, lookups).where("score > 0").withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k)
-    out = materialise(ranked.join(named, "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"), "ranked")
-    discard(asked, posts, terms, leading, split, found)
+    # an item's terms from the weakest on, as far as they stay under the bound together, cannot bring a document in; they
+    # are looked up in layers, each of which holds half of what the terms still to come can add
+    weakest = best.orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
+    upto = terms.withColumn("upto", F.sum("bound").over(weakest)).join(bounds, "item", "left").withColumn("least", F.coalesce("least", F.lit(0)))
+    most = F.max(F.when(F.col("upto") < F.col("least"), F.col("upto"))).over(best)
+    layer = F.when(F.col("upto") >= F.col("least"), -1).otherwise(F.least(F.lit(LAYERS - 1), F.floor(F.log2(most / F.col("upto")))))
+    split = materialise(upto.withColumn("layer", layer), "split-terms")
+    widest = {r.layer: r.n for r in split.groupBy("layer", "item").count().groupBy("layer").agg(F.max("count").alias("n")).collect()}
+    found, used = None, []
+    for layer in range(-1, LAYERS):
+        if layer >= 0 and layer not in widest:
+            continue
+        own = split.where(F.col("layer") == layer)
+        if found is None:
+            found = _matches(scored, _sent(own.select("item", "term", "w"), n_terms), ["term"]).groupBy("item", "row", "doc_id").agg(F.sum("s").alias("part"))
+        else:
+            found = _added(scored, found, own, found.count() * widest[layer], n_terms)
+        found = materialise(found, "candidates")
+        # the k-th best so far bounds the result from below as well
+        kth = found.withColumn("r", F.row_number().over(best.orderBy(F.desc("part"), "row"))).where(F.col("r") == k).select("item", F.col("part").alias("kth"))
+        slack = split.groupBy("item").agg(F.max("least").alias("least"), F.coalesce(F.max(F.when(F.col("layer") > layer, F.col("upto"))), F.lit(0)).alias("slack"))
+        limit = slack.join(kth, "item", "left").select("item", (F.greatest("least", "kth") - F.col("slack")).alias("limit"))
+        limit = materialise(limit, "limits")
+        used += [found, limit]
+        found = found.join(_sent(limit, n_terms), "item").where("part >= limit").drop("limit")
+    top = best.orderBy(F.desc("part"), F.asc_nulls_last("doc_id"), "row")
+    ranked = found.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k)
+    out = materialise(ranked.join(named, "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", F.col("part").alias("score")), "ranked")
+    discard(asked, posts, terms, leading, split, *used)
     return out
