@@ -58,20 +58,45 @@ def tokens(text: str) -> list[Token]:
     return out
 
 
-def attributes(tag: str) -> dict[str, str | None] | None:
-    """The attributes of one tag; null where anything else stands in it or a name is repeated."""
+def attribute_forms(tag: str) -> list[tuple[str, str, str | None]] | None:
+    """(name, form, value) of the attributes of one opening tag; form is bare, quoted (twice), single, braced or plain. Null where anything else stands in it or a name is repeated."""
     m = _TAG.fullmatch(tag)
     if not m or m[1]:
         return None
-    out: dict[str, str | None] = {}
-    at = 0
+    out, at = [], 0
     while at < len(m[3]):
         a = _ATTRIBUTE.match(m[3], at)
-        if not a or a[1] in out:
+        if not a:
             return None
-        out[a[1]] = next((html.unescape(v) for v in a.groups()[1:] if v is not None), None)
+        told = [(form, v) for form, v in zip(("quoted", "single", "braced", "plain"), a.groups()[1:], strict=True) if v is not None]
+        form, value = told[0] if told else ("bare", None)
+        out.append((a[1], form, value and html.unescape(value)))
         at = a.end()
-    return out
+    return out if len({name for name, _, _ in out}) == len(out) else None
+
+
+def attributes(tag: str) -> dict[str, str | None] | None:
+    """The attributes of one tag; null where anything else stands in it or a name is repeated."""
+    forms = attribute_forms(tag)
+    return None if forms is None else {name: value for name, _, value in forms}
+
+
+def between_tags(text: str) -> str:
+    """text with every tag and comment blanked, all else at its place."""
+    out, at = [], 0
+    for t in tokens(text):
+        out += [text[at : t.start], re.sub(r"[^\n]", " ", t.raw)]
+        at = t.end
+    return "".join([*out, text[at:]])
+
+
+def unfinished(text: str) -> bool:
+    """Whether text ends within a tag or a comment."""
+    found = tokens(text)
+    if any(t.kind == "comment" and not t.raw.endswith("-->") for t in found):
+        return True
+    rest = text[found[-1].end if found else 0 :]
+    return re.search(r"(?<!\\)(?:\\\\)*<[A-Za-z/!?][^>]*\Z", rest) is not None
 
 
 def without_spans(text: str, spans: list[tuple[int, int]], keep_lines: bool = False) -> str:

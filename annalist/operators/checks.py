@@ -47,6 +47,23 @@ def fact_violations(facts: DataFrame) -> DataFrame:
     return failing(facts, "claim", ok, "fact")
 
 
+def evidence_violations(facts: DataFrame, values: DataFrame, sources: DataFrame, by: list[str]) -> DataFrame:
+    """(rule, key): a state whose value is not its property's, an unknown property with a value, a verified one without evidence, evidence without excerpt or of another content than its source has.
+
+    facts: by..., claim, status, value, evidence (source_id, sha256, excerpt);
+    values: by..., claim, value; sources: source_id, sha256. Evidence of a source
+    that is not listed is of other content.
+    """
+    key = F.concat_ws("|", *by, "claim")
+    told = facts.select(*by, "claim", "status", "value", "evidence").join(values.select(*by, "claim", F.col("value").alias("stated")), [*by, "claim"], "full_outer")
+    differ = told.where("NOT (value <=> stated)").select(F.lit("value-disagrees").alias("rule"), key.alias("key"))
+    known = told.where("status = 'unknown' AND value IS NOT NULL").select(F.lit("unknown-with-value").alias("rule"), key.alias("key"))
+    bare = told.where("status IS NOT NULL AND status <> 'unknown' AND (status <> 'verified' OR coalesce(size(evidence), 0) = 0)").select(F.lit("not-verified").alias("rule"), key.alias("key"))
+    cited = facts.where("status = 'verified'").select(key.alias("key"), F.explode("evidence").alias("e")).select("key", "e.source_id", "e.sha256", "e.excerpt")
+    stale = cited.join(sources.select("source_id", F.col("sha256").alias("now")), "source_id", "left").where("coalesce(excerpt, '') = '' OR NOT (sha256 <=> now)")
+    return differ.unionByName(known).unionByName(bare).unionByName(stale.select(F.lit("evidence-not-current").alias("rule"), "key").distinct())
+
+
 def fingerprint_violations(states: DataFrame, fields: list[str], key: str) -> DataFrame:
     """Rows whose fingerprint is not the hash of their canonical fields."""
     return failing(states, key, F.col("fingerprint") == hashing.fingerprint(**{c: F.col(c) for c in fields}), "fingerprint")

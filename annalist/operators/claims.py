@@ -65,10 +65,12 @@ def verified(value: Column, passages: Column, text: Column, provenance: Column,
     return F.when(F.coalesce(ok, F.lit(False)), "verified").otherwise("unknown")
 
 
-def with_last_known(facts: DataFrame, previous: DataFrame, key: str) -> DataFrame:
-    """facts (key, status, value) with last_known: a previous verified value that is unknown now."""
-    p = previous.where("status = 'verified'").select(key, F.col("value").alias("__v"))
-    return facts.join(p, key, "left").withColumn("last_known", F.when(F.col("status") == "unknown", F.col("__v"))).drop("__v")
+def with_last_known(facts: DataFrame, previous: DataFrame, key: str | list[str]) -> DataFrame:
+    """facts (key, status, value) with last_known of those unknown now: the value verified before, or what was last known then."""
+    keys = [key] if isinstance(key, str) else key
+    before = F.col("last_known") if "last_known" in previous.columns else F.lit(None)
+    p = previous.select(*keys, F.when(F.col("status") == "verified", F.col("value")).otherwise(before).alias("__v"))
+    return facts.join(p, keys, "left").withColumn("last_known", F.when(F.col("status") == "unknown", F.col("__v"))).drop("__v")
 
 
 def first_seen(current: DataFrame, previous: DataFrame, key: str, state: str, today: Column, baseline: Column) -> DataFrame:

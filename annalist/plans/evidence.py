@@ -317,6 +317,61 @@ def openapi_operations(spark, d):
     return pages.join(read, ["p_size", "v"]).select("partkey", value("endpoint").alias("endpoint"), value("properties").alias("properties"), value("variants:kind").alias("kinds"))
 
 
+_API = """
+    p AS (SELECT p_partkey AS api, p_size AS n, p_partkey % 4 AS v1, (p_partkey // 4) % 4 AS v2, p_partkey % 3 = 0 AS old FROM part),
+    c AS (SELECT api, claim, old AND claim = 'endpoint' AS old, v1 = 0 OR (claim = 'endpoint' AND v1 <> 1) AS ok1, v2 = 0 OR (claim = 'endpoint' AND v2 <> 1) AS ok2,
+                 CASE claim WHEN 'endpoint' THEN '"POST https://api.example.com/' || s || n || '"' WHEN 'model_default' THEN '"' || s || n || '"' ELSE '["' || s || n || '"]' END AS value, s
+          FROM p, (VALUES ('endpoint'), ('model_default'), ('required_fields')) x(claim), (VALUES ('a'), ('b')) y(s)),
+    f AS (SELECT a.api, a.claim, a.ok2 AS ok, b.value, CASE WHEN a.ok1 THEN a.value WHEN a.old THEN '"old"' END AS known FROM c a JOIN c b ON b.api = a.api AND b.claim = a.claim AND a.s = 'a' AND b.s = 'b')"""
+
+
+def _api_pages(parts, letter, variant):
+    """A prose reference of each part: whole, without any claim, with a tag in single quotes, or ending within a tag."""
+    size = F.concat(F.lit(letter), "p_size")
+    model = F.when(variant == 2, F.concat(F.lit("default='"), size, F.lit("'"))).otherwise(F.concat(F.lit('default="'), size, F.lit('"')))
+    field = F.concat(F.lit('<ParamField body="model" type="string" '), model, F.lit('>Which.</ParamField>\n<ParamField body="'), size, F.when(variant == 3, '" type="array" required').otherwise('" type="array" required>All.</ParamField>\n'))
+    page = F.concat(F.lit("# API\n\n## Evaluation endpoint\n\n```http\nPOST https://api.example.com/"), size, F.lit("\n```\n\n## Request body\n\n"), field)
+    text = F.when(variant == 1, F.lit("# API\n\nGone for now.\n")).otherwise(page)
+    return parts.select(F.col("p_partkey").alias("api"), F.lit("prose").alias("source_id"), text.alias("text"), hashing.content_sha256(text).alias("sha256"))
+
+
+def _api_states(spark, d):
+    """Facts of two observations of every reference, the second on top of the first."""
+    parts, k = table(spark, d, "part"), F.col("p_partkey")
+    old = parts.where(k % 3 == 0).select(k.alias("api"), F.lit("endpoint").alias("claim"), F.lit("verified").alias("status"), F.lit('"old"').alias("value"))
+    names = ["endpoint", "model_default", "required_fields"]
+    first = openapi.api_facts(_api_pages(parts, "a", k % 4), names, old, "prose", by=["api"])
+    pages = _api_pages(parts, "b", F.expr("(p_partkey div 4) % 4"))
+    return pages, openapi.api_facts(pages, names, first, "prose", by=["api"])
+
+
+@query(f"""WITH {_API} SELECT api, claim, CASE WHEN ok THEN 'verified' ELSE 'unknown' END AS status, CASE WHEN ok THEN value END AS value, CASE WHEN NOT ok THEN known END AS last_known FROM f""")
+def api_reference_facts(spark, d):
+    """Claims of prose references over two observations; what neither shows stays as last known."""
+    return _api_states(spark, d)[1].select("api", "claim", "status", "value", "last_known")
+
+
+@query(f"""WITH {_API} SELECT api, max(CASE WHEN claim = 'endpoint' AND ok THEN value END) AS endpoint, max(CASE WHEN claim = 'required_fields' AND ok THEN value END) AS required,
+                 max(CASE WHEN claim = 'endpoint' AND NOT ok THEN known END) AS last_endpoint, CAST(count(*) FILTER (ok) AS INT) AS verified FROM f GROUP BY api""")
+def api_reference_states(spark, d):
+    """The facts of each reference as one state."""
+    state = openapi.api_state(_api_states(spark, d)[1], ["api"])
+    cited = F.size(F.filter(F.map_values("properties"), lambda x: F.size(x["evidence"]) > 0))
+    return state.select("api", F.col("values")["endpoint"].alias("endpoint"), F.col("values")["required_fields"].alias("required"), F.col("properties")["endpoint"]["last_known"].alias("last_endpoint"), cited.alias("verified"))
+
+
+@query(f"""WITH {_API}, e AS (SELECT *, api % 7 = 0 AS moved, api % 11 = 0 AND claim = 'endpoint' AS other FROM f)
+    SELECT 'value-disagrees' AS rule, api || '|' || claim AS key FROM e WHERE other
+    UNION ALL SELECT 'evidence-not-current', api || '|' || claim FROM e WHERE ok AND moved""")
+def evidence_violations(spark, d):
+    """V5: state values that are not their property's, and evidence whose source has other content by now."""
+    pages, facts = _api_states(spark, d)
+    facts = facts.withColumn("evidence", F.transform("evidence", lambda e: F.struct(F.concat_ws(":", e["source_id"], "api").alias("source_id"), e["sha256"].alias("sha256"), e["excerpt"].alias("excerpt"))))
+    values = facts.select("api", "claim", F.when((F.col("api") % 11 == 0) & (F.col("claim") == "endpoint"), "other").otherwise(F.col("value")).alias("value"))
+    sources = pages.select(F.concat_ws(":", "source_id", "api").alias("source_id"), F.when(F.col("api") % 7 == 0, "moved").otherwise(F.col("sha256")).alias("sha256"))
+    return checks.evidence_violations(facts, values, sources, ["api"])
+
+
 @query("""SELECT c_custkey AS custkey, CASE WHEN c_custkey % 4 = 3 THEN '' ELSE 'Body of ' || c_name || '.' END AS body, CASE c_custkey % 4 WHEN 2 THEN NULL ELSE 'in  out' END AS shown,
                  CASE WHEN c_custkey % 4 = 1 THEN 'x' ELSE c_mktsegment END AS kind FROM customer""")
 def component_sections(spark, d):

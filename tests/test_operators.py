@@ -388,6 +388,27 @@ def test_prose_claims_come_first_and_need_their_passages(spark):
     assert facts(("spec", long, "g"))["endpoint"].status == "unknown"
 
 
+def test_what_a_field_declares():
+    read = lambda t: [d for _, d in openapi.declarations(t)]
+    assert read('<ParamField body="a" required/> <ParamField body="b &amp; c" required={false}>x</ParamField>') == [{"body": "a", "required": True}, {"body": "b & c", "required": False}]
+    assert read('<ParamField body="a" required="yes">') == [{"body": "a", "required": None}]
+    assert read("<ParamField body='a'>") == read("<ParamField>") == read('<ParamField body="a" body="b">') == read('<ParamField body={a}>') == read('<paramfield body="a">') == [None]
+    assert read('\\<ParamField body="a"> <!-- <ParamField body="b"> --> <X title="<ParamField ">') == []
+    assert read('<ParamField body="a"> then <ParamField body="b"') == [{"body": "a"}, None, None]
+    assert read('<ParamField body="a"> then <!-- no end') == [{"body": "a"}, None]
+
+
+def test_last_known_outlives_several_unknown_observations(spark):
+    pages = lambda text: spark.createDataFrame([("prose", text, "h")], "source_id string, text string, sha256 string")
+    state = spark.createDataFrame([], "claim string, status string, value string")
+    seen = []
+    for text in (PROSE, "gone", "gone", "", PROSE.replace("m-1", "m-2"), "gone"):
+        facts = openapi.api_facts(pages(text), ["model_default"], state, "prose")
+        state = spark.createDataFrame(facts.collect(), facts.schema)
+        seen += [(r.status, r.value, r.last_known, r.reason is None, len(r.evidence)) for r in state.collect()]
+    assert seen == [("verified", '"m-1"', None, True, 1), *[("unknown", None, '"m-1"', False, 0)] * 3, ("verified", '"m-2"', None, True, 1), ("unknown", None, '"m-2"', False, 0)]
+
+
 def test_http_retries_and_guards():
     calls, waits = [], []
 
