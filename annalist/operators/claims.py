@@ -7,6 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import patterns
+
+#: Automaton blocks for which texts are scanned; more items are joined by their words.
+SCANS = 4
+
 
 def supported(claims: DataFrame, blocks: DataFrame) -> DataFrame:
     """(rule, source, supported): whether one source has every claim of a rule.
@@ -24,11 +29,16 @@ def supported(claims: DataFrame, blocks: DataFrame) -> DataFrame:
 def contained(items: DataFrame, texts: DataFrame, words: int = 3) -> DataFrame:
     """(item, source): items (item, item_text) that a text (source, text) contains literally.
 
-    Both sides are normalised to single spaces and lower case. An item of at
-    least `words` words is met through its first words as an equi-join key and
-    then compared; shorter items match whole words runs the same way, with their
-    own length as key, so no item is compared with every text.
+    Both sides are normalised to single spaces and lower case. Items of a few
+    automaton blocks are looked for in one scan of the texts for each block. Of
+    more, an item of at least `words` words is met through its first words as an
+    equi-join key and then compared; shorter items match whole words runs the same
+    way, with their own length as key, so no item is compared with every text.
     """
+    if patterns.pattern_blocks(items, "item_text") <= SCANS:
+        met = patterns.occurring(texts, ["source"], F.col("text"), items, "item_text")
+        named = items.select("item", patterns.spaced(F.col("item_text")).alias("pattern"))
+        return met.join(named, "pattern").select("item", "source").distinct()
     norm = lambda c: F.lower(F.btrim(F.regexp_replace(c, r"\s+", " ")))
     i = items.select("item", norm(F.col("item_text")).alias("t")).where("t <> ''").withColumn("w", F.split("t", " "))
     i = i.withColumn("n", F.least(F.size("w"), F.lit(words))).withColumn("key", F.array_join(F.slice("w", 1, F.col("n")), " "))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing
-from .scratch import cut
+from .scratch import cut, drop
 
 
 def walked(events: DataFrame) -> DataFrame:
@@ -17,18 +17,20 @@ def walked(events: DataFrame) -> DataFrame:
 
     An event whose predecessor is null or absent is a root. Pointer doubling:
     each round every row looks twice as far back, so a chain of n events takes
-    about log2(n) joins. A chain longer than the number of events is a cycle, an error.
+    about log2(n) joins. A round that ends no chain is an error: a chain of some
+    depth has an event at every lesser depth, so what is still open is a cycle.
     """
     ids = events.select(F.col("id").alias("p")).distinct()
     linked = events.select("id", F.col("previous_event_id").alias("p")).join(ids.withColumn("known", F.lit(True)), "p", "left")
     step = cut(linked.select("id", F.when(F.col("known"), F.col("p")).alias("up"), F.when(F.col("known"), 1).otherwise(0).cast("long").alias("depth")).withColumn("root", F.coalesce("up", "id")))
-    n, reach = step.count(), 1
-    while not step.where("up is not null").isEmpty():
-        if reach >= 2 * n:
-            raise ValueError("event chains have a cycle")
+    left = step.where("up is not null").count()
+    while left:
         far = step.select(F.col("id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("root").alias("r2"))
-        step = cut(step.join(far, "up", "left").select("id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.coalesce("r2", "root").alias("root")))
-        reach *= 2
+        last, step = step, cut(step.join(far, "up", "left").select("id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.coalesce("r2", "root").alias("root")))
+        drop(last)
+        before, left = left, step.where("up is not null").count()
+        if left >= before:
+            raise ValueError("event chains have a cycle")
     return events.join(step.select("id", "root", "depth"), "id")
 
 
@@ -136,15 +138,26 @@ def graph_violations(events: DataFrame, cycles: bool = True) -> DataFrame:
 
 
 def unrooted(events: DataFrame) -> DataFrame:
-    """Events that no root reaches: pointers are doubled until every chain that ends has ended."""
+    """Events that no root reaches: pointers are doubled until a round ends no chain.
+
+    After a round whose pointers reach 2^r events back, a chain that is still open
+    and ends has an event that ends it in the next round. So if none does, all that
+    is open hangs on a cycle, after about log2 of the longest chain that ends.
+    """
     ids = events.select(F.col("id").alias("up")).distinct().withColumn("known", F.lit(True))
-    step = cut(events.select("id", F.col("previous_event_id").alias("up")).join(ids, "up", "left").select("id", F.when(F.col("known"), F.col("up")).alias("up")).distinct())
-    n, reach = step.count(), 1
-    while reach < 2 * n and not (open_ := step.where("up is not null")).isEmpty():
-        far = step.select(F.col("id").alias("up"), F.col("up").alias("up2"))
-        step = cut(open_.join(far, "up").select("id", F.col("up2").alias("up")).unionByName(step.where("up is null")).distinct())
-        reach *= 2
-    return step.where("up is not null").select("id").distinct()
+    tables = [cut(events.select("id", F.col("previous_event_id").alias("up")).join(ids, "up", "left").select("id", F.when(F.col("known"), F.col("up")).alias("up")).distinct())]
+    open_, ended = tables[0].where("up is not null"), tables[0].where("up is null")
+    left = open_.count()
+    while left:
+        far = open_.unionByName(ended).select(F.col("id").alias("up"), F.col("up").alias("up2"))
+        moved = cut(open_.join(far, "up").select("id", F.col("up2").alias("up")))
+        tables.append(moved)
+        left = moved.where("up is not null").count()
+        if left == moved.count():
+            break
+        open_, ended = moved.where("up is not null"), ended.unionByName(moved.where("up is null"))
+    drop(*tables[:-1])
+    return open_.select("id").distinct() if len(tables) == 1 else tables[-1].where("up is not null").select("id").distinct()
 
 
 def history_kept(previous: DataFrame, candidate: DataFrame) -> DataFrame:

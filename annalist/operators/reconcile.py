@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from . import patterns
 
 #: Codes of disagreement between a registry and Git, and of a release's own configuration.
 UNRESOLVED, NO_TAG, NO_RELEASE = "registry_version_unresolved", "registry_version_missing_git_tag", "registry_version_missing_github_release"
@@ -111,14 +112,20 @@ def documented(releases: DataFrame, notes: DataFrame) -> DataFrame:
     return releases.join(first, ["package", "version"], "left")
 
 
-def introduced(notes: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
-    """(package, capability, version, note): the earliest release whose note matches a rule (capability, pattern).
+def introduced(notes: DataFrame, rules: list[tuple[str, str]] | DataFrame) -> DataFrame:
+    """(package, capability, version, note): the earliest release whose note matches a rule.
 
-    Rules are few and fixed by code, so each is a predicate on the note rather than a join.
+    rules is a table (capability, phrase) of any size, whose phrases are looked for
+    as whole words by one automaton, or a short list (capability, pattern) of
+    regular expressions fixed by code.
     """
-    hits = F.array_compact(F.array(*[F.when(F.col("note").rlike(p), F.lit(name)) for name, p in rules]))
-    rows = notes.withColumn("v", text.version_of(F.col("version"))).where("v is not null").select("package", "version", "v", "note", F.explode(hits).alias("capability"))
-    return rows.groupBy("package", "capability").agg(F.min_by(F.struct("version", "note"), F.struct("v", "note")).alias("r")).select("package", "capability", "r.*")
+    rows = notes.withColumn("v", text.version_of(F.col("version"))).where("v is not null").select("package", "version", "v", "note")
+    if isinstance(rules, DataFrame):
+        met = patterns.occurring(rows, ["package", "version", "v", "note"], F.col("note"), rules, "phrase")
+        hits = met.join(rules.select("capability", patterns.spaced(F.col("phrase")).alias("pattern")).distinct(), "pattern")
+    else:
+        hits = rows.withColumn("capability", F.explode(F.array_compact(F.array(*[F.when(F.col("note").rlike(p), F.lit(name)) for name, p in rules]))))
+    return hits.groupBy("package", "capability").agg(F.min_by(F.struct("version", "note"), F.struct("v", "note")).alias("r")).select("package", "capability", "r.*")
 
 
 def retained_citations(citations: DataFrame, current: DataFrame, previous: DataFrame) -> DataFrame:

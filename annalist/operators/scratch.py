@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of df."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """df as a table in the checkpoint folder, read back: computed once, and whole when an executor is lost."""
+    path = f"{checkpoint_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of `cut` that no plan still to run reads."""
+    for table in tables:
+        spark = table.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -137,6 +137,18 @@ def claims_contained(spark, d):
     return claims.contained(items, table(spark, d, "documents").select(F.col("doc_id").alias("source"), "text"))
 
 
+@query(r"""WITH d AS (SELECT doc_id, lang AS package, ' ' || lower(trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g'))) || ' ' AS t, [1, doc_id % 50, doc_id // 50] AS v FROM documents),
+                p AS (SELECT item_id % 20 AS capability, lower(array_to_string(list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '')[1:2], ' ')) AS phrase FROM benchmark)
+          SELECT package, CAST(capability AS VARCHAR) AS capability, array_to_string(min(v), '.') AS version FROM d JOIN p ON contains(t, ' ' || phrase || ' ') WHERE package IS NOT NULL GROUP BY ALL""")
+def phrases_introduced(spark, d):
+    """The first release whose notes have a phrase of a capability, from a table of phrases, by one automaton."""
+    v = F.concat_ws(".", F.lit(1), F.col("doc_id") % 50, F.expr("doc_id div 50"))
+    notes = table(spark, d, "documents").where("lang is not null").select(F.col("lang").alias("package"), v.alias("version"), F.col("text").alias("note"))
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    rules = table(spark, d, "benchmark").select((F.col("item_id") % 20).cast("string").alias("capability"), F.array_join(F.slice(words, 1, 2), " ").alias("phrase"))
+    return reconcile.introduced(notes, rules).select("package", "capability", "version")
+
+
 @query("""WITH d AS (SELECT source || '/' || lang AS rule, lang, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
                c AS (SELECT DISTINCT rule, l.lang AS source, ls[1] AS line FROM d, (SELECT DISTINCT lang FROM d) l),
                b AS (SELECT DISTINCT lang AS source, unnest(ls) AS line FROM d)

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from annalist.functions import hashing
-from annalist.operators import checks, claims, coverage, extract, history, openapi, reconcile, report, snapshot
+from annalist.operators import checks, claims, coverage, extract, history, openapi, patterns, reconcile, report, snapshot
 from annalist.sources import files, http
 from annalist.sources.publish import Store
 from annalist.streaming import changes
@@ -521,6 +521,72 @@ def test_the_lock_of_a_killed_writer_is_taken_over(spark, tmp_path):
         Store(spark, str(tmp_path / "link")).publish("b4", {"t": spark.range(1)})
 
 
+def test_a_writer_that_wakes_late_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "s")
+    Store(spark, root).publish("b1", {"t": spark.range(1)})
+    late, other = Store(spark, root, lease=500.0), Store(spark, root)
+
+    def sleep_through(store, path):
+        """The lease runs out and another writer publishes while this one checks its batch."""
+        os.utime(tmp_path / "s/LOCK", (time.time() - 900,) * 2)
+        (tmp_path / "s/.LOCK.crc").unlink(missing_ok=True)
+        other.publish("b3", {"t": spark.range(3)})
+
+    for batch in ("b2", "b4"):  # before and after the other's
+        with pytest.raises(RuntimeError, match="lease was lost"):
+            late.publish(batch, {"t": spark.range(2)}, sleep_through)
+        assert late.current() == other.current() == "b3" and late.read("t").count() == 3 and not (tmp_path / "s/LOCK").exists()
+        assert not (tmp_path / f"s/batches/{batch}").exists()
+    # its pointer, and a whole batch that it puts in place after all, do not count
+    shutil.copytree(tmp_path / "s/batches/b3", tmp_path / "s/batches/b9")
+    (tmp_path / "s/batches/b9/.READY.crc").unlink(missing_ok=True)
+    (tmp_path / "s/batches/b9/READY").write_text("b9@2")
+    late._put("CURRENT-2", "b9")
+    assert other.current() == "b3"
+    other.publish("b5", {"t": spark.range(5)})
+    assert other.current() == "b5" and other.read("t").count() == 5 and len(list((tmp_path / "s").glob("EPOCH-*"))) <= 2
+    late.publish("b6", {"t": spark.range(6)})
+    assert other.read("t").count() == 6
+
+
+def test_literal_patterns_in_blocks_against_every_pair(spark):
+    rng = random.Random(5)
+    word = lambda: rng.choice(["a", "B", "ab", "c\u00e9", "\U0001f600", "d"])
+    texts = [None, "", " \t"] + [rng.choice([" ", "\n\t", "\u00a0 "]).join(word() for _ in range(rng.randrange(1, 30))) for _ in range(60)]
+    items = [None, "", " "] + [" ".join(word() for _ in range(rng.randrange(1, 5))) for _ in range(40)] + ["a b", "A  b"]
+    t = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    p = spark.createDataFrame(list(enumerate(items)), "item long, item_text string")
+    fold = lambda x: " " + b" ".join((x or "").lower().encode().split()).decode() + " "
+    want = sorted((k, w[1:-1]) for k, x in enumerate(texts) for w in {fold(i) for i in items} if w.strip() and w in fold(x))
+    for block in (1 << 20, 25):
+        got = patterns.occurring(t, ["k"], F.col("text"), p, "item_text", block)
+        assert sorted(map(tuple, got.collect())) == want
+    assert patterns.occurring(t, ["k"], F.col("text"), p.limit(0), "item_text").count() == 0 == patterns.occurring(t.limit(0), ["k"], F.col("text"), p, "item_text").count()
+    few = claims.contained(p, t.withColumnRenamed("k", "source"))
+    joined = sorted(map(tuple, few.collect()))
+    claims.SCANS, kept = 0, claims.SCANS
+    try:
+        assert sorted(map(tuple, claims.contained(p, t.withColumnRenamed("k", "source")).collect())) == joined
+    finally:
+        claims.SCANS = kept
+
+
+def test_cycles_are_told_after_the_longest_chain_that_ends(spark):
+    rng = random.Random(6)
+    for n in (0, 1, 40):
+        links = {i: rng.choice([None, rng.randrange(n)]) for i in range(n)}
+        if n:
+            links |= {100 + i: 99 + i if i else None for i in range(37)} | {200 + i: 200 + (i + 1) % 7 for i in range(7)} | {300: 205}
+        rooted = set()
+        while more := {i for i, up in links.items() if i not in rooted and (up is None or up not in links or up in rooted)}:
+            rooted |= more
+        e = spark.createDataFrame([(str(i), None if up is None else str(up)) for i, up in links.items()], "id string, previous_event_id string")
+        assert {int(r.id) for r in history.unrooted(e).collect()} == set(links) - rooted
+        if set(links) - rooted:
+            with pytest.raises(ValueError, match="cycle"):
+                history.walked(e)
+
+
 def test_documents_are_laid_out_and_named(spark, tmp_path):
     df = spark.createDataFrame([("state/a.json", '{"b": [1], "a": "\u00e9"}'), ("c.json", "[]")], "name string, json string")
     out = {r.name: r for r in files.write_documents(df, f"file://{tmp_path}/out").collect()}
