@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import hashing, markup, text, urls
-from ..operators import extract
+from ..operators import extract, prefix_scan
 from . import query, table
 
 _HOST = r"lower(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''))"
@@ -91,6 +91,34 @@ def section_bounds_lead(spark, d):
     return extract.bounded(table(spark, d, "conversations"), ["conv_id"], "turn", F.col("role") == "user").select("conv_id", "start", "until")
 
 
+_ORDERED = "o AS (SELECT o_orderkey AS k, o_orderpriority AS p, o_orderstatus = 'F' AS f FROM orders)"
+
+
+def _one_key(spark, d):
+    """All orders as one key, in slices."""
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("p"), (F.col("o_orderstatus") == "F").alias("f"))
+    return prefix_scan.Slices(rows, [], ["k"])
+
+
+@query(f"""WITH {_ORDERED} SELECT k, last_value(CASE WHEN p = '1-URGENT' THEN k END IGNORE NULLS) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS urgent FROM o""")
+def forward_fill_one_key(spark, d):
+    """W7 where one key has all rows: the latest urgent order, carried on from slice to slice."""
+    return _one_key(spark, d).filled(F.when(F.col("p") == "1-URGENT", F.col("k")), "urgent").select("k", "urgent")
+
+
+@query(f"""WITH {_ORDERED}, b AS (SELECT *, lag(f) OVER (ORDER BY k) AS before FROM o), s AS (SELECT *, sum(CASE WHEN f AND NOT coalesce(before, false) THEN 1 ELSE 0 END) OVER (ORDER BY k) AS island FROM b)
+    SELECT CAST(island AS BIGINT) AS island, min(k) AS first, count(*) AS size FROM s WHERE f GROUP BY 1""")
+def islands_one_key(spark, d):
+    """W6 where one key has all rows: unbroken runs of finished orders."""
+    return _one_key(spark, d).islands(F.col("f")).groupBy("island").agg(F.min("k").alias("first"), F.count("*").alias("size"))
+
+
+@query(f"""WITH {_ORDERED} SELECT k AS start, lead(k) OVER (ORDER BY k) AS until FROM o WHERE p = '5-LOW'""")
+def sections_one_key(spark, d):
+    """W4 where one key has all rows: each low order opens a section that ends at the next."""
+    return _one_key(spark, d).bounded(F.col("p") == "5-LOW", "k").select("start", "until")
+
+
 @query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 def json_typed_projection(spark, d):
     """Typed JSON after a bound on its nesting."""

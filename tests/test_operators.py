@@ -571,6 +571,39 @@ def test_literal_patterns_in_blocks_against_every_pair(spark):
         claims.SCANS = kept
 
 
+def test_slices_of_one_row_against_a_loop(spark):
+    from annalist.operators.prefix_scan import Slices
+
+    rng = random.Random(8)
+    data = [(k, n, rng.choice([None, None, 1, 2, 3]), rng.choice([True, False, None])) for k in ("a", None, "b") for n in range({"a": 40, "b": 1}.get(k, 7))]
+    df = spark.createDataFrame(data, "k string, n long, v long, f boolean")
+    for keys in (["k"], []):
+        groups: dict = {}
+        for k, n, v, f in sorted(data, key=lambda r: (r[0] is not None, r[0] or "", r[1])):
+            groups.setdefault(k if keys else 0, []).append((k, n, v, f))
+        want_fill, want_runs, want_ends, want_sum = [], [], [], []
+        for own in groups.values():
+            last, runs, before, total = None, 0, False, 0
+            heads = [(k, n) for k, n, v, _ in own if v == 2]
+            for k, n, v, f in own:
+                last = last if v is None else v
+                total += v or 0
+                runs += bool(f) and not before
+                before = bool(f)
+                want_fill.append((k, n, last))
+                want_sum.append((k, n, total))
+                want_runs += [(k, n, runs)] * bool(f)
+            want_ends += [(k, n, nxt and nxt[1]) for (k, n), nxt in zip(heads, [*heads[1:], None], strict=False)]
+        for parts in (48, 5, 1):
+            s = Slices(df, keys, ["n"] if keys else ["k", "n"], parts)
+            assert rows(s.filled(F.col("v"), "x"), "k", "n", "x") == sorted(want_fill, key=repr)
+            assert rows(s.summed(F.col("v"), "x"), "k", "n", "x") == sorted(want_sum, key=repr)
+            assert rows(s.islands(F.col("f")), "k", "n", "island") == sorted(want_runs, key=repr)
+            assert rows(s.bounded(F.expr("v <=> 2"), "n"), "k", "start", "until") == sorted(want_ends, key=repr)
+    empty = Slices(df.limit(0), [], ["k", "n"])
+    assert empty.islands(F.col("f")).count() == empty.filled(F.col("v"), "x").count() == 0
+
+
 def test_cycles_are_told_after_the_longest_chain_that_ends(spark):
     rng = random.Random(6)
     for n in (0, 1, 40):
