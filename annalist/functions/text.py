@@ -107,6 +107,49 @@ def bracket_depth(c: Column) -> Column:
     return F.aggregate(marks, start, step)["top"]
 
 
+def json_encoding(c: Column) -> Column:
+    """The encoding of JSON bytes, told by a byte order mark or, JSON beginning with ASCII, by where its first bytes are zero."""
+    h = F.hex(F.substring(c, 1, 4))
+    byte = lambda i: F.substring(h, 2 * i - 1, 2)
+    zero = lambda i: byte(i) == "00"
+    four, two = F.octet_length(c) >= 4, F.octet_length(c) == 2
+    return (
+        F.when(c.isNull(), F.lit(None))
+        .when(h == "0000FEFF", "UTF-32BE")
+        .when(h == "FFFE0000", "UTF-32LE")
+        .when(h.startswith("FEFF"), "UTF-16BE")
+        .when(h.startswith("FFFE"), "UTF-16LE")
+        .when(h.startswith("EFBBBF"), "UTF-8")
+        .when(four & zero(1) & zero(2), "UTF-32BE")
+        .when(four & zero(1), "UTF-16BE")
+        .when(four & zero(2) & zero(3) & zero(4), "UTF-32LE")
+        .when(four & zero(2), "UTF-16LE")
+        .when(two & zero(1), "UTF-16BE")
+        .when(two & zero(2), "UTF-16LE")
+        .otherwise("UTF-8")
+    )
+
+
+def json_text(c: Column) -> Column:
+    """The text of JSON bytes in UTF-8, UTF-16 or UTF-32, with or without a mark; null where they are not well-formed.
+
+    Wide encodings are put into big-endian order and checked (whole units, paired
+    surrogates, code points up to 10FFFF) as hexadecimal digits before they are decoded.
+    """
+    kind, h = json_encoding(c), F.hex(c)
+    wide16 = F.when(kind == "UTF-16LE", F.regexp_replace(h, "(..)(..)", "$2$1")).otherwise(h)
+    wide32 = F.when(kind == "UTF-32LE", F.regexp_replace(h, "(..)(..)(..)(..)", "$4$3$2$1")).otherwise(h)
+    bare16, bare32 = F.regexp_replace(wide16, "^FEFF", ""), F.regexp_replace(wide32, "^0000FEFF", "")
+    sound16 = bare16.rlike(r"\A(?:(?:[0-9A-CEF]...|D[0-7]..)|D[89AB]..D[C-F]..)*+\z")
+    sound32 = bare32.rlike(r"\A(?:000[1-9A-F]....|0010....|0000(?:[0-9A-CEF]...|D[0-7]..))*+\z")
+    bare8 = F.when(F.hex(F.substring(c, 1, 3)) == "EFBBBF", F.substring(c, 4, 2**31 - 1)).otherwise(c)
+    return (
+        F.when(kind == "UTF-8", F.try_validate_utf8(bare8.cast("string")))
+        .when(kind.startswith("UTF-16") & sound16, F.decode(F.unhex(F.when(sound16, bare16)), "UTF-16BE"))
+        .when(kind.startswith("UTF-32") & sound32, F.decode(F.unhex(F.when(sound32, bare32)), "UTF-32"))
+    )
+
+
 def bounded_json(c: Column, deepest: int = 64) -> Column:
     """JSON as VARIANT, null where it is invalid or nested deeper than `deepest`; depth is judged before it is parsed."""
     return F.when(bracket_depth(c) <= deepest, F.try_parse_json(c))

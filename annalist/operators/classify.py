@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing
-from .snapshot import CODE_DEFINED, WHOLE_BASELINE
+from .snapshot import CODE_DEFINED, ITEMS, WHOLE_BASELINE
+from .streamed import ordered_hash
 
 #: Evidence policies whose first adoption is a correction of tracking.
 RELEASE_POLICY, PRACTICE_POLICY = "tag-verified-v1", "source-reviewed-v1"
@@ -90,12 +91,10 @@ def change_events(old: DataFrame, new: DataFrame, rules: DataFrame, practice_pol
     """
     absent = [F.lit(None).cast("string").alias(c) for c in ("id", "before")]
     began = new.where(F.col("layer").isin(*whole)).join(old.select("layer").distinct(), "layer", "left_anti")
-    items = F.array_sort(F.collect_list(F.struct("id", "state")))
-    once = _whole(began).groupBy("layer").agg(
-        hashing.content_sha256(hashing.canonical_json(F.struct(F.transform(items, lambda x: x["state"]).alias("items")))).alias("after"),
-        F.count("*").alias("n"),
-        F.array_distinct(F.flatten(F.collect_list(F.coalesce("sources", F.array().cast(FIELDS["sources"]))))).alias("sources"),
-    )
+    text = F.to_json(F.array("state"))
+    hashes = ordered_hash(_whole(began), ["layer"], ["id", "state"], F.substr(text, F.lit(2), F.length(text) - 2), *ITEMS)
+    cited = _whole(began).select("layer", F.explode_outer("sources").alias("s")).groupBy("layer").agg(F.collect_set("s").alias("sources"))
+    once = hashes.withColumnRenamed("sha256", "after").join(cited, "layer")
     first = once.select("layer", *absent, "after", F.lit("baseline").alias("change"), F.lit("layer_began").alias("note"), F.concat(F.lit("Tracking of "), "layer", F.lit(" began with "), "n", F.lit(" entries; nothing is said about what was there before.")).alias("summary"), F.array_sort("sources").alias("sources"))
 
     fields = F.struct("state", *FIELDS)

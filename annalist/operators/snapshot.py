@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing, urls
+from .streamed import ordered_hash
 
 DOCUMENT_TYPES = ("documentation-index", "documentation-page", "documentation-sitemap")
 
@@ -95,6 +96,7 @@ def source_events(old: DataFrame, new: DataFrame, observed_at: Column, namespace
 
 
 #: Layers whose rows are defined by code (their arrival and loss are no news), and layers that begin as one baseline.
+ITEMS = ('{"items":[', ",", "]}")  # the JSON around a layer's items
 CODE_DEFINED, WHOLE_BASELINE = ("practices", "primitives"), ("model-limitations", "cookbooks", "evaluation-tool")
 
 
@@ -106,7 +108,7 @@ def layer_events(old: DataFrame, new: DataFrame, code_defined: Sequence[str] = C
     code-defined layers added is a baseline and removed is untracked.
     """
     began = new.where(F.col("layer").isin(*whole)).join(old.select("layer").distinct(), "layer", "left_anti")
-    once = began.groupBy("layer").agg(hashing.content_sha256(hashing.canonical_json(F.struct(F.array_sort(F.collect_list(F.struct("id", "state"))).alias("items")))).alias("after"))
+    once = ordered_hash(began, ["layer"], ["id", "state"], hashing.canonical_json(F.struct("id", "state")), *ITEMS).withColumnRenamed("sha256", "after")
     baseline = once.select("layer", F.lit(None).cast("string").alias("id"), F.lit("baseline").alias("change"), F.lit(None).cast("string").alias("before"), "after")
     rows = changed(old, new, ["layer", "id"], "state").join(began.select("layer").distinct(), "layer", "left_anti")
     fixed = F.col("layer").isin(*code_defined)
@@ -201,8 +203,8 @@ def derived(layers: dict[str, DataFrame], previous: DataFrame, now: Column) -> t
     """The layers of one snapshot: (layer, id, state) of all their items, and one row for each layer with fingerprint and observed_at.
 
     layers: the items of each layer (id and what counts; a layer of one item has
-    one row). A layer's own state is the JSON of its items in order of id; one
-    without items is there too.
+    one row). A layer's fingerprint is the hash of the JSON of its items in order
+    of id, taken as they pass; a layer without items is there too.
     """
     from .classify import projected
 
@@ -210,8 +212,8 @@ def derived(layers: dict[str, DataFrame], previous: DataFrame, now: Column) -> t
     for name, rows in layers.items():
         own = rows.select(F.lit(name).alias("layer"), F.col("id").cast("string").alias("id"), projected(rows).alias("state"))
         items = own if items is None else items.unionByName(own)
-    spark = items.sparkSession
-    names = spark.createDataFrame([(name,) for name in layers], "layer string")
-    inner = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "state"))), lambda x: x["state"]), ",")
-    whole = names.join(items.groupBy("layer").agg(inner.alias("s")), "layer", "left").select("layer", F.concat(F.lit('{"items":['), F.coalesce("s", F.lit("")), F.lit("]}")).alias("state"))
-    return items, observed(whole, previous, now)
+    names = items.sparkSession.createDataFrame([(name,) for name in layers], "layer string")
+    hashes = ordered_hash(items, ["layer"], ["id", "state"], F.col("state"), *ITEMS)
+    empty = hashing.content_sha256(F.lit(ITEMS[0] + ITEMS[2]))
+    whole = names.join(hashes, "layer", "left").select("layer", F.coalesce("sha256", empty).alias("fingerprint")).withColumn("observed_at", now)
+    return items, carried(whole, previous, "layer", "fingerprint", "observed_at", now)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import classify, snapshot
+from ..functions import hashing
+from ..operators import classify, snapshot, streamed
 from . import query, table
 
 #: Columns of an item by customer key k: (Spark SQL and DuckDB alike) before and after.
@@ -158,3 +159,16 @@ def derived_state(spark, d):
     items, states = snapshot.derived(layers, before, F.lit("2024-02-01"))
     count = items.groupBy("layer").agg(F.count("*").alias("n"))
     return states.join(count, "layer", "left").select("layer", "fingerprint", "observed_at", F.coalesce("n", F.lit(0)).alias("items"))
+
+
+@query("""WITH i AS (SELECT l_returnflag AS layer, l_orderkey AS k, l_linenumber AS n, '{"id":' || l_orderkey || ',"n":' || l_linenumber || ',"part":' || l_partkey || '}' AS state FROM lineitem)
+          SELECT layer, sha256('{"items":[' || string_agg(state, ',' ORDER BY k, n, state) || ']}') AS fingerprint, count(*) AS items FROM i GROUP BY layer
+          UNION ALL SELECT 'all', sha256('{"items":[' || string_agg(state, ',' ORDER BY k, n, state) || ']}'), count(*) FROM i""")
+def layer_fingerprints(spark, d):
+    """A10: fingerprints of layers with very many items, and of one with all, hashed as they pass in order."""
+    state = hashing.canonical_json(F.struct(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part")))
+    rows = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("layer"), "l_orderkey", "l_linenumber", state.alias("state"))
+    own, order = streamed.ordered_hash, ["l_orderkey", "l_linenumber", "state"]
+    each = own(rows, ["layer"], order, F.col("state"), *snapshot.ITEMS)
+    whole = own(rows, [], order, F.col("state"), *snapshot.ITEMS).select(F.lit("all").alias("layer"), "sha256", "n")
+    return each.unionByName(whole).select("layer", F.col("sha256").alias("fingerprint"), F.col("n").alias("items"))

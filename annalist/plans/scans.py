@@ -197,6 +197,30 @@ def manifest_scan(spark, d):
     return files.manifest_violations(rows)
 
 
+@query("""SELECT event_id, CASE event_id % 9 WHEN 0 THEN 'UTF-8' WHEN 1 THEN 'UTF-8' WHEN 2 THEN 'UTF-16BE' WHEN 3 THEN 'UTF-16LE' WHEN 4 THEN 'UTF-16LE' WHEN 5 THEN 'UTF-32BE' WHEN 6 THEN 'UTF-32LE' WHEN 7 THEN 'UTF-16BE' ELSE 'UTF-8' END AS encoding,
+                 CASE WHEN event_id % 9 < 7 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k, CASE WHEN event_id % 9 < 7 THEN 'é😀' || user_id END AS word FROM events""")
+def json_encodings(spark, d):
+    """JSON bytes in five encodings, with and without a mark; an unpaired surrogate or a stray byte is no JSON."""
+    body = F.concat(F.lit('{"w":"é😀'), F.col("user_id").cast("string"), F.lit('",'), F.substring("props", 2, 2**31 - 1))
+    wide = F.hex(F.encode(body, "UTF-32"))
+    little = F.unhex(F.regexp_replace(wide, "(..)(..)(..)(..)", "$4$3$2$1"))
+    le, mark = F.encode(body, "UTF-16LE"), lambda x: F.unhex(F.lit(x))
+    n = F.col("event_id") % 9
+    data = (
+        F.when(n == 0, F.encode(body, "UTF-8"))
+        .when(n == 1, F.concat(mark("EFBBBF"), F.encode(body, "UTF-8")))
+        .when(n == 2, F.encode(body, "UTF-16BE"))
+        .when(n == 3, le)
+        .when(n == 4, F.concat(mark("FFFE"), le))
+        .when(n == 5, F.concat(mark("0000FEFF"), F.encode(body, "UTF-32")))
+        .when(n == 6, little)
+        .when(n == 7, F.concat(F.encode(body, "UTF-16BE"), mark("D800")))
+        .otherwise(F.concat(F.encode(body, "UTF-8"), mark("FF")))
+    )
+    read = table(spark, d, "events").select("event_id", data.alias("b")).select("event_id", text.json_encoding(F.col("b")).alias("encoding"), text.bounded_json(text.json_text(F.col("b"))).alias("v"))
+    return read.select("event_id", "encoding", F.try_variant_get("v", "$.k", "bigint").alias("k"), F.try_variant_get("v", "$.w", "string").alias("word"))
+
+
 @query(r"""SELECT event_id, '{' || chr(10) || '  "a": [' || chr(10) || '    ' || user_id || ',' || chr(10) || '    null' || chr(10) || '  ],' || chr(10) || '  "z": "' || event_type || '"' || chr(10) || '}' || chr(10) AS body FROM events""")
 def json_layout(spark, d):
     """JSON for people, keys sorted."""

@@ -206,3 +206,21 @@ def test_markup_columns_pass_nulls(spark):
     h = F.col("h")
     row = df.select(markup.unescape(h), markup.prose(h), markup.tokens_of(h), markup.tags_of(h, "a"), markup.yaml_json(h)).collect()[1]
     assert list(row) == [None] * 5
+
+
+def test_encodings_of_json_are_told_from_the_bytes(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from annalist.functions import text
+
+    cases = [t.encode(e) for t in ('{"a":"\u00e9\U0001f600\uffff"}', "1", "[]", '"x"') for e in ("utf-8", "utf-8-sig", "utf-16", "utf-16-le", "utf-16-be", "utf-32", "utf-32-le", "utf-32-be")]
+    bad = [b"\xff", b"\xc0\xaf", "[1]".encode("utf-16-le") + b"\x00", "[1]".encode("utf-16-be") + b"\xdc\x00", "[1]".encode("utf-32-be") + b"\x00\x11\x00\x00", "[1]".encode("utf-32-le") + b"\x00\xd8\x00\x00"]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate([*cases, *bad, b"", None])], "i int, b binary")
+    got = {r.i: r for r in df.select("i", text.json_encoding(F.col("b")).alias("e"), text.json_text(F.col("b")).alias("t")).collect()}
+    for i, b in enumerate(cases):
+        told = json.detect_encoding(b)
+        assert got[i].t == b.decode(told) and got[i].e.lower().startswith(told.removesuffix("-sig")[:6]), b
+    assert all(got[len(cases) + i].t is None for i in range(len(bad)))
+    assert got[len(cases) + len(bad)].t == "" and got[len(cases) + len(bad) + 1].t is None is got[len(cases) + len(bad) + 1].e

@@ -604,6 +604,23 @@ def test_slices_of_one_row_against_a_loop(spark):
     assert empty.islands(F.col("f")).count() == empty.filled(F.col("v"), "x").count() == 0
 
 
+def test_hash_of_ordered_rows_is_that_of_their_text(spark, monkeypatch):
+    from annalist.operators import streamed
+
+    rng = random.Random(9)
+    data = [(k, n, rng.choice([None, "", "x", "\u00e9" * 9])) for k in ("a", None, "b") for n in range({"a": 300}.get(k, 3))]
+    df = spark.createDataFrame(data, "k string, n long, t string").repartition(6)
+    for size in (1 << 18, 16):  # the workers' own module keeps its size: the chunk's end is met by long parts too
+        monkeypatch.setattr(streamed, "CHUNK", size)
+        for keys in (["k"], []):
+            want: dict = {}
+            for k, n, t in sorted(data, key=lambda r: (r[1], r[0] is not None, r[0] or "")):
+                want.setdefault(k if keys else 0, []).append(t or "")
+            got = streamed.ordered_hash(df, keys, ["n", "k"], F.col("t"), "[", ",", "]").collect()
+            assert {(r.k if keys else 0): (r.sha256, r.n) for r in got} == {k: (hashlib.sha256(f"[{','.join(v)}]".encode()).hexdigest(), len(v)) for k, v in want.items()} and len(got) == len(want)
+    assert streamed.ordered_hash(df.limit(0), ["k"], ["n"], F.col("t")).count() == 0
+
+
 def test_cycles_are_told_after_the_longest_chain_that_ends(spark):
     rng = random.Random(6)
     for n in (0, 1, 40):
