@@ -71,7 +71,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .join(repeated, "h")
         .where(F.struct("k", "th") != F.col("keeper"))
         .groupBy("k", "th")
-        .agg(F.collect_list("h").alias("gone"))
+        .agg(F.collect_set("h").alias("gone"))
     )
 
     @F.arrow_udf("struct<kept: string, lines: long, dropped: long>")
