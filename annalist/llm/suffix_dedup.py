@@ -299,7 +299,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         partial = materialise(partial.unionByName(moved).groupBy("r").agg(F.flatten(F.collect_set("spans")).alias("spans")), "partial")
     whole = kinds.where("times > 1").select("r", F.array(F.lit(0), F.col("one.n").cast("int")).alias("spans"))
     marks = materialise(whole.unionByName(partial.join(whole.select("r"), "r", "left_anti")), "marks")
-    covered = found.select("r", "k", "th", "s").join(marks, "r").groupBy("k", "th").agg(F.collect_list(F.struct("s", "spans")).alias("marks"))
+    covered = found.select("r", "k", "th", "s").join(marks, "r").groupBy("k", "th").agg(F.collect_set(F.struct("s", "spans")).alias("marks"))
 
     @F.arrow_udf("struct<spans: array<long>, removed: long, kept: binary>")
     def cut(text: pa.Array, marks: pa.Array) -> pa.Array:
