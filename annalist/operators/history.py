@@ -166,3 +166,34 @@ def history_kept(previous: DataFrame, candidate: DataFrame) -> DataFrame:
     h = lambda df, n: df.select("id", F.xxhash64(F.to_json(F.struct(*rest))).alias(n))
     both = h(previous, "a").join(h(candidate, "b"), "id", "left")
     return both.where("b is null or a <> b").select(F.when(F.col("b").isNull(), "event-dropped").otherwise("event-altered").alias("rule"), "id")
+
+
+def publication_violations(old_events: DataFrame, new_events: DataFrame, old_files: DataFrame, new_files: DataFrame) -> DataFrame:
+    """(rule, id): what a candidate must not do to a published tree, as differences of its events and of its files that hang on each other.
+
+    events: id, date and what an event says; files: path, kind (baseline, report or
+    other), date and sha256. The baseline may be neither dropped nor altered. An
+    event may not be dropped, altered or moved to another day; order is free. A
+    report that is dropped, or altered while its day has no event more than before,
+    is a violation, and so is a new report of a day without events, or a day with
+    events that has no report. New days and files of other kinds are free.
+    """
+    kept = history_kept(old_events, new_events)
+    was = old_files.select("path", "kind", "date", F.col("sha256").alias("was"))
+    now = new_files.select("path", F.col("kind").alias("now_kind"), F.col("date").alias("now_date"), F.col("sha256").alias("now"))
+    files = was.join(now, "path", "full_outer").select("path", F.coalesce("kind", "now_kind").alias("kind"), F.coalesce("date", "now_date").alias("date"), "was", "now")
+    fresh = new_events.select("id", "date").join(old_events.select("id"), "id", "left_anti").select("date").distinct().withColumn("appended", F.lit(True))
+    days = new_events.select("date").distinct().withColumn("eventful", F.lit(True))
+    told = files.join(fresh, "date", "left").join(days, "date", "left")
+    baseline, report = F.col("kind") == "baseline", F.col("kind") == "report"
+    altered = F.col("was").isNotNull() & ~F.col("was").eqNullSafe(F.col("now"))
+    rule = (
+        F.when(baseline & altered, F.when(F.col("now").isNull(), "baseline-dropped").otherwise("baseline-altered"))
+        .when(report & altered & F.col("now").isNull(), "report-dropped")
+        .when(report & altered & F.col("appended").isNull(), "report-rewritten-without-events")
+        .when(report & F.col("was").isNull() & F.col("eventful").isNull(), "report-without-events")
+    )
+    broken = told.select(rule.alias("rule"), F.col("path").alias("id")).where("rule is not null")
+    reported = new_files.where(report).select("date").distinct()
+    silent = days.join(reported, "date", "left_anti").select(F.lit("day-without-report").alias("rule"), F.col("date").cast("string").alias("id"))
+    return kept.unionByName(broken).unionByName(silent)

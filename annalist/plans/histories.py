@@ -145,3 +145,33 @@ def published_history_kept(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), "o_orderstatus", "o_totalprice")
     new = o.where("o_orderstatus <> 'O'").withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", -1.0).otherwise(F.col("o_totalprice")))
     return history.history_kept(o, new)
+
+
+_TREE = """
+    e AS (SELECT CAST(event_id AS VARCHAR) AS id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, user_id, event_id % 997 = 5 AS late, event_id % 1009 = 7 AS lost, event_id % 1013 = 9 AS edited, day(ts) AS d FROM events),
+    o AS (SELECT * FROM e WHERE NOT (late AND d % 3 = 0)),
+    n AS (SELECT * FROM e WHERE NOT lost),
+    day AS (SELECT DISTINCT date, d FROM e)"""
+
+
+@query(f"""WITH {_TREE}
+    SELECT 'event-dropped' AS rule, id FROM o WHERE lost UNION ALL SELECT 'event-altered', id FROM o WHERE edited AND NOT lost
+    UNION ALL SELECT 'baseline-altered', 'events/baseline-2.json' UNION ALL SELECT 'baseline-dropped', 'events/baseline-3.json'
+    UNION ALL SELECT 'report-dropped', 'changes/' || date || '.md' FROM day WHERE d % 10 = 4
+    UNION ALL SELECT 'report-rewritten-without-events', 'changes/' || date || '.md' FROM day WHERE d % 10 <> 4 AND d % 4 = 1 AND date NOT IN (SELECT date FROM n WHERE id NOT IN (SELECT id FROM o))
+    UNION ALL SELECT 'report-without-events', 'changes/2030-01-0' || i || '.md' FROM range(1, 4) t(i)
+    UNION ALL SELECT 'day-without-report', date FROM day WHERE d % 10 = 4 AND date IN (SELECT date FROM n)""")
+def publication_violations(spark, d):
+    """What a candidate does to a published tree: events, the baseline, and reports that may change with new events only."""
+    k, day = F.col("event_id"), F.dayofmonth("ts")
+    e = table(spark, d, "events").select(k.cast("string").alias("id"), F.to_date("ts").cast("string").alias("date"), "user_id", k.alias("k"), day.alias("d"))
+    old = e.where("NOT (k % 997 = 5 AND d % 3 = 0)").select("id", "date", "user_id")
+    new = e.where("k % 1009 <> 7").select("id", "date", F.when(F.col("k") % 1013 == 9, -1).otherwise(F.col("user_id")).alias("user_id"))
+    days = e.select("date", "d").distinct()
+    path = F.concat(F.lit("changes/"), "date", F.lit(".md"))
+    row = lambda df, sha: df.select(path.alias("path"), F.lit("report").alias("kind"), "date", sha.alias("sha256"))
+    fixed = lambda ids, sha: spark.range(1, 4).where(F.col("id").isin(*ids)).select(F.concat(F.lit("events/baseline-"), "id", F.lit(".json")).alias("path"), F.lit("baseline").alias("kind"), F.lit(None).cast("string").alias("date"), sha.alias("sha256"))
+    extra = spark.range(1, 4).select(F.concat(F.lit("2030-01-0"), "id").alias("date"), F.lit(1).alias("d"))
+    was = row(days, F.lit("a")).unionByName(fixed([1, 2, 3], F.lit("a")))
+    now = row(days.where("d % 10 <> 4").unionByName(extra), F.when(F.col("d") % 4 == 1, "b").otherwise("a")).unionByName(fixed([1, 2], F.when(F.col("id") == 2, "b").otherwise("a")))
+    return history.publication_violations(old, new, was, now)
