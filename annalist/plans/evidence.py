@@ -93,14 +93,14 @@ def limitation_sections(spark, d):
     return extract.limitation_sections(pages.select("nation", md.alias("md")), ["nation"], "md")
 
 
-@query("""SELECT item_id, CASE WHEN item_id % 6 = 0 THEN 'unknown' WHEN item_id % 6 = 1 THEN 'unknown' WHEN item_id % 6 = 2 THEN 'unknown' WHEN item_id % 6 = 3 THEN 'unknown' WHEN length(substr(text, 1, 240)) > 0 THEN 'verified' ELSE 'unknown' END AS status FROM benchmark WHERE text IS NOT NULL""")
+@query("""SELECT item_id, CASE WHEN item_id % 6 = 0 THEN 'unknown' WHEN item_id % 6 = 1 THEN 'unknown' WHEN item_id % 6 = 2 THEN 'unknown' WHEN item_id % 6 = 3 THEN 'unknown' WHEN length(substr(text, 1, 240)) > 0 THEN 'verified' ELSE 'unknown' END AS status FROM benchmark""")
 def verified_facts(spark, d):
     """a value with passages that its source has, none too long."""
     k, t = F.col("item_id"), F.col("text")
     passages = F.when(k % 6 == 0, F.array().cast("array<string>")).when(k % 6 == 1, F.array(F.substring(t, 1, 40), F.lit("\u0001 not there"))).when(k % 6 == 3, F.array(F.rpad(t, 241, "x"))).otherwise(F.array(F.substring(t, 1, 240)))
     value = F.when(k % 6 != 2, F.lit("v"))
     source = F.concat(t, F.rpad(t, 241, "x"))
-    return table(spark, d, "benchmark").where("text is not null").select("item_id", claims.verified(value, passages, source, F.lit("s")).alias("status"))
+    return table(spark, d, "benchmark").select("item_id", claims.verified(value, passages, source, F.lit("s")).alias("status"))
 
 
 _STREAMS = "k % 3 = 0"

@@ -149,14 +149,14 @@ def release_order(spark, d):
     return reconcile.published_order(_releases(spark, d).select("package", "tag", "published_at").distinct(), ["package"])
 
 
-@query("""SELECT 'Brand#11' AS package, max(p_size || '.' || p_partkey % 7) AS version, list(DISTINCT p_size || '.' || p_partkey % 7 ORDER BY p_size || '.' || p_partkey % 7) AS published FROM part WHERE p_brand = 'Brand#11' HAVING count(*) > 0""")
+@query("""SELECT p_brand AS package, max(p_size || '.' || p_partkey % 7) AS version, list(DISTINCT p_size || '.' || p_partkey % 7 ORDER BY p_size || '.' || p_partkey % 7) AS published FROM part GROUP BY 1""")
 def registry_scan(spark, d):
-    """A registry's answer about a package, its name folded, its version among the published ones."""
-    v = table(spark, d, "part").where("p_brand = 'Brand#11'").select(F.concat_ws(".", "p_size", F.col("p_partkey") % 7).alias("v"))
-    info = F.struct(F.lit("brand#11").alias("name"), F.max("v").alias("version"))
+    """A registry's answer about every package, its name folded, its version among the published ones."""
+    v = table(spark, d, "part").select(F.col("p_brand").alias("package"), F.concat_ws(".", "p_size", F.col("p_partkey") % 7).alias("v"))
+    info = F.struct(F.lower(F.first("package")).alias("name"), F.max("v").alias("version"))
     released = F.map_from_entries(F.transform(F.array_sort(F.collect_set("v")), lambda x: F.struct(x, F.array().cast("array<struct<filename: string>>"))))
-    body = v.agg(F.to_json(F.struct(info.alias("info"), released.alias("releases"))).alias("body"), F.count("*").alias("n")).where("n > 0").select("body")
-    return files.registry(body, "python", "Brand#11")
+    bodies = v.groupBy("package").agg(F.to_json(F.struct(info.alias("info"), released.alias("releases"))).alias("body"))
+    return files.registry(bodies, "python", F.col("package"))
 
 
 @query("""SELECT p_partkey AS partkey, p_name AS name, CASE WHEN p_partkey % 3 > 0 THEN p_size || '.0.1' END AS version FROM part""")

@@ -53,20 +53,20 @@ def binaries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content", hashing.content_sha256(F.col("content")).alias("sha256"), F.col("length").alias("bytes"))
 
 
-def registry(responses: DataFrame, kind: str, package: str) -> DataFrame:
-    """package, version, published of a registry response body (python or npm); a body of another shape or name is an error."""
+def registry(responses: DataFrame, kind: str, package: str | Column) -> DataFrame:
+    """package, version, published of registry response bodies (python or npm); one of another shape, or of another name than its package's, is an error."""
     from ..schemas import REGISTRY_NPM, REGISTRY_PYTHON
 
     body = F.from_json(F.col("body").cast("string"), REGISTRY_PYTHON if kind == "python" else REGISTRY_NPM, {"mode": "PERMISSIVE"})
-    rows = responses.select(body.alias("b"), F.from_json(F.col("body").cast("string"), "struct<name: string>").getField("name").alias("n"))
+    rows = responses.select((F.lit(package) if isinstance(package, str) else package).alias("p"), body.alias("b"), F.from_json(F.col("body").cast("string"), "struct<name: string>").getField("name").alias("n"))
     name = F.col("b.info.name") if kind == "python" else F.col("b.name")
     version = F.col("b.info.version") if kind == "python" else F.col("b").getField("dist-tags").getField("latest")
     published = F.array_sort(F.map_keys("b.releases")) if kind == "python" else F.lit(None).cast("array<string>")
-    ok = text.nonblank(name) & text.nonblank(version) & text.package_key(name, kind).eqNullSafe(text.package_key(F.lit(package), kind))
+    ok = text.nonblank(name) & text.nonblank(version) & text.package_key(name, kind).eqNullSafe(text.package_key(F.col("p"), kind))
     if kind == "python":
         ok &= F.coalesce(F.map_contains_key("b.releases", version), F.lit(False))
-    checked = F.when(ok, version).otherwise(F.raise_error(F.lit(f"registry response for {package}: unexpected shape")))
-    return rows.select(F.lit(package).alias("package"), checked.alias("version"), published.alias("published"))
+    checked = F.when(ok, version).otherwise(F.raise_error(F.concat(F.lit("registry response for "), F.col("p"), F.lit(": unexpected shape"))))
+    return rows.select(F.col("p").alias("package"), checked.alias("version"), published.alias("published"))
 
 
 def listed(responses: DataFrame, schema: str, required: dict[str, str]) -> DataFrame:
