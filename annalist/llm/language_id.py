@@ -43,7 +43,9 @@ def fit(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text_c
 
     The rows of a language are dealt into `texts` cells by a hash of their id and
     the least hash of each cell is taken, so the sample needs one small
-    aggregation, does not depend on the order of rows and has no hot task.
+    aggregation, does not depend on the order of rows and has no hot task. Of rows
+    that repeat an id under one label the least text with a letter counts; rows
+    without an id or with a null or letterless text teach nothing.
     """
     h = F.xxhash64(F.col(id_col), F.lit("language"))
     picked = (
@@ -54,7 +56,7 @@ def fit(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text_c
         .select("lang", F.col("least.id").alias("id"))
     )
     letters = docs.where(F.col(text_col).rlike(r"\p{L}")).select(F.col(label_col).alias("lang"), F.col(id_col).alias("id"), F.substring(text_col, 1, SAMPLE_CHARS).alias("t"))
-    rows = letters.join(F.broadcast(picked), ["lang", "id"]).collect()
+    rows = letters.join(F.broadcast(picked), ["lang", "id"]).groupBy("lang", "id").agg(F.min("t").alias("t")).collect()
     by: dict[str, set[str]] = {}
     for r in rows:
         by.setdefault(r.lang, set()).add(r.t)
@@ -104,7 +106,12 @@ def classifier(model: list[tuple[str, bytes]], margin: float = MARGIN):
 
 
 def accepted(docs: DataFrame, model: list[tuple[str, bytes]], text_col: str = "text", margin: float = MARGIN) -> DataFrame:
-    """The rows of docs whose language is told by a sufficient margin, all columns as they are, whatever their names."""
+    """The rows of docs whose language is told by a sufficient margin, all columns as they are, whatever their names.
+
+    Rows are judged as `identify` does: a null, empty or letterless text goes, equal
+    sizes go, repeated rows stay or go alike, a very long text is judged whole, and
+    no rows or an empty model give no rows.
+    """
     letters = F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col))
     return docs.select(F.struct("*").alias("row"), classifier(model, margin)(letters).alias("found")).where("found.accepted").select("row.*")
 

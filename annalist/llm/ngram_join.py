@@ -518,10 +518,23 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with, of each component, only the document of least id; all columns kept.
 
-    Rows repeated under one id are one row afterwards; rows with a null id stay.
+    Different texts under one id are documents of their own, of which the one of
+    least hash has the id and the others come after all ids, as do texts without
+    an id. Rows with equal id and text, a null id included, are one row
+    afterwards; which of them stays is open where their other columns differ. A
+    text that is null or has no word links with nothing and stays. Texts of any
+    length are taken whole, no rows give no rows, and columns of any name pass.
     """
-    found = jaccard_components(docs, n, percent, id_col, text_col)
-    key = "__kept_id" + "_" * max([0, *map(len, docs.columns)])  # no column has this name
+    key = "__node_id" + "_" * max([0, *map(len, docs.columns)])  # no column has this name
+    least = key + "least"
+    own, text = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))
+    # usually no id has two texts, and the table is small enough for Spark to broadcast it
+    hashes = docs.where(F.col(id_col).isNotNull()).select(own.alias(key), text.alias("th")).groupBy(key).agg(F.min("th").alias(least), F.max("th").alias("most"))
+    shared = materialise(hashes.where(F.col(least) < F.col("most")).drop("most"), "shared-ids")
+    after = F.lit(1 << 62).bitwiseOR(F.shiftrightunsigned(F.xxhash64(own, F.col(text_col)), 2))
+    rows = docs.withColumn(key, own).join(shared, key, "left")
+    has_id = F.col(key).isNotNull() & (F.col(least).isNull() | (F.col(least) == text))
+    nodes = rows.withColumn(key, F.when(has_id, F.col(key)).otherwise(after)).drop(least)
+    found = jaccard_components(nodes, n, percent, key, text_col)
     keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    ided = docs.where(F.col(id_col).isNotNull()).join(keep, F.col(id_col).cast("long") == F.col(key), "left_semi").dropDuplicates([id_col])
-    return ided.unionByName(docs.where(F.col(id_col).isNull()))
+    return nodes.join(keep, key, "left_semi").dropDuplicates([key]).select(*docs.columns)

@@ -158,12 +158,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     Labelled rows are taken by a hash of their id at the rate that gives about
     `rows`, so which are taken does not depend on their order; null labels and
     labels without a document are left out. A document with two different labels
-    counts with both, one repeated label counts once.
+    counts with both, one repeated label counts once. Of documents that repeat an id
+    the one of least statistics counts, so at most one row an id and label is read.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.col(label_col).cast("double").alias("__y")).distinct()
     rate = min(1.0, 0.97 * rows / max(1, known.count()))
     taken = known.where(F.pmod(F.xxhash64(id_col, F.lit("quality")), F.lit(1 << 20)) < int(rate * (1 << 20)) + (rate == 1))
-    found = docs.select(id_col, text_col).join(F.broadcast(taken), id_col).select(measure(F.col(text_col).cast("binary")).alias("x"), "__y").toArrow()
+    found = docs.select(id_col, text_col).join(F.broadcast(taken), id_col).select(id_col, measure(F.col(text_col).cast("binary")).alias("x"), "__y").groupBy(id_col, "__y").agg(F.min("x").alias("x")).select("x", "__y").toArrow()
     if not found.num_rows:
         return grow(np.zeros((0, len(STATISTICS))), np.zeros(0))
     x = np.stack(found.column("x").to_numpy())

@@ -264,9 +264,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def pull(batches):
         names, types = ["a", "r", "body", "p"], [pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+        seen = set()  # rows of the same id and text give their regions once
         for batch in batches:
             out, held = [[], [], [], []], 0
-            for t, own in zip(batch.column("t"), batch.column("spots"), strict=True):
+            for k, th, t, own in zip(batch.column("k").to_pylist(), batch.column("th").to_pylist(), batch.column("t"), batch.column("spots"), strict=True):
+                if (k, th) in seen:
+                    continue
+                seen.add((k, th))
                 t = t.as_py()
                 for x in own.as_py():
                     body = t[x["s"] : x["s"] + x["n"]]
@@ -280,7 +284,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def bodies(rows: DataFrame) -> DataFrame:
         lists = rows.groupBy("k", "th").agg(F.collect_list(F.struct("a", "r", "s", "n", "p")).alias("spots"))
-        return slim.join(lists, ["k", "th"]).select("t", "spots").mapInArrow(pull, "a long, r binary, body binary, p long")
+        return slim.join(lists, ["k", "th"]).select("k", "th", "t", "spots").mapInArrow(pull, "a long, r binary, body binary, p long")
 
     pulled, total = bodies(wanted).select("a", "r", "body"), wanted.agg(F.sum("n")).first()[0] or 0
     links, halved = [], []

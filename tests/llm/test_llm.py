@@ -560,10 +560,47 @@ def test_one_document_of_each_group_stays(spark):
     docs = table(spark, [a, a + " more", prose(rng, 100), None, a, prose(rng, 40)], ids=[4, 2, 3, 5, None, 3])
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=lambda i: (i is None, i)) == [2, 3, 5, None]
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 3, 5]  # two texts of id 3 with nothing in common; a copy without an id goes
     assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_or_have_none(spark):
+    rng = random.Random(61)
+    a, b, c, long = (prose(rng, n) for n in (60, 60, 60, 30_000))
+    rows = [(1, a), (1, b), (1, a), (2, b + " end"), (None, c), (None, c), (None, c + " end"), (None, a), (None, None), (None, ""), (7, None), (None, long), (8, long + " end")]
+    docs = table(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(docs).collect()), key=str)
+    ids = {i: [t for j, t in kept if j == i] for i in {i for i, _ in kept}}
+    assert set(ids) <= {1, 2, 7, 8, None} and ids[7] == [None] and ids[8] == [long + " end"]
+    assert sum(t == a for _, t in kept) == 1 and sum(t in (b, b + " end") for _, t in kept) == 1  # near texts leave one, others stay
+    assert sum(t in (c, c + " end") for t in ids[None]) == 1 and len(kept) == 7 and {None, ""} <= set(ids[None])
+    assert ngram_join.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_thousands_of_copies(spark):
+    """One text a thousand times without an id and as often under one id."""
+    rng = random.Random(62)
+    body, other = prose(rng, 400) + "\na line that is in all of the copies\n", prose(rng, 50)
+    docs = table(spark, [*[body] * 2000, other], ids=[*[None] * 1000, *[5] * 1000, 6])
+    assert sorted(r.doc_id for r in ngram_join.one_of_each(docs).collect()) == [5, 6]
+    cut = suffix_dedup.remove_repeats(docs).groupBy("n_bytes").agg(F.count("*").alias("n"), F.sum("n_removed").alias("gone")).collect()
+    size = len(body.encode())
+    assert {(r.n_bytes, r.n, r.gone) for r in cut} == {(size, 2000, 2000 * size), (len(other.encode()), 1, 0)}
+
+
+def test_fits_read_one_row_of_an_id(spark):
+    rng = random.Random(63)
+    texts = [prose(rng, 30) for _ in range(8)]
+    docs = table(spark, texts, langs=["aa", "bb"] * 4)
+    many = docs
+    for _ in range(5):
+        many = many.unionByName(many)
+    assert language_id.fit(docs) == language_id.fit(many)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    once, often = quality.fit(docs, labels), quality.fit(many, labels)
+    assert [r.score for r in quality.score(docs, once).orderBy("doc_id").collect()] == [r.score for r in quality.score(docs, often).orderBy("doc_id").collect()]
+
+
 # 9
 
 
