@@ -48,7 +48,8 @@ def scalar_predicates(spark, d):
 def retry_decisions(spark, d):
     """Waits that a server asks for, and what is asked again."""
     e, i = table(spark, d, "events"), F.col("event_id")
-    header = F.when(i % 4 == 0, (i % 90).cast("string")).when(i % 4 == 1, F.concat(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))).when(i % 4 == 2, "soon")
+    second = F.timestamp_seconds(F.rint(F.unix_micros(F.col("ts").cast("timestamp")) / 1e6))  # a date has whole seconds, the nearest
+    header = F.when(i % 4 == 0, (i % 90).cast("string")).when(i % 4 == 1, F.concat(F.date_format(second, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))).when(i % 4 == 2, "soon")
     status = F.element_at(F.array(*[F.lit(s) for s in (200, 403, 429, 500, 404)]), (i % 5 + 1).cast("int"))
     return e.select("event_id", text.retry_after(header, F.lit("2024-01-15 00:00:00").cast("timestamp")).alias("wait"), text.retried(status, header, F.when(i % 3 == 0, "0").otherwise("5"), i % 2 == 0).alias("retried"))
 

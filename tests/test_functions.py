@@ -119,6 +119,19 @@ def test_retry_after(spark, header, want):
     assert one(spark, text.retry_after(F.lit(header), F.timestamp_seconds(F.lit(0)))) == want
 
 
+def test_retry_decisions_of_fractional_seconds(spark, tmp_path):
+    import duckdb
+
+    from annalist import plans
+
+    stamps = ["2024-01-15 00:00:28.61", "2024-01-15 00:00:28.5", "2024-01-15 00:00:29.5", "2024-01-15 00:00:07.2"]
+    events = spark.createDataFrame([(4 * i + 1, x) for i, x in enumerate(stamps)], "event_id long, ts string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert sorted(map(tuple, plans.QUERIES["retry_decisions"](spark, str(tmp_path)).collect())) == sorted(con.execute(plans.ORACLES["retry_decisions"]).fetchall())
+
+
 def test_retried(spark):
     rows = [(500, None, None, True), (429, None, None, True), (403, "1", None, True), (403, None, "0", True), (403, None, "5", False), (404, None, None, False), (200, None, None, False)]
     df = spark.createDataFrame(rows, "s int, h string, r string, want boolean")
