@@ -105,6 +105,23 @@ def test_clean_and_excerpt(spark):
     assert one(spark, text.excerpt(F.lit(split), r"k\.? ?ey", 40)) == "The key itself."
 
 
+def test_clean_of_cut_references_and_asterisks(spark):
+    raw = "a &amp b&amp</p> *c,* &amp;lt; &nope; &copy;&#65;"
+    assert one(spark, markup.clean(F.lit(raw), terminated=True, emphasis=False)).split() == "a &amp b&amp *c,* &lt; &nope; ©A".split()
+    assert one(spark, markup.clean(F.lit(raw))).split() == "a & b& c, &lt; &nope; ©A".split()
+
+
+def test_clean_text_agrees_with_its_sql(spark, tmp_path):
+    import duckdb
+
+    from annalist import plans
+
+    spark.createDataFrame([(1, "<title>and&amp</title>x"), (2, "<title>a* b *the.*</title>&quot;y&quot;")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(map(tuple, plans.QUERIES["clean_text"](spark, str(tmp_path)).collect())) == sorted(con.execute(plans.ORACLES["clean_text"]).fetchall())
+
+
 @pytest.mark.parametrize("shape", ["[", "{"])
 @pytest.mark.parametrize("depth", [63, 64, 65])
 def test_nesting_bound(spark, shape, depth):
