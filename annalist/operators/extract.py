@@ -96,7 +96,8 @@ def levelled_sections(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     """keys, start, level, title, until: Markdown headings, each ending at the next of its level or above (null: the end)."""
     heads = lines(df, keys, column).where(F.col("line").rlike(r"^#{1,6}\s+\S")).withColumn("level", F.length(F.regexp_extract("line", "^(#+)", 1)))
     heads = heads.select(*keys, F.col("n").alias("start"), "level", F.btrim(F.regexp_replace("line", r"^#+\s+", "")).alias("title"))
-    after = Window.partitionBy(*keys).orderBy("start").rowsBetween(1, Window.unboundedFollowing)
+    # from the last heading back, so that each frame is the one before it and one row more
+    after = Window.partitionBy(*keys).orderBy(F.col("start").desc()).rowsBetween(Window.unboundedPreceding, -1)
     # for each level the first heading of it or above that follows
     nexts = [F.min(F.when(F.col("level") <= k, F.col("start"))).over(after) for k in range(1, 7)]
     rows = heads.select("*", F.array(*nexts).alias("nexts"))
@@ -109,10 +110,14 @@ def release_notes(df: DataFrame, keys: list[str], column: str, most: int = 12) -
     heads = levelled_sections(source, keys, "__t")
     pattern = r"^\[?v?((?:0|[1-9][0-9]*)(?:\.(?:0|[1-9][0-9]*)){2})\]?(?:\s*[-(–]?\s*([0-9]{4}-[0-9]{2}-[0-9]{2})\)?)?\s*\z"
     found = heads.where(F.col("title").rlike(pattern)).select(*keys, "start", "until", F.regexp_extract("title", pattern, 1).alias("version"), F.nullif(F.regexp_extract("title", pattern, 2), F.lit("")).alias("date"))
-    bodies = found.join(source.select(*keys, F.split("__t", "\n").alias("ls")), keys)
-    own = F.slice("ls", F.col("start") + 2, F.greatest(F.coalesce("until", F.size("ls")) - F.col("start") - 1, F.lit(0)))
-    bullets = F.transform(F.filter(own, lambda x: x.rlike(r"^\s*[-*]\s+\S")), lambda x: F.btrim(F.regexp_replace(x, r"^\s*[-*]\s+", "")))
-    return bodies.select(*keys, "version", "date", F.slice(bullets, 1, most).alias("changes"))
+    # every bullet with those that follow it, `most` in all; a heading takes those of the first bullet after it
+    said = lines(source, keys, "__t").where(F.col("line").rlike(r"^\s*[-*]\s+\S")).select(*keys, "n", F.struct("n", F.btrim(F.regexp_replace("line", r"^\s*[-*]\s+", "")).alias("text")).alias("b"))
+    following = Window.partitionBy(*keys).orderBy("n").rowsBetween(0, most - 1)
+    marked = said.select(*keys, "n", F.collect_list("b").over(following).alias("nexts")).unionByName(found.withColumnRenamed("start", "n"), allowMissingColumns=True)
+    back = Window.partitionBy(*keys).orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    rows = marked.withColumn("nexts", F.last("nexts", ignorenulls=True).over(back)).where("version is not null")
+    own = F.filter("nexts", lambda x: F.col("until").isNull() | (x["n"] < F.col("until")))
+    return rows.select(*keys, "version", "date", F.coalesce(F.transform(own, lambda x: x["text"]), F.array().cast("array<string>")).alias("changes"))
 
 
 def model_rows(df: DataFrame, keys: list[str], column: str, family: str = "") -> DataFrame:

@@ -278,6 +278,19 @@ def test_tables_models_sections_notes(spark):
     assert rows(levels, "title", "until") == [("a", 4), ("b", 3), ("c", 3), ("d", 4), ("e", None)]
 
 
+def test_release_notes_of_a_long_text(spark):
+    """Neither a heading takes a copy of the text nor a frame is read anew for each heading."""
+    n = 30_000
+    page = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("## 1.0."), i, F.lit("\n- a\n### more\n- b\n"), F.when(i % 2 == 0, F.repeat(F.lit("* c\n"), 12)).otherwise(""))), "")
+    df = spark.range(1).select(F.col("id").alias("i"), page.alias("t"))
+    found = extract.release_notes(df, ["i"], "t")
+    begun = time.monotonic()
+    assert {(r.even, r.c): r["count"] for r in found.select((F.split("version", r"\.")[2].cast("int") % 2 == 0).alias("even"), F.array_join("changes", "").alias("c")).groupBy("even", "c").count().collect()} == {(True, "ab" + "c" * 10): n // 2, (False, "ab"): n // 2}
+    assert time.monotonic() - begun < 60
+    empty = spark.createDataFrame([(1, "## 1.0.0\n## 1.0.1\ntext\n- x")], "i int, t string")
+    assert rows(extract.release_notes(empty, ["i"], "t"), "version", "changes") == [("1.0.0", []), ("1.0.1", ["x"])]
+
+
 def test_inventories(spark):
     recipes = "## Basics\n| [One](/one) | easy | first |\n## Next\n| [Two](/two.md) | hard | second |\n"
     df = spark.createDataFrame([(1, recipes)], "i int, t string")
