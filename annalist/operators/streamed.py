@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of neighbouring parts that are joined before the running hash reads them.
-CHUNK = 1 << 18
+#: Bytes of neighbouring parts that are joined and compressed before the running hash reads them.
+CHUNK = 1 << 20
 
 
 def _runs(batch: pa.RecordBatch, keys: list[str]):
@@ -26,9 +27,9 @@ def ordered_hash(rows: DataFrame, keys: list[str], order: list[str], part: Colum
     """(keys..., sha256, n): the hash of prefix, the parts of a key in order with separators between, and suffix; n parts.
 
     Rows are sorted by range, so that a key with all rows is sorted in many tasks,
-    and joined to chunks there; the chunks of a key then pass, in order, through a
-    running hash that holds one at a time (a hash has no parts that could be joined
-    later). A null part is empty; rows of one key that order does not tell apart
+    and joined to chunks there, which travel compressed; the chunks of a key then
+    pass, in order, through a running hash that holds one at a time (a hash has no
+    parts that could be joined later). A null part is empty; rows of one key that order does not tell apart
     should have equal parts. Keys may be null, and none; a table without rows gives
     none.
     """
@@ -43,7 +44,7 @@ def ordered_hash(rows: DataFrame, keys: list[str], order: list[str], part: Colum
         def chunk():
             nonlocal seq, held, size
             seq += 1
-            out = pa.RecordBatch.from_arrays([*first, pa.array([seq], pa.int64()), pa.array([len(held)], pa.int64()), pa.array([glue.join(held)], pa.binary())], [*keys, "__p", "seq", "n", "text"])
+            out = pa.RecordBatch.from_arrays([*first, pa.array([seq], pa.int64()), pa.array([len(held)], pa.int64()), pa.array([zlib.compress(glue.join(held), 1)], pa.binary())], [*keys, "__p", "seq", "n", "text"])
             held, size = [], 0
             return out
 
@@ -80,7 +81,7 @@ def ordered_hash(rows: DataFrame, keys: list[str], order: list[str], part: Colum
                 for text, count in zip(batch.column("text").slice(a, b - a), batch.column("n").slice(a, b - a), strict=True):
                     if n:
                         state.update(glue)
-                    state.update(text.as_py())
+                    state.update(zlib.decompress(text.as_py()))
                     n += count.as_py()
         if state is not None:
             yield result()
