@@ -307,14 +307,15 @@ def openapi_operations(spark, d):
         F.lit("# Page\n\n```yaml\npaths:\n  /v"), "p_size", F.lit(":\n    post:\n      requestBody:\n        content:\n          application/json:\n            schema:\n              $ref: '#/components/schemas/Body'\n      responses: {}\n"),
         F.lit("components:\n  schemas:\n    Body:\n      properties:\n        n"), "p_size", F.lit(": {type: string}\n        kind: {$ref: '#/components/schemas/Kind'}\n"),
         F.lit("    Kind:\n      discriminator:\n        propertyName: type\n        mapping: {a: '#/components/schemas/A', b: '#/components/schemas/B'}\n      oneOf:\n        - $ref: '#/components/schemas/A'\n        - $ref: '#/components/schemas/B'\n"),
-        F.lit("    A:\n      properties:\n        type: {const: a}\n    B:\n      properties:\n        type: {const: "), F.when(k % 3 == 1, "b").otherwise("c"), F.lit("}\n```\n"),
+        F.lit("    A:\n      properties:\n        type: {const: a}\n    B:\n      properties:\n        type: {const: "), F.when(F.col("v") == 1, "b").otherwise("c"), F.lit("}\n```\n"),
     )
-    page = F.when(k % 3 == 0, F.concat(spec, F.lit("\n"), spec)).otherwise(spec)
-    # pages differ by size and variant only, so each text is read once
-    pages = table(spark, d, "part").select(k.alias("partkey"), page.alias("text"), F.col("p_size"), (k % 3).alias("v"))
-    read = pages.groupBy("p_size", "v").agg(F.first("text").alias("text")).select("p_size", "v", openapi.claims_of(F.col("text")).alias("c"))
+    # pages differ by size and variant only, so each text is made and read once
+    v = (k % 3).alias("v")
+    pages = table(spark, d, "part").select(k.alias("partkey"), "p_size", v)
+    texts = pages.select("p_size", "v").distinct()
+    read = texts.select("p_size", "v", openapi.claims_of(F.when(F.col("v") == 0, F.concat(spec, F.lit("\n"), spec)).otherwise(spec)).alias("c"))
     value = lambda name: F.regexp_replace(F.try_element_at("c", F.lit(name)), '^"|"$', "")
-    return pages.join(read, ["p_size", "v"]).select("partkey", value("endpoint").alias("endpoint"), value("properties").alias("properties"), value("variants:kind").alias("kinds"))
+    return pages.join(F.broadcast(read), ["p_size", "v"]).select("partkey", value("endpoint").alias("endpoint"), value("properties").alias("properties"), value("variants:kind").alias("kinds"))
 
 
 _API = """

@@ -746,3 +746,12 @@ def test_ordered_hash_moves_compressed_chunks(spark):
     # all parts are ranged once, 4 MB of text; the one task that hashes gets them compressed
     assert exchanged(spark, found) < 1.5 * df.agg(F.sum(F.length("t"))).first()[0]
     assert found.first().sha256 == hashlib.sha256("".join(r.t for r in df.orderBy("id").collect()).encode()).hexdigest()
+
+
+def test_operation_texts_are_made_once(spark, tmp_path):
+    from annalist import plans
+
+    spark.range(300).selectExpr("id AS p_partkey", "cast(id % 50 as int) AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    found = plans.QUERIES["openapi_operations"](spark, str(tmp_path))
+    assert exchanged(spark, found) < 100_000
+    assert rows(found.where("partkey in (3, 4, 5)"), "partkey", "endpoint", "kinds") == [(3, None, None), (4, "POST /v4", '["a","b"]'), (5, "POST /v5", None)]
