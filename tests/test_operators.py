@@ -755,3 +755,29 @@ def test_operation_texts_are_made_once(spark, tmp_path):
     found = plans.QUERIES["openapi_operations"](spark, str(tmp_path))
     assert exchanged(spark, found) < 100_000
     assert rows(found.where("partkey in (3, 4, 5)"), "partkey", "endpoint", "kinds") == [(3, None, None), (4, "POST /v4", '["a","b"]'), (5, "POST /v5", None)]
+
+
+def test_excerpts_of_one_digest(spark, monkeypatch):
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("ab\u00e9\U0001f600? ") for _ in range(n))
+    texts = [("s", rng.choice("de"), word(rng.randrange(40))) for _ in range(60)] + [("s", "d", None)]
+    cuts = [(s, d, t[i : i + rng.randrange(25)]) for s, d, t in texts if t for i in [rng.randrange(len(t))]]
+    excerpts = [*cuts, *[(s, d, word(rng.randrange(14))) for s, d, _ in texts], ("s", "d", ""), ("s", "none", "a"), ("s", "d", None), ("s", "d", "?"), ("s", "d", "\U0001f600" * 9)]
+    own = spark.createDataFrame(excerpts, "source string, digest string, excerpt string")
+    blocks = spark.createDataFrame(texts, "source string, digest string, text string")
+    want = {e for e in excerpts if e[2] is not None and any(t is not None and (s, d) == e[:2] and e[2] in t for s, d, t in texts)}
+    for pairs in (0, 64):
+        monkeypatch.setattr(claims, "PAIRS", pairs)
+        assert sorted(map(tuple, claims.occurring_excerpts(own, blocks).collect())) == sorted(want)
+
+
+def test_claims_of_one_digest_are_not_compared_pair_by_pair(spark):
+    n = 40_000
+    rules = spark.range(n).select(F.col("id").cast("string").alias("rule"), F.lit("s").alias("source"), F.lit("d").alias("digest"), F.concat(F.lit("claim "), "id").alias("excerpt"))
+    blocks = rules.where("rule % 2 = 0").select("source", "digest", F.concat(F.lit("so: "), "excerpt", F.lit(".")).alias("text"))
+    begun = time.monotonic()
+    found = claims.supported(rules, blocks).groupBy("supported").count().collect()
+    # a claim is in the block of its own number, or of a longer one that begins with it
+    want = sum(k % 2 == 0 or k * 10 < n for k in range(n))
+    assert {r.supported: r["count"] for r in found} == {True: want, False: n - want}
+    assert time.monotonic() - begun < 40
