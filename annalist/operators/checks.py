@@ -147,8 +147,9 @@ def review_violations(practices: DataFrame, rules: DataFrame, reviews: DataFrame
     here = now.where("now_sha is not null")
     identity = failing(here, "id", F.col("context_sha256").rlike(r"^[0-9a-f]{64}\z"), "context-identity")
     given = here.select("id", "source", F.col("verdict").alias("given"), F.col("context_sha256"), "sha256", "url", "now_sha", "now_url")
-    wanted = reviewed(given.select(F.col("id").alias("rule"), "source", "context_sha256", F.col("now_sha").alias("sha256"), F.col("now_url").alias("url"), "given", F.col("sha256").alias("own_sha"), F.col("url").alias("own_url")), registry)
-    agrees = (F.col("given") == F.col("verdict")) & F.col("own_sha").eqNullSafe(F.col("sha256")) & F.col("own_url").eqNullSafe(F.col("url"))
+    same = F.col("sha256").eqNullSafe(F.col("now_sha")) & F.col("url").eqNullSafe(F.col("now_url"))  # before the join, which then sorts less
+    wanted = reviewed(given.select(F.col("id").alias("rule"), "source", "context_sha256", F.col("now_sha").alias("sha256"), F.col("now_url").alias("url"), "given", same.alias("same")), registry)
+    agrees = (F.col("given") == F.col("verdict")) & F.col("same")
     verdicts = failing(wanted, "rule", agrees, "review-verdict")
     status = reviews.groupBy("id").agg((F.bool_or(F.col("verdict") == "supported") & ~F.bool_or(F.col("verdict").isin("unreviewed", "rejected"))).alias("good"))
     wrong = failing(practices.join(status, "id", "left"), "id", (F.col("status") == "recommended") == F.coalesce("good", F.lit(False)), "practice-status")

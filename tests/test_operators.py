@@ -781,3 +781,16 @@ def test_claims_of_one_digest_are_not_compared_pair_by_pair(spark):
     want = sum(k % 2 == 0 or k * 10 < n for k in range(n))
     assert {r.supported: r["count"] for r in found} == {True: want, False: n - want}
     assert time.monotonic() - begun < 40
+
+
+def test_reviews_are_met_without_their_own_address(spark):
+    url = "https://x/" + "u" * 2000
+    rules = spark.range(200).select(F.col("id").cast("string").alias("id"), F.lit("c").alias("category"), F.lit("s").alias("summary"), F.concat(F.lit("s"), "id").alias("source"))
+    digest = F.sha2(F.col("source"), 256)
+    sources = rules.select("source", F.lit(url).alias("url"), digest.alias("sha256"))
+    reviews = rules.select("id", "source", F.lit("supported").alias("verdict"), digest.alias("context_sha256"), digest.alias("sha256"), F.when(F.col("id") == "7", "https://x/other").otherwise(url).alias("url"))
+    registry = rules.select(F.col("id").alias("rule"), "source", digest.alias("context_sha256"), digest.alias("sha256"), F.lit(url).alias("url"), F.lit("supported").alias("verdict"))
+    found = checks.review_violations(rules.drop("source").withColumn("status", F.lit("recommended")), rules, reviews, registry, sources)
+    moved = exchanged(spark, found)
+    assert rows(found, "rule", "key") == [("review-verdict", "7")]
+    assert moved < 5.5 * 200 * len(url), moved / (200 * len(url))
