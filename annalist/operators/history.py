@@ -16,22 +16,25 @@ def walked(events: DataFrame) -> DataFrame:
     """Rows (id, previous_event_id, ...) with root (the id its chain starts with) and depth (0 at the root).
 
     An event whose predecessor is null or absent is a root. Pointer doubling:
-    each round every row looks twice as far back, so a chain of n events takes
-    about log2(n) joins. A round that ends no chain is an error: a chain of some
-    depth has an event at every lesser depth, so what is still open is a cycle.
+    each round every row whose chain has not ended looks twice as far back, so a
+    chain of n events takes about log2(n) joins, of ever fewer rows. A round that
+    ends no chain is an error: a chain of some depth has an event at every lesser
+    depth, so what is still open is a cycle.
     """
-    ids = events.select(F.col("id").alias("p")).distinct()
-    linked = events.select("id", F.col("previous_event_id").alias("p")).join(ids.withColumn("known", F.lit(True)), "p", "left")
-    step = cut(linked.select("id", F.when(F.col("known"), F.col("p")).alias("up"), F.when(F.col("known"), 1).otherwise(0).cast("long").alias("depth")).withColumn("root", F.coalesce("up", "id")))
-    left = step.where("up is not null").count()
+    ids = events.select(F.col("id").alias("at")).distinct().withColumn("known", F.lit(True))
+    linked = events.select("id", F.col("previous_event_id").alias("at")).join(ids, "at", "left")
+    # at: the farthest event seen, of an ended chain its root
+    step = cut(linked.select("id", F.when(F.col("known"), F.col("at")).otherwise(F.col("id")).alias("at"), F.coalesce("known", F.lit(False)).alias("open"), F.coalesce("known", F.lit(False)).cast("long").alias("depth")))
+    open_, ended = step.where("open"), step.where("NOT open")
+    left = open_.count()
     while left:
-        far = step.select(F.col("id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("root").alias("r2"))
-        last, step = step, cut(step.join(far, "up", "left").select("id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.coalesce("r2", "root").alias("root")))
-        drop(last)
-        before, left = left, step.where("up is not null").count()
+        far = open_.unionByName(ended).select(F.col("id").alias("at"), F.col("at").alias("at2"), F.col("open").alias("open2"), F.col("depth").alias("d2"))
+        step = cut(open_.join(far, "at").select("id", F.col("at2").alias("at"), F.col("open2").alias("open"), (F.col("depth") + F.col("d2")).alias("depth")))
+        open_, ended = step.where("open"), ended.unionByName(step.where("NOT open"))
+        before, left = left, open_.count()
         if left >= before:
             raise ValueError("event chains have a cycle")
-    return events.join(step.select("id", "root", "depth"), "id")
+    return events.join(ended.select("id", F.col("at").alias("root"), "depth"), "id")
 
 
 def tails(events: DataFrame, position: str = "position") -> DataFrame:

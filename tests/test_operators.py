@@ -803,3 +803,12 @@ def test_pages_with_one_text_do_not_carry_it(spark):
     found = openapi.api_facts(pages, ["endpoint"], old, "prose", by=["api"])
     assert exchanged(spark, found) < 2_000_000
     assert rows(found.where("api = 5"), "status", "value") == [("verified", '"POST https://api.example.com/a"')] and found.count() == 300
+
+
+def test_ended_chains_are_walked_no_further(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(history, "cut", lambda df, real=history.cut: (out := real(df), seen.append(out.count()))[0])
+    links = [(str(i), str(i - 1) if 0 < i < 40 else None) for i in range(500)]
+    found = history.walked(spark.createDataFrame(links, "id string, previous_event_id string"))
+    assert rows(found.where("depth > 0"), "id", "root", "depth") == sorted([(str(i), "0", i) for i in range(1, 40)], key=repr) and found.count() == 500
+    assert seen == [500, 39, 38, 36, 32, 24, 8], seen
