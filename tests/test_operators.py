@@ -812,3 +812,19 @@ def test_ended_chains_are_walked_no_further(spark, monkeypatch):
     found = history.walked(spark.createDataFrame(links, "id string, previous_event_id string"))
     assert rows(found.where("depth > 0"), "id", "root", "depth") == sorted([(str(i), "0", i) for i in range(1, 40)], key=repr) and found.count() == 500
     assert seen == [500, 39, 38, 36, 32, 24, 8], seen
+
+
+def test_results_are_put_away_slice_by_slice():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from annalist.functions import markup
+
+    values = pa.array(["x" * 1000] * 3000)
+    tracemalloc.start()
+    out = markup.by_slices(lambda v: [{"kind": v[i]} for i in range(200)], pa.list_(pa.struct([("kind", pa.string())])), values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 3000 and peak < 20_000_000
+    assert markup.by_slices(lambda a, b: a + b, pa.int64(), pa.array([1, 2]), pa.array([3, 4])).to_pylist() == [4, 6] and len(markup.by_slices(str, pa.string(), pa.array([], pa.string()))) == 0
